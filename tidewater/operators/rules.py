@@ -151,25 +151,23 @@ def detect_exceptions(state: DataFrame, asof: str | datetime,
               F.concat(F.lit("e-way bill "), F.coalesce(F.col("_eway_no"), F.lit("")),
                        F.lit(" expired "), hours_text0(expired_s), F.lit("h ago"))),
     )
+    if causes is not None:
+        c = F.broadcast(causes.select(F.col("port").alias("_dest"), F.col("probable_cause").alias("_cause")))
+        s = s.join(c, F.col("latest_dest") == F.col("_dest"), "left")
+    else:
+        s = s.withColumn("_cause", F.lit(None).cast("string"))
     fired = s.select(
         "shipment_id",
         last["carrier"].alias("carrier"),
-        F.col("latest_dest").alias("_dest"),
-        F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("r"),
-    )
-    out = fired.select(
+        F.coalesce(F.col("_cause"), F.lit("unknown")).alias("probable_cause"),
+        F.explode(rules).alias("r"),
+    ).where(F.col("r").isNotNull())
+    return fired.select(
         exception_id(F.col("shipment_id"), F.col("r.exception_type")).alias("exception_id"),
         "shipment_id", "carrier",
         F.col("r.exception_type").alias("exception_type"),
         a.alias("detected_at"),
         hours_1dp(F.col("r.age_s")).alias("age_hours"),
         F.col("r.detail").alias("detail"),
-        "_dest",
+        "probable_cause",
     )
-    if causes is not None:
-        c = F.broadcast(causes.select(F.col("port").alias("_dest"), "probable_cause"))
-        out = out.join(c, "_dest", "left")
-    else:
-        out = out.withColumn("probable_cause", F.lit(None).cast("string"))
-    return out.select(*EXCEPTION_COLUMNS[:-1],
-                      F.coalesce(F.col("probable_cause"), F.lit("unknown")).alias("probable_cause"))

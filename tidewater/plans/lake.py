@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.functions.timefmt import to_datetime
-from tidewater.operators import ais, enrich, normalize, rules, state
+from tidewater.operators import ais, enrich, gold, normalize, rules, state
 from tidewater.session import ensure_conf
 from tidewater.sources import feeds
 
@@ -125,3 +125,16 @@ class Lake:
     def exception_queue(self) -> DataFrame:
         return rules.detect_exceptions(self.state, self.asof, self.dwell_totals,
                                        self.last_mile_latest, self.port_causes)
+
+    # ---- gold ------------------------------------------------------------
+    @cached_property
+    def fct_events(self) -> DataFrame:
+        return gold.fct_shipment_events(self.silver)
+
+    @cached_property
+    def scorecard(self) -> DataFrame:
+        return gold.carrier_scorecard(self.fct_events, self.exception_queue)
+
+    @cached_property
+    def eta_baseline(self) -> DataFrame:
+        return gold.eta_baseline(self.fct_events)

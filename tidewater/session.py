@@ -34,6 +34,7 @@ def build_session(master: str | None = None, app: str = "tidewater",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)

@@ -165,7 +165,7 @@ def supplier_conditions(supplier: DataFrame) -> DataFrame:
         F.date_add(F.lit("1998-06-01").cast("date"), (sk % 45).cast("int")).alias("date"),
         F.when(sk % 11 == 0, 1).otherwise(0).cast("bigint").alias("weather_alerts"),
         (sk % 4).cast("string").alias("weather_code"),
-        (F.abs(F.col("s_acctbal")) % 100).cast("string").alias("wind_max_kmh"),
+        (F.abs(F.col("s_acctbal")) % 100).alias("wind_max_kmh"),
         ((sk % 13) / 2.0).alias("precip_mm"),
         F.when(sk % 13 == 0, 1).otherwise(0).cast("bigint").alias("disruption_news"),
     )
