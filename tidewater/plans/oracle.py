@@ -86,7 +86,7 @@ feed_c AS (
     {_lst(feeds.FEED_PORTS)}[(o_custkey % 8) + 1] AS origin,
     {_lst(feeds.FEED_PORTS)}[((o_custkey % 8) + 1 + (o_custkey // 8) % 7) % 8 + 1] AS dest,
     CAST(110000 + (l_orderkey * 37 + l_partkey) % 780000 AS VARCHAR) AS pin
-  FROM feed_a WHERE actual_s <= {ASOF_S}
+  FROM feed_a WHERE actual_s <= __ASOF__
 ),
 feed_d AS (
   SELECT *,
@@ -297,7 +297,7 @@ _GAP = _case("last_type", {m: str(g * 3600) for m, g in config.MAX_GAP_H.items()
 
 RULES = f"""
 st2 AS (
-  SELECT st.*, {_GAP} AS gap_s, {ASOF_S} - last_actual_s AS silence_s,
+  SELECT st.*, {_GAP} AS gap_s, __ASOF__ - last_actual_s AS silence_s,
     coalesce(t.anchor_hours, 0.0) AS anchored, lm.eway_bill_no, CAST(epoch(lm.eway_valid_until) AS BIGINT) AS eway_s
   FROM st LEFT JOIN totals t ON t.mmsi = st.dep_mmsi LEFT JOIN lm_latest lm ON lm.shipment_id = st.shipment_id
 ),
@@ -308,28 +308,28 @@ exc_raw AS (
            || CAST(gap_s // 3600 AS VARCHAR) || 'h)' AS detail
   FROM st2 WHERE gap_s IS NOT NULL AND silence_s > gap_s
   UNION ALL
-  SELECT shipment_id, last_carrier, latest_dest, 'LATE_DEPARTURE', CAST({ASOF_S} - dep_actual_s AS DOUBLE),
+  SELECT shipment_id, last_carrier, latest_dest, 'LATE_DEPARTURE', CAST(__ASOF__ - dep_actual_s AS DOUBLE),
          'departed ' || {_h0text('dep_actual_s - dep_planned_s')} || 'h after plan'
   FROM st2 WHERE has_dep AND dep_actual_s - dep_planned_s > {config.LATE_DEPARTURE_H * 3600}
   UNION ALL
   SELECT shipment_id, last_carrier, latest_dest, 'CUSTOMS_DWELL',
-         CAST({ASOF_S} - arr_actual_s - {config.CUSTOMS_DWELL_H * 3600} AS DOUBLE),
-         'in customs ' || {_h0text(f'{ASOF_S} - arr_actual_s')} || 'h with no release'
-  FROM st2 WHERE has_arr AND NOT has_customs AND {ASOF_S} - arr_actual_s > {config.CUSTOMS_DWELL_H * 3600}
+         CAST(__ASOF__ - arr_actual_s - {config.CUSTOMS_DWELL_H * 3600} AS DOUBLE),
+         'in customs ' || {_h0text(f'__ASOF__ - arr_actual_s')} || 'h with no release'
+  FROM st2 WHERE has_arr AND NOT has_customs AND __ASOF__ - arr_actual_s > {config.CUSTOMS_DWELL_H * 3600}
   UNION ALL
   SELECT shipment_id, last_carrier, latest_dest, 'VESSEL_STALLED', (anchored - {config.VESSEL_STALLED_H}) * 3600,
          'vessel ' || dep_mmsi || ' at anchor ' || CAST(CAST(round_even(anchored, 0) AS BIGINT) AS VARCHAR)
            || 'h mid-voyage'
   FROM st2 WHERE has_dep AND NOT has_arr AND length(dep_mmsi) > 0 AND anchored > {config.VESSEL_STALLED_H}
   UNION ALL
-  SELECT shipment_id, last_carrier, latest_dest, 'EWAY_BILL_EXPIRED', CAST({ASOF_S} - eway_s AS DOUBLE),
-         'e-way bill ' || coalesce(eway_bill_no, '') || ' expired ' || {_h0text(f'{ASOF_S} - eway_s')} || 'h ago'
-  FROM st2 WHERE eway_s IS NOT NULL AND NOT has_delivered AND eway_s < {ASOF_S}
+  SELECT shipment_id, last_carrier, latest_dest, 'EWAY_BILL_EXPIRED', CAST(__ASOF__ - eway_s AS DOUBLE),
+         'e-way bill ' || coalesce(eway_bill_no, '') || ' expired ' || {_h0text(f'__ASOF__ - eway_s')} || 'h ago'
+  FROM st2 WHERE eway_s IS NOT NULL AND NOT has_delivered AND eway_s < __ASOF__
 ),
 queue AS (
   SELECT substr(sha1(e.shipment_id || '|' || e.exception_type), 1, 16) AS exception_id,
     e.shipment_id, e.last_carrier AS carrier, e.exception_type,
-    make_timestamp({ASOF_S}::BIGINT * 1000000) AS detected_at,
+    make_timestamp(__ASOF__::BIGINT * 1000000) AS detected_at,
     {_h1('e.age_s')} AS age_hours, e.detail, coalesce(c.probable_cause, 'unknown') AS probable_cause
   FROM exc_raw e LEFT JOIN causes c ON c.port = e.latest_dest
 )"""
@@ -382,8 +382,13 @@ eta_baseline AS (
 )"""
 
 
-def with_ctes(*blocks: str) -> str:
-    return "WITH " + ",".join(b.strip().rstrip(",") for b in blocks)
+def with_ctes(*blocks: str, asof_s: int = ASOF_S) -> str:
+    return ("WITH " + ",".join(b.strip().rstrip(",") for b in blocks)).replace("__ASOF__", str(asof_s))
+
+
+def queue_at(asof_s: int) -> str:
+    """The exception queue at another instant, as a self-contained subquery."""
+    return "(" + with_ctes(*FULL, asof_s=asof_s) + "\nSELECT * FROM queue)"
 
 
 BASE = (FEED, CLASSIFY)
@@ -391,8 +396,8 @@ FULL = (FEED, CLASSIFY, STATE, AIS, CONDITIONS, RULES)
 ALL = FULL + (GOLD,)
 
 
-def sql(blocks, select: str) -> str:
-    return with_ctes(*blocks) + "\n" + select
+def sql(blocks, select: str, asof_s: int = ASOF_S) -> str:
+    return with_ctes(*blocks, asof_s=asof_s) + "\n" + select.replace("__ASOF__", str(asof_s))
 
 
 def _q(select: str, blocks=FULL) -> str:
@@ -467,3 +472,371 @@ for _name, _type in [("exc_missed_milestone", "MISSED_MILESTONE"), ("exc_late_de
                      ("exc_customs_dwell", "CUSTOMS_DWELL"), ("exc_vessel_stalled", "VESSEL_STALLED"),
                      ("exc_eway_expired", "EWAY_BILL_EXPIRED")]:
     ORACLE[_name] = _q(f"SELECT {_QUEUE_COLS} FROM queue WHERE exception_type = '{_type}'")
+
+
+# ---- ETA ---------------------------------------------------------------------
+
+def _state_block(src: str, p: str) -> str:
+    """The STATE block over another silver-shaped source, with prefixed names."""
+    return (STATE.replace("FROM silver", f"FROM {src}").replace("s_rows", f"{p}_rows")
+            .replace("\nst AS (", f"\n{p}st AS ("))
+
+
+def _features(st: str, name: str) -> str:
+    return f"""
+{name} AS (
+  SELECT shipment_id, last_carrier AS carrier,
+    coalesce(last_origin, '') || '-' || coalesce(last_dest, '') AS lane,
+    last_type AS last_event_type, last_type = 'delivered' AS completed,
+    first_planned_s, last_planned_s, last_actual_s, first_dep_planned_s, dep_planned_s, dep_actual_s
+  FROM {st}
+)"""
+
+
+def _model(src: str, where: str, p: str) -> str:
+    return f"""
+{p}rows AS (
+  SELECT carrier, lane, CAST(last_planned_s - first_planned_s AS DOUBLE) AS span_s,
+    CAST(last_actual_s - last_planned_s
+         - CASE WHEN dep_actual_s - dep_planned_s > 3600 THEN dep_actual_s - dep_planned_s ELSE 0 END AS DOUBLE) AS off_s,
+    CASE WHEN first_dep_planned_s - first_planned_s > 0 AND last_planned_s - first_planned_s > 0
+         THEN CAST(last_planned_s - first_planned_s AS DOUBLE) / (first_dep_planned_s - first_planned_s) END AS ratio
+  FROM {src} WHERE {where}
+),
+{p}lane AS (
+  SELECT carrier, lane, median(span_s) AS lane_span_s, median(off_s) AS lane_off_s FROM {p}rows GROUP BY 1, 2
+),
+{p}glob AS (
+  SELECT coalesce(median(span_s), 0.0) AS global_span_s, coalesce(median(off_s), 0.0) AS global_off_s,
+         median(ratio) AS departed_ratio, CAST(count(*) AS BIGINT) AS trained_on FROM {p}rows
+)"""
+
+
+ADJ = f"""
+adj AS (
+  SELECT shipment_id,
+    sum(CASE WHEN exception_type = 'VESSEL_STALLED' THEN {config.STALL_ADJ_H * 3600}
+             WHEN probable_cause = 'congestion' THEN {config.CONGESTION_ADJ_H * 3600} END) AS exc_adj_s,
+    string_agg(CASE WHEN exception_type = 'VESSEL_STALLED' THEN 'vessel_stalled(+{config.STALL_ADJ_H}h)'
+                    ELSE 'congestion(+{config.CONGESTION_ADJ_H}h)' END, ';' ORDER BY exception_id) AS exc_reasons
+  FROM queue WHERE exception_type = 'VESSEL_STALLED' OR probable_cause = 'congestion'
+  GROUP BY shipment_id
+)"""
+
+
+def _predict(feat: str, p: str, mart: bool, name: str) -> str:
+    mart_join = ("LEFT JOIN (SELECT carrier, lane, median_offset_h * 3600 AS mart_off_s FROM eta_baseline "
+                 "WHERE event_type = 'delivered') m ON m.carrier = f.carrier AND m.lane = f.lane"
+                 if mart else "")
+    mart_col = "m.mart_off_s" if mart else "CAST(NULL AS DOUBLE)"
+    return f"""
+{name}_a AS (
+  SELECT f.*, g.global_span_s, g.global_off_s, g.departed_ratio, l.lane_span_s, l.lane_off_s,
+         {mart_col} AS mart_off_s, a.exc_adj_s, a.exc_reasons,
+         f.dep_planned_s - f.first_planned_s AS gap,
+         f.dep_planned_s IS NOT NULL AND g.departed_ratio IS NOT NULL AND g.departed_ratio <> 0
+           AND f.dep_planned_s - f.first_planned_s > 0 AS use_ratio,
+         f.dep_actual_s - f.dep_planned_s AS dep_delay
+  FROM {feat} f CROSS JOIN {p}glob g
+  LEFT JOIN {p}lane l ON l.carrier = f.carrier AND l.lane = f.lane
+  {mart_join}
+  LEFT JOIN adj a ON a.shipment_id = f.shipment_id
+),
+{name}_b AS (
+  SELECT *,
+    CASE WHEN use_ratio THEN gap * departed_ratio WHEN lane_span_s IS NOT NULL THEN lane_span_s
+         ELSE global_span_s END AS span_x,
+    CASE WHEN use_ratio THEN 'planned_ratio(x' || printf('%.2f', departed_ratio) || ')'
+         WHEN lane_span_s IS NOT NULL THEN 'lane_median(' || lane || ')' ELSE 'global_median' END AS span_source,
+    coalesce(mart_off_s, lane_off_s, global_off_s) AS off_x,
+    CASE WHEN mart_off_s IS NOT NULL THEN 'eta_baseline_mart'
+         WHEN lane_off_s IS NOT NULL THEN 'lane_median(' || lane || ')' ELSE 'global_median' END AS offset_source,
+    CASE WHEN dep_delay > 3600 THEN dep_delay ELSE 0 END + coalesce(exc_adj_s, 0.0) AS adj_x,
+    coalesce(nullif(concat_ws(';',
+      CASE WHEN dep_delay > 3600 THEN 'observed_departure_delay(+' || CAST({_h1('dep_delay')} AS VARCHAR) || 'h)' END,
+      exc_reasons), ''), 'none') AS adjustment_reason
+  FROM {name}_a
+),
+{name} AS (
+  SELECT shipment_id, carrier, lane, last_event_type,
+    first_planned_s + CAST(floor(span_x + off_x + adj_x) AS BIGINT) AS pred_s,
+    first_planned_s, {_h1('span_x')} AS planned_span_h, span_source, {_h1('off_x')} AS median_offset_h,
+    offset_source, {_h1('adj_x')} AS live_adjustment_h, adjustment_reason
+  FROM {name}_b
+)"""
+
+
+_TRAIN = "substr(sha1(shipment_id), 40, 1) IN ('0', '2', '4', '6', '8', 'a', 'c', 'e')"
+ETA_BLOCKS = ALL + (_features("st", "feat"), _model("feat", "completed", "m_"), ADJ,
+                    _predict("(SELECT * FROM feat WHERE NOT completed)", "m_", True, "eta"))
+ORACLE["shipment_eta"] = _q(
+    "SELECT shipment_id, carrier, lane, last_event_type, "
+    f"{_iso('make_timestamp(pred_s * 1000000)')} AS predicted_delivery_ts, "
+    f"{_iso('make_timestamp(first_planned_s * 1000000)')} AS planned_anchor_ts, planned_span_h, span_source, "
+    "median_offset_h, offset_source, live_adjustment_h, adjustment_reason FROM eta", ETA_BLOCKS)
+
+MAE_BLOCKS = FULL + (
+    _features("st", "feat"),
+    _model("feat", f"completed AND {_TRAIN}", "t_"),
+    "test_ids AS (SELECT shipment_id, last_actual_s AS actual_s FROM feat WHERE completed AND NOT " + _TRAIN + ")",
+    "vis_silver AS (SELECT * FROM silver WHERE shipment_id IN (SELECT shipment_id FROM test_ids) "
+    f"AND ms_idx <= {config.MILESTONE_INDEX['vessel_departed']})",
+    _state_block("vis_silver", "v"),
+    _features("vst", "vfeat"),
+    ADJ,
+    _predict("vfeat", "t_", False, "vpred"),
+)
+ORACLE["eta_mae"] = _q(
+    "SELECT CAST(count(*) AS BIGINT) AS test_shipments, (SELECT trained_on FROM t_glob) AS train_shipments, "
+    f"CASE WHEN count(*) > 0 THEN {_ratio('sum(abs(p.pred_s - t.actual_s))', '3600 * count(*)', 2)} END AS mae_hours "
+    "FROM vpred p JOIN test_ids t ON t.shipment_id = p.shipment_id", MAE_BLOCKS)
+
+
+# ---- alerts ------------------------------------------------------------------
+
+PRIOR_S = ASOF_S - 72 * 3600
+_BAND = " + ".join(f"CASE WHEN {{a}} >= {b} THEN 1 ELSE 0 END" for b in config.BANDS_H)
+
+
+def _band(col: str) -> str:
+    return "(" + _BAND.format(a=col) + ")"
+
+
+_DECIDE = f"""
+prior AS (SELECT exception_id, exception_type AS type, {_band('age_hours')} AS band FROM {queue_at(PRIOR_S)}),
+decided AS (
+  SELECT q.exception_id, q.shipment_id, q.carrier, q.exception_type, q.age_hours, q.detail,
+    {_band('q.age_hours')} AS band, p.band AS prior_band,
+    CASE WHEN p.band IS NULL THEN 'new' WHEN {_band('q.age_hours')} > p.band THEN 'escalated'
+         ELSE 'suppressed' END AS decision
+  FROM queue q LEFT JOIN prior p ON p.exception_id = q.exception_id
+)"""
+
+ORACLE["alert_decisions"] = _q(
+    "SELECT exception_id, shipment_id, carrier, exception_type, age_hours, band, prior_band, decision, "
+    "CASE WHEN decision <> 'suppressed' THEN "
+    "CASE WHEN decision = 'escalated' THEN ':rotating_light: ESCALATION' ELSE ':package: New exception' END "
+    "|| ' [' || exception_type || '] shipment ' || shipment_id || ' (' || carrier || ') — ' || detail "
+    "|| ' — age ' || CAST(age_hours AS VARCHAR) || 'h' END AS message FROM decided", FULL + (_DECIDE,))
+
+ORACLE["alert_state_next"] = _q(
+    f"SELECT exception_id, type, band, {_iso(f'make_timestamp({PRIOR_S}::BIGINT * 1000000)')} AS alerted_at "
+    "FROM prior WHERE exception_id NOT IN (SELECT exception_id FROM decided WHERE decision <> 'suppressed') "
+    "UNION ALL SELECT exception_id, exception_type AS type, band, "
+    f"{_iso('make_timestamp(__ASOF__::BIGINT * 1000000)')} AS alerted_at FROM decided "
+    "WHERE decision <> 'suppressed'", FULL + (_DECIDE,))
+
+ORACLE["quarantine_spike"] = _q(
+    "SELECT CAST(count(*) AS BIGINT) AS events_read, CAST(count(reason) AS BIGINT) AS quarantined_total, "
+    "CASE WHEN count(*) > 0 THEN count(reason) * 100.0 / count(*) ELSE 0.0 END AS quarantine_pct, "
+    f"CASE WHEN count(reason) * 100.0 / count(*) > {config.QUARANTINE_SPIKE_PCT} "
+    "THEN 'ops:quarantine_spike:' || strftime(make_timestamp(__ASOF__::BIGINT * 1000000), '%Y-%m-%d') END "
+    "AS exception_id, "
+    f"CASE WHEN count(reason) * 100.0 / count(*) > {config.QUARANTINE_SPIKE_PCT} "
+    "THEN ':warning: QUARANTINE SPIKE — ' || CAST(count(reason) AS VARCHAR) || '/' || CAST(count(*) AS VARCHAR) "
+    "|| ' events (' || printf('%.1f', count(reason) * 100.0 / count(*)) || '%) quarantined this run' END AS message "
+    "FROM classified", BASE)
+
+
+# ---- quality -----------------------------------------------------------------
+
+def _t_unique(tbl, col, name):
+    return (f"SELECT '{name}' AS test_name, CAST(count(*) AS BIGINT) AS failures FROM "
+            f"(SELECT {col} FROM {tbl} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)")
+
+
+def _t_not_null(tbl, col, name):
+    return f"SELECT '{name}' AS test_name, CAST(count(*) AS BIGINT) AS failures FROM {tbl} WHERE {col} IS NULL"
+
+
+def _t_accepted(tbl, col, values, name):
+    vals = ", ".join(f"'{v}'" for v in values)
+    return (f"SELECT '{name}' AS test_name, CAST(count(*) AS BIGINT) AS failures FROM "
+            f"(SELECT {col} FROM {tbl} WHERE {col} NOT IN ({vals}) GROUP BY {col})")
+
+
+_LEGS = ("legs AS (SELECT shipment_id FROM st WHERE has_vessel)")
+ORACLE["quality_checks"] = _q(" UNION ALL ".join([
+    _t_unique("fct", "event_id", "unique_fct_shipment_events_event_id"),
+    _t_not_null("fct", "event_id", "not_null_fct_shipment_events_event_id"),
+    _t_accepted("fct", "event_type", config.MILESTONES, "accepted_values_fct_shipment_events_event_type"),
+    _t_unique("queue", "exception_id", "unique_stg_exception_queue_exception_id"),
+    _t_not_null("queue", "exception_id", "not_null_stg_exception_queue_exception_id"),
+    _t_accepted("queue", "probable_cause", config.PROBABLE_CAUSES,
+                "accepted_values_stg_exception_queue_probable_cause"),
+    _t_unique("legs", "shipment_id", "unique_fct_shipment_legs_shipment_id"),
+    _t_not_null("legs", "shipment_id", "not_null_fct_shipment_legs_shipment_id"),
+    _t_not_null("scorecard", "carrier", "not_null_carrier_scorecard_carrier"),
+    "SELECT 'fct_events_reconcile_silver' AS test_name, CAST(CASE WHEN (SELECT count(*) FROM fct) <> "
+    "(SELECT count(*) FROM silver) THEN 1 ELSE 0 END AS BIGINT) AS failures",
+]), ALL + (_LEGS,))
+
+
+# ---- metrics -------------------------------------------------------------------
+
+ORACLE["run_metrics"] = _q(
+    "SELECT metric, label, value FROM (" + " UNION ALL ".join(
+        [f"SELECT 'events_read' AS metric, '' AS label, CAST(count(*) AS BIGINT) AS value FROM classified",
+         "SELECT 'events_processed', '', CAST(count(DISTINCT event_id) FILTER (WHERE reason IS NULL) AS BIGINT) "
+         "FROM classified",
+         "SELECT 'duplicates', '', CAST(count(*) FILTER (WHERE reason IS NULL) - count(DISTINCT event_id) "
+         "FILTER (WHERE reason IS NULL) AS BIGINT) FROM classified"]
+        + [f"SELECT 'quarantined', 'reason=\"{r}\"', CAST(count(*) FILTER (WHERE reason = '{r}') AS BIGINT) "
+           "FROM classified" for r in config.QUARANTINE_REASONS]
+        + ["SELECT 'exceptions_by_type', 'type=\"' || exception_type || '\"', CAST(count(*) AS BIGINT) "
+           "FROM queue GROUP BY exception_type",
+           "SELECT 'exceptions', '', CAST(count(*) AS BIGINT) FROM queue"]) + ")")
+
+ORACLE["slo_freshness"] = _q(
+    "SELECT s.slo, __ASOF__ - max(actual_s) AS lag_s, s.target_s, __ASOF__ - max(actual_s) < s.target_s AS ok "
+    "FROM silver, (VALUES ('normalize_freshness', "
+    f"{config.SLO_NORMALIZE_FRESHNESS_S}::BIGINT), ('feed_silence', {int(config.FEED_SILENCE_MAX_H * 3600)}::BIGINT))"
+    " s(slo, target_s) GROUP BY s.slo, s.target_s", BASE)
+
+
+_MROWS = "carrier_scorecard AS (SELECT * FROM scorecard), mrows AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS metric, carrier, lane, CAST({col} AS DOUBLE) AS value, "
+    + (f"CAST({w} AS DOUBLE)" if w else "CAST(NULL AS DOUBLE)") + f" AS weight FROM {mart}"
+    for name, (mart, col, _a, w, _u, _s) in config.METRICS.items()) + ")"
+_PORTS_V = ", ".join(f"('{p}')" for p in config.PORT_CODES)
+_MCOMBO = f"""
+mcombo AS (
+  SELECT r.*, cf.carrier_filter, pf.port_filter
+  FROM mrows r
+  CROSS JOIN LATERAL (SELECT NULL AS carrier_filter UNION ALL SELECT r.carrier) cf
+  CROSS JOIN LATERAL (SELECT NULL AS port_filter UNION ALL
+                      SELECT p FROM (VALUES {_PORTS_V}) v(p) WHERE contains(coalesce(r.lane, ''), p)) pf
+)"""
+
+
+def _mvalue(group_extra: str = "") -> str:
+    t = "CAST(round(value * 100) AS BIGINT)"
+    w = "CASE WHEN value IS NOT NULL THEN weight END"
+    arms = {
+        "sum": "CASE WHEN count(value) > 0 THEN sum(value) END",
+        "avg": f"CASE WHEN count(value) > 0 THEN {_ratio(f'sum({t})', 'count(value) * 100', 2)} END",
+        "weighted_avg": f"CASE WHEN count(value) > 0 AND sum({w}) <> 0 THEN "
+                        f"{_ratio(f'sum({t} * {w})', f'round(sum({w}) * 100)', 2)} END",
+        "median_of_medians": f"CASE WHEN count(value) > 0 THEN "
+                             f"{_ratio(f'round(median({t}) * 2)', '200', 2)} END",
+    }
+    return "CASE metric " + " ".join(f"WHEN '{n}' THEN {arms[m[2]]}" for n, m in config.METRICS.items()) + " END"
+
+
+_META = ", ".join(f"('{n}', '{m[0]}', '{m[1]}', '{m[2]}')" for n, m in config.METRICS.items())
+_GOV = f"""
+gov AS (
+  SELECT g.*, md.mart, md.column_name, md.aggregation FROM (
+    SELECT metric, carrier_filter, port_filter, {_mvalue()} AS value, CAST(count(*) AS BIGINT) AS rows_used
+    FROM mcombo GROUP BY 1, 2, 3) g
+  JOIN (VALUES {_META}) md(metric, mart, column_name, aggregation) ON md.metric = g.metric
+)"""
+ORACLE["governed_metric"] = _q("SELECT * FROM gov", ALL + (_MROWS, _MCOMBO, _GOV))
+
+_LOWER = ", ".join(f"'{m}'" for m in config.LOWER_IS_BETTER)
+_SUP = f"""
+per_carrier AS (
+  SELECT * FROM (SELECT metric, carrier_filter, port_filter, carrier, {_mvalue()} AS value
+                 FROM mcombo GROUP BY 1, 2, 3, 4) WHERE value IS NOT NULL
+),
+ranked_c AS (
+  SELECT *, row_number() OVER (PARTITION BY metric, carrier_filter, port_filter ORDER BY value, carrier) AS r_lo,
+            row_number() OVER (PARTITION BY metric, carrier_filter, port_filter ORDER BY value DESC, carrier) AS r_hi
+  FROM per_carrier
+),
+sup AS (
+  SELECT metric, carrier_filter, port_filter,
+    max(CASE WHEN r_lo = 1 THEN carrier END) AS lo_c, max(CASE WHEN r_lo = 1 THEN value END) AS lo_v,
+    max(CASE WHEN r_hi = 1 THEN carrier END) AS hi_c, max(CASE WHEN r_hi = 1 THEN value END) AS hi_v
+  FROM ranked_c GROUP BY 1, 2, 3
+)"""
+
+_PHRASES = []
+_i = 0
+for _n, _m in config.METRICS.items():
+    for _p in [_n.replace("_", " ")] + _m[5]:
+        _PHRASES.append(("metric", _n, _p, _i))
+        _i += 1
+for _dim, _vals in config.DIMENSION_PHRASES.items():
+    for _p, _code in _vals.items():
+        _PHRASES.append((_dim, _code, _p, _i))
+        _i += 1
+_PH_V = ", ".join(f"('{k}', '{key}', '{p}', {len(p)}, {i})" for k, key, p, i in _PHRASES)
+_BEST = " OR ".join(f"contains(ql, '{w}')" for w in config.SUPERLATIVE_BEST)
+_WORST = " OR ".join(f"contains(ql, '{w}')" for w in config.SUPERLATIVE_WORST)
+_QUESTIONS = f"""
+qs AS (
+  SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS question_id, lower(text) AS ql
+  FROM conversations WHERE role = 'user'
+),
+ph AS (SELECT * FROM (VALUES {_PH_V}) t(kind, key, phrase, plen, ord)),
+hits AS (
+  SELECT q.question_id, ph.kind, ph.key,
+    row_number() OVER (PARTITION BY q.question_id, ph.kind ORDER BY ph.plen DESC, ph.ord) AS rn
+  FROM qs q JOIN ph ON contains(q.ql, ph.phrase)
+),
+res AS (
+  SELECT q.question_id,
+    CASE WHEN {_BEST} THEN 'best' WHEN {_WORST} THEN 'worst' END AS superlative,
+    max(CASE WHEN h.kind = 'metric' THEN h.key END) AS metric,
+    max(CASE WHEN h.kind = 'carrier' THEN h.key END) AS carrier_filter,
+    max(CASE WHEN h.kind = 'port' THEN h.key END) AS port_filter
+  FROM qs q LEFT JOIN (SELECT * FROM hits WHERE rn = 1) h ON h.question_id = q.question_id
+  GROUP BY q.question_id, q.ql
+),
+ans AS (
+  SELECT r.*, g.value, g.rows_used,
+    CASE WHEN r.superlative = 'best' THEN CASE WHEN r.metric IN ({_LOWER}) THEN s.lo_c ELSE s.hi_c END
+         WHEN r.superlative = 'worst' THEN CASE WHEN r.metric IN ({_LOWER}) THEN s.hi_c ELSE s.lo_c END END AS sup_c,
+    CASE WHEN r.superlative = 'best' THEN CASE WHEN r.metric IN ({_LOWER}) THEN s.lo_v ELSE s.hi_v END
+         WHEN r.superlative = 'worst' THEN CASE WHEN r.metric IN ({_LOWER}) THEN s.hi_v ELSE s.lo_v END END AS sup_v
+  FROM res r
+  LEFT JOIN gov g ON g.metric IS NOT DISTINCT FROM r.metric AND g.carrier_filter IS NOT DISTINCT FROM r.carrier_filter
+                 AND g.port_filter IS NOT DISTINCT FROM r.port_filter
+  LEFT JOIN sup s ON s.metric IS NOT DISTINCT FROM r.metric AND s.carrier_filter IS NOT DISTINCT FROM r.carrier_filter
+                 AND s.port_filter IS NOT DISTINCT FROM r.port_filter
+)"""
+ORACLE["question_table"] = _q(
+    "SELECT question_id, metric, carrier_filter, port_filter, "
+    "CASE WHEN metric IS NOT NULL AND sup_c IS NOT NULL THEN 'superlative' "
+    "WHEN metric IS NOT NULL AND value IS NOT NULL THEN 'value' ELSE 'refusal' END AS kind, "
+    "CASE WHEN metric IS NOT NULL AND sup_c IS NOT NULL THEN sup_c END AS entity, "
+    "CASE WHEN metric IS NOT NULL AND sup_c IS NOT NULL THEN sup_v WHEN metric IS NOT NULL THEN value END AS value, "
+    "CASE WHEN metric IS NOT NULL AND (sup_c IS NOT NULL OR value IS NOT NULL) THEN rows_used "
+    "WHEN metric IS NOT NULL THEN 0 END AS rows_used FROM ans",
+    ALL + (_MROWS, _MCOMBO, _GOV, _SUP, _QUESTIONS))
+
+
+# ---- keyed upsert and snapshots --------------------------------------------------
+
+def _statics(where: str, name: str) -> str:
+    return f"""
+{name} AS (
+  SELECT mmsi, imo, name, type, observed_at FROM (
+    SELECT CAST(user_id % 75 AS VARCHAR) AS mmsi, CAST(9000000 + user_id AS VARCHAR) AS imo,
+      trim(' VESSEL ' || CAST(user_id % 75 AS VARCHAR) || ' ' || upper(json_extract_string(props, '$.k')) || '  ')
+        AS name,
+      CAST(70 + event_id % 10 AS VARCHAR) AS type, ts AS observed_at,
+      row_number() OVER (PARTITION BY user_id % 75 ORDER BY ts DESC, event_id ASC) AS rn
+    FROM events WHERE event_type = 'signup' AND {where}) WHERE rn = 1
+)"""
+
+
+_SPLIT = "TIMESTAMP '2024-01-15 00:00:00'"
+ORACLE["upsert_by_key"] = sql(
+    (_statics(f"ts < {_SPLIT}", "old_v"), _statics(f"ts >= {_SPLIT}", "new_v")),
+    f"SELECT mmsi, imo, name, type, {_iso('observed_at')} AS observed_at FROM old_v "
+    "WHERE mmsi NOT IN (SELECT mmsi FROM new_v) "
+    f"UNION ALL SELECT mmsi, imo, name, type, {_iso('observed_at')} AS observed_at FROM new_v")
+
+ORACLE["snapshot_asof"] = (
+    f"SELECT exception_id, shipment_id, carrier, exception_type, {_iso('detected_at')} AS detected_at, age_hours, "
+    f"detail, probable_cause, {_iso('detected_at')} AS snapshot_ts FROM {queue_at(ASOF_S - 24 * 3600)}")
+
+ORACLE["fct_shipment_legs"] = _q(
+    "SELECT l.shipment_id, 1 AS leg_seq, 'ocean' AS mode, l.fv_mmsi AS vessel_mmsi, v.vessel_name, "
+    "l.fv_origin AS origin, l.fv_dest AS dest, l.fv_origin || '-' || l.fv_dest AS lane "
+    "FROM st l LEFT JOIN (SELECT coalesce(o.mmsi, c.mmsi) AS mmsi, coalesce(nullif(o.name, ''), c.name) AS vessel_name "
+    "FROM (VALUES " + ", ".join(f"('{m}', '{n}')" for m, n in config.VESSELS) + ") c(mmsi, name) "
+    "FULL OUTER JOIN statics o ON o.mmsi = c.mmsi) v ON v.mmsi = l.fv_mmsi WHERE l.has_vessel",
+    (FEED, CLASSIFY, STATE, AIS))

@@ -13,9 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.timefmt import iso
-from tidewater.operators import gold
+from tidewater import config
+from tidewater.functions.timefmt import asof_literal, iso
+from tidewater.operators import ais, alerts, eta, gold, metrics, quality
 from tidewater.plans.lake import Lake
+from tidewater.sinks import tables as sinks
+from tidewater.sources import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -196,3 +199,148 @@ def eta_baseline(spark, sf_dir):
 @query
 def exception_mart(spark, sf_dir):
     return gold.exception_mart(Lake(spark, sf_dir).exception_queue)
+
+
+# ---- ETA -------------------------------------------------------------------
+
+def _mart_offsets(lk: Lake) -> DataFrame:
+    return lk.eta_baseline.where(F.col("event_type") == "delivered").select("carrier", "lane", "median_offset_h")
+
+
+@query
+def shipment_eta(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return eta.format_eta(eta.shipment_eta(lk.state, lk.exception_queue, _mart_offsets(lk)))
+
+
+@query
+def eta_mae(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return eta.evaluate(lk.silver, lk.state, lk.exception_queue)
+
+
+# ---- alerts ----------------------------------------------------------------
+
+PRIOR_STATE_HOURS = -72  # prior alert state: the queue three days before asof
+
+
+def _decisions(lk: Lake) -> tuple[DataFrame, DataFrame]:
+    prior = lk.shifted(PRIOR_STATE_HOURS)
+    state = alerts.state_from_queue(prior.exception_queue, prior.asof)
+    return alerts.decide(lk.exception_queue, state), state
+
+
+@query
+def alert_decisions(spark, sf_dir):
+    return _decisions(Lake(spark, sf_dir))[0]
+
+
+@query
+def alert_state_next(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    decisions, state = _decisions(lk)
+    return _iso_cols(alerts.next_state(state, decisions, lk.asof), "alerted_at")
+
+
+@query
+def quarantine_spike(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    state = alerts.state_from_queue(lk.exception_queue, lk.asof)
+    share = alerts.quarantine_share(lk.counters)
+    fired = alerts.quarantine_spike(lk.counters, state, lk.asof).select("exception_id", "message")
+    # both sides have at most one row; joined on a constant key
+    return share.withColumn("_k", F.lit(1)).join(fired.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
+
+
+# ---- quality ---------------------------------------------------------------
+
+@query
+def quality_checks(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    fct, q = lk.fct_events, lk.exception_queue
+    legs = gold.fct_shipment_legs(lk.legs, gold.dim_vessel(lk.dim_vessel_silver))
+    checks = [
+        quality.unique(fct, "event_id", "unique_fct_shipment_events_event_id"),
+        quality.not_null(fct, "event_id", "not_null_fct_shipment_events_event_id"),
+        quality.accepted_values(fct, "event_type", config.MILESTONES,
+                                "accepted_values_fct_shipment_events_event_type"),
+        quality.unique(q, "exception_id", "unique_stg_exception_queue_exception_id"),
+        quality.not_null(q, "exception_id", "not_null_stg_exception_queue_exception_id"),
+        quality.accepted_values(q, "probable_cause", config.PROBABLE_CAUSES,
+                                "accepted_values_stg_exception_queue_probable_cause"),
+        quality.unique(legs, "shipment_id", "unique_fct_shipment_legs_shipment_id"),
+        quality.not_null(legs, "shipment_id", "not_null_fct_shipment_legs_shipment_id"),
+        quality.not_null(lk.scorecard, "carrier", "not_null_carrier_scorecard_carrier"),
+        quality.row_count_equal(fct, lk.silver, "fct_events_reconcile_silver"),
+    ]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+# ---- metrics and questions --------------------------------------------------
+
+@query
+def run_metrics(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return metrics.run_metrics(lk.counters, lk.exception_queue)
+
+
+@query
+def slo_freshness(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return metrics.slo_freshness(lk.silver, lk.asof)
+
+
+def _marts(lk: Lake) -> dict[str, DataFrame]:
+    return {"carrier_scorecard": lk.scorecard, "eta_baseline": lk.eta_baseline}
+
+
+@query
+def governed_metric(spark, sf_dir):
+    return metrics.governed_values(_marts(Lake(spark, sf_dir)))
+
+
+@query
+def question_table(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    conv = lk.table("conversations").where(F.col("role") == "user").select(
+        F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("question_id"),
+        F.col("text").alias("question"))
+    return metrics.answer_questions(conv, _marts(lk))
+
+
+# ---- keyed upsert and snapshots ---------------------------------------------
+
+UPSERT_SPLIT = "2024-01-15 00:00:00"
+
+
+@query
+def upsert_by_key(spark, sf_dir):
+    """dim_vessel (silver) kept from the first half of the AIS days, then the
+    second half's statics upserted by MMSI."""
+    lk = Lake(spark, sf_dir)
+    ev = lk.table("events")
+    split = F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
+    old = ais.vessel_static(feeds.ais_static(ev.where(F.col("ts") < split)))
+    new = ais.vessel_static(feeds.ais_static(ev.where(F.col("ts") >= split)))
+    return _iso_cols(sinks.upsert_by_key(old, new, ["mmsi"]), "observed_at")
+
+
+SNAPSHOT_HOURS = (-48, -24, 0)
+SNAPSHOT_READ_HOURS = -12
+
+
+@query
+def snapshot_asof(spark, sf_dir):
+    """The exception queue as it was 12 h before asof, read from queue
+    snapshots taken at asof - 48 h, - 24 h and asof."""
+    lk = Lake(spark, sf_dir)
+    snaps = None
+    for h in SNAPSHOT_HOURS:
+        at = lk.shifted(h)
+        s = at.exception_queue.withColumn("snapshot_ts", asof_literal(at.asof))
+        snaps = s if snaps is None else snaps.unionByName(s)
+    read_at = lk.shifted(SNAPSHOT_READ_HOURS).asof
+    return _iso_cols(sinks.snapshot_as_of(snaps, read_at), "detected_at", "snapshot_ts")
