@@ -7,8 +7,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job needs: UTC instants, adaptive execution with skew handling.
+# Settings every job needs: UTC instants, adaptive execution with skew handling,
+# and whole-stage code generation capped at HotSpot's JIT limit (8000 bytes of
+# bytecode per method): a larger fused stage would run in the bytecode
+# interpreter, so Spark falls back to per-operator code, whose methods are
+# split small enough to be compiled.
 REQUIRED_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
