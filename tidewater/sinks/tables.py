@@ -87,12 +87,20 @@ def write_version(df: DataFrame, root: str) -> str:
 
 
 def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """The table version ``_CURRENT`` points at (None when nothing was written)."""
-    ptr = f"{root.rstrip('/')}/_CURRENT"
-    try:
-        text = "".join(r.value for r in spark.read.text(ptr).collect())  # one small pointer file
-    except Exception:  # noqa: BLE001 - missing pointer: no table yet
+    """The table version ``_CURRENT`` points at (None when nothing was written).
+
+    The pointer is a few bytes of metadata read through the Hadoop file
+    system (Spark's file readers skip names starting with ``_``)."""
+    jvm = spark.sparkContext._jvm
+    ptr = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_CURRENT")
+    fs = ptr.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(ptr):
         return None
+    stream = fs.open(ptr)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
     version = json.loads(text)["version"]
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(f"{root.rstrip('/')}/v={version}")
