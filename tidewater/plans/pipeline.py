@@ -1,0 +1,127 @@
+"""Production batch jobs: each stage writes its tables and the next stage
+reads them back, so lineage is cut at every table (a lost executor only
+re-runs the current stage) and nothing is recomputed across stages.
+
+    silver  = normalize(raw)            -> shipment_events, last_mile, quarantine, run_summary
+    ais     = dwell(positions, statics) -> vessel_dwell (by date), port_congestion (by date), dim_vessel
+    rules   = exceptions(silver, ais)   -> shipment_legs, exception_queue (+ snapshot)
+    gold    = marts(silver, queue)      -> fct_shipment_events, carrier_scorecard, eta_baseline,
+                                           exception_mart, shipment_eta
+    alerts  = decide(queue, state)      -> alert_decisions, next alert state version
+
+All writes are whole-table or whole-partition overwrites (or new versions), so
+re-running a stage after a failure gives the same tables.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.functions.timefmt import asof_literal, to_datetime
+from tidewater.operators import ais, alerts, enrich, eta, gold, normalize, rules, state
+from tidewater.session import ensure_conf
+from tidewater.sinks import tables
+
+
+class Tables:
+    """Table locations under one root (a shared folder on a cluster)."""
+
+    def __init__(self, root: str):
+        self.root = root.rstrip("/")
+
+    def __getattr__(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+
+def normalize_stage(spark: SparkSession, raw: DataFrame, t: Tables, asof: str | datetime) -> dict:
+    ensure_conf(spark)
+    cls = normalize.classify(raw)
+    dd = normalize.dedupe(normalize.valid_rows(cls))
+    silver = normalize.silver_events(dd)
+    tables.write_sorted(silver.drop("_ingest"), t.shipment_events, ["shipment_id", "actual_ts", "event_id"])
+    tables.write_sorted(normalize.last_mile(dd), t.last_mile, ["shipment_id"])
+    bad = normalize.quarantine_rows(cls).drop("_ingest", "_malformed")
+    if "date" in bad.columns:
+        tables.overwrite_partitions(bad, t.quarantine, "date")
+    counters = normalize.run_counters(cls).withColumn("asof", asof_literal(asof)) \
+        .withColumn("run_ts", F.current_timestamp())
+    counters.write.mode("append").parquet(t.run_summary)
+    return counters.first().asDict()  # one-row summary
+
+
+def ais_stage(spark: SparkSession, positions: DataFrame, statics: DataFrame, t: Tables) -> None:
+    ensure_conf(spark)
+    dwell = ais.vessel_dwell(positions)
+    tables.overwrite_partitions(dwell, t.vessel_dwell, "date")
+    tables.overwrite_partitions(ais.port_congestion(spark.read.parquet(t.vessel_dwell)), t.port_congestion, "date")
+    current = tables.read_current(spark, t.dim_vessel)
+    new = ais.vessel_static(statics)
+    merged = new if current is None else tables.upsert_by_key(current, new, ["mmsi"])
+    tables.write_version(merged, t.dim_vessel)
+
+
+def conditions_stage(spark: SparkSession, observations: DataFrame, t: Tables) -> None:
+    tables.overwrite_partitions(enrich.conditions_from_observations(observations), t.port_conditions, "date")
+
+
+def rules_stage(spark: SparkSession, t: Tables, asof: str | datetime) -> None:
+    ensure_conf(spark)
+    silver = spark.read.parquet(t.shipment_events)
+    st = state.shipment_state(silver)
+    tables.write_sorted(state.shipment_legs(st), t.shipment_legs, ["shipment_id"])
+    dwell = spark.read.parquet(t.vessel_dwell)
+    cond = spark.read.parquet(t.port_conditions)
+    cong = spark.read.parquet(t.port_congestion)
+    causes = rules.port_causes(ais.latest_by(cond, "port"), ais.latest_by(cong, "port"), spark)
+    lm = state.latest_last_mile(spark.read.parquet(t.last_mile))
+    q = rules.detect_exceptions(st, asof, ais.dwell_totals(dwell), lm, causes)
+    tables.write_sorted(q, t.exception_queue, ["exception_id"])
+    tables.append_snapshot(spark.read.parquet(t.exception_queue), t.exception_queue_snapshots, asof)
+
+
+def gold_stage(spark: SparkSession, t: Tables) -> None:
+    ensure_conf(spark)
+    silver = spark.read.parquet(t.shipment_events)
+    queue = spark.read.parquet(t.exception_queue)
+    fct = gold.fct_shipment_events(silver)
+    fct.write.mode("overwrite").parquet(t.fct_shipment_events)
+    fct = spark.read.parquet(t.fct_shipment_events)
+    gold.carrier_scorecard(fct, queue).write.mode("overwrite").parquet(t.carrier_scorecard)
+    gold.eta_baseline(fct).write.mode("overwrite").parquet(t.eta_baseline)
+    gold.exception_mart(queue).write.mode("overwrite").parquet(t.exception_mart)
+    offsets = spark.read.parquet(t.eta_baseline).where("event_type = 'delivered'") \
+        .select("carrier", "lane", "median_offset_h")
+    eta.shipment_eta(state.shipment_state(silver), queue, offsets) \
+        .write.mode("overwrite").parquet(t.shipment_eta)
+
+
+def alert_stage(spark: SparkSession, t: Tables, now: str | datetime) -> DataFrame:
+    ensure_conf(spark)
+    queue = spark.read.parquet(t.exception_queue)
+    st = tables.read_current(spark, t.alert_state)
+    if st is None:
+        st = spark.createDataFrame([], "exception_id string, type string, band int, alerted_at timestamp")
+    decisions = alerts.decide(queue, st)
+    decisions.withColumn("decided_at", asof_literal(now)).write.mode("append").parquet(t.alert_decisions)
+    written = spark.read.parquet(t.alert_decisions).where(F.col("decided_at") == asof_literal(now)) \
+        .drop("decided_at")
+    tables.write_version(alerts.next_state(st, written, now), t.alert_state)
+    return written
+
+
+def run_all(spark: SparkSession, raw: DataFrame, positions: DataFrame, statics: DataFrame,
+            observations: DataFrame, root: str, asof: str | datetime) -> dict:
+    """Every stage in order; returns the normalize run summary."""
+    t = Tables(root)
+    asof = to_datetime(asof)
+    summary = normalize_stage(spark, raw, t, asof)
+    ais_stage(spark, positions, statics, t)
+    conditions_stage(spark, observations, t)
+    rules_stage(spark, t, asof)
+    gold_stage(spark, t)
+    alert_stage(spark, t, asof)
+    return summary
+
