@@ -116,3 +116,16 @@ def test_landing_stream_rejects_whole_file(spark, tmpdir_path):
                        checkpoint=os.path.join(tmpdir_path, "ck")).awaitTermination()
     assert spark.read.text(os.path.join(bronze, "2026-07-21")).count() == 2
     assert [os.path.basename(r.file_path) for r in spark.read.parquet(rej).collect()] == ["bad.ndjson"]
+
+
+def test_ais_bronze_stamp_and_filter(spark, tmpdir_path):
+    import json
+    landing = os.path.join(tmpdir_path, "landing")
+    msgs = MESSAGES + [{"MessageType": "Other"}]
+    write_ndjson(os.path.join(landing, "m.ndjson"), msgs)
+    out = os.path.join(tmpdir_path, "bronze")
+    jobs.start_ais_bronze(spark, landing, out, checkpoint=os.path.join(tmpdir_path, "ck")).awaitTermination()
+    got = spark.read.json(out)
+    # 444 is outside every box, "Other" is not subscribed
+    assert got.count() == len(MESSAGES) - 1
+    assert got.where("received_at is null").count() == 0

@@ -207,3 +207,12 @@ def answer_questions(questions: DataFrame, marts: dict[str, DataFrame]) -> DataF
         F.when(is_sup | is_val, F.col("rows_used")).when(F.col("metric").isNotNull(), F.lit(0))
         .cast("bigint").alias("rows_used"),
     )
+
+
+def run_trend(run_rows: DataFrame, every: str = "1 hour") -> DataFrame:
+    """Dashboard series from the append-only run table: per time bucket of
+    ``run_ts``, the last value of each metric and the sum over runs."""
+    g = run_rows.groupBy(F.window("run_ts", every).alias("w"), "metric", "label").agg(
+        F.max_by("value", "run_ts").alias("last_value"), F.sum("value").alias("total"),
+        F.count(F.lit(1)).alias("runs"))
+    return g.select(F.col("w.start").alias("bucket_start"), "metric", "label", "last_value", "total", "runs")

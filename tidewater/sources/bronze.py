@@ -197,3 +197,17 @@ def ingest_counters(plan: DataFrame) -> DataFrame:
     """files_landed, files_rejected, events (lines of accepted files)."""
     return plan.agg(F.count_if("ok").alias("files_landed"), F.count_if(~F.col("ok")).alias("files_rejected"),
                     F.coalesce(F.sum(F.when(F.col("ok"), F.col("lines"))), F.lit(0)).alias("events"))
+
+
+def read_mart(spark: SparkSession, gold_root: str, name: str) -> DataFrame:
+    """A gold mart by name; a clear error when it has not been built."""
+    path = f"{gold_root.rstrip('/')}/{name}"
+    if not _path_exists(spark, path):
+        raise FileNotFoundError(f"mart {name} not built yet ({path}); run the gold stage first")
+    return spark.read.parquet(path)
+
+
+def bronze_file_times(spark: SparkSession, root: str) -> DataFrame:
+    """``ts`` = modification time of every bronze carrier file (for feed silence)."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.ndjson") \
+        .option("recursiveFileLookup", "true").load(root).select(F.col("modificationTime").alias("ts"))

@@ -234,3 +234,33 @@ def start_landing(spark: SparkSession, landing: str, bronze_root: str, rejected_
     w = lines.writeStream.foreachBatch(lambda df, _id: landing_batch(df, bronze_root, rejected_path, date)) \
         .option("checkpointLocation", _ckpt(spark, "landing", checkpoint))
     return _trigger(w, available_now, interval).start()
+
+
+# ---- K12: AIS bronze append ------------------------------------------------------------
+
+def stamp_and_filter(messages: DataFrame, message_types=("PositionReport", "ShipStaticData")) -> DataFrame:
+    """Stamp each raw message with its receipt time and keep subscribed types;
+    position reports must fall inside a configured box (statics always pass).
+    ``messages`` holds the raw JSON text in ``value``."""
+    m = F.from_json("value", AIS_ENVELOPE)
+    mt = F.try_element_at(m, F.lit("MessageType"))
+    body = F.from_json(F.try_element_at(F.from_json(F.try_element_at(m, F.lit("Message")),
+                                                    "map<string,string>"), F.lit("PositionReport")),
+                       "map<string,string>")
+    lat = F.try_element_at(body, F.lit("Latitude")).try_cast("double")
+    lon = F.try_element_at(body, F.lit("Longitude")).try_cast("double")
+    in_box = ais.box_of(lat, lon).isNotNull()
+    stamped = messages.select("value", F.current_timestamp().alias("received_at"), mt.alias("_mt"),
+                              in_box.alias("_in_box"))
+    return stamped.where(F.col("_mt").isin(*message_types)
+                         & ((F.col("_mt") != "PositionReport") | F.col("_in_box"))) \
+        .select("value", "received_at", F.to_date("received_at").alias("date"))
+
+
+def start_ais_bronze(spark: SparkSession, landing: str, bronze_root: str, checkpoint: str | None = None,
+                     available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
+    """Append stamped, filtered AIS messages to ``bronze/date=<receipt date>``."""
+    src = spark.readStream.format("text").load(landing)
+    w = stamp_and_filter(src).writeStream.format("json").partitionBy("date") \
+        .option("path", bronze_root).option("checkpointLocation", _ckpt(spark, "ais_bronze", checkpoint))
+    return _trigger(w, available_now, interval).start()
