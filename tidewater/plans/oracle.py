@@ -840,3 +840,16 @@ ORACLE["fct_shipment_legs"] = _q(
     "FROM (VALUES " + ", ".join(f"('{m}', '{n}')" for m, n in config.VESSELS) + ") c(mmsi, name) "
     "FULL OUTER JOIN statics o ON o.mmsi = c.mmsi) v ON v.mmsi = l.fv_mmsi WHERE l.has_vessel",
     (FEED, CLASSIFY, STATE, AIS))
+
+
+ORACLE["vessel_dwell_totals"] = _q("SELECT mmsi, anchor_hours FROM totals", (AIS,))
+_BOXES_V = ", ".join(f"('{b[0]}', {i})" for i, b in enumerate(config.AIS_BOXES))
+ORACLE["box_counts"] = _q(
+    "SELECT strftime(d.date, '%Y-%m-%d') AS date, b.box, b.ord, "
+    "CAST(count(w.mmsi) AS BIGINT) AS vessels "
+    f"FROM (SELECT DISTINCT date FROM dwell) d CROSS JOIN (VALUES {_BOXES_V}) b(box, ord) "
+    "LEFT JOIN dwell w ON w.date = d.date AND w.box = b.box GROUP BY d.date, b.box, b.ord", (AIS,))
+ORACLE["port_causes"] = _q("SELECT port, probable_cause FROM causes", (AIS, CONDITIONS))
+ORACLE["metric_exposition"] = (
+    "SELECT 'manifest_' || metric || CASE WHEN label <> '' THEN '{' || label || '}' ELSE '' END || ' ' "
+    "|| CAST(value AS VARCHAR) AS line FROM (" + ORACLE["run_metrics"] + ")")

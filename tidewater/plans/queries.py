@@ -344,3 +344,26 @@ def snapshot_asof(spark, sf_dir):
         snaps = s if snaps is None else snaps.unionByName(s)
     read_at = lk.shifted(SNAPSHOT_READ_HOURS).asof
     return _iso_cols(sinks.snapshot_as_of(snaps, read_at), "detected_at", "snapshot_ts")
+
+
+# ---- more operator families ---------------------------------------------------
+
+@query
+def vessel_dwell_totals(spark, sf_dir):
+    return Lake(spark, sf_dir).dwell_totals
+
+
+@query
+def box_counts(spark, sf_dir):
+    return _date_cols(ais.box_counts(Lake(spark, sf_dir).vessel_dwell), "date")
+
+
+@query
+def port_causes(spark, sf_dir):
+    return Lake(spark, sf_dir).port_causes
+
+
+@query
+def metric_exposition(spark, sf_dir):
+    lk = Lake(spark, sf_dir)
+    return metrics.exposition(metrics.run_metrics(lk.counters, lk.exception_queue))
