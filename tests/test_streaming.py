@@ -129,3 +129,26 @@ def test_ais_bronze_stamp_and_filter(spark, tmpdir_path):
     # 444 is outside every box, "Other" is not subscribed
     assert got.count() == len(MESSAGES) - 1
     assert got.where("received_at is null").count() == 0
+
+
+def test_exception_timers_equal_batch_rules_at_watermark(spark, tmpdir_path):
+    from tidewater.operators import rules, state
+    from tidewater.streaming import timers
+    silver = Lake(spark, SF001).silver.drop("_ingest")
+    src = os.path.join(tmpdir_path, "silver")
+    # silver arrives in twelve time-ordered files
+    bucketed = silver.withColumn("b", F.ntile(12).over(
+        __import__("pyspark.sql.window", fromlist=["Window"]).Window.orderBy("actual_ts")))
+    for b in range(1, 13):
+        bucketed.where(F.col("b") == b).drop("b").coalesce(1).write.mode("overwrite").parquet(f"{src}/b={b:02d}")
+    stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    q = timers.exception_flags(stream, delay="120 days").writeStream.format("parquet") \
+        .option("path", os.path.join(tmpdir_path, "flags")) \
+        .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    wm = q.lastProgress["eventTime"]["watermark"]
+    got = {tuple(r) for r in timers.open_flags(spark.read.parquet(os.path.join(tmpdir_path, "flags"))).collect()}
+    batch = rules.detect_exceptions(state.shipment_state(silver), wm) \
+        .where(F.col("exception_type").isin(*timers.FLAG_TYPES)).select("shipment_id", "exception_type")
+    want = {tuple(r) for r in batch.collect()}
+    assert len(want) > 50 and got == want
