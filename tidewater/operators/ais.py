@@ -90,10 +90,9 @@ def latest_by(df: DataFrame, key: str, order: str = "date") -> DataFrame:
 
 def vessel_static(static: DataFrame, order_col: str = "_ingest") -> DataFrame:
     """dim_vessel (silver): last report per MMSI on ``received_at``; on a tie
-    the earlier report in ingest order stays.  Names are trimmed."""
-    key = F.struct(F.col("received_at"), (-F.col(order_col)).alias("o")) \
-        if dict(static.dtypes).get(order_col) in ("bigint", "int") \
-        else F.struct(F.col("received_at"))
+    the earlier report in ingest order stays (``order_col`` is a number).
+    Names are trimmed."""
+    key = F.struct(F.col("received_at"), (-F.col(order_col)).alias("o"))
     s = static.where(F.col("mmsi").isNotNull() & (F.col("mmsi") != ""))
     return s.groupBy("mmsi").agg(F.max_by(F.struct(
         F.col("imo").cast("string").alias("imo"),

@@ -120,6 +120,17 @@ def silver_events(deduped: DataFrame) -> DataFrame:
     )
 
 
+def silver_with_last_mile(deduped: DataFrame) -> DataFrame:
+    """Silver columns plus the raw last-mile fields, so one per-shipment
+    aggregate can pick both the milestones and the latest last-mile row."""
+    return deduped.select(
+        "event_id", F.col("ref").alias("shipment_id"), "carrier", "event_type", "planned_ts", "actual_ts",
+        F.nullif(F.col("origin"), F.lit("")).alias("origin"),
+        F.nullif(F.col("dest"), F.lit("")).alias("dest"),
+        F.nullif(F.col("vessel_mmsi"), F.lit("")).alias("vessel_mmsi"),
+        "ms_idx", "_ingest", "delivery_address", "eway_bill_no", "eway_ts")
+
+
 def last_mile(deduped: DataFrame) -> DataFrame:
     """last_mile rows for de-duplicated events with a delivery address.
 
@@ -134,7 +145,7 @@ def last_mile(deduped: DataFrame) -> DataFrame:
     )
 
 
-def run_counters(classified: DataFrame, n_distinct_valid: Column | None = None) -> DataFrame:
+def run_counters(classified: DataFrame) -> DataFrame:
     """One-row counters: read, processed, duplicates, quarantined by reason.
 
     ``processed`` is the number of distinct event ids among valid rows; it is

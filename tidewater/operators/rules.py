@@ -94,7 +94,8 @@ def detect_exceptions(state: DataFrame, asof: str | datetime,
     """exception_queue rows from ``shipment_state``.
 
     ``dwell_totals``: ``mmsi, anchor_hours`` (all-time total per vessel).
-    ``lastmile_latest``: one row per shipment (``latest_last_mile``).
+    ``lastmile_latest``: one row per shipment (``latest_last_mile``); when
+    omitted, the state's own ``last_mile`` pick is used if present.
     ``causes``: ``port, probable_cause`` (``port_causes``); missing -> unknown.
     """
     a = asof_literal(asof)
@@ -105,7 +106,11 @@ def detect_exceptions(state: DataFrame, asof: str | datetime,
         s = s.join(d, s["vessel_departed.vessel_mmsi"] == d["_dep_mmsi"], "left").drop("_dep_mmsi")
     else:
         s = s.withColumn("_anchored_h", F.lit(None).cast("double"))
-    if lastmile_latest is not None:
+    if lastmile_latest is None and "last_mile" in state.columns:
+        s = s.select("*", F.col("last_mile.eway_bill_no").alias("_eway_no"),
+                     F.col("last_mile.eway_valid_until").alias("_eway_until"),
+                     F.col("last_mile").isNotNull().alias("_has_lm"))
+    elif lastmile_latest is not None:
         lm = lastmile_latest.select("shipment_id",
                                     F.col("eway_bill_no").alias("_eway_no"),
                                     F.col("eway_valid_until").alias("_eway_until"),

@@ -57,6 +57,12 @@ def shipment_state(silver: DataFrame) -> DataFrame:
         cond = F.col("event_type") == m
         aggs.append(F.max_by(_when(cond, _pick("planned_ts", "actual_ts", "vessel_mmsi")),
                              _when(cond, _chrono())).alias(m))
+    if "delivery_address" in silver.columns:
+        # J3 in the same aggregate: the last last-mile row in ingest order.
+        has = F.length(F.col("delivery_address")) > 0
+        aggs.append(F.max_by(_when(has, F.struct(F.col("eway_bill_no"),
+                                                 F.col("eway_ts").alias("eway_valid_until"))),
+                             _when(has, F.col("_ingest"))).alias("last_mile"))
     return silver.groupBy("shipment_id").agg(*aggs)
 
 

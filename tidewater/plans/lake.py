@@ -79,7 +79,8 @@ class Lake:
 
     @cached_property
     def state(self) -> DataFrame:
-        return state.shipment_state(self.silver)
+        # milestones and the latest last-mile row in one per-shipment aggregate
+        return state.shipment_state(normalize.silver_with_last_mile(self.deduped))
 
     @cached_property
     def legs(self) -> DataFrame:
@@ -123,8 +124,7 @@ class Lake:
     # ---- exceptions ------------------------------------------------------
     @cached_property
     def exception_queue(self) -> DataFrame:
-        return rules.detect_exceptions(self.state, self.asof, self.dwell_totals,
-                                       self.last_mile_latest, self.port_causes)
+        return rules.detect_exceptions(self.state, self.asof, self.dwell_totals, None, self.port_causes)
 
     # ---- gold ------------------------------------------------------------
     @cached_property

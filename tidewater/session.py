@@ -62,3 +62,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
+
+
+def cluster_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized from the input volume for a cluster run.
+
+    Shuffle partitions start at one per ``target_partition_bytes`` of input
+    (never fewer than 2 x total cores) and adaptive execution coalesces small
+    ones at runtime; scans split at the same size.  Broadcasts stay behind the
+    default runtime size check."""
+    parts = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        **REQUIRED_CONF,
+    }
