@@ -58,3 +58,11 @@ def test_sorted_rebuild(spark, tmpdir_path):
     files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
     ks = [r.k for f in files for r in spark.read.parquet(os.path.join(path, f)).collect()]
     assert ks == sorted(ks)
+
+
+def test_csv_export_nulls_empty_and_last(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "csv")
+    df = spark.createDataFrame([("b", None), (None, "x"), ("a", "y")], "lane string, v string")
+    tables.write_sorted(df, path, ["lane"], partitions=1, fmt="csv")
+    text = "".join(open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.endswith(".csv"))
+    assert text.splitlines() == ["lane,v", "a,y", "b,", ",x"]

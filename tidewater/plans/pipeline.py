@@ -2,9 +2,10 @@
 reads them back, so lineage is cut at every table (a lost executor only
 re-runs the current stage) and nothing is recomputed across stages.
 
-    silver  = normalize(raw)            -> shipment_events, last_mile, quarantine, run_summary
+    silver  = normalize(raw)            -> classified (staging), deduped (staging), shipment_events,
+                                           last_mile, quarantine, run_summary
     ais     = dwell(positions, statics) -> vessel_dwell (by date), port_congestion (by date), dim_vessel
-    rules   = exceptions(silver, ais)   -> shipment_legs, exception_queue (+ snapshot)
+    rules   = exceptions(silver, ais)   -> shipment_state, shipment_legs, exception_queue (+ snapshot)
     gold    = marts(silver, queue)      -> fct_shipment_events, carrier_scorecard, eta_baseline,
                                            exception_mart, shipment_eta
     alerts  = decide(queue, state)      -> alert_decisions, next alert state version
@@ -37,19 +38,28 @@ class Tables:
 
 
 def normalize_stage(spark: SparkSession, raw: DataFrame, t: Tables, asof: str | datetime) -> dict:
+    """One pass over the raw feed: classified rows are written once (split by
+    validity), quarantine and counters read that table, de-duplication reads
+    its valid half once, and silver / last-mile are projections of the
+    de-duplicated table."""
     ensure_conf(spark)
-    cls = normalize.classify(raw)
-    dd = normalize.dedupe(normalize.valid_rows(cls))
-    silver = normalize.silver_events(dd)
-    tables.write_sorted(silver.drop("_ingest"), t.shipment_events, ["shipment_id", "actual_ts", "event_id"])
-    tables.write_sorted(normalize.last_mile(dd), t.last_mile, ["shipment_id"])
-    bad = normalize.quarantine_rows(cls).drop("_ingest", "_malformed")
+    cls = normalize.classify(raw).withColumn("valid", F.col("reason").isNull())
+    cls.write.mode("overwrite").partitionBy("valid").parquet(t.classified)
+    staged = spark.read.parquet(t.classified).withColumn("valid", F.col("valid").cast("boolean"))
+    bad = staged.where(~F.col("valid")).drop("valid", "_ingest", "_malformed", "event_type", "actual_ts",
+                                            "planned_ts", "ms_idx", "eway_ts")
     if "date" in bad.columns:
         tables.overwrite_partitions(bad, t.quarantine, "date")
-    counters = normalize.run_counters(cls).withColumn("asof", asof_literal(asof)) \
+    dd = normalize.dedupe(staged.where(F.col("valid")).drop("valid"))
+    dd.write.mode("overwrite").parquet(t.deduped)
+    dd = spark.read.parquet(t.deduped)
+    tables.write_sorted(normalize.silver_events(dd).drop("_ingest"), t.shipment_events,
+                        ["shipment_id", "actual_ts", "event_id"])
+    tables.write_sorted(normalize.last_mile(dd), t.last_mile, ["shipment_id"])
+    counters = normalize.run_counters(staged).withColumn("asof", asof_literal(asof)) \
         .withColumn("run_ts", F.current_timestamp())
     counters.write.mode("append").parquet(t.run_summary)
-    return counters.first().asDict()  # one-row summary
+    return spark.read.parquet(t.run_summary).orderBy(F.desc("run_ts")).first().asDict()  # one row
 
 
 def ais_stage(spark: SparkSession, positions: DataFrame, statics: DataFrame, t: Tables) -> None:
@@ -68,16 +78,18 @@ def conditions_stage(spark: SparkSession, observations: DataFrame, t: Tables) ->
 
 
 def rules_stage(spark: SparkSession, t: Tables, asof: str | datetime) -> None:
+    """Shipment state (milestones and the latest last-mile row, one aggregate)
+    is written as a table; legs and the exception queue are read from it."""
     ensure_conf(spark)
-    silver = spark.read.parquet(t.shipment_events)
-    st = state.shipment_state(silver)
+    dd = spark.read.parquet(t.deduped)
+    state.shipment_state(normalize.silver_with_last_mile(dd)).write.mode("overwrite").parquet(t.shipment_state)
+    st = spark.read.parquet(t.shipment_state)
     tables.write_sorted(state.shipment_legs(st), t.shipment_legs, ["shipment_id"])
     dwell = spark.read.parquet(t.vessel_dwell)
     cond = spark.read.parquet(t.port_conditions)
     cong = spark.read.parquet(t.port_congestion)
     causes = rules.port_causes(ais.latest_by(cond, "port"), ais.latest_by(cong, "port"), spark)
-    lm = state.latest_last_mile(spark.read.parquet(t.last_mile))
-    q = rules.detect_exceptions(st, asof, ais.dwell_totals(dwell), lm, causes)
+    q = rules.detect_exceptions(st, asof, ais.dwell_totals(dwell), None, causes)
     tables.write_sorted(q, t.exception_queue, ["exception_id"])
     tables.append_snapshot(spark.read.parquet(t.exception_queue), t.exception_queue_snapshots, asof)
 
@@ -94,7 +106,7 @@ def gold_stage(spark: SparkSession, t: Tables) -> None:
     gold.exception_mart(queue).write.mode("overwrite").parquet(t.exception_mart)
     offsets = spark.read.parquet(t.eta_baseline).where("event_type = 'delivered'") \
         .select("carrier", "lane", "median_offset_h")
-    eta.shipment_eta(state.shipment_state(silver), queue, offsets) \
+    eta.shipment_eta(spark.read.parquet(t.shipment_state), queue, offsets) \
         .write.mode("overwrite").parquet(t.shipment_eta)
 
 

@@ -22,12 +22,16 @@ def write_sorted(df: DataFrame, path: str, sort_cols: list[str], partitions: int
                  fmt: str = "parquet") -> None:
     """Full rebuild of a table in a deterministic global order: range
     partitioning on the sort keys, then a sort inside each partition (no
-    single-task global sort, nothing collected)."""
+    single-task global sort, nothing collected).  ``fmt="csv"`` is the gold
+    export (header, empty field for NULL, ISO instants)."""
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    out = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    keys = [F.col(c).asc_nulls_last() for c in sort_cols]   # NULLs last, as the marts order them
+    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     writer = out.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        # missing values are written as empty fields, as in the silver CSV contract
+        writer.option("header", True).option("nullValue", "").option("emptyValue", "") \
+            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss'Z'").csv(path)
     else:
         writer.parquet(path)
 
