@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from tidewater.plans import pipeline
+from tidewater.plans import staged
 from tidewater.plans.lake import Lake
 from tidewater.sources import feeds
 
@@ -15,9 +15,9 @@ def test_staged_job_matches_queries_and_reruns(spark, tmpdir_path):
     ev = lk.table("events")
     args = (lk.raw, feeds.ais_positions(ev), feeds.ais_static(ev), feeds.supplier_conditions(lk.table("supplier")))
     root = os.path.join(tmpdir_path, "lake")
-    summary = pipeline.run_all(spark, *args, root, lk.asof)
+    summary = staged.run_all(spark, *args, root, lk.asof)
     assert summary["events_read"] == lk.raw.count()
-    t = pipeline.Tables(root)
+    t = staged.Tables(root)
     cols = ["exception_id", "exception_type", "age_hours", "detail", "probable_cause"]
     written = spark.read.parquet(t.exception_queue).select(*cols)
     assert written.exceptAll(lk.exception_queue.select(*cols)).count() == 0
@@ -26,7 +26,7 @@ def test_staged_job_matches_queries_and_reruns(spark, tmpdir_path):
     decided = spark.read.parquet(t.alert_decisions)
     assert decided.where("decision = 'new'").count() == n
     # rerun: tables are overwritten, not appended; alerts are now suppressed
-    pipeline.run_all(spark, *args, root, lk.asof)
+    staged.run_all(spark, *args, root, lk.asof)
     assert spark.read.parquet(t.exception_queue).count() == n
     assert spark.read.parquet(t.shipment_events).count() == lk.silver.count()
     last = spark.read.parquet(t.alert_decisions).groupBy("decision").count().collect()

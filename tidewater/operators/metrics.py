@@ -42,7 +42,7 @@ def run_metrics(counters: DataFrame, queue: DataFrame) -> DataFrame:
     return base.unionByName(typed).unionByName(total)
 
 
-def exposition(metric_rows: DataFrame, prefix: str = "manifest_") -> DataFrame:
+def exposition(metric_rows: DataFrame, prefix: str = "tidewater_") -> DataFrame:
     """Prometheus text lines, one per metric row (a string column)."""
     label = F.when(F.col("label") != "", F.concat(F.lit("{"), F.col("label"), F.lit("}"))).otherwise(F.lit(""))
     return metric_rows.select(F.concat(F.lit(prefix), F.col("metric"), label, F.lit(" "),

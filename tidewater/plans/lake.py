@@ -133,7 +133,10 @@ class Lake:
 
     @cached_property
     def scorecard(self) -> DataFrame:
-        return gold.carrier_scorecard(self.fct_events, self.exception_queue)
+        # Dark shipments are MISSED_MILESTONE rows, a rule of the shipment state
+        # alone: the queue without vessel, last-mile and cause inputs has the
+        # same ones and skips the AIS and conditions work.
+        return gold.carrier_scorecard(self.fct_events, rules.detect_exceptions(self.state, self.asof))
 
     @cached_property
     def eta_baseline(self) -> DataFrame:

@@ -851,5 +851,5 @@ ORACLE["box_counts"] = _q(
     "LEFT JOIN dwell w ON w.date = d.date AND w.box = b.box GROUP BY d.date, b.box, b.ord", (AIS,))
 ORACLE["port_causes"] = _q("SELECT port, probable_cause FROM causes", (AIS, CONDITIONS))
 ORACLE["metric_exposition"] = (
-    "SELECT 'manifest_' || metric || CASE WHEN label <> '' THEN '{' || label || '}' ELSE '' END || ' ' "
+    "SELECT 'tidewater_' || metric || CASE WHEN label <> '' THEN '{' || label || '}' ELSE '' END || ' ' "
     "|| CAST(value AS VARCHAR) AS line FROM (" + ORACLE["run_metrics"] + ")")
