@@ -91,3 +91,15 @@ def test_weighted_average_matches_definition(spark):
     got = metrics.governed_values({"carrier_scorecard": lk.scorecard, "eta_baseline": lk.eta_baseline}) \
         .where("metric = 'on_time_pct' and carrier_filter = 'MAEU' and port_filter is null").first().value
     assert abs(got - want) <= 0.005 + 1e-9
+
+
+def test_token_mode_avoids_substring_misfires(spark):
+    lk = Lake(spark, SF01)
+    marts = {"carrier_scorecard": lk.scorecard, "eta_baseline": lk.eta_baseline}
+    qs = spark.createDataFrame([("1", "typical delay for Hapag-Lloyd?"), ("2", "shipments gone dark"),
+                                ("3", "on time percentage into Long Beach")], "question_id string, question string")
+    sub = {r.question_id: r for r in metrics.answer_questions(qs, marts).collect()}
+    tok = {r.question_id: r for r in metrics.answer_questions(qs, marts, mode="token").collect()}
+    assert sub["1"].port_filter == "USLAX" and tok["1"].port_filter is None      # "la" inside "delay"
+    assert sub["2"].carrier_filter == "ONEY" and tok["2"].carrier_filter is None  # "one" inside "gone"
+    assert tok["1"].carrier_filter == "HLCU" and tok["3"].port_filter == "USLGB"

@@ -131,7 +131,11 @@ def test_ais_bronze_stamp_and_filter(spark, tmpdir_path):
     assert got.where("received_at is null").count() == 0
 
 
-def test_exception_timers_equal_batch_rules_at_watermark(spark, tmpdir_path):
+import pytest
+
+
+@pytest.mark.parametrize("grace", [None, 24 * 30])
+def test_exception_timers_equal_batch_rules_at_watermark(spark, tmpdir_path, grace):
     from tidewater.operators import rules, state
     from tidewater.streaming import timers
     silver = Lake(spark, SF001).silver.drop("_ingest")
@@ -142,7 +146,8 @@ def test_exception_timers_equal_batch_rules_at_watermark(spark, tmpdir_path):
     for b in range(1, 13):
         bucketed.where(F.col("b") == b).drop("b").coalesce(1).write.mode("overwrite").parquet(f"{src}/b={b:02d}")
     stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    q = timers.exception_flags(stream, delay="120 days").writeStream.format("parquet") \
+    q = timers.exception_flags(stream, delay="120 days", expire_delivered_after_h=grace).writeStream \
+        .format("parquet") \
         .option("path", os.path.join(tmpdir_path, "flags")) \
         .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start()
     q.awaitTermination()

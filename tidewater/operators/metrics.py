@@ -156,14 +156,30 @@ def phrases(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def resolve_questions(questions: DataFrame) -> DataFrame:
+def _tokens(text: Column) -> Column:
+    """Lower-cased text with every run of non-alphanumerics (except ``-``) as
+    one space, padded, so `` phrase `` containment is a whole-word match."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^a-z0-9\-]+", " "), F.lit(" "))
+
+
+def resolve_questions(questions: DataFrame, mode: str = "substring") -> DataFrame:
     """``question_id, metric, carrier_filter, port_filter, superlative`` per question.
 
     Longest contained phrase wins per kind (first in config order on a tie);
-    superlative words are matched as substrings, best before worst."""
+    superlative words are matched best before worst.  ``mode="substring"``
+    reproduces plain containment (so "la" also hits inside "delay");
+    ``mode="token"`` matches phrases and superlative words on word boundaries."""
     spark = questions.sparkSession
-    q = questions.select("question_id", F.lower(F.col("question")).alias("_ql"))
-    ph = F.broadcast(phrases(spark))
+    if mode == "token":
+        q = questions.select("question_id", _tokens(F.col("question")).alias("_ql"))
+        ph = F.broadcast(phrases(spark).withColumn("phrase", _tokens(F.col("phrase"))))
+        words = lambda ws: [f" {w} " for w in ws]
+    elif mode == "substring":
+        q = questions.select("question_id", F.lower(F.col("question")).alias("_ql"))
+        ph = F.broadcast(phrases(spark))
+        words = list
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
     hits = q.join(ph, F.col("_ql").contains(F.col("phrase")), "inner")
     rank = F.struct(F.col("plen"), (-F.col("ord")).alias("o"))
 
@@ -173,19 +189,19 @@ def resolve_questions(questions: DataFrame) -> DataFrame:
     res = hits.groupBy("question_id").agg(pick("metric").alias("metric"), pick("carrier").alias("carrier_filter"),
                                           pick("port").alias("port_filter"))
     best = F.lit(False)
-    for w in config.SUPERLATIVE_BEST:
+    for w in words(config.SUPERLATIVE_BEST):
         best = best | F.col("_ql").contains(w)
     worst = F.lit(False)
-    for w in config.SUPERLATIVE_WORST:
+    for w in words(config.SUPERLATIVE_WORST):
         worst = worst | F.col("_ql").contains(w)
     sup = q.select("question_id", F.when(best, "best").when(worst, "worst").alias("superlative"))
     return sup.join(res, "question_id", "left")
 
 
-def answer_questions(questions: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
+def answer_questions(questions: DataFrame, marts: dict[str, DataFrame], mode: str = "substring") -> DataFrame:
     """``question_id, metric, carrier_filter, port_filter, kind, entity, value,
     rows_used``; kind is superlative | value | refusal."""
-    r = resolve_questions(questions)
+    r = resolve_questions(questions, mode)
     keys = ["metric", "carrier_filter", "port_filter"]
     vals = F.broadcast(governed_values(marts).select(*keys, "value", "rows_used"))
     sups = F.broadcast(superlatives(marts))

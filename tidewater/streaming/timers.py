@@ -17,6 +17,7 @@ JVM upstream.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -77,7 +78,8 @@ def _update(s: dict, pdf: pd.DataFrame) -> None:
             s["has_delivered"] = True
 
 
-def _step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _step(key, pdfs: Iterator[pd.DataFrame], state: GroupState, grace_s: int | None = None) \
+        -> Iterator[pd.DataFrame]:
     sid = key[0]
     names = STATE_SCHEMA.replace(",", "").split()[0::2]
     if state.exists:
@@ -94,10 +96,14 @@ def _step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.D
     changed = now ^ s["open_flags"]
     s["open_flags"] = now
     s["seq"] += 1
-    state.update(tuple(s[n] for n in names))
-    deadline = _next_deadline(s, wm + 1)
-    if deadline is not None:
-        state.setTimeoutTimestamp(deadline * 1000)
+    expiry = s["last_actual"] + grace_s if (grace_s is not None and s["has_delivered"]) else None
+    if expiry is not None and wm > expiry:
+        state.remove()   # delivered long enough ago: its flags can no longer change by time
+    else:
+        state.update(tuple(s[n] for n in names))
+        deadlines = [d for d in (_next_deadline(s, wm + 1), expiry) if d is not None and d > wm]
+        if deadlines:
+            state.setTimeoutTimestamp(min(deadlines) * 1000)
     rows = [(sid, t, bool(now & (1 << i)), pd.Timestamp(wm, unit="s"), s["seq"], s["carrier"])
             for i, t in enumerate(FLAG_TYPES) if changed & (1 << i)]
     if rows:
@@ -105,16 +111,23 @@ def _step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.D
                                           "carrier"])
 
 
-def exception_flags(silver_stream: DataFrame, delay: str = "1 day") -> DataFrame:
+def exception_flags(silver_stream: DataFrame, delay: str = "1 day",
+                    expire_delivered_after_h: float | None = None) -> DataFrame:
     """Change log of time-based exception flags from a stream of silver events
     (``event_id, shipment_id, carrier, event_type, planned_ts, actual_ts,
-    ms_idx``).  Events older than the watermark delay are dropped by Spark."""
+    ms_idx``).  Events older than the watermark delay are dropped by Spark.
+
+    ``expire_delivered_after_h`` bounds the state: a delivered shipment's
+    state is removed once the watermark is that far past its last milestone
+    (its flags stay as last logged; an event arriving after that starts a new
+    state)."""
     ev = silver_stream.withWatermark("actual_ts", delay).select(
         "shipment_id", "event_id", "carrier", "event_type", F.col("ms_idx").cast("long").alias("ms_idx"),
         F.unix_seconds("actual_ts").alias("actual_s"), F.unix_seconds("planned_ts").alias("planned_s"),
         "actual_ts")
+    grace = int(expire_delivered_after_h * 3600) if expire_delivered_after_h is not None else None
     return ev.groupBy("shipment_id").applyInPandasWithState(
-        _step, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        partial(_step, grace_s=grace), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def open_flags(change_log: DataFrame) -> DataFrame:
