@@ -2,7 +2,6 @@
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.operators import rules, state

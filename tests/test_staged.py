@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from tidewater.plans import staged
