@@ -36,12 +36,21 @@ def write_sorted(df: DataFrame, path: str, sort_cols: list[str], partitions: int
         writer.parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "date") -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "date",
+                         files_per_partition: int = 1) -> None:
     """Replace only the partitions present in ``df`` (upsert by date).
 
-    To clear a date whose new result is empty, pass a DataFrame that still
-    carries that date (see ``clear_partitions``)."""
+    Rows are first shuffled on the partition column (plus a deterministic
+    hash spread over ``files_per_partition`` files for large or hot dates),
+    so each partition is written by a few tasks instead of every task writing
+    a small file into every partition.  To clear a date whose new result is
+    empty, use ``clear_partitions``."""
     spark = df.sparkSession
+    if files_per_partition > 1:
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+        df = df.repartition(F.col(partition_col), spread)
+    else:
+        df = df.repartition(F.col(partition_col))
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
