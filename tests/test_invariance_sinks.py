@@ -66,3 +66,23 @@ def test_csv_export_nulls_empty_and_last(spark, tmpdir_path):
     tables.write_sorted(df, path, ["lane"], partitions=1, fmt="csv")
     text = "".join(open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.endswith(".csv"))
     assert text.splitlines() == ["lane,v", "a,y", "b,", ",x"]
+
+
+def test_silver_csv_round_trip(spark, tmpdir_path):
+    from tidewater.plans.lake import Lake
+    from tidewater.sources.bronze import read_silver_csv
+    silver = Lake(spark, SF001).silver.drop("ms_idx", "_ingest")
+    path = os.path.join(tmpdir_path, "shipment_events_csv")
+    tables.write_sorted(silver, path, ["shipment_id", "actual_ts", "event_id"], partitions=2, fmt="csv")
+    back = read_silver_csv(spark, path, "shipment_events")
+    assert back.count() == silver.count() and back.exceptAll(silver).count() == 0
+
+
+def test_run_trend(spark):
+    from datetime import datetime
+    from tidewater.operators import metrics
+    rows = spark.createDataFrame(
+        [("events_read", "", 10, datetime(2026, 7, 21, 1, 5)), ("events_read", "", 12, datetime(2026, 7, 21, 1, 45)),
+         ("events_read", "", 7, datetime(2026, 7, 21, 2, 5))], "metric string, label string, value long, run_ts timestamp")
+    got = {r.bucket_start.hour: (r.last_value, r.total, r.runs) for r in metrics.run_trend(rows).collect()}
+    assert got == {1: (12, 22, 2), 2: (7, 7, 1)}

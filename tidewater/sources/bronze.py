@@ -211,3 +211,22 @@ def bronze_file_times(spark: SparkSession, root: str) -> DataFrame:
     """``ts`` = modification time of every bronze carrier file (for feed silence)."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.ndjson") \
         .option("recursiveFileLookup", "true").load(root).select(F.col("modificationTime").alias("ts"))
+
+
+# Typed schemas of the silver tables when they are exchanged as CSV exports.
+SILVER_CSV_SCHEMAS = {
+    "shipment_events": "event_id string, shipment_id string, carrier string, event_type string, "
+                       "planned_ts timestamp, actual_ts timestamp, origin string, dest string, vessel_mmsi string",
+    "exception_queue": "exception_id string, shipment_id string, carrier string, exception_type string, "
+                       "detected_at timestamp, age_hours double, detail string, probable_cause string",
+    "shipment_legs": "shipment_id string, leg_seq int, mode string, vessel_mmsi string, origin string, dest string",
+    "last_mile": "shipment_id string, address_raw string, pincode string, eway_bill_no string, "
+                 "eway_valid_until timestamp",
+}
+
+
+def read_silver_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A silver CSV export read back with its explicit types (no inference):
+    header row, empty field = NULL, ISO-8601 UTC instants."""
+    return spark.read.schema(SILVER_CSV_SCHEMAS[table]).option("header", True) \
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss'Z'").option("mode", "FAILFAST").csv(path)
