@@ -18,18 +18,35 @@ CARRIER_FIELDS = ["event_id", "carrier", "ref", "status", "timestamp", "planned"
                   "vessel_mmsi", "delivery_address", "eway_bill_no", "eway_valid_until"]
 CARRIER_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in CARRIER_FIELDS])
 
-# AIS envelopes are read as maps: the metadata key comes in two spellings
-# (``MetaData`` / ``Metadata``) that a case-insensitive struct cannot hold apart.
-AIS_ENVELOPE = T.MapType(T.StringType(), T.StringType())
-_SMAP = T.MapType(T.StringType(), T.StringType())
+# AIS messages are parsed once into a typed struct, then cast by position to a
+# struct with distinct field names: metadata comes spelled ``MetaData`` or
+# ``Metadata`` (and coordinates ``latitude`` or ``Latitude``), which a
+# case-insensitive name lookup could not tell apart.  JSON keys themselves are
+# matched case-sensitively by the parser.
+_META_WIRE = "STRUCT<MMSI: BIGINT, latitude: DOUBLE, longitude: DOUBLE, Latitude: DOUBLE, Longitude: DOUBLE>"
+_META_SAFE = "STRUCT<mmsi: BIGINT, lat_lc: DOUBLE, lon_lc: DOUBLE, lat_uc: DOUBLE, lon_uc: DOUBLE>"
+AIS_WIRE = (f"STRUCT<MessageType: STRING, MetaData: {_META_WIRE}, Metadata: {_META_WIRE}, "
+            "Message: STRUCT<PositionReport: STRUCT<UserID: BIGINT, Latitude: DOUBLE, Longitude: DOUBLE, Sog: DOUBLE>, "
+            "ShipStaticData: STRUCT<UserID: BIGINT, ImoNumber: BIGINT, Name: STRING, Type: BIGINT>>, "
+            "received_at: STRING>")
+AIS_SAFE = (f"STRUCT<mt: STRING, meta_a: {_META_SAFE}, meta_b: {_META_SAFE}, "
+            "msg: STRUCT<pos: STRUCT<user_id: BIGINT, lat: DOUBLE, lon: DOUBLE, sog: DOUBLE>, "
+            "stat: STRUCT<user_id: BIGINT, imo: BIGINT, name: STRING, type: BIGINT>>, "
+            "received_at: STRING>")
+
+
+def parse_ais(value: Column) -> Column:
+    """One JSON parse per AIS message into the ``AIS_SAFE`` struct."""
+    return F.from_json(value, AIS_WIRE).cast(AIS_SAFE)
 
 
 def is_json_object_line(value: Column) -> Column:
     """Exactly one JSON object on the line: parses, nothing trails it, ends in ``}``."""
+    # One parse: wrapped in brackets, the line must be a JSON array of exactly
+    # one element (nothing trailing, not two values), and start/end with braces.
     trimmed = F.trim(value)
     one = F.size(F.try_parse_json(F.concat(F.lit("["), value, F.lit("]"))).try_cast("array<variant>")) == 1
-    return F.coalesce(F.try_parse_json(value).isNotNull() & one & trimmed.startswith("{")
-                      & trimmed.endswith("}"), F.lit(False))
+    return F.coalesce(one & trimmed.startswith("{") & trimmed.endswith("}"), F.lit(False))
 
 
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -60,60 +77,43 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_ais_day(spark: SparkSession, root: str, date: str) -> DataFrame:
-    """One receipt date of AIS messages (``<root>/<date>/*.ndjson``) as
-    ``m`` (top-level map of raw JSON values) and ``_ingest``; a missing day is
-    an empty result, not an error."""
+    """One receipt date of AIS messages (``<root>/<date>/*.ndjson``) as ``m``
+    (``AIS_SAFE`` struct) and ``_ingest``; a missing day is an empty result,
+    not an error."""
     path = f"{root.rstrip('/')}/{date}"
     if not _path_exists(spark, path):
-        return spark.createDataFrame([], T.StructType([T.StructField("m", AIS_ENVELOPE),
-                                                       T.StructField("_ingest", T.LongType())]))
+        empty = spark.createDataFrame([], "value string")
+        return empty.select(parse_ais(F.col("value")).alias("m"), F.lit(0).cast("bigint").alias("_ingest"))
     return spark.read.text(f"{path}/*.ndjson").select(
-        F.from_json("value", AIS_ENVELOPE).alias("m"), F.monotonically_increasing_id().alias("_ingest"))
-
-
-def _get(m: Column, key: str) -> Column:
-    return F.try_element_at(m, F.lit(key))
-
-
-def _num(m: Column, key: str) -> Column:
-    return _get(m, key).try_cast("double")
+        parse_ais(F.col("value")).alias("m"), F.monotonically_increasing_id().alias("_ingest"))
 
 
 def ais_messages(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(positions, statics) from parsed AIS messages.
+    """(positions, statics) from parsed AIS messages (column ``m``).
 
-    Metadata may be spelled ``MetaData`` or ``Metadata`` (an empty object falls
-    through to the other); the MMSI comes from metadata, else from the body
-    ``UserID`` (0 counts as missing); coordinates come from the body, else from
-    metadata ``latitude``, else ``Latitude``."""
+    Metadata may be spelled ``MetaData`` or ``Metadata``; the MMSI comes from
+    metadata, else from the body ``UserID`` (0 counts as missing); coordinates
+    come from the body, else from metadata ``latitude``, else ``Latitude``."""
     m = F.col("m")
-    md = F.from_json(_get(m, "MetaData"), _SMAP)
-    md2 = F.from_json(_get(m, "Metadata"), _SMAP)
-    meta = F.when(F.size(md) > 0, md).otherwise(md2)
-    msg = F.from_json(_get(m, "Message"), _SMAP)
-    body = F.from_json(_get(msg, "PositionReport"), _SMAP)
-    stat = F.from_json(_get(msg, "ShipStaticData"), _SMAP)
-    x = raw.select(_get(m, "MessageType").alias("mt"), _get(m, "received_at").alias("received_raw"),
-                   meta.alias("meta"), body.alias("body"), stat.alias("stat"), "_ingest")
-    meta_mmsi = F.nullif(_num(F.col("meta"), "MMSI").cast("bigint"), F.lit(0))
-    received = F.try_to_timestamp(F.col("received_raw"), F.lit(ISO_READ))
-    mmsi = lambda b: F.coalesce(meta_mmsi, F.nullif(_num(F.col(b), "UserID").cast("bigint"), F.lit(0))) \
-        .cast("string")
-    positions = x.where(F.col("mt") == "PositionReport").select(
-        mmsi("body").alias("mmsi"),
+    a, b = m["meta_a"], m["meta_b"]
+    meta_mmsi = F.coalesce(F.nullif(a["mmsi"], F.lit(0)), F.nullif(b["mmsi"], F.lit(0)))
+    meta_lat = F.coalesce(a["lat_lc"], b["lat_lc"], a["lat_uc"], b["lat_uc"])
+    meta_lon = F.coalesce(a["lon_lc"], b["lon_lc"], a["lon_uc"], b["lon_uc"])
+    pos, stat = m["msg"]["pos"], m["msg"]["stat"]
+    received = F.try_to_timestamp(m["received_at"], F.lit(ISO_READ))
+    positions = raw.where(m["mt"] == "PositionReport").select(
+        F.coalesce(meta_mmsi, F.nullif(pos["user_id"], F.lit(0))).cast("string").alias("mmsi"),
         received.alias("received_at"),
-        F.coalesce(_num(F.col("body"), "Latitude"), _num(F.col("meta"), "latitude"),
-                   _num(F.col("meta"), "Latitude")).alias("lat"),
-        F.coalesce(_num(F.col("body"), "Longitude"), _num(F.col("meta"), "longitude"),
-                   _num(F.col("meta"), "Longitude")).alias("lon"),
-        _num(F.col("body"), "Sog").alias("sog"),
+        F.coalesce(pos["lat"], meta_lat).alias("lat"),
+        F.coalesce(pos["lon"], meta_lon).alias("lon"),
+        pos["sog"].alias("sog"),
         F.lit("PositionReport").alias("message_type"),
         "_ingest")
-    statics = x.where(F.col("mt") == "ShipStaticData").select(
-        mmsi("stat").alias("mmsi"),
-        _get(F.col("stat"), "ImoNumber").alias("imo"),
-        F.coalesce(_get(F.col("stat"), "Name"), F.lit("")).alias("name"),
-        _get(F.col("stat"), "Type").alias("type"),
+    statics = raw.where(m["mt"] == "ShipStaticData").select(
+        F.coalesce(meta_mmsi, F.nullif(stat["user_id"], F.lit(0))).cast("string").alias("mmsi"),
+        stat["imo"].cast("string").alias("imo"),
+        F.coalesce(stat["name"], F.lit("")).alias("name"),
+        stat["type"].cast("string").alias("type"),
         received.alias("received_at"),
         "_ingest")
     return positions, statics

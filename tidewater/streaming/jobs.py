@@ -21,8 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewater.operators import ais, alerts, gold, normalize
 from tidewater.session import checkpoint_dir
 from tidewater.sinks import tables
-from tidewater.sources.bronze import CARRIER_FIELDS, CARRIER_SCHEMA, AIS_ENVELOPE, ais_messages, \
-    is_json_object_line
+from tidewater.sources.bronze import CARRIER_FIELDS, CARRIER_SCHEMA, ais_messages, is_json_object_line, \
+    parse_ais
 
 
 def _ckpt(spark: SparkSession, name: str, given: str | None) -> str:
@@ -106,7 +106,7 @@ def ais_stream(spark: SparkSession, root: str, max_files: int | None = None) ->
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = reader.load(f"{root.rstrip('/')}/*/").select(
-        F.from_json("value", AIS_ENVELOPE).alias("m"), F.col("_metadata.file_path").alias("_file"),
+        parse_ais(F.col("value")).alias("m"), F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"))
     return ais_messages(raw.withColumn("_ingest", F.lit(0).cast("bigint")))
 
@@ -114,7 +114,7 @@ def ais_stream(spark: SparkSession, root: str, max_files: int | None = None) ->
 def raw_ais_stream(spark: SparkSession, root: str) -> DataFrame:
     """Envelope maps with file coordinates (ingest order is added per batch)."""
     return spark.readStream.format("text").load(f"{root.rstrip('/')}/*/").select(
-        F.from_json("value", AIS_ENVELOPE).alias("m"), F.col("_metadata.file_path").alias("_file"),
+        parse_ais(F.col("value")).alias("m"), F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"))
 
 
@@ -242,14 +242,9 @@ def stamp_and_filter(messages: DataFrame, message_types=("PositionReport", "Ship
     """Stamp each raw message with its receipt time and keep subscribed types;
     position reports must fall inside a configured box (statics always pass).
     ``messages`` holds the raw JSON text in ``value``."""
-    m = F.from_json("value", AIS_ENVELOPE)
-    mt = F.try_element_at(m, F.lit("MessageType"))
-    body = F.from_json(F.try_element_at(F.from_json(F.try_element_at(m, F.lit("Message")),
-                                                    "map<string,string>"), F.lit("PositionReport")),
-                       "map<string,string>")
-    lat = F.try_element_at(body, F.lit("Latitude")).try_cast("double")
-    lon = F.try_element_at(body, F.lit("Longitude")).try_cast("double")
-    in_box = ais.box_of(lat, lon).isNotNull()
+    m = parse_ais(F.col("value"))
+    mt = m["mt"]
+    in_box = ais.box_of(m["msg"]["pos"]["lat"], m["msg"]["pos"]["lon"]).isNotNull()
     stamped = messages.select("value", F.current_timestamp().alias("received_at"), mt.alias("_mt"),
                               in_box.alias("_in_box"))
     return stamped.where(F.col("_mt").isin(*message_types)
