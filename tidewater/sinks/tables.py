@@ -24,7 +24,8 @@ def write_sorted(df: DataFrame, path: str, sort_cols: list[str], partitions: int
     partitioning on the sort keys, then a sort inside each partition (no
     single-task global sort, nothing collected).  ``fmt="csv"`` is the gold
     export (header, empty field for NULL, ISO instants)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    # output files follow the shuffle width, which is sized from the data volume
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_last() for c in sort_cols]   # NULLs last, as the marts order them
     out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     writer = out.write.mode("overwrite")
