@@ -27,6 +27,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_LAKES: dict = {}
+
+
 @dataclass
 class Lake:
     spark: SparkSession
@@ -38,12 +41,25 @@ class Lake:
         ensure_conf(self.spark)
         self.asof = to_datetime(self.asof)
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, asof: str | datetime = feeds.DEFAULT_ASOF) -> "Lake":
+        """The lake for these inputs, built once per session: its DataFrames
+        (plans, not data) are reused by every query over the same tables and
+        instant.  Physical planning still happens at each action, under the
+        session's current settings."""
+        key = (id(spark), sf_dir.rstrip("/"), to_datetime(asof))
+        lake = _LAKES.get(key)
+        if lake is None or lake.spark is not spark:
+            lake = _LAKES[key] = cls(spark, sf_dir, asof)
+        ensure_conf(spark)
+        return lake
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     def at(self, asof: str | datetime) -> "Lake":
         """The same lake evaluated at another instant (feed cut at that instant)."""
-        return Lake(self.spark, self.sf_dir, asof)
+        return Lake.of(self.spark, self.sf_dir, asof)
 
     def shifted(self, hours: float) -> "Lake":
         return self.at(self.asof + timedelta(hours=hours))

@@ -42,20 +42,20 @@ def _date_cols(df: DataFrame, *cols: str) -> DataFrame:
 
 @query
 def quarantine_counts(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     return lk.quarantine.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query
 def normalized_events(spark, sf_dir):
-    s = Lake(spark, sf_dir).silver.drop("ms_idx", "_ingest")
+    s = Lake.of(spark, sf_dir).silver.drop("ms_idx", "_ingest")
     return _iso_cols(s, "planned_ts", "actual_ts")
 
 
 @query
 def dedup_first_wins(spark, sf_dir):
     """Events that arrived more than once: copies and the kept (first) copy."""
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     valid = lk.classified.where(F.col("reason").isNull())
     copies = valid.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     kept = lk.silver.select("event_id", "shipment_id", "event_type", "actual_ts",
@@ -68,12 +68,12 @@ def dedup_first_wins(spark, sf_dir):
 
 @query
 def run_counters(spark, sf_dir):
-    return Lake(spark, sf_dir).counters
+    return Lake.of(spark, sf_dir).counters
 
 
 @query
 def shipment_state(spark, sf_dir):
-    st = Lake(spark, sf_dir).state
+    st = Lake.of(spark, sf_dir).state
     out = st.select(
         "shipment_id", "n_events",
         F.col("last.event_type").alias("last_event_type"),
@@ -92,7 +92,7 @@ def shipment_state(spark, sf_dir):
 
 
 def _queue(spark, sf_dir, exception_type=None):
-    q = Lake(spark, sf_dir).exception_queue
+    q = Lake.of(spark, sf_dir).exception_queue
     if exception_type:
         q = q.where(F.col("exception_type") == exception_type)
     return _iso_cols(q, "detected_at")
@@ -130,18 +130,18 @@ def exception_queue(spark, sf_dir):
 
 @query
 def probable_cause(spark, sf_dir):
-    q = Lake(spark, sf_dir).exception_queue
+    q = Lake.of(spark, sf_dir).exception_queue
     return q.groupBy("exception_type", "probable_cause").agg(F.count(F.lit(1)).alias("exceptions"))
 
 
 @query
 def shipment_legs(spark, sf_dir):
-    return Lake(spark, sf_dir).legs
+    return Lake.of(spark, sf_dir).legs
 
 
 @query
 def last_mile_pins(spark, sf_dir):
-    lm = Lake(spark, sf_dir).last_mile.drop("_ingest")
+    lm = Lake.of(spark, sf_dir).last_mile.drop("_ingest")
     return _iso_cols(lm, "eway_valid_until")
 
 
@@ -149,56 +149,56 @@ def last_mile_pins(spark, sf_dir):
 
 @query
 def anchor_hours(spark, sf_dir):
-    return _date_cols(Lake(spark, sf_dir).vessel_dwell, "date")
+    return _date_cols(Lake.of(spark, sf_dir).vessel_dwell, "date")
 
 
 @query
 def port_congestion(spark, sf_dir):
-    return _date_cols(Lake(spark, sf_dir).port_congestion, "date")
+    return _date_cols(Lake.of(spark, sf_dir).port_congestion, "date")
 
 
 @query
 def vessel_static(spark, sf_dir):
-    return _iso_cols(Lake(spark, sf_dir).dim_vessel_silver, "observed_at")
+    return _iso_cols(Lake.of(spark, sf_dir).dim_vessel_silver, "observed_at")
 
 
 @query
 def dim_vessel_full_outer(spark, sf_dir):
-    return _iso_cols(gold.dim_vessel(Lake(spark, sf_dir).dim_vessel_silver), "observed_at")
+    return _iso_cols(gold.dim_vessel(Lake.of(spark, sf_dir).dim_vessel_silver), "observed_at")
 
 
 @query
 def port_conditions(spark, sf_dir):
-    return _date_cols(Lake(spark, sf_dir).port_conditions, "date")
+    return _date_cols(Lake.of(spark, sf_dir).port_conditions, "date")
 
 
 # ---- gold ------------------------------------------------------------------
 
 @query
 def fct_shipment_events(spark, sf_dir):
-    f = Lake(spark, sf_dir).fct_events.drop("delay_min")
+    f = Lake.of(spark, sf_dir).fct_events.drop("delay_min")
     return _iso_cols(f, "planned_ts", "actual_ts")
 
 
 @query
 def fct_shipment_legs(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     return gold.fct_shipment_legs(lk.legs, gold.dim_vessel(lk.dim_vessel_silver))
 
 
 @query
 def carrier_scorecard(spark, sf_dir):
-    return Lake(spark, sf_dir).scorecard
+    return Lake.of(spark, sf_dir).scorecard
 
 
 @query
 def eta_baseline(spark, sf_dir):
-    return Lake(spark, sf_dir).eta_baseline
+    return Lake.of(spark, sf_dir).eta_baseline
 
 
 @query
 def exception_mart(spark, sf_dir):
-    return gold.exception_mart(Lake(spark, sf_dir).exception_queue)
+    return gold.exception_mart(Lake.of(spark, sf_dir).exception_queue)
 
 
 # ---- ETA -------------------------------------------------------------------
@@ -209,13 +209,13 @@ def _mart_offsets(lk: Lake) -> DataFrame:
 
 @query
 def shipment_eta(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     return eta.format_eta(eta.shipment_eta(lk.state, lk.exception_queue, _mart_offsets(lk)))
 
 
 @query
 def eta_mae(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     return eta.evaluate(lk.silver, lk.state, lk.exception_queue)
 
 
@@ -232,19 +232,19 @@ def _decisions(lk: Lake) -> tuple[DataFrame, DataFrame]:
 
 @query
 def alert_decisions(spark, sf_dir):
-    return _decisions(Lake(spark, sf_dir))[0]
+    return _decisions(Lake.of(spark, sf_dir))[0]
 
 
 @query
 def alert_state_next(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     decisions, state = _decisions(lk)
     return _iso_cols(alerts.next_state(state, decisions, lk.asof), "alerted_at")
 
 
 @query
 def quarantine_spike(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     state = alerts.state_from_queue(lk.exception_queue, lk.asof)
     share = alerts.quarantine_share(lk.counters)
     fired = alerts.quarantine_spike(lk.counters, state, lk.asof).select("exception_id", "message")
@@ -256,7 +256,7 @@ def quarantine_spike(spark, sf_dir):
 
 @query
 def quality_checks(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     fct, q = lk.fct_events, lk.exception_queue
     legs = gold.fct_shipment_legs(lk.legs, gold.dim_vessel(lk.dim_vessel_silver))
     checks = [
@@ -283,13 +283,13 @@ def quality_checks(spark, sf_dir):
 
 @query
 def run_metrics(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     return metrics.run_metrics(lk.counters, lk.exception_queue)
 
 
 @query
 def slo_freshness(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     return metrics.slo_freshness(lk.silver, lk.asof)
 
 
@@ -299,12 +299,12 @@ def _marts(lk: Lake) -> dict[str, DataFrame]:
 
 @query
 def governed_metric(spark, sf_dir):
-    return metrics.governed_values(_marts(Lake(spark, sf_dir)))
+    return metrics.governed_values(_marts(Lake.of(spark, sf_dir)))
 
 
 @query
 def question_table(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     conv = lk.table("conversations").where(F.col("role") == "user").select(
         F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("question_id"),
         F.col("text").alias("question"))
@@ -320,7 +320,7 @@ UPSERT_SPLIT = "2024-01-15 00:00:00"
 def upsert_by_key(spark, sf_dir):
     """dim_vessel (silver) kept from the first half of the AIS days, then the
     second half's statics upserted by MMSI."""
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     ev = lk.table("events")
     split = F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
     old = ais.vessel_static(feeds.ais_static(ev.where(F.col("ts") < split)))
@@ -336,7 +336,7 @@ SNAPSHOT_READ_HOURS = -12
 def snapshot_asof(spark, sf_dir):
     """The exception queue as it was 12 h before asof, read from queue
     snapshots taken at asof - 48 h, - 24 h and asof."""
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     snaps = None
     for h in SNAPSHOT_HOURS:
         at = lk.shifted(h)
@@ -350,20 +350,20 @@ def snapshot_asof(spark, sf_dir):
 
 @query
 def vessel_dwell_totals(spark, sf_dir):
-    return Lake(spark, sf_dir).dwell_totals
+    return Lake.of(spark, sf_dir).dwell_totals
 
 
 @query
 def box_counts(spark, sf_dir):
-    return _date_cols(ais.box_counts(Lake(spark, sf_dir).vessel_dwell), "date")
+    return _date_cols(ais.box_counts(Lake.of(spark, sf_dir).vessel_dwell), "date")
 
 
 @query
 def port_causes(spark, sf_dir):
-    return Lake(spark, sf_dir).port_causes
+    return Lake.of(spark, sf_dir).port_causes
 
 
 @query
 def metric_exposition(spark, sf_dir):
-    lk = Lake(spark, sf_dir)
+    lk = Lake.of(spark, sf_dir)
     return metrics.exposition(metrics.run_metrics(lk.counters, lk.exception_queue))
