@@ -32,7 +32,7 @@ def test_normalize_stream_equals_batch(spark, tmpdir_path):
     n = _feed_files(spark, bronze)
     q = jobs.start_normalize(spark, bronze, out, checkpoint=os.path.join(tmpdir_path, "ckpt"), max_files=2)
     q.awaitTermination()
-    streamed = spark.read.parquet(f"{out}/shipment_events")
+    streamed = spark.read.parquet(f"{out}/shipment_events").drop("event_date")
     batch_cls = normalize.classify(read_carrier_bronze(spark, bronze))
     batch = normalize.silver_events(normalize.dedupe(normalize.valid_rows(batch_cls))).drop("_ingest")
     cols = ["event_id", "shipment_id", "event_type", "actual_ts", "origin", "dest"]
@@ -46,14 +46,30 @@ def test_normalize_stream_equals_batch(spark, tmpdir_path):
     assert spark.read.parquet(f"{out}/shipment_events").count() == batch.count()
 
 
+def test_normalize_stream_drops_copies_seen_in_earlier_batches(spark, tmpdir_path):
+    from test_normalize import ROWS
+    bronze, out = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "silver")
+    write_ndjson(os.path.join(bronze, "2026-07-20", "a.ndjson"), ROWS[:5])
+    ck = os.path.join(tmpdir_path, "ckpt")
+    jobs.start_normalize(spark, bronze, out, checkpoint=ck).awaitTermination()
+    later = [dict(ROWS[1], origin="ZZZZZ"), ROWS[6]]        # a2 again (different payload) + a new event
+    write_ndjson(os.path.join(bronze, "2026-07-21", "b.ndjson"), later)
+    jobs.start_normalize(spark, bronze, out, checkpoint=ck).awaitTermination()
+    got = {r.event_id: r.origin for r in spark.read.parquet(f"{out}/shipment_events").collect()}
+    assert got["a2"] == "CNSHA" and "c1" in got and len(got) == 6
+
+
 def test_anchor_hours_stream_equals_batch(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "ais")
     write_ndjson(os.path.join(src, "2026-07-21", "a.ndjson"), MESSAGES[:3])
     write_ndjson(os.path.join(src, "2026-07-21", "b.ndjson"), MESSAGES[3:])
-    dwell_root = os.path.join(tmpdir_path, "dwell")
-    jobs.start_anchor_hours(spark, src, dwell_root, checkpoint=os.path.join(tmpdir_path, "ck"),
+    # a report the next day moves the watermark past the end of 2026-07-21
+    write_ndjson(os.path.join(src, "2026-07-22", "c.ndjson"), [MESSAGES[0] | {"received_at": "2026-07-22T06:00:00Z"}])
+    dwell_path = os.path.join(tmpdir_path, "dwell")
+    jobs.start_anchor_hours(spark, src, dwell_path, checkpoint=os.path.join(tmpdir_path, "ck"),
                             max_files=1).awaitTermination()
-    got = {(r.mmsi, r.box): r.anchor_hours for r in tables.read_current(spark, dwell_root).collect()}
+    got = {(r.mmsi, r.box): r.anchor_hours for r in
+           spark.read.parquet(dwell_path).where("date = '2026-07-21'").collect()}
     positions, _ = ais_messages(read_ais_day(spark, src, "2026-07-21"))
     want = {(r.mmsi, r.box): r.anchor_hours for r in ais.vessel_dwell(positions).collect()}
     assert got == want == {("111", "la_long_beach"): 3, ("333", "singapore_strait"): 1}

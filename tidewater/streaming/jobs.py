@@ -67,20 +67,33 @@ def with_ingest_order(batch: DataFrame) -> DataFrame:
         .drop("_file", "_block")
 
 
-def normalize_batch(batch: DataFrame, silver_path: str, quarantine_path: str, lastmile_path: str) -> None:
+def normalize_batch(batch: DataFrame, silver_path: str, quarantine_path: str, lastmile_path: str,
+                    horizon_days: int | None = 30) -> None:
     """One micro-batch: classify, first-valid-copy per event id inside the
-    batch, drop ids already stored, append silver/last-mile, append quarantine."""
+    batch, drop ids already stored, append silver/last-mile, append quarantine.
+
+    Stored silver is partitioned by event date.  With ``horizon_days`` the
+    stored-id check reads only the dates of this batch widened by the horizon
+    (partition pruning), so its cost follows the batch, not the history; a
+    copy whose event date is further away than the horizon from the stored one
+    is not recognised (``None`` checks every stored id)."""
     spark = batch.sparkSession
     cls = normalize.classify(with_ingest_order(batch)).persist()
     try:
         bad = normalize.quarantine_rows(cls).drop("_ingest", "_malformed")
         bad.write.mode("append").partitionBy("date").parquet(quarantine_path)
         dd = normalize.dedupe(normalize.valid_rows(cls))
+        dd = dd.withColumn("event_date", F.to_date("actual_ts")).persist()
         stored = _table_or_none(spark, silver_path)
         if stored is not None:
+            if horizon_days is not None:
+                lo, hi = dd.agg(F.min("event_date"), F.max("event_date")).first()  # one row
+                if lo is not None:
+                    stored = stored.where(F.col("event_date").between(F.date_sub(F.lit(lo), horizon_days),
+                                                                      F.date_add(F.lit(hi), horizon_days)))
             dd = dd.join(stored.select("event_id"), "event_id", "left_anti")
-        dd = dd.persist()
-        normalize.silver_events(dd).drop("_ingest").write.mode("append").parquet(silver_path)
+        normalize.silver_events(dd).withColumn("event_date", F.to_date("actual_ts")).drop("_ingest") \
+            .write.mode("append").partitionBy("event_date").parquet(silver_path)
         normalize.last_mile(dd).select(*normalize.LASTMILE_COLUMNS, F.col("_ingest.file").alias("_file"),
                                        F.col("_ingest.row").alias("_row")) \
             .write.mode("append").parquet(lastmile_path)
@@ -91,10 +104,11 @@ def normalize_batch(batch: DataFrame, silver_path: str, quarantine_path: str, la
 
 def start_normalize(spark: SparkSession, bronze_root: str, out_root: str, checkpoint: str | None = None,
                     available_now: bool = True, interval: str = "1 hour",
-                    max_files: int | None = None) -> StreamingQuery:
+                    max_files: int | None = None, horizon_days: int | None = 30) -> StreamingQuery:
     out = out_root.rstrip("/")
     w = carrier_stream(spark, bronze_root, max_files).writeStream.foreachBatch(
-        lambda df, _id: normalize_batch(df, f"{out}/shipment_events", f"{out}/quarantine", f"{out}/last_mile"))
+        lambda df, _id: normalize_batch(df, f"{out}/shipment_events", f"{out}/quarantine", f"{out}/last_mile",
+                                        horizon_days))
     w = w.option("checkpointLocation", _ckpt(spark, "normalize", checkpoint))
     return _trigger(w, available_now, interval).start()
 
@@ -131,21 +145,14 @@ def anchor_hours_stream(positions: DataFrame, delay: str = "2 hours") -> DataFra
     return g.select("mmsi", F.to_date(F.col("day.start")).alias("date"), "box", "anchor_hours")
 
 
-def upsert_dwell_batch(batch: DataFrame, dwell_root: str) -> None:
-    """Replace the (date, mmsi, box) rows an update-mode batch carries."""
-    spark = batch.sparkSession
-    current = tables.read_current(spark, dwell_root)
-    new = batch.select(*ais.DWELL_COLUMNS)
-    merged = new if current is None else tables.upsert_by_key(current, new, ["date", "mmsi", "box"])
-    tables.write_version(merged, dwell_root)
-
-
-def start_anchor_hours(spark: SparkSession, ais_root: str, dwell_root: str, checkpoint: str | None = None,
+def start_anchor_hours(spark: SparkSession, ais_root: str, dwell_path: str, checkpoint: str | None = None,
                        available_now: bool = True, interval: str = "10 minutes",
-                       max_files: int | None = None) -> StreamingQuery:
+                       max_files: int | None = None, delay: str = "2 hours") -> StreamingQuery:
+    """Append each day's final anchor-hours once the watermark has passed the
+    end of the day: no table rewrite, state bounded by open days."""
     positions, _ = ais_stream(spark, ais_root, max_files)
-    w = anchor_hours_stream(positions).writeStream.outputMode("update") \
-        .foreachBatch(lambda df, _id: upsert_dwell_batch(df, dwell_root)) \
+    w = anchor_hours_stream(positions, delay).writeStream.outputMode("append").format("parquet") \
+        .partitionBy("date").option("path", dwell_path) \
         .option("checkpointLocation", _ckpt(spark, "anchor_hours", checkpoint))
     return _trigger(w, available_now, interval).start()
 
