@@ -66,7 +66,11 @@ def ais_stage(spark: SparkSession, positions: DataFrame, statics: DataFrame, t:
     ensure_conf(spark)
     dwell = ais.vessel_dwell(positions)
     tables.overwrite_partitions(dwell, t.vessel_dwell, "date")
-    tables.overwrite_partitions(ais.port_congestion(spark.read.parquet(t.vessel_dwell)), t.port_congestion, "date")
+    # congestion only for the dates this run wrote (partition pruning on the dwell table)
+    lo, hi = positions.agg(F.min(F.to_date("received_at")), F.max(F.to_date("received_at"))).first()
+    if lo is not None:
+        written = spark.read.parquet(t.vessel_dwell).where(F.col("date").between(F.lit(lo), F.lit(hi)))
+        tables.overwrite_partitions(ais.port_congestion(written), t.port_congestion, "date")
     current = tables.read_current(spark, t.dim_vessel)
     new = ais.vessel_static(statics)
     merged = new if current is None else tables.upsert_by_key(current, new, ["mmsi"])
