@@ -27,3 +27,19 @@ def test_landing_validation_and_hash(spark, tmpdir_path):
     assert all(r.already_landed for r in again.where("ok").collect())
     other_day = landing_plan(spark, landing, "2026-07-22", registry)
     assert not any(r.already_landed for r in other_day.collect())
+    assert all(r.landed_other_date for r in other_day.where("ok").collect())
+
+
+def test_feed_silence_from_bronze_files(spark, tmpdir_path):
+    from datetime import datetime, timezone
+    from tidewater.operators.alerts import feed_silence
+    from tidewater.sources.bronze import bronze_file_times
+    root = os.path.join(tmpdir_path, "bronze")
+    path = os.path.join(root, "2026-07-20", "events_abc.ndjson")
+    write_ndjson(path, [{"event_id": "a"}])
+    landed = datetime(2026, 7, 20, 19, 0, tzinfo=timezone.utc).timestamp()
+    os.utime(path, (landed, landed))
+    v = feed_silence(bronze_file_times(spark, root), 0, "2026-07-21T00:00:00Z").first()
+    assert 4.9 <= v.feed_silence_hours <= 5.1 and v.silent
+    quiet = feed_silence(bronze_file_times(spark, root), 0, "2026-07-20T19:11:00Z").first()
+    assert quiet.feed_silence_hours < 3 and not quiet.silent

@@ -177,20 +177,25 @@ def landing_validation(spark: SparkSession, landing: str) -> DataFrame:
 def landing_plan(spark: SparkSession, landing: str, date: str, registry: DataFrame | None = None) -> DataFrame:
     """Content-hash landing: accepted files get ``digest`` (first 12 hex of the
     sha1 of their bytes); files whose (date, digest) is already registered
-    count as landed but are not written again.
+    count as landed but are not written again.  The registry is keyed by
+    (date, digest) like the landing folders, so the same bytes on a later date
+    land again; ``landed_other_date`` reports those repeats.
 
-    Columns: ``file_path, date, digest, lines, ok, already_landed``."""
+    Columns: ``file_path, date, digest, lines, ok, already_landed, landed_other_date``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ndjson").load(landing) \
         .select(F.col("path").alias("file_path"), F.substring(F.sha1("content"), 1, 12).alias("digest"))
     checks = landing_validation(spark, landing)
     plan = files.join(checks, "file_path").withColumn("date", F.lit(date))
     if registry is not None:
         reg = registry.select("date", "digest").distinct().withColumn("already_landed", F.lit(True))
-        plan = plan.join(reg, ["date", "digest"], "left")
+        other = registry.where(F.col("date") != F.lit(date)).select("digest").distinct() \
+            .withColumn("landed_other_date", F.lit(True))
+        plan = plan.join(reg, ["date", "digest"], "left").join(other, "digest", "left")
     else:
-        plan = plan.withColumn("already_landed", F.lit(False))
+        plan = plan.withColumn("already_landed", F.lit(False)).withColumn("landed_other_date", F.lit(False))
     return plan.select("file_path", "date", "digest", "lines", "ok",
-                       F.coalesce("already_landed", F.lit(False)).alias("already_landed"))
+                       F.coalesce("already_landed", F.lit(False)).alias("already_landed"),
+                       F.coalesce("landed_other_date", F.lit(False)).alias("landed_other_date"))
 
 
 def ingest_counters(plan: DataFrame) -> DataFrame:
