@@ -99,3 +99,18 @@ def vessel_static(static: DataFrame, order_col: str = "_ingest") -> DataFrame:
         F.trim(F.col("name")).alias("name"),
         F.col("type").cast("string").alias("type"),
         F.col("received_at").alias("observed_at")), key).alias("v")).select("mmsi", "v.*")
+
+
+def run_summary(positions: DataFrame, statics: DataFrame) -> DataFrame:
+    """One row per AIS run: position and static report counts, anchored
+    reports inside a box, reports without MMSI (dropped, never merged) and
+    vessels at anchor."""
+    anchored = anchored_positions(positions)
+    pos = positions.agg(F.count(F.lit(1)).alias("position_reports"),
+                        F.count_if(F.col("mmsi").isNull() | (F.col("mmsi") == "")).alias("missing_mmsi"))
+    anc = anchored.agg(F.count(F.lit(1)).alias("anchored_reports"),
+                       F.count_distinct("mmsi").alias("vessels_at_anchor"))
+    sta = statics.agg(F.count(F.lit(1)).alias("static_reports"))
+    # three one-row aggregates side by side
+    return pos.withColumn("_k", F.lit(1)).join(anc.withColumn("_k", F.lit(1)), "_k") \
+        .join(sta.withColumn("_k", F.lit(1)), "_k").drop("_k")

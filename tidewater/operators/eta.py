@@ -196,3 +196,14 @@ def evaluate(silver: DataFrame, state: DataFrame, queue: DataFrame,
 def format_eta(eta: DataFrame) -> DataFrame:
     return eta.select(*[iso(F.col(c)).alias(c) if c in ("predicted_delivery_ts", "planned_anchor_ts")
                         else F.col(c) for c in ETA_COLUMNS])
+
+
+def run_summary(state: DataFrame, mart_offsets: DataFrame | None = None) -> DataFrame:
+    """One row: shipments predicted (in flight), completed shipments trained
+    on, and mart offsets available."""
+    f = features(state).agg(F.count_if(~F.col("completed")).alias("inflight"),
+                            F.count_if(F.col("completed")).alias("completed_trained_on"))
+    if mart_offsets is None:
+        return f.withColumn("mart_offsets_used", F.lit(0).cast("bigint"))
+    m = mart_offsets.agg(F.count(F.lit(1)).alias("mart_offsets_used"))
+    return f.withColumn("_k", F.lit(1)).join(m.withColumn("_k", F.lit(1)), "_k").drop("_k")

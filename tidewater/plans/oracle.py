@@ -853,3 +853,15 @@ ORACLE["port_causes"] = _q("SELECT port, probable_cause FROM causes", (AIS, COND
 ORACLE["metric_exposition"] = (
     "SELECT 'tidewater_' || metric || CASE WHEN label <> '' THEN '{' || label || '}' ELSE '' END || ' ' "
     "|| CAST(value AS VARCHAR) AS line FROM (" + ORACLE["run_metrics"] + ")")
+
+ORACLE["ais_run_summary"] = _q(
+    "SELECT (SELECT CAST(count(*) AS BIGINT) FROM pos) AS position_reports, "
+    "(SELECT CAST(count(*) FILTER (WHERE mmsi IS NULL OR mmsi = '') AS BIGINT) FROM pos) AS missing_mmsi, "
+    "(SELECT CAST(count(*) AS BIGINT) FROM anch WHERE box IS NOT NULL) AS anchored_reports, "
+    "(SELECT CAST(count(DISTINCT mmsi) AS BIGINT) FROM anch WHERE box IS NOT NULL) AS vessels_at_anchor, "
+    "(SELECT CAST(count(*) AS BIGINT) FROM events WHERE event_type = 'signup') AS static_reports", (AIS,))
+ORACLE["eta_run_summary"] = _q(
+    "SELECT CAST(count(*) FILTER (WHERE NOT completed) AS BIGINT) AS inflight, "
+    "CAST(count(*) FILTER (WHERE completed) AS BIGINT) AS completed_trained_on, "
+    "(SELECT CAST(count(*) AS BIGINT) FROM eta_baseline WHERE event_type = 'delivered') AS mart_offsets_used "
+    "FROM feat", ALL + (_features("st", "feat"),))

@@ -367,3 +367,15 @@ def port_causes(spark, sf_dir):
 def metric_exposition(spark, sf_dir):
     lk = Lake.of(spark, sf_dir)
     return metrics.exposition(metrics.run_metrics(lk.counters, lk.exception_queue))
+
+
+@query
+def ais_run_summary(spark, sf_dir):
+    lk = Lake.of(spark, sf_dir)
+    return ais.run_summary(lk.positions, feeds.ais_static(lk.table("events")))
+
+
+@query
+def eta_run_summary(spark, sf_dir):
+    lk = Lake.of(spark, sf_dir)
+    return eta.run_summary(lk.state, _mart_offsets(lk))
