@@ -110,3 +110,26 @@ def test_empty_input(spark, tmpdir_path):
     write_ndjson(os.path.join(tmpdir_path, "2026-07-20", "e.ndjson"), [])
     cls, silver, st, q = build(spark, tmpdir_path)
     assert q.count() == 0 and silver.count() == 0
+
+
+def test_first_wins_survives_many_file_splits(spark, tmpdir_path):
+    """One bronze file read as many splits: the (file, block, row) key still
+    orders lines as a sequential reader would, so the same copies win."""
+    rows = []
+    for i in range(3000):
+        base = dict(ROWS[0], event_id=f"e{i % 700}")   # each id repeated ~4 times
+        base["origin"] = f"O{i:05d}"                     # payload differs per copy
+        rows.append(base)
+    write_ndjson(os.path.join(tmpdir_path, "2026-07-20", "big.ndjson"), rows)
+    want = {f"e{j}": f"O{j:05d}" for j in range(700)}   # the first line of each id
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("4096", "134217728"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            raw = read_carrier_bronze(spark, tmpdir_path)
+            if split == "4096":
+                assert raw.rdd.getNumPartitions() > 10
+            _, silver, _, _ = build(spark, tmpdir_path)
+            assert {r.event_id: r.origin for r in silver.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
