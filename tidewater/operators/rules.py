@@ -45,7 +45,8 @@ def _rule(name: str, fires: Column, age_seconds: Column, detail: Column) -> Colu
 def port_causes(conditions_latest: DataFrame | None, congestion_latest: DataFrame | None,
                 spark=None) -> DataFrame:
     """``port, probable_cause`` for every configured port (at most
-    ``len(config.PORTS)`` rows, so it is safe to broadcast).
+    ``len(config.PORTS)`` rows, so it is safe to broadcast: the configured
+    ports are the left side, and both inputs are unique per port / box).
 
     Precedence: weather (alerts > 0 or wind >= 60; unreadable wind is calm) ->
     disruption (news > 0) -> congestion (>= 5 vessels at anchor in the port's
@@ -59,7 +60,7 @@ def port_causes(conditions_latest: DataFrame | None, congestion_latest: DataFram
     cond_cols = [F.lit(None).cast("string").alias(c) for c in
                  ("weather_alerts", "wind_max_kmh", "disruption_news")]
     if conditions_latest is not None:
-        cond = conditions_latest.where(F.col("port").isin(*config.PORT_CODES)).select(
+        cond = conditions_latest.select(
             "port",
             F.col("weather_alerts").cast("string").alias("weather_alerts"),
             F.col("wind_max_kmh").cast("string").alias("wind_max_kmh"),
@@ -68,7 +69,7 @@ def port_causes(conditions_latest: DataFrame | None, congestion_latest: DataFram
     else:
         ports = ports.select("*", *cond_cols)
     if congestion_latest is not None:
-        cong = congestion_latest.where(F.col("port").isin(*[b[0] for b in config.AIS_BOXES])).select(
+        cong = congestion_latest.select(
             F.col("port").alias("box"), F.col("vessels_at_anchor").alias("vessels"))
         ports = ports.join(cong, "box", "left")
     else:
