@@ -79,18 +79,29 @@ def metric_rows(marts: dict[str, DataFrame]) -> DataFrame:
 
 
 def _agg_value(metric: Column) -> list[Column]:
-    """Aggregates producing ``value`` for the metric's governed aggregation."""
+    """Aggregates producing ``value`` for the metric's governed aggregation.
+
+    Each aggregate only sees the rows of the metrics that use it (others feed
+    NULL), so e.g. the exact median keeps values for median metrics only."""
     v = F.col("value")
     t = F.round(v * 100).cast("bigint")  # hundredths: marts carry at most 2 dp
-    w = F.when(v.isNotNull(), F.col("weight"))
+    kinds = {}
+    for name, (_m, _c, agg, _w, _u, _s) in config.METRICS.items():
+        kinds.setdefault(agg, []).append(name)
+
+    def only(kind, col):
+        return F.when(metric.isin(*kinds.get(kind, [])), col)
+
     n = F.count(v)
-    sum_w = F.sum(w)
+    w = F.when(v.isNotNull(), F.col("weight"))
+    sum_w = F.sum(only("weighted_avg", w))
     by_type = {
-        "sum": F.when(n > 0, F.sum(v)),
-        "avg": F.when(n > 0, round_ratio(F.sum(t), n * 100, 2)),
+        "sum": F.when(n > 0, F.sum(only("sum", v))),
+        "avg": F.when(n > 0, round_ratio(F.sum(only("avg", t)), n * 100, 2)),
         "weighted_avg": F.when((n > 0) & (sum_w != 0),
-                               round_ratio(F.sum(t * w), F.round(sum_w * 100), 2)),
-        "median_of_medians": F.when(n > 0, round_ratio(F.round(F.median(t) * 2), F.lit(200), 2)),
+                               round_ratio(F.sum(only("weighted_avg", t * w)), F.round(sum_w * 100), 2)),
+        "median_of_medians": F.when(n > 0, round_ratio(F.round(F.median(only("median_of_medians", t)) * 2),
+                                                       F.lit(200), 2)),
     }
     expr = None
     for name, (_m, _c, agg, _w, _u, _s) in config.METRICS.items():
