@@ -70,3 +70,11 @@ def test_feed_silence(spark):
     assert 4.9 <= v.feed_silence_hours <= 5.1 and v.silent
     none = alerts.feed_silence(spark.createDataFrame([], "ts timestamp"), 0, NOW).first()
     assert none.feed_silence_hours is None and none.silent
+
+
+def test_slo_rows(spark):
+    from tidewater.operators import metrics
+    silver = spark.createDataFrame([(datetime(2026, 7, 20, 23, 0),)], "actual_ts timestamp")
+    pos = spark.createDataFrame([(datetime(2026, 7, 20, 23, 55),)], "received_at timestamp")
+    got = {r.slo: (r.lag_s, r.ok) for r in metrics.slo_freshness(silver, NOW, pos).collect()}
+    assert got == {"normalize_freshness": (3600, True), "feed_silence": (3600, True), "ais_staleness": (300, True)}

@@ -49,16 +49,22 @@ def exposition(metric_rows: DataFrame, prefix: str = "tidewater_") -> DataFrame:
                                        F.col("value").cast("string")).alias("line"))
 
 
-def slo_freshness(silver: DataFrame, now: str | datetime) -> DataFrame:
+def slo_freshness(silver: DataFrame, now: str | datetime, positions: DataFrame | None = None) -> DataFrame:
     """Lag of the newest silver event against the freshness target and the
-    feed-silence limit: ``slo, lag_s, target_s, ok``."""
+    feed-silence limit, and, when AIS positions are given, of the newest AIS
+    report against the staleness target: ``slo, lag_s, target_s, ok``."""
+    now_s = F.unix_seconds(asof_literal(now))
     newest = silver.agg(F.max("actual_ts").alias("newest"))
-    lag = F.unix_seconds(asof_literal(now)) - F.unix_seconds(F.col("newest"))
     targets = [("normalize_freshness", config.SLO_NORMALIZE_FRESHNESS_S),
                ("feed_silence", int(config.FEED_SILENCE_MAX_H * 3600))]
     rows = F.array(*[F.struct(F.lit(n).alias("slo"), F.lit(t).cast("bigint").alias("target_s")) for n, t in targets])
-    return newest.select(lag.alias("lag_s"), F.inline(rows)).select(
-        "slo", "lag_s", "target_s", (F.col("lag_s") < F.col("target_s")).alias("ok"))
+    out = newest.select((now_s - F.unix_seconds(F.col("newest"))).alias("lag_s"), F.inline(rows))
+    if positions is not None:
+        ais_lag = positions.agg(F.max("received_at").alias("newest")).select(
+            (now_s - F.unix_seconds(F.col("newest"))).alias("lag_s"),
+            F.lit("ais_staleness").alias("slo"), F.lit(config.SLO_AIS_STALENESS_S).cast("bigint").alias("target_s"))
+        out = out.unionByName(ais_lag)
+    return out.select("slo", "lag_s", "target_s", (F.col("lag_s") < F.col("target_s")).alias("ok"))
 
 
 # ---- governed metrics ----------------------------------------------------------
