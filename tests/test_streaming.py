@@ -3,6 +3,7 @@
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from conftest import SF001, write_ndjson
 from test_ais import MESSAGES
@@ -157,8 +158,8 @@ def test_exception_timers_equal_batch_rules_at_watermark(spark, tmpdir_path, gra
     silver = Lake(spark, SF001).silver.drop("_ingest")
     src = os.path.join(tmpdir_path, "silver")
     # silver arrives in twelve time-ordered files
-    bucketed = silver.withColumn("b", F.ntile(12).over(
-        __import__("pyspark.sql.window", fromlist=["Window"]).Window.orderBy("actual_ts")))
+    # test setup only: a global ntile to cut the small fixture into time-ordered files
+    bucketed = silver.withColumn("b", F.ntile(12).over(Window.orderBy("actual_ts")))
     for b in range(1, 13):
         bucketed.where(F.col("b") == b).drop("b").coalesce(1).write.mode("overwrite").parquet(f"{src}/b={b:02d}")
     stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
