@@ -22,16 +22,19 @@ CONDITION_COLUMNS = ["port", "date", "weather_alerts", "weather_code",
                      "wind_max_kmh", "precip_mm", "disruption_news"]
 
 
-def headline_counts(headlines: DataFrame, text_col: str = "title", date_col: str = "date") -> DataFrame:
-    """``port, date, disruption_news``: headlines whose lower-cased text contains
-    the lower-cased port name.  Ports (a configured, bounded list) are the
-    broadcast side of the containment join; every headline is read whole."""
+def headline_counts(headlines: DataFrame, text_col: str = "title", date_col: str | None = "date") -> DataFrame:
+    """``port, [date,] disruption_news``: headlines whose lower-cased text
+    contains the lower-cased port name.  Ports (a configured, bounded list)
+    are the broadcast side of the containment join; every text is read whole.
+    With ``date_col=None`` the counts are per port only."""
     spark = headlines.sparkSession
     ports = F.broadcast(config.locations_df(spark).select(
         F.col("unlocode").alias("port"), F.lower("port_name").alias("_needle")))
-    h = headlines.select(F.col(date_col).alias("date"), F.lower(F.col(text_col)).alias("_text"))
+    keys = ["port"] + (["date"] if date_col else [])
+    h = headlines.select(*([F.col(date_col).alias("date")] if date_col else []),
+                         F.lower(F.col(text_col)).alias("_text"))
     matched = h.join(ports, F.col("_text").contains(F.col("_needle")), "inner")
-    return matched.groupBy("port", "date").agg(F.count(F.lit(1)).alias("disruption_news"))
+    return matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("disruption_news"))
 
 
 def conditions_from_payloads(alerts: DataFrame, forecast: DataFrame, headlines: DataFrame) -> DataFrame:

@@ -865,3 +865,9 @@ ORACLE["eta_run_summary"] = _q(
     "CAST(count(*) FILTER (WHERE completed) AS BIGINT) AS completed_trained_on, "
     "(SELECT CAST(count(*) AS BIGINT) FROM eta_baseline WHERE event_type = 'delivered') AS mart_offsets_used "
     "FROM feat", ALL + (_features("st", "feat"),))
+
+_PORT_NAMES = ", ".join(f"('{p[0]}', '{p[1].lower()}')" for p in config.PORTS)
+ORACLE["document_port_mentions"] = (
+    "SELECT p.port, CAST(count(d.text) AS BIGINT) AS disruption_news "
+    f"FROM (VALUES {_PORT_NAMES}) p(port, needle) LEFT JOIN documents d ON contains(lower(d.text), p.needle) "
+    "GROUP BY p.port")

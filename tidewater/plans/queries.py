@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewater import config
 from tidewater.functions.timefmt import asof_literal, iso
-from tidewater.operators import ais, alerts, eta, gold, metrics, quality
+from tidewater.operators import ais, alerts, enrich, eta, gold, metrics, quality
 from tidewater.plans.lake import Lake
 from tidewater.sinks import tables as sinks
 from tidewater.sources import feeds
@@ -379,3 +379,15 @@ def ais_run_summary(spark, sf_dir):
 def eta_run_summary(spark, sf_dir):
     lk = Lake.of(spark, sf_dir)
     return eta.run_summary(lk.state, _mart_offsets(lk))
+
+
+@query
+def document_port_mentions(spark, sf_dir):
+    """The headline containment join at scale: every document text, whole,
+    against the configured port names; every port is reported (0 when no
+    text names it)."""
+    docs = Lake.of(spark, sf_dir).table("documents").select("text")
+    counts = enrich.headline_counts(docs, text_col="text", date_col=None)
+    ports = F.broadcast(config.locations_df(spark).select(F.col("unlocode").alias("port")))
+    return ports.join(counts, "port", "left").select(
+        "port", F.coalesce(F.col("disruption_news"), F.lit(0)).cast("bigint").alias("disruption_news"))
