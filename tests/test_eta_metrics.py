@@ -103,3 +103,23 @@ def test_token_mode_avoids_substring_misfires(spark):
     assert sub["1"].port_filter == "USLAX" and tok["1"].port_filter is None      # "la" inside "delay"
     assert sub["2"].carrier_filter == "ONEY" and tok["2"].carrier_filter is None  # "one" inside "gone"
     assert tok["1"].carrier_filter == "HLCU" and tok["3"].port_filter == "USLGB"
+
+
+def test_approximate_medians_are_close(spark):
+    from tidewater.operators.state import shipment_state
+    st = shipment_state(_regular_schedule(spark))
+    feats = eta.features(st).where("completed")
+    _, exact = eta.learn(feats)
+    _, approx = eta.learn(feats, approx=True)
+    e, a = exact.first(), approx.first()
+    assert abs(e.global_span_s - a.global_span_s) <= 3600 * 24 and abs(e.global_off_s - a.global_off_s) <= 3600
+    assert e.trained_on == a.trained_on
+
+
+def test_cluster_conf_sizing():
+    from tidewater.session import cluster_conf
+    conf = cluster_conf(100 * 2 ** 40, executor_cores_total=4000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600          # 100 TiB / 256 MiB
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = cluster_conf(10 * 2 ** 20, executor_cores_total=16)
+    assert int(small["spark.sql.shuffle.partitions"]) == 32             # never below 2 x cores
