@@ -194,6 +194,16 @@ def box_ports_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def port_boxes_df(spark: SparkSession) -> DataFrame:
+    """Every configured port with the anchorage box it belongs to (NULL if none)."""
+    box_of_port = {port: name for name, ports, _, _ in AIS_BOXES for port in ports}
+    schema = T.StructType([
+        T.StructField("port", T.StringType(), False),
+        T.StructField("box", T.StringType(), True),
+    ])
+    return spark.createDataFrame([(p, box_of_port.get(p)) for p in PORT_CODES], schema)
+
+
 def vessels_df(spark: SparkSession) -> DataFrame:
     schema = T.StructType([
         T.StructField("mmsi", T.StringType(), False),

@@ -54,23 +54,23 @@ def port_causes(conditions_latest: DataFrame | None, congestion_latest: DataFram
     if spark is None:
         src = conditions_latest if conditions_latest is not None else congestion_latest
         spark = src.sparkSession
-    ports = config.box_ports_df(spark).select("port", "box")
-    ports = config.locations_df(spark).select(F.col("unlocode").alias("port")).join(
-        ports, "port", "left")
+    ports = config.port_boxes_df(spark)
     cond_cols = [F.lit(None).cast("string").alias(c) for c in
                  ("weather_alerts", "wind_max_kmh", "disruption_news")]
     if conditions_latest is not None:
-        cond = conditions_latest.select(
+        # restricted to configured ports, so the broadcast below has at most len(PORTS) rows
+        cond = conditions_latest.where(F.col("port").isin(*config.PORT_CODES)).select(
             "port",
             F.col("weather_alerts").cast("string").alias("weather_alerts"),
             F.col("wind_max_kmh").cast("string").alias("wind_max_kmh"),
             F.col("disruption_news").cast("string").alias("disruption_news"))
-        ports = ports.join(cond, "port", "left")
+        ports = ports.join(F.broadcast(cond), "port", "left")
     else:
         ports = ports.select("*", *cond_cols)
     if congestion_latest is not None:
         cong = congestion_latest.select(
             F.col("port").alias("box"), F.col("vessels_at_anchor").alias("vessels"))
+        # no hint: adaptive execution broadcasts it after checking its runtime size
         ports = ports.join(cong, "box", "left")
     else:
         ports = ports.withColumn("vessels", F.lit(None).cast("bigint"))
