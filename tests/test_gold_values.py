@@ -65,3 +65,15 @@ def test_eta_prediction_by_hand(spark):
     assert p.offset_source == "lane_median(CNSHA-USLAX)"
     assert p.adjustment_reason == "observed_departure_delay(+3.0h)"
     assert p.predicted_delivery_ts == datetime(2026, 7, 1) + timedelta(hours=492 + 12 + 3)
+
+
+def test_dim_vessel_full_outer_with_overlap(spark):
+    observed = spark.createDataFrame(
+        [("353136000", "9811000", "", "71", t("2026-07-21 09:00:00")),          # configured, blank name
+         ("111", "1", "LOCAL", "70", t("2026-07-21 09:00:00"))],               # not configured
+        "mmsi string, imo string, name string, type string, observed_at timestamp")
+    got = {r.mmsi: r for r in gold.dim_vessel(observed).collect()}
+    assert len(got) == 9                                                      # 8 configured + 1 observed-only
+    assert got["353136000"].vessel_name == "EVER GIVEN" and got["353136000"].imo == "9811000"
+    assert got["111"].vessel_name == "LOCAL"
+    assert got["636092932"].observed_at is None and got["636092932"].vessel_name == "MSC GULSUN"

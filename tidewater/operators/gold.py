@@ -47,13 +47,25 @@ def fct_shipment_events(silver: DataFrame) -> DataFrame:
 
 
 def dim_vessel(observed: DataFrame) -> DataFrame:
-    """Gold vessel dimension: configured fleet FULL OUTER observed statics."""
+    """Gold vessel dimension: configured fleet FULL OUTER observed statics.
+
+    With a config-sized side the full outer join is written as (observed LEFT
+    JOIN broadcast config) UNION (configured vessels never observed): the
+    second part comes from a semi-join against the broadcast config (at most
+    len(VESSELS) rows), so the observed table is never shuffled.  Both sides
+    are unique per MMSI."""
     spark = observed.sparkSession
-    conf = F.broadcast(config.vessels_df(spark).select(F.col("mmsi").alias("c_mmsi"),
-                                                       F.col("name").alias("c_name")))
+    conf = config.vessels_df(spark).select(F.col("mmsi").alias("c_mmsi"), F.col("name").alias("c_name"))
     o = observed.select(F.col("mmsi").alias("o_mmsi"), "imo", F.col("name").alias("o_name"),
                         "type", "observed_at")
-    j = conf.join(o, F.col("o_mmsi") == F.col("c_mmsi"), "full")
+    seen = o.join(F.broadcast(conf), F.col("o_mmsi") == F.col("c_mmsi"), "left")
+    present = o.select(F.col("o_mmsi").alias("c_mmsi")).join(F.broadcast(conf.select("c_mmsi")), "c_mmsi",
+                                                               "left_semi")
+    unseen = conf.join(present, "c_mmsi", "left_anti").select(
+        F.lit(None).cast("string").alias("o_mmsi"), F.lit(None).cast("string").alias("imo"),
+        F.lit(None).cast("string").alias("o_name"), F.lit(None).cast("string").alias("type"),
+        F.lit(None).cast("timestamp").alias("observed_at"), "c_mmsi", "c_name")
+    j = seen.unionByName(unseen)
     return j.select(F.coalesce("o_mmsi", "c_mmsi").alias("mmsi"), "imo",
                     F.coalesce(F.nullif(F.col("o_name"), F.lit("")), F.col("c_name")).alias("vessel_name"),
                     F.col("type").alias("ship_type"), "observed_at")
