@@ -70,14 +70,18 @@ def slo_freshness(silver: DataFrame, now: str | datetime, positions: DataFrame |
 # ---- governed metrics ----------------------------------------------------------
 
 def metric_rows(marts: dict[str, DataFrame]) -> DataFrame:
-    """Long form of the marts: ``metric, carrier, lane, value, weight``."""
-    parts = []
+    """Long form of the marts: ``metric, carrier, lane, value, weight``.
+
+    Each mart is read once; its metrics come out of one projection as an
+    exploded array of (metric, value, weight) structs."""
+    by_mart: dict[str, list] = {}
     for name, (mart, column, _agg, weight, _unit, _syn) in config.METRICS.items():
-        df = marts[mart]
-        parts.append(df.select(F.lit(name).alias("metric"), "carrier", "lane",
-                               F.col(column).cast("double").alias("value"),
-                               (F.col(weight).cast("double") if weight else F.lit(None).cast("double"))
-                               .alias("weight")))
+        by_mart.setdefault(mart, []).append(F.struct(
+            F.lit(name).alias("metric"), F.col(column).cast("double").alias("value"),
+            (F.col(weight).cast("double") if weight else F.lit(None).cast("double")).alias("weight")))
+    parts = [marts[mart].select("carrier", "lane", F.explode(F.array(*cols)).alias("m"))
+             .select(F.col("m.metric").alias("metric"), "carrier", "lane", "m.value", "m.weight")
+             for mart, cols in by_mart.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
