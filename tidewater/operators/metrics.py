@@ -131,9 +131,10 @@ def _with_filters(rows: DataFrame) -> DataFrame:
         "*", F.explode(F.concat(F.array(F.lit(None).cast("string")), ports)).alias("port_filter"))
 
 
-def governed_values(marts: dict[str, DataFrame]) -> DataFrame:
-    """Value of every metric for every (carrier filter, port filter) with rows."""
-    rows = _with_filters(metric_rows(marts))
+def governed_values(marts: dict[str, DataFrame], rows: DataFrame | None = None) -> DataFrame:
+    """Value of every metric for every (carrier filter, port filter) with rows.
+    ``rows``: the filtered metric rows, when the caller already built them."""
+    rows = rows if rows is not None else _with_filters(metric_rows(marts))
     g = rows.groupBy("metric", "carrier_filter", "port_filter").agg(*_agg_value(F.col("metric")))
     meta = [(n, m[0], m[1], m[2]) for n, m in config.METRICS.items()]
     spark = rows.sparkSession
@@ -142,10 +143,10 @@ def governed_values(marts: dict[str, DataFrame]) -> DataFrame:
     return g.join(md, "metric")
 
 
-def superlatives(marts: dict[str, DataFrame]) -> DataFrame:
+def superlatives(marts: dict[str, DataFrame], rows: DataFrame | None = None) -> DataFrame:
     """Best and worst carrier per (metric, filters) with the carrier values.
     Ties go to the alphabetically first carrier."""
-    rows = _with_filters(metric_rows(marts))
+    rows = rows if rows is not None else _with_filters(metric_rows(marts))
     per = rows.groupBy("metric", "carrier_filter", "port_filter", "carrier").agg(*_agg_value(F.col("metric"))) \
         .where(F.col("value").isNotNull())
     lower = F.col("metric").isin(*config.LOWER_IS_BETTER)
@@ -224,8 +225,9 @@ def answer_questions(questions: DataFrame, marts: dict[str, DataFrame], mode: st
     rows_used``; kind is superlative | value | refusal."""
     r = resolve_questions(questions, mode)
     keys = ["metric", "carrier_filter", "port_filter"]
-    vals = F.broadcast(governed_values(marts).select(*keys, "value", "rows_used"))
-    sups = F.broadcast(superlatives(marts))
+    rows = _with_filters(metric_rows(marts))   # built once, read by both aggregates
+    vals = F.broadcast(governed_values(marts, rows).select(*keys, "value", "rows_used"))
+    sups = F.broadcast(superlatives(marts, rows))
     cond_v = [r[k].eqNullSafe(vals[k]) for k in keys]
     j = r.join(vals, cond_v, "left").select(r["*"], vals["value"], vals["rows_used"])
     cond_s = [j[k].eqNullSafe(sups[k]) for k in keys]
