@@ -60,3 +60,92 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
        CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - before)) AS BIGINT) AS taken
 FROM cut
 """
+
+ORACLE["op5_hamming_top_k"] = r"""
+WITH bits AS (
+  SELECT vec_id, unnest(range(64)) AS i, unnest(embedding[1:64]) AS x FROM embeddings),
+code AS (
+  SELECT vec_id, list(CASE WHEN x > 0 THEN 1 ELSE 0 END ORDER BY i) AS c FROM bits GROUP BY vec_id),
+pair AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS neighbor_id,
+         CAST(len(list_filter(list_zip(q.c, d.c), lambda z: z[1] <> z[2])) AS INTEGER) AS distance
+  FROM code q JOIN code d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank FROM pair)
+SELECT query_id, neighbor_id, distance, rank FROM ranked WHERE rank <= 10
+"""
+
+ORACLE["op2_preference_pairs"] = r"""
+WITH turns AS (SELECT conv_id AS pair_id, turn, role, coalesce(text, '') AS text FROM conversations),
+last AS (
+  SELECT pair_id, max(turn) AS turn, arg_max(text, turn) AS text FROM turns WHERE role = 'assistant' GROUP BY pair_id),
+a AS (
+  SELECT t.* FROM turns t LEFT JOIN last l USING (pair_id) WHERE l.turn IS NULL OR t.turn <= l.turn),
+b AS (
+  SELECT t.* FROM turns t LEFT JOIN last l USING (pair_id) WHERE l.turn IS NULL OR t.turn < l.turn
+  UNION ALL
+  SELECT l.pair_id, l.turn, 'assistant', o.text FROM last l JOIN last o ON o.pair_id = xor(l.pair_id, 1)),
+na AS (SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY turn) AS n FROM a),
+nb AS (SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY turn) AS n FROM b),
+met AS (
+  SELECT coalesce(na.pair_id, nb.pair_id) AS pair_id, coalesce(na.n, nb.n) AS n,
+         na.role AS ra, na.text AS ta, nb.role AS rb, nb.text AS tb,
+         na.n IS NOT NULL AND nb.n IS NOT NULL AND na.role = nb.role AND na.text = nb.text AS same
+  FROM na FULL JOIN nb ON na.pair_id = nb.pair_id AND na.n = nb.n),
+cut AS (
+  SELECT *, CAST(coalesce(min(CASE WHEN NOT same THEN n END) OVER (PARTITION BY pair_id) - 1,
+                          count(*) OVER (PARTITION BY pair_id)) AS INTEGER) AS shared_turns FROM met),
+shown AS (
+  SELECT *, '<|' || replace(ra, '<|', '< |') || '|>' || chr(10) || replace(ta, '<|', '< |') || '<|end|>' || chr(10) AS wa,
+         '<|' || replace(rb, '<|', '< |') || '|>' || chr(10) || replace(tb, '<|', '< |') || '<|end|>' || chr(10) AS wb
+  FROM cut)
+SELECT pair_id, shared_turns,
+       coalesce(string_agg(wa, '' ORDER BY n) FILTER (WHERE n <= shared_turns), '') AS prompt,
+       coalesce(string_agg(wa, '' ORDER BY n) FILTER (WHERE n > shared_turns), '') AS chosen,
+       coalesce(string_agg(wb, '' ORDER BY n) FILTER (WHERE n > shared_turns), '') AS rejected,
+       coalesce(string_agg(length(wa) || CASE WHEN ra = 'assistant' THEN '+' ELSE '-' END, ',' ORDER BY n)
+                FILTER (WHERE n > shared_turns AND wa IS NOT NULL), '') AS chosen_mask,
+       coalesce(string_agg(length(wb) || CASE WHEN rb = 'assistant' THEN '+' ELSE '-' END, ',' ORDER BY n)
+                FILTER (WHERE n > shared_turns AND wb IS NOT NULL), '') AS rejected_mask
+FROM shown GROUP BY pair_id, shared_turns
+"""
+
+ORACLE["op3_benchmark_overlap"] = r"""
+WITH word AS (
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') FROM benchmark),
+pos AS (SELECT side, id, unnest(range(len(w))) AS p, w FROM word WHERE side = 'd' OR len(w) >= 5),
+seed AS (
+  SELECT side, id, p, unnest([
+    CASE WHEN p + 5 <= len(w) THEN [w[p+1], w[p+2], w[p+3], w[p+4], w[p+5], '0'] END,
+    CASE WHEN p + 6 <= len(w) THEN [w[p+1], w[p+2], w[p+3], w[p+5], w[p+6], '1'] END,
+    CASE WHEN p + 8 <= len(w) THEN [w[p+1], w[p+2], w[p+4], w[p+7], w[p+8], '2'] END]) AS s
+  FROM pos),
+hit AS (
+  SELECT DISTINCT d.id AS doc_id, b.id AS item_id, d.p - b.p AS diag
+  FROM seed d JOIN seed b ON d.s = b.s AND d.side = 'd' AND b.side = 'b'),
+lined AS (
+  SELECT h.doc_id, h.item_id, greatest(h.diag, 0) AS doc_start, greatest(-h.diag, 0) AS item_start,
+         least(len(d.w) - greatest(h.diag, 0), len(b.w) - greatest(-h.diag, 0)) AS overlap,
+         least(len(b.w), 13) AS need, d.w AS dw, b.w AS bw
+  FROM hit h JOIN word d ON d.side = 'd' AND d.id = h.doc_id JOIN word b ON b.side = 'b' AND b.id = h.item_id),
+cell AS (
+  SELECT doc_id, item_id, doc_start, item_start, overlap, need, unnest(range(overlap)) AS i,
+         unnest(list_transform(list_zip(dw[doc_start + 1 : doc_start + overlap], bw[item_start + 1 : item_start + overlap]),
+                               lambda z: CASE WHEN z[1] = z[2] THEN 1 ELSE 0 END)) AS same
+  FROM lined WHERE overlap >= need),
+run AS (
+  SELECT *, sum(same) OVER (PARTITION BY doc_id, item_id, doc_start, item_start ORDER BY i
+                            ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS s13,
+         sum(same) OVER (PARTITION BY doc_id, item_id, doc_start, item_start) AS matched
+  FROM cell),
+good AS (
+  SELECT DISTINCT doc_id, item_id, doc_start, item_start, overlap, matched FROM run
+  WHERE (need = 13 AND i >= 12 AND s13 >= 11)
+     OR (need < 13 AND i = overlap - 1 AND s13 >= ceil(need * 0.8)))
+SELECT doc_id, item_id, CAST(doc_start AS INTEGER) AS doc_start, CAST(item_start AS INTEGER) AS item_start,
+       CAST(overlap AS INTEGER) AS overlap, CAST(matched AS INTEGER) AS matched
+FROM good QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
+                                     ORDER BY matched DESC, doc_start, item_start DESC) = 1
+"""

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, linededup, lmscore, mixing
+from tidewater.llm import chat, decontam, hamming, linededup, lmscore, mixing, neardup, quality, toxicity, urlfilter
 from tidewater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,17 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score_texts(table(spark, sf_dir, "documents"), held_out_sql(7))
 
 
+@query
+def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with its last reply swapped."""
+    chosen, rejected = chat.swapped_replies(table(spark, sf_dir, "conversations"))
+    pairs = chat.preference_pairs(chosen, rejected)
+    lengths = lambda mask: F.concat_ws(",", F.transform(mask, lambda m: F.concat(
+        m.chars.cast("string"), F.when(m.loss, "+").otherwise("-"))))
+    return pairs.select("pair_id", "shared_turns", "prompt", "chosen", "rejected",
+                        lengths("chosen_mask").alias("chosen_mask"), lengths("rejected_mask").alias("rejected_mask"))
+
+
 @query
 def op3_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -45,6 +56,40 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.coalesce("text", F.lit("")).alias("text"))
 
 
+@query
+def op5_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows, by sign code, of every row whose id 100 divides."""
+    codes = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), hamming.sign_code(F.col("embedding")).alias("code"))
+    return hamming.top_k(codes, codes.where(F.col("id") % 100 == 0), k=10)
+
+
+@query
+def op6_url_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, urlfilter.rated_by_document(pages, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, quality.grades_of(table(spark, sf_dir, "labels")))
+    return quality.rate(docs.select("doc_id", "text"), model).select("doc_id", "expected_grade", "tail", "accepted")
+
+
 @query
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "epochs")
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), held_out_sql(4)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), f"not ({held_out})")
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", F.expr(held_out).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_classes(table(spark, sf_dir, "documents")).drop("key")
