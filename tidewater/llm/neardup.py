@@ -196,6 +196,8 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
                            "leaders")
         pairs = _with_leader(part, following, least, F.col("part") != F.col("lead.part"))
         new = stored(_verify(pairs.distinct(), texts, k, least), "links")
+        # a bucket in which every part has had its leader is done
+        large = stored(large.join(following.select("bucket"), "bucket", "left_semi"), "large-buckets")
         leaders = leaders.select("bucket", F.struct("lead.degree", "lead.node", "lead.n").alias("lead")).unionByName(
             following.select("bucket", F.struct("lead.degree", "lead.node", "lead.n").alias("lead")))
         if not new.limit(1).count():
