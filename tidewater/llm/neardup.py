@@ -135,8 +135,8 @@ def _alike(a: str, b: str, least: float):
     return F.least(a, b) >= F.greatest(a, b) * F.lit(least)
 
 
-def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 20, length: int = 4,
-                 all_pairs_to: int = 6) -> DataFrame:
+def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 24, length: int = 4,
+                 all_pairs_to: int = 16) -> DataFrame:
     """Classes of near-duplicate documents.
 
     Returns ``doc_id, key, class_id, class_size, links, kept``, one row per
@@ -150,14 +150,14 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     only; rows equal in id and text are ``kept`` alike.  Empty table: empty.
 
     A text has ``count`` sketches of ``length`` shingles: two texts at
-    similarity 0.8 share one with probability near 0.8^4, and miss all 20 once
-    in 40,000.  Texts that share a sketch meet in its bucket.  A bucket of up to
-    ``all_pairs_to`` compares all its pairs.  A larger one compares all its
-    members with a leader, the member that shares most buckets; while that finds
-    links, it goes on with a leader from a part that is not yet linked.  Work
-    is linear in a bucket's size, and a pair's two texts are all a task holds.
-    Links that only one large bucket could show, and no leader, are the ones
-    that could be missed.
+    similarity 0.8 share one with probability near 0.8^4, and share fewer than
+    three of 24 once in 2,000; pairs that share three are verified.  Texts that
+    share a sketch meet in its bucket.  A bucket of up to ``all_pairs_to``
+    compares all its pairs.  A larger one compares its members with a leader,
+    the member that shares most buckets; members whose part that leaves apart
+    then meet three leaders drawn anew in each of their buckets.  Work is linear
+    in a bucket's size, and a pair's two texts are all a task holds.  A link that
+    could be missed is one that only large buckets show and no leader joins.
     """
     key = F.unhex(F.md5(F.encode(text_of(), "UTF-8")))
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), text_of().alias("text"))
@@ -178,31 +178,24 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     leaders = large.groupBy("bucket").agg(F.max(F.struct("degree", "node", "n")).alias("lead"))
     pairs = pairs.unionByName(_with_leader(large, leaders, least))
     texts = docs.select(key.alias("key"), text_of().alias("text"))
-    links = stored(_verify(pairs.distinct(), texts, k, least), "links")
+    links = stored(_verify(pairs.distinct(), nodes, texts, k, least), "links")
     blank = nodes.where(F.col("n") == 0).select("key")
     blank = blank.join(F.broadcast(blank.agg(F.min("key").alias("b"))), F.col("key") != F.col("b")).select(
         F.col("key").alias("a"), "b", F.lit(1.0).alias("similarity"))
     links = links.unionByName(blank)
 
-    while True:
-        named = components(links)
-        part = large.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select(
-            "bucket", "node", "n", "degree", F.coalesce("component", "node").alias("part"))
-        led = leaders.select("bucket", F.col("lead.node").alias("led")).join(
-            named, F.col("led") == F.col("node"), "left").select(
-            "bucket", F.coalesce("component", "led").alias("led_part"))
-        rest = part.join(led, (part["bucket"] == led["bucket"]) & (F.col("part") == F.col("led_part")), "left_anti")
-        following = stored(rest.groupBy("bucket").agg(F.max(F.struct("degree", "node", "n", "part")).alias("lead")),
-                           "leaders")
-        pairs = _with_leader(part, following, least, F.col("part") != F.col("lead.part"))
-        new = stored(_verify(pairs.distinct(), texts, k, least), "links")
-        # a bucket in which every part has had its leader is done
-        large = stored(large.join(following.select("bucket"), "bucket", "left_semi"), "large-buckets")
-        leaders = leaders.select("bucket", F.struct("lead.degree", "lead.node", "lead.n").alias("lead")).unionByName(
-            following.select("bucket", F.struct("lead.degree", "lead.node", "lead.n").alias("lead")))
-        if not new.limit(1).count():
-            break
-        links = links.unionByName(new)
+    # members that the first leader did not link meet three leaders of other parts, others in each bucket
+    named = components(links)
+    part = large.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select(
+        "bucket", "node", "n", F.coalesce("component", "node").alias("part"))
+    part = stored(part, "parts")
+    drawn = [F.max(F.struct(F.xxhash64(F.lit(h), "bucket", "node").alias("draw"), "node", "n", "part")) for h in range(3)]
+    others = (part.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("leads"),
+                                         F.min("part").alias("low"), F.max("part").alias("high"))
+              .where("low <> high").select("bucket", F.explode("leads").alias("lead")))
+    pairs = _with_leader(part, others, least, F.col("part") != F.col("lead.part"))
+    links = links.unionByName(stored(_verify(pairs.distinct(), nodes, texts, k, least), "links"))
+    named = components(links)
     return _classes(marked, named, links)
 
 
@@ -214,9 +207,16 @@ def _with_leader(members: DataFrame, leaders: DataFrame, least: float, also=None
     return met.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, k: int, least: float) -> DataFrame:
-    """The pairs whose aligned similarity is at least ``least``; reads only the texts they name."""
-    pairs = stored(pairs, "candidates")
+def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, least: float) -> DataFrame:
+    """The pairs whose aligned similarity is at least ``least``.
+
+    Pairs that share fewer than three sketches are left out before any text is read.
+    """
+    marks = nodes.select("key", "marks")
+    alike = F.size(F.filter(F.zip_with("marks_a", "marks_b", lambda x, y: x == y), lambda same: same))
+    pairs = stored(pairs.join(marks.select(F.col("key").alias("a"), F.col("marks").alias("marks_a")), "a")
+                   .join(marks.select(F.col("key").alias("b"), F.col("marks").alias("marks_b")), "b")
+                   .where(alike >= 3).select("a", "b"), "candidates")
     named = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     read = texts.join(named, "key", "left_semi").dropDuplicates(["key"])
     both = (pairs.join(read.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
