@@ -68,15 +68,14 @@ def with_ingest_order(batch: DataFrame) -> DataFrame:
 
 
 def normalize_batch(batch: DataFrame, silver_path: str, quarantine_path: str, lastmile_path: str,
-                    horizon_days: int | None = 30) -> None:
+                    horizon_days: int | None = None) -> None:
     """One micro-batch: classify, first-valid-copy per event id inside the
     batch, drop ids already stored, append silver/last-mile, append quarantine.
 
-    Stored silver is partitioned by event date.  With ``horizon_days`` the
-    stored-id check reads only the dates of this batch widened by the horizon
-    (partition pruning), so its cost follows the batch, not the history; a
-    copy whose event date is further away than the horizon from the stored one
-    is not recognised (``None`` checks every stored id)."""
+    Every stored id is checked.  With ``horizon_days`` the check reads only the
+    dates of this batch widened by the horizon (silver is partitioned by event
+    date), and a copy whose event date is further away than that from the
+    stored one is not recognised."""
     spark = batch.sparkSession
     cls = normalize.classify(with_ingest_order(batch)).persist()
     try:
@@ -104,7 +103,7 @@ def normalize_batch(batch: DataFrame, silver_path: str, quarantine_path: str, la
 
 def start_normalize(spark: SparkSession, bronze_root: str, out_root: str, checkpoint: str | None = None,
                     available_now: bool = True, interval: str = "1 hour",
-                    max_files: int | None = None, horizon_days: int | None = 30) -> StreamingQuery:
+                    max_files: int | None = None, horizon_days: int | None = None) -> StreamingQuery:
     out = out_root.rstrip("/")
     w = carrier_stream(spark, bronze_root, max_files).writeStream.foreachBatch(
         lambda df, _id: normalize_batch(df, f"{out}/shipment_events", f"{out}/quarantine", f"{out}/last_mile",
