@@ -84,7 +84,7 @@ def dwell_totals(dwell: DataFrame) -> DataFrame:
 def latest_by(df: DataFrame, key: str, order: str = "date") -> DataFrame:
     """Latest row per ``key`` by ``order`` (ties go to the larger remaining struct)."""
     cols = [c for c in df.columns if c != key]
-    return df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(order)).alias("r")) \
+    return df.groupBy(key).agg(F.max_by(F.struct(*cols), F.when(F.col(order).isNotNull(), F.struct(order, *cols))).alias("r")) \
         .select(key, "r.*")
 
 
