@@ -154,10 +154,11 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     three of 24 once in 2,000; pairs that share three are verified.  Texts that
     share a sketch meet in its bucket.  A bucket of up to ``all_pairs_to``
     compares all its pairs.  A larger one compares its members with a leader,
-    the member that shares most buckets; members whose part that leaves apart
-    then meet three leaders drawn anew in each of their buckets.  Work is linear
-    in a bucket's size, and a pair's two texts are all a task holds.  A link that
-    could be missed is one that only large buckets show and no leader joins.
+    the member that shares most buckets; while its members are not yet one part,
+    they meet three leaders of other parts, drawn anew each round, until a round
+    finds no link.  A round is linear in a bucket's size, and a pair's two texts
+    are all a task holds.  A link that could be missed is one that only large
+    buckets show and no leader of any round joins.
     """
     key = F.unhex(F.md5(F.encode(text_of(), "UTF-8")))
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), text_of().alias("text"))
@@ -184,21 +185,46 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
         F.col("key").alias("a"), "b", F.lit(1.0).alias("similarity"))
     links = links.unionByName(blank)
 
-    # members that the first leader did not link meet three leaders of other parts, others in each bucket
-    named = components(links)
-    part = large.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select(
-        "bucket", "node", "n", F.coalesce("component", "node").alias("part"))
-    part = stored(part, "parts")
-    drawn = [F.max(F.struct(F.xxhash64(F.lit(h), "bucket", "node").alias("draw"), "node", "n", "part")) for h in range(3)]
-    others = (part.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("leads"),
-                                         F.min("part").alias("low"), F.max("part").alias("high"))
-              .where("low <> high").select("bucket", F.explode("leads").alias("lead")))
-    pairs = _with_leader(part, others, least, F.col("part") != F.col("lead.part"))
-    links = links.unionByName(stored(_verify(pairs.distinct(), nodes, texts, k, least), "links"))
     named = components(links)
+    part = stored(large.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select(
+        "bucket", "node", "n", F.coalesce("component", "node").alias("part")), "parts")
+    turn = 0
+    while True:
+        # buckets whose members are not one part yet draw three leaders, others each round
+        drawn = [F.max(F.struct(F.xxhash64(F.lit(3 * turn + h), "bucket", "node").alias("draw"), "node", "n", "part"))
+                 for h in range(3)]
+        others = (part.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("leads"),
+                                             F.min("part").alias("low"), F.max("part").alias("high"))
+                  .where("low <> high").select("bucket", F.explode("leads").alias("lead")))
+        others = stored(others, "leaders")
+        pairs = _with_leader(part, others, least, F.col("part") != F.col("lead.part"))
+        new = stored(_verify(pairs.distinct(), nodes, texts, k, least), "links")
+        if not new.limit(1).count():
+            break
+        links = links.unionByName(new)
+        merged = components(_between_parts(new, part))
+        open_ = part.join(others.select("bucket").distinct(), "bucket", "left_semi")
+        part = stored(_renamed(open_, merged, "part"), "parts")
+        alone = merged.join(named, "node", "left_anti").select("node", "component")
+        named = stored(_renamed(named, merged, "component").unionByName(alone), "labels")
+        turn += 1
     return _classes(marked, named, links)
 
 
+def _between_parts(links: DataFrame, part: DataFrame) -> DataFrame:
+    """The links as edges between the parts their two texts are in."""
+    of = part.select("node", "part").distinct()
+    return (links.join(of.select(F.col("node").alias("a"), F.col("part").alias("pa")), "a")
+            .join(of.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
+            .select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct())
+
+
+def _renamed(rows: DataFrame, merged: DataFrame, col: str) -> DataFrame:
+    """Rows whose part ``col`` has been merged into another carry that one's name."""
+    to = merged.select(F.col("node").alias(col), F.col("component").alias("_to"))
+    return rows.join(to, col, "left").withColumn(col, F.coalesce("_to", col)).select(*rows.columns)
+
+
 def _with_leader(members: DataFrame, leaders: DataFrame, least: float, also=None) -> DataFrame:
     """Pairs of a bucket's leader and its other members of like size."""
     met = members.join(leaders, "bucket").where(
