@@ -88,6 +88,25 @@ def hours_1dp(seconds: Column) -> Column:
     return F.signum(s) * F.floor((F.abs(s) * 10 + 1800) / 3600) / 10.0
 
 
+def hours_text1(seconds: Column) -> Column:
+    """Positive whole seconds as hours text with one decimal, as ``'%.1f'``
+    renders the double ``seconds / 3600``.
+
+    Only ``x.x5`` hours (odd multiples of 180 s) need care: there the double
+    lies above, below or exactly on the tie.  Its fraction times 2**52 is a
+    whole number, so the comparison with the tie is exact; on it, the digit
+    goes to even."""
+    s = seconds.cast("bigint")
+    hours = s.cast("double") / 3600.0
+    tenths = F.floor(s / 360)
+    over = s - tenths * 360
+    scaled = ((hours - F.floor(hours)) * float(2 ** 52)).cast("bigint") * 20
+    tie = ((tenths % 10) * 2 + 1) * F.lit(2 ** 52)
+    up = (over > 180) | ((over == 180) & ((scaled > tie) | ((scaled == tie) & (tenths % 2 == 1))))
+    t = tenths + F.when(up, 1).otherwise(0)
+    return F.concat(F.floor(t / 10).cast("string"), F.lit("."), (t % 10).cast("string"))
+
+
 def hours_text0(seconds: Column) -> Column:
     """Hours as integer text with half-even rounding (``'{:.0f}'`` style)."""
     return F.bround(seconds.cast("double") / 3600.0, 0).cast("bigint").cast("string")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidewater import config
 from tidewater.functions.text import lane_text
-from tidewater.functions.timefmt import hours_1dp, iso
+from tidewater.functions.timefmt import hours_1dp, hours_text1, iso
 from tidewater.operators.gold import round_ratio
 
 ETA_COLUMNS = ["shipment_id", "carrier", "lane", "last_event_type", "predicted_delivery_ts",
@@ -135,13 +135,15 @@ def predict(feats: DataFrame, lane_model: DataFrame, global_model: DataFrame,
     late = dep_delay > DELAY_MIN_S
     adj_s = F.when(late, dep_delay).otherwise(0) + F.coalesce(F.col("exc_adj_s"), F.lit(0.0))
     dep_text = F.when(late, F.concat(F.lit("observed_departure_delay(+"),
-                                     hours_1dp(dep_delay).cast("string"), F.lit("h)")))
+                                     hours_text1(dep_delay), F.lit("h)")))
     reason = F.coalesce(F.nullif(F.concat_ws(";", dep_text, F.col("exc_reasons")), F.lit("")),
                         F.lit("none"))
     f = f.select("*", span_s.alias("_span"), off_s.alias("_off"), adj_s.alias("_adj"),
                  span_src.alias("span_source"), off_src.alias("offset_source"),
                  reason.alias("adjustment_reason"))
-    pred_s = F.col("first_planned_s") + F.floor(F.col("_span") + F.col("_off") + F.col("_adj"))
+    # whole seconds of the sum rounded to microseconds: 1043.9999999999998 s are 1044 s
+    micros = F.bround((F.col("_span") + F.col("_off") + F.col("_adj")) * 1e6, 0)
+    pred_s = F.col("first_planned_s") + F.floor(micros / 1e6)
     return f.select(
         "shipment_id", "carrier", "lane", "last_event_type",
         F.timestamp_seconds(pred_s).alias("predicted_delivery_ts"),

@@ -13,8 +13,9 @@ from datetime import datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.functions.timefmt import to_datetime
+from tidewater.functions.timefmt import asof_literal, to_datetime
 from tidewater.operators import ais, enrich, gold, normalize, rules, state
 from tidewater.session import ensure_conf
 from tidewater.sources import feeds
@@ -58,7 +59,7 @@ class Lake:
         return read_table(self.spark, self.sf_dir, name)
 
     def at(self, asof: str | datetime) -> "Lake":
-        """The same lake evaluated at another instant (feed cut at that instant)."""
+        """The same lake evaluated at another instant."""
         return Lake.of(self.spark, self.sf_dir, asof)
 
     def shifted(self, hours: float) -> "Lake":
@@ -67,7 +68,7 @@ class Lake:
     # ---- carrier feed -> silver -----------------------------------------
     @cached_property
     def raw(self) -> DataFrame:
-        return feeds.carrier_feed(self.table("lineitem"), self.table("orders"), self.asof)
+        return feeds.carrier_feed(self.table("lineitem"), self.table("orders"))
 
     @cached_property
     def classified(self) -> DataFrame:
@@ -81,6 +82,11 @@ class Lake:
     def silver(self) -> DataFrame:
         return normalize.silver_events(self.deduped)
 
+    @cached_property
+    def silver_asof(self) -> DataFrame:
+        """The silver events that had happened by ``asof``."""
+        return self.silver.where(F.col("actual_ts") <= asof_literal(self.asof))
+
     @cached_property
     def last_mile(self) -> DataFrame:
         return normalize.last_mile(self.deduped)
@@ -98,6 +104,13 @@ class Lake:
         # milestones and the latest last-mile row in one per-shipment aggregate
         return state.shipment_state(normalize.silver_with_last_mile(self.deduped))
 
+    @cached_property
+    def state_asof(self) -> DataFrame:
+        """Shipment state at ``asof``: the cut comes after de-duplication, so
+        every instant reads the same de-duplicated events."""
+        known = self.deduped.where(F.col("actual_ts") <= asof_literal(self.asof))
+        return state.shipment_state(normalize.silver_with_last_mile(known))
+
     @cached_property
     def legs(self) -> DataFrame:
         return state.shipment_legs(self.state)
@@ -140,7 +153,7 @@ class Lake:
     # ---- exceptions ------------------------------------------------------
     @cached_property
     def exception_queue(self) -> DataFrame:
-        return rules.detect_exceptions(self.state, self.asof, self.dwell_totals, None, self.port_causes)
+        return rules.detect_exceptions(self.state_asof, self.asof, self.dwell_totals, None, self.port_causes)
 
     # ---- gold ------------------------------------------------------------
     @cached_property
@@ -152,7 +165,7 @@ class Lake:
         # Dark shipments are MISSED_MILESTONE rows, a rule of the shipment state
         # alone: the queue without vessel, last-mile and cause inputs has the
         # same ones and skips the AIS and conditions work.
-        return gold.carrier_scorecard(self.fct_events, rules.detect_exceptions(self.state, self.asof))
+        return gold.carrier_scorecard(self.fct_events, rules.detect_exceptions(self.state_asof, self.asof))
 
     @cached_property
     def eta_baseline(self) -> DataFrame:

@@ -86,11 +86,11 @@ feed_c AS (
     {_lst(feeds.FEED_PORTS)}[(o_custkey % 8) + 1] AS origin,
     {_lst(feeds.FEED_PORTS)}[((o_custkey % 8) + 1 + (o_custkey // 8) % 7) % 8 + 1] AS dest,
     CAST(110000 + (l_orderkey * 37 + l_partkey) % 780000 AS VARCHAR) AS pin
-  FROM feed_a WHERE actual_s <= __ASOF__
+  FROM feed_a
 ),
 feed_d AS (
   SELECT *,
-    ms = 7 AND dest IN ('INNSA', 'INMUN') AND l_partkey % 20 <> 0 AS has_addr,
+    ms = 7 AND dest IN ('INNSA', 'INMUN') AS has_addr,
     CASE l_partkey % 5
       WHEN 0 THEN pin
       WHEN 1 THEN substr(pin, 1, 3) || ' ' || substr(pin, 4, 3)
@@ -112,7 +112,8 @@ feed AS (
     CASE WHEN ms IN (3, 4, 5) THEN CAST(o_custkey % 75 AS VARCHAR) END AS vessel_mmsi,
     CASE WHEN has_addr THEN 'Unit ' || CAST(l_linenumber AS VARCHAR) || ', Dock Road '
          || CAST(l_suppkey % 90 + 10 AS VARCHAR) || ', '
-         || CASE WHEN dest = 'INNSA' THEN 'Navi Mumbai' ELSE 'Kutch' END || ' ' || styled_pin END
+         || CASE WHEN dest = 'INNSA' THEN 'Navi Mumbai' ELSE 'Kutch' END
+         || CASE WHEN l_partkey % 20 = 0 THEN '' ELSE ' ' || styled_pin END END
       AS delivery_address,
     CASE WHEN has_addr THEN 'EWB' || CAST(l_orderkey AS VARCHAR) END AS eway_bill_no,
     CASE WHEN has_addr THEN {_wire(f"actual_s + {_lst(feeds.FEED_EWAY_VALID_H)}[l_partkey % 3 + 1] * 3600")}
@@ -159,13 +160,14 @@ silver AS (
          ms_idx, CAST(epoch(actual) AS BIGINT) AS actual_s, CAST(epoch(planned_t) AS BIGINT) AS planned_s
   FROM dedup
 ),
+silver_asof AS (SELECT * FROM silver WHERE actual_s <= __ASOF__),
 last_mile AS (
   SELECT ref AS shipment_id, delivery_address AS address_raw,
     nullif(regexp_replace(
       regexp_extract(translate(delivery_address, '{config.PIN_CONFUSABLES_FROM}', '{config.PIN_CONFUSABLES_TO}'),
         '^.*(^|[^0-9])([1-8][0-9]{{2}}\\s*[- ]?\\s*[0-9]{{3}})([^0-9].*)?$', 2),
       '[^0-9]', '', 'g'), '') AS pincode,
-    eway_bill_no, eway_t AS eway_valid_until,
+    eway_bill_no, eway_t AS eway_valid_until, CAST(epoch(actual) AS BIGINT) AS actual_s,
     l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice
   FROM dedup WHERE length(delivery_address) > 0
 ),
@@ -173,7 +175,7 @@ lm_latest AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY l_orderkey DESC, l_linenumber DESC,
               l_partkey DESC, l_suppkey DESC, l_shipdate DESC, l_quantity DESC, l_extendedprice DESC) AS rn
-    FROM last_mile) WHERE rn = 1
+    FROM last_mile WHERE actual_s <= __ASOF__) WHERE rn = 1
 )"""
 
 STATE = """
@@ -299,7 +301,7 @@ RULES = f"""
 st2 AS (
   SELECT st.*, {_GAP} AS gap_s, __ASOF__ - last_actual_s AS silence_s,
     coalesce(t.anchor_hours, 0.0) AS anchored, lm.eway_bill_no, CAST(epoch(lm.eway_valid_until) AS BIGINT) AS eway_s
-  FROM st LEFT JOIN totals t ON t.mmsi = st.dep_mmsi LEFT JOIN lm_latest lm ON lm.shipment_id = st.shipment_id
+  FROM a_st st LEFT JOIN totals t ON t.mmsi = st.dep_mmsi LEFT JOIN lm_latest lm ON lm.shipment_id = st.shipment_id
 ),
 exc_raw AS (
   SELECT shipment_id, last_carrier, latest_dest, 'MISSED_MILESTONE' AS exception_type,
@@ -334,51 +336,48 @@ queue AS (
   FROM exc_raw e LEFT JOIN causes c ON c.port = e.latest_dest
 )"""
 
+def _name_of(col: str, names: dict) -> str:
+    return _case(col, {code: f"'{name}'" for code, name in names.items()})
+
+
+_CARRIER_NAMES = {c[0]: c[1] for c in config.CARRIERS}
+_PORT_NAME_OF = {p[0]: p[1] for p in config.PORTS}
+
+# One pass over each shipment's events on a lane gives all that the scorecard counts.
 GOLD = f"""
-dim_carrier AS (SELECT * FROM (VALUES {", ".join(f"('{c}', '{n}')" for c, n, _, _ in config.CARRIERS)})
-                t(carrier_code, carrier_name)),
-dim_location AS (SELECT * FROM (VALUES {", ".join(f"('{p[0]}', '{p[1]}')" for p in config.PORTS)})
-                 t(unlocode, port_name)),
 fct AS (
-  SELECT e.event_id, e.shipment_id, e.carrier, c.carrier_name, e.event_type, e.planned_ts, e.actual_ts,
-    date_diff('minute', e.planned_ts, e.actual_ts) / 60.0 AS delay_hours,
-    date_diff('minute', e.planned_ts, e.actual_ts) AS delay_min,
-    e.origin, lo.port_name AS origin_name, e.dest, ld.port_name AS dest_name,
-    e.origin || '-' || e.dest AS lane, e.vessel_mmsi
-  FROM silver e
-  LEFT JOIN dim_carrier c ON c.carrier_code = e.carrier
-  LEFT JOIN dim_location lo ON lo.unlocode = e.origin
-  LEFT JOIN dim_location ld ON ld.unlocode = e.dest
-),
-sc_shipments AS (SELECT carrier, lane, shipment_id FROM fct GROUP BY 1, 2, 3),
-sc_delivered AS (
-  SELECT carrier, lane, shipment_id, max(CASE WHEN delay_hours <= 24 THEN 1 ELSE 0 END) AS on_time
-  FROM fct WHERE event_type = 'delivered' GROUP BY 1, 2, 3
-),
-sc_dark AS (SELECT shipment_id FROM queue WHERE exception_type = 'MISSED_MILESTONE'),
-sc_customs AS (
+  SELECT *, delay_min / 60.0 AS delay_hours, origin || '-' || dest AS lane,
+    {_name_of('carrier', _CARRIER_NAMES)} AS carrier_name,
+    {_name_of('origin', _PORT_NAME_OF)} AS origin_name, {_name_of('dest', _PORT_NAME_OF)} AS dest_name
+  FROM (SELECT *, date_diff('minute', planned_ts, actual_ts) AS delay_min FROM silver)
+),
+per_shipment AS (
   SELECT carrier, lane, shipment_id,
-    date_diff('minute', max(CASE WHEN event_type = 'vessel_arrived' THEN actual_ts END),
-                        max(CASE WHEN event_type = 'customs_release' THEN actual_ts END)) AS customs_min
-  FROM fct WHERE event_type IN ('vessel_arrived', 'customs_release')
-  GROUP BY 1, 2, 3 HAVING count(DISTINCT event_type) = 2
+    bool_or(delay_min <= 24 * 60) FILTER (WHERE event_type = 'delivered' AND lane IS NOT NULL) AS on_time,
+    date_diff('minute', max(actual_ts) FILTER (WHERE event_type = 'vessel_arrived' AND lane IS NOT NULL),
+              max(actual_ts) FILTER (WHERE event_type = 'customs_release')) AS customs_min
+  FROM fct GROUP BY carrier, lane, shipment_id
+),
+rated AS (
+  SELECT *, shipment_id IN (SELECT shipment_id FROM queue WHERE exception_type = 'MISSED_MILESTONE') AS dark
+  FROM per_shipment
+),
+counted AS (
+  SELECT carrier, lane, count(*) AS n, count_if(dark) AS n_dark, count(on_time) AS n_done, count_if(on_time) AS n_on_time,
+    count(customs_min) AS n_customs, sum(customs_min) AS customs_sum
+  FROM rated GROUP BY carrier, lane
 ),
 scorecard AS (
-  SELECT s.carrier, s.lane, CAST(count(DISTINCT s.shipment_id) AS BIGINT) AS shipments,
-    CASE WHEN count(d.on_time) > 0 THEN {_ratio('100 * sum(d.on_time)', 'count(d.on_time)', 1)} END AS on_time_pct,
-    {_ratio('100 * sum(CASE WHEN k.shipment_id IS NOT NULL THEN 1 ELSE 0 END)', 'count(*)', 1)} AS mis_scan_rate,
-    CASE WHEN count(c.customs_min) > 0 THEN {_ratio('sum(c.customs_min)', '60 * count(c.customs_min)', 1)} END
-      AS avg_customs_dwell_h
-  FROM sc_shipments s
-  LEFT JOIN sc_delivered d ON d.carrier = s.carrier AND d.lane = s.lane AND d.shipment_id = s.shipment_id
-  LEFT JOIN sc_dark k ON k.shipment_id = s.shipment_id
-  LEFT JOIN sc_customs c ON c.carrier = s.carrier AND c.lane = s.lane AND c.shipment_id = s.shipment_id
-  GROUP BY 1, 2
+  SELECT carrier, lane, CAST(n AS BIGINT) AS shipments,
+    CASE WHEN n_done > 0 THEN {_ratio('100 * n_on_time', 'n_done', 1)} END AS on_time_pct,
+    {_ratio('100 * n_dark', 'n', 1)} AS mis_scan_rate,
+    CASE WHEN n_customs > 0 THEN {_ratio('customs_sum', '60 * n_customs', 1)} END AS avg_customs_dwell_h
+  FROM counted
 ),
 eta_baseline AS (
-  SELECT carrier, lane, event_type, CAST(count(*) AS BIGINT) AS observations,
-    {_ratio('CAST(round(2 * median(delay_min)) AS BIGINT)', '120', 2)} AS median_offset_h
-  FROM fct GROUP BY 1, 2, 3
+  SELECT carrier, lane, event_type, CAST(count(delay_min) AS BIGINT) AS observations,
+    {_ratio('CAST(round(2 * quantile_cont(delay_min, 0.5)) AS BIGINT)', '120', 2)} AS median_offset_h
+  FROM fct GROUP BY ALL
 )"""
 
 
@@ -392,7 +391,9 @@ def queue_at(asof_s: int) -> str:
 
 
 BASE = (FEED, CLASSIFY)
-FULL = (FEED, CLASSIFY, STATE, AIS, CONDITIONS, RULES)
+STATE_ASOF = (STATE.replace("FROM silver", "FROM silver_asof").replace("s_rows", "a_rows")
+              .replace("\nst AS (", "\na_st AS ("))
+FULL = (FEED, CLASSIFY, STATE, STATE_ASOF, AIS, CONDITIONS, RULES)
 ALL = FULL + (GOLD,)
 
 
@@ -553,13 +554,13 @@ def _predict(feat: str, p: str, mart: bool, name: str) -> str:
          WHEN lane_off_s IS NOT NULL THEN 'lane_median(' || lane || ')' ELSE 'global_median' END AS offset_source,
     CASE WHEN dep_delay > 3600 THEN dep_delay ELSE 0 END + coalesce(exc_adj_s, 0.0) AS adj_x,
     coalesce(nullif(concat_ws(';',
-      CASE WHEN dep_delay > 3600 THEN 'observed_departure_delay(+' || CAST({_h1('dep_delay')} AS VARCHAR) || 'h)' END,
+      CASE WHEN dep_delay > 3600 THEN 'observed_departure_delay(+' || printf('%.1f', CAST(dep_delay AS DOUBLE) / 3600) || 'h)' END,
       exc_reasons), ''), 'none') AS adjustment_reason
   FROM {name}_a
 ),
 {name} AS (
   SELECT shipment_id, carrier, lane, last_event_type,
-    first_planned_s + CAST(floor(span_x + off_x + adj_x) AS BIGINT) AS pred_s,
+    first_planned_s + CAST(floor(round_even((span_x + off_x + adj_x) * 1e6, 0) / 1e6) AS BIGINT) AS pred_s,
     first_planned_s, {_h1('span_x')} AS planned_span_h, span_source, {_h1('off_x')} AS median_offset_h,
     offset_source, {_h1('adj_x')} AS live_adjustment_h, adjustment_reason
   FROM {name}_b
@@ -567,7 +568,7 @@ def _predict(feat: str, p: str, mart: bool, name: str) -> str:
 
 
 _TRAIN = "substr(sha1(shipment_id), 40, 1) IN ('0', '2', '4', '6', '8', 'a', 'c', 'e')"
-ETA_BLOCKS = ALL + (_features("st", "feat"), _model("feat", "completed", "m_"), ADJ,
+ETA_BLOCKS = ALL + (_features("a_st", "feat"), _model("feat", "completed", "m_"), ADJ,
                     _predict("(SELECT * FROM feat WHERE NOT completed)", "m_", True, "eta"))
 ORACLE["shipment_eta"] = _q(
     "SELECT shipment_id, carrier, lane, last_event_type, "
@@ -689,7 +690,7 @@ ORACLE["run_metrics"] = _q(
 
 ORACLE["slo_freshness"] = _q(
     "SELECT s.slo, __ASOF__ - max(actual_s) AS lag_s, s.target_s, __ASOF__ - max(actual_s) < s.target_s AS ok "
-    "FROM silver, (VALUES ('normalize_freshness', "
+    "FROM silver_asof, (VALUES ('normalize_freshness', "
     f"{config.SLO_NORMALIZE_FRESHNESS_S}::BIGINT), ('feed_silence', {int(config.FEED_SILENCE_MAX_H * 3600)}::BIGINT))"
     " s(slo, target_s) GROUP BY s.slo, s.target_s", BASE)
 

@@ -210,7 +210,7 @@ def _mart_offsets(lk: Lake) -> DataFrame:
 @query
 def shipment_eta(spark, sf_dir):
     lk = Lake.of(spark, sf_dir)
-    return eta.format_eta(eta.shipment_eta(lk.state, lk.exception_queue, _mart_offsets(lk)))
+    return eta.format_eta(eta.shipment_eta(lk.state_asof, lk.exception_queue, _mart_offsets(lk)))
 
 
 @query
@@ -290,7 +290,7 @@ def run_metrics(spark, sf_dir):
 @query
 def slo_freshness(spark, sf_dir):
     lk = Lake.of(spark, sf_dir)
-    return metrics.slo_freshness(lk.silver, lk.asof)
+    return metrics.slo_freshness(lk.silver_asof, lk.asof)
 
 
 def _marts(lk: Lake) -> dict[str, DataFrame]:

@@ -83,9 +83,10 @@ def conditions_stage(spark: SparkSession, observations: DataFrame, t: Tables) ->
 
 def rules_stage(spark: SparkSession, t: Tables, asof: str | datetime) -> None:
     """Shipment state (milestones and the latest last-mile row, one aggregate)
-    is written as a table; legs and the exception queue are read from it."""
+    at ``asof`` is written as a table; legs and the exception queue are read
+    from it."""
     ensure_conf(spark)
-    dd = spark.read.parquet(t.deduped)
+    dd = spark.read.parquet(t.deduped).where(F.col("actual_ts") <= asof_literal(asof))
     state.shipment_state(normalize.silver_with_last_mile(dd)).write.mode("overwrite").parquet(t.shipment_state)
     st = spark.read.parquet(t.shipment_state)
     tables.write_sorted(state.shipment_legs(st), t.shipment_legs, ["shipment_id"])

@@ -13,13 +13,11 @@ is a per-row projection.
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater import config
-from tidewater.functions.timefmt import asof_seconds, format_wire_ts
+from tidewater.functions.timefmt import format_wire_ts
 
 # FIXED VALUES of the derived feed recipe.
 FEED_CARRIERS = ["MAEU", "MSCU", "CMDU", "HLCU", "ONEY"]          # by order key % 5
@@ -38,9 +36,8 @@ def _pick(values: list, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def carrier_feed(lineitem: DataFrame, orders: DataFrame,
-                 asof: str | datetime = DEFAULT_ASOF) -> DataFrame:
-    """Raw carrier rows: ``event_id, carrier, ref, status, timestamp, planned,
+def carrier_feed(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Raw carrier rows, one per line item: ``event_id, carrier, ref, status, timestamp, planned,
     origin, dest, vessel_mmsi, delivery_address, eway_bill_no,
     eway_valid_until`` (text) plus ``date`` (bronze partition) and ``_ingest``
     (a struct that totally orders the rows like file order would)."""
@@ -68,7 +65,6 @@ def carrier_feed(lineitem: DataFrame, orders: DataFrame,
         j.withColumn("ms", ms)
         .withColumn("planned_s", planned_s)
         .withColumn("actual_s", actual_s)
-        .where(F.col("actual_s") <= F.lit(asof_seconds(asof)))
         .withColumn("k", k)
     )
     base = base.select(
@@ -92,14 +88,14 @@ def carrier_feed(lineitem: DataFrame, orders: DataFrame,
         .otherwise(F.translate(pin, "0", "O"))
     )
     base = base.withColumn("dest", _pick(FEED_PORTS, dest_idx)).withColumn(
-        "has_address", (F.col("ms") == 7) & F.col("dest").isin("INNSA", "INMUN") & (pk % 20 != 0))
+        "has_address", (F.col("ms") == 7) & F.col("dest").isin("INNSA", "INMUN"))
     dest = F.col("dest")
     has_address = F.col("has_address")
     address = F.when(has_address, F.concat(
         F.lit("Unit "), F.col("l_linenumber").cast("string"), F.lit(", Dock Road "),
         (F.col("l_suppkey") % 90 + 10).cast("string"), F.lit(", "),
-        F.when(dest == "INNSA", F.lit("Navi Mumbai")).otherwise(F.lit("Kutch")), F.lit(" "),
-        styled_pin))
+        F.when(dest == "INNSA", F.lit("Navi Mumbai")).otherwise(F.lit("Kutch")),
+        F.when(pk % 20 == 0, F.lit("")).otherwise(F.concat(F.lit(" "), styled_pin))))  # some lack the PIN
     actual_ts = F.timestamp_seconds(F.col("actual_s"))
     planned_ts = F.timestamp_seconds(F.col("planned_s"))
     eway_ts = F.timestamp_seconds(F.col("actual_s") + _pick(FEED_EWAY_VALID_H, pk % 3) * 3600)
