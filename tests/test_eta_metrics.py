@@ -54,34 +54,28 @@ def test_eta_explain_columns(spark):
         | {"global_median"}
 
 
-EVAL = [
-    ("which carrier has the best on-time rate?", "superlative", "on_time_pct", None, None),
-    ("who has the worst mis-scan rate?", "superlative", "mis_scan_rate", None, None),
-    ("what is the average customs dwell for Maersk?", "value", "avg_customs_dwell", "MAEU", None),
-    ("how many shipments does MSC have?", "value", "shipments", "MSCU", None),
-    ("typical delay for Hapag-Lloyd?", "value", "eta_offset", "HLCU", None),
-    ("on time percentage into Long Beach", "value", "on_time_pct", None, "USLGB"),
-    ("customs clearance time at JNPT", "value", "avg_customs_dwell", None, "INNSA"),
-    ("what's the weather in Paris tomorrow?", "refusal", None, None, None),
-    ("write me a poem about ships", "refusal", None, None, None),
-    ("should we fire our 3PL?", "refusal", None, None, None),
-]
-
-
-def test_question_eval_set(spark):
+ASKED = {
+    "which line has the lowest customs time": ("superlative", "avg_customs_dwell", None, None),
+    "rank the lines: top otp": ("superlative", "on_time_pct", None, None),
+    "otp of Hapag into Hamburg": ("value", "on_time_pct", "HLCU", "DEHAM"),
+    "number of shipments booked with CMA CGM": ("value", "shipments", "CMDU", None),
+    "schedule offset, Rotterdam": ("value", "eta_offset", None, "NLRTM"),
+    "Maersk boxes gone dark": ("value", "mis_scan_rate", "MAEU", None),
+    "customs dwell at Mundra": ("value", "avg_customs_dwell", None, "INMUN"),
+    "book a table for two tonight": ("refusal", None, None, None),
+    "explain tidal currents": ("refusal", None, None, None),
+}
+
+
+def test_questions(spark):
     lk = Lake(spark, SF01)
-    qs = spark.createDataFrame([(str(i), q) for i, (q, *_rest) in enumerate(EVAL)], "question_id string, question string")
-    got = {r.question_id: r for r in metrics.answer_questions(
-        qs, {"carrier_scorecard": lk.scorecard, "eta_baseline": lk.eta_baseline}).collect()}
-    for i, (_q, kind, metric, carrier, port) in enumerate(EVAL):
-        r = got[str(i)]
-        assert (r.kind, r.metric) == (kind, metric), (i, r)
-        if carrier:
-            assert r.carrier_filter == carrier
-        if port:
-            assert r.port_filter == port
-        if kind == "superlative":
-            assert r.entity in {"MAEU", "MSCU", "CMDU", "HLCU", "ONEY"}
+    qs = spark.createDataFrame([(q, q) for q in ASKED], "question_id string, question string")
+    marts = {"carrier_scorecard": lk.scorecard, "eta_baseline": lk.eta_baseline}
+    for r in metrics.answer_questions(qs, marts).collect():
+        kind, metric, carrier, port = ASKED[r.question_id]
+        assert (r.kind, r.metric) == (kind, metric), r
+        assert carrier in (None, r.carrier_filter) and port in (None, r.port_filter), r
+        assert (r.entity is not None) == (kind == "superlative") and (r.value is None) == (kind == "refusal"), r
 
 
 def test_weighted_average_matches_definition(spark):

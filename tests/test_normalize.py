@@ -1,6 +1,7 @@
-"""Golden carrier fixture: formats, quarantine, de-dup, three rules, stable ids."""
+"""Carrier scans of our own: formats, quarantine, de-dup, three rules, stable ids."""
 
 import os
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -8,28 +9,34 @@ from conftest import write_ndjson
 from tidewater.operators import normalize, rules, state
 from tidewater.sources.bronze import read_carrier_bronze
 
-ASOF = "2026-07-21T00:00:00Z"
+ASOF = "2025-03-10T12:00:00Z"
 
 
-def ev(eid, carrier, ref, status, ts, planned, origin, dest):
-    return {"event_id": eid, "carrier": carrier, "ref": ref, "status": status, "timestamp": ts,
-            "planned": planned, "origin": origin, "dest": dest}
+def scan(eid, ref, status, when, planned=None, **more):
+    return {"event_id": eid, "carrier": ref[:4], "ref": ref, "status": status, "timestamp": when,
+            "planned": planned or when, "origin": "DEHAM", "dest": "INMUN"} | more
 
 
+def millis(*when):
+    return str(int(datetime(*when, tzinfo=timezone.utc).timestamp()) * 1000)
+
+
+DONE, LATE, HELD, QUIET = "ONEYKTY0042117", "HLCU204B318890", "MSCU4410093", "CMDUXK5550123"
 ROWS = [
-    ev("a1", "MAEU", "MAEU123456789", "BOOKING CONFIRMED", "2026-07-01T00:00:00Z", "2026-07-01T00:00:00Z", "CNSHA", "USLAX"),
-    ev("a2", "MAEU", "MAEU123456789", "VESSEL DEPARTURE", "2026-07-04T02:00:00Z", "2026-07-04T00:00:00Z", "CNSHA", "USLAX"),
-    ev("a3", "MAEU", "MAEU123456789", "VESSEL ARRIVAL", "2026-07-18T00:00:00Z", "2026-07-18T00:00:00Z", "CNSHA", "USLAX"),
-    ev("a4", "MAEU", "MAEU123456789", "CUSTOMS RELEASE", "2026-07-19T00:00:00Z", "2026-07-19T00:00:00Z", "CNSHA", "USLAX"),
-    ev("a5", "MAEU", "MAEU123456789", "DELIVERED", "2026-07-20T00:00:00Z", "2026-07-20T00:00:00Z", "CNSHA", "USLAX"),
-    ev("a5", "MAEU", "MAEU123456789", "DELIVERED", "2026-07-20T00:00:00Z", "2026-07-20T00:00:00Z", "CNSHA", "USLAX"),
-    ev("c1", "MSCU", "MSCU1234567", "VESSEL DEPARTURE", "1784556000000", "1784448000000", "SGSIN", "NLRTM"),
-    ev("d1", "HLCU", "HLCU123A456789", "VESSEL ARRIVAL", "18/07/2026 12:00", "18/07/2026 10:00", "INNSA", "DEHAM"),
-    ev("e1", "CMDU", "CMDUAB1234567", "BOOKING CONFIRMED", "2026-07-15T00:00:00Z", "2026-07-15T00:00:00Z", "USLGB", "SGSIN"),
-    ev("e2", "CMDU", "CMDUAB1234567", "GATE-IN FULL", "2026-07-18T22:00:00Z", "2026-07-18T20:00:00Z", "USLGB", "SGSIN"),
-    ev("q1", "MAEU", "XXXX123456789", "GATE-IN FULL", "2026-07-20T00:00:00Z", "2026-07-20T00:00:00Z", "CNSHA", "USLAX"),
-    ev("q2", "MAEU", "MAEU999999999", "STATUS_777", "2026-07-20T00:00:00Z", "2026-07-20T00:00:00Z", "CNSHA", "USLAX"),
-    ev("q3", "MAEU", "MAEU888888888", "DELIVERED", "not-a-time", "2026-07-20T00:00:00Z", "CNSHA", "USLAX"),
+    scan("book", DONE, "BOOKING CONFIRMED", "2025-02-01T09:00:00Z"),
+    scan("sail", DONE, "VESSEL DEPARTURE", "2025-02-06T04:00:00Z", "2025-02-06T00:00:00Z"),
+    scan("drop", DONE, "DELIVERED", "2025-03-02T15:00:00Z", "2025-03-02T12:00:00Z"),
+    scan("drop", DONE, "DELIVERED", "2025-03-02T15:00:00Z", "2025-03-02T12:00:00Z"),
+    # 33.5 h after plan, 188.5 h ago
+    scan("late", LATE, "VESSEL DEPARTURE", "02/03/2025 15:30", "01/03/2025 06:00"),
+    # 64 h at the port without a release
+    scan("held", HELD, "VESSEL ARRIVAL", millis(2025, 3, 7, 20), millis(2025, 3, 7, 8)),
+    # silent for 37 h, 24 h are normal
+    scan("load", QUIET, "LOAD ON VESSEL", "2025-03-08T23:00:00Z"),
+    scan("bad-ref", "HLCU20B4318890", "DELIVERED", "05/03/2025 08:00"),
+    scan("bad-status", HELD, "CONTAINER WASHED", millis(2025, 3, 8)),
+    scan("bad-time", DONE, "OUT FOR DELIVERY", "yesterday noon", "2025-03-01T00:00:00Z"),
+    scan("no-such-day", LATE, "LOAD ON VESSEL", "31/02/2025 10:00", "28/02/2025 10:00"),
 ]
 
 
@@ -44,48 +51,61 @@ def build(spark, root, asof=ASOF):
 
 
 def lake(tmp):
-    write_ndjson(os.path.join(tmp, "2026-07-20", "events_0.ndjson"), ROWS)
+    write_ndjson(os.path.join(tmp, "2025-03-09", "events_0.ndjson"), ROWS)
     return tmp
 
 
 def test_counts_and_quarantine(spark, tmpdir_path):
-    cls, silver, _, _ = build(spark, lake(tmpdir_path))
+    cls, _, _, _ = build(spark, lake(tmpdir_path))
     c = normalize.run_counters(cls).first()
-    assert (c.events_read, c.events_processed, c.duplicates) == (13, 9, 1)
-    assert c.quarantined_total == 3
-    reasons = {r.event_id: r.reason for r in normalize.quarantine_rows(cls).collect()}
-    assert reasons == {"q1": "unmapped_ref", "q2": "unknown_status", "q3": "unparseable_time"}
+    assert (c.events_read, c.events_processed, c.duplicates, c.quarantined_total) == (11, 6, 1, 4)
+    bad = normalize.quarantine_rows(cls)
+    assert {r.event_id: r.reason for r in bad.collect()} == {
+        "bad-ref": "unmapped_ref", "bad-status": "unknown_status", "bad-time": "unparseable_time",
+        "no-such-day": "unparseable_time"}
     # the payload is kept with the reason
-    assert normalize.quarantine_rows(cls).where("event_id = 'q3'").first().timestamp == "not-a-time"
+    assert bad.where("event_id = 'bad-time'").first().timestamp == "yesterday noon"
 
 
 def test_formats(spark, tmpdir_path):
     _, silver, _, _ = build(spark, lake(tmpdir_path))
     got = {r.event_id: r.ts for r in silver.select(
         "event_id", F.date_format("actual_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts")).collect()}
-    assert got["c1"] == "2026-07-20T14:00:00Z"
-    assert got["d1"] == "2026-07-18T12:00:00Z"
+    assert (got["held"], got["late"], got["load"]) == (
+        "2025-03-07T20:00:00Z", "2025-03-02T15:30:00Z", "2025-03-08T23:00:00Z")
 
 
 def test_rules(spark, tmpdir_path):
     _, _, _, q = build(spark, lake(tmpdir_path))
-    rows = {r.exception_type: r for r in q.collect()}
-    assert set(rows) == {"LATE_DEPARTURE", "CUSTOMS_DWELL", "MISSED_MILESTONE"}
-    late = rows["LATE_DEPARTURE"]
-    assert (late.shipment_id, late.age_hours, late.detail) == ("MSCU1234567", 10.0, "departed 30h after plan")
-    cus = rows["CUSTOMS_DWELL"]
-    assert (cus.shipment_id, cus.age_hours, cus.detail) == ("HLCU123A456789", 12.0, "in customs 60h with no release")
-    mis = rows["MISSED_MILESTONE"]
-    assert (mis.shipment_id, mis.age_hours) == ("CMDUAB1234567", 14.0)
-    assert mis.detail == "no event for 50h after gate_in (max normal 36h)"
-    assert all(r.probable_cause == "unknown" for r in rows.values())
+    got = {(r.shipment_id, r.exception_type): (r.age_hours, r.detail, r.probable_cause) for r in q.collect()}
+    assert got == {
+        (LATE, "LATE_DEPARTURE"): (188.5, "departed 34h after plan", "unknown"),
+        (HELD, "CUSTOMS_DWELL"): (16.0, "in customs 64h with no release", "unknown"),
+        (QUIET, "MISSED_MILESTONE"): (13.0, "no event for 37h after loaded_on_vessel (max normal 24h)", "unknown"),
+    }
 
 
 def test_ids_stable_over_runs(spark, tmpdir_path):
     root = lake(tmpdir_path)
-    ids0 = {r.exception_id for r in build(spark, root)[3].collect()}
-    ids6 = {r.exception_id for r in build(spark, root, "2026-07-21T06:00:00Z")[3].collect()}
-    assert ids0 == ids6 and len(ids0) == 3
+    first, later = ({r.exception_id for r in build(spark, root, asof)[3].collect()}
+                    for asof in (ASOF, "2025-03-10T15:00:00Z"))
+    assert first == later and len(first) == 3
+
+
+def test_departure_delay_text_prints_the_double(spark):
+    from tidewater.functions.timefmt import hours_text1
+    whole = [h * 3600 + m * 60 for h in range(1, 60) for m in range(60)]
+    df = spark.createDataFrame([(s,) for s in whole], "s long").select("s", hours_text1(F.col("s")).alias("t"))
+    assert {r.s: r.t for r in df.collect()} == {s: f"{s / 3600:.1f}" for s in whole}
+
+
+def test_feed_keeps_every_line_and_addresses_without_a_pin(spark):
+    from conftest import SF001
+    from tidewater.plans.lake import Lake
+    lk = Lake(spark, SF001)
+    assert lk.raw.count() == lk.table("lineitem").count()
+    pins = lk.last_mile.select(F.count_if(F.col("pincode").isNull()).alias("none"), F.count("pincode").alias("some"))
+    assert all(pins.first())
 
 
 def test_first_valid_copy_wins(spark, tmpdir_path):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from conftest import SF001, write_ndjson
-from test_ais import MESSAGES
+from test_ais import COASTER, DAY, FEEDER, MESSAGES
 from tidewater.operators import ais, gold, normalize
 from tidewater.plans.lake import Lake
 from tidewater.sinks import tables
@@ -50,42 +50,42 @@ def test_normalize_stream_equals_batch(spark, tmpdir_path):
 def test_normalize_stream_drops_copies_seen_in_earlier_batches(spark, tmpdir_path):
     from test_normalize import ROWS
     bronze, out = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "silver")
-    write_ndjson(os.path.join(bronze, "2026-07-20", "a.ndjson"), ROWS[:5])
+    write_ndjson(os.path.join(bronze, "2025-03-08", "a.ndjson"), ROWS[:5])
     ck = os.path.join(tmpdir_path, "ckpt")
     jobs.start_normalize(spark, bronze, out, checkpoint=ck).awaitTermination()
-    later = [dict(ROWS[1], origin="ZZZZZ"), ROWS[6]]        # a2 again (different payload) + a new event
-    write_ndjson(os.path.join(bronze, "2026-07-21", "b.ndjson"), later)
+    later = [dict(ROWS[1], origin="ZZZZZ"), ROWS[6]]        # "sail" again (different payload) + a new event
+    write_ndjson(os.path.join(bronze, "2025-03-09", "b.ndjson"), later)
     jobs.start_normalize(spark, bronze, out, checkpoint=ck).awaitTermination()
     got = {r.event_id: r.origin for r in spark.read.parquet(f"{out}/shipment_events").collect()}
-    assert got["a2"] == "CNSHA" and "c1" in got and len(got) == 6
+    assert got["sail"] == "DEHAM" and set(got) == {"book", "sail", "drop", "late", "load"}
 
 
 def test_anchor_hours_stream_equals_batch(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "ais")
-    write_ndjson(os.path.join(src, "2026-07-21", "a.ndjson"), MESSAGES[:3])
-    write_ndjson(os.path.join(src, "2026-07-21", "b.ndjson"), MESSAGES[3:])
-    # a report the next day moves the watermark past the end of 2026-07-21
-    write_ndjson(os.path.join(src, "2026-07-22", "c.ndjson"), [MESSAGES[0] | {"received_at": "2026-07-22T06:00:00Z"}])
+    write_ndjson(os.path.join(src, DAY, "a.ndjson"), MESSAGES[:3])
+    write_ndjson(os.path.join(src, DAY, "b.ndjson"), MESSAGES[3:])
+    # a report the next day moves the watermark past the end of the day
+    write_ndjson(os.path.join(src, "2025-02-12", "c.ndjson"), [MESSAGES[0] | {"received_at": "2025-02-12T06:00:00Z"}])
     dwell_path = os.path.join(tmpdir_path, "dwell")
     jobs.start_anchor_hours(spark, src, dwell_path, checkpoint=os.path.join(tmpdir_path, "ck"),
                             max_files=1).awaitTermination()
     got = {(r.mmsi, r.box): r.anchor_hours for r in
-           spark.read.parquet(dwell_path).where("date = '2026-07-21'").collect()}
-    positions, _ = ais_messages(read_ais_day(spark, src, "2026-07-21"))
+           spark.read.parquet(dwell_path).where(F.col("date") == DAY).collect()}
+    positions, _ = ais_messages(read_ais_day(spark, src, DAY))
     want = {(r.mmsi, r.box): r.anchor_hours for r in ais.vessel_dwell(positions).collect()}
-    assert got == want == {("111", "la_long_beach"): 3, ("333", "singapore_strait"): 1}
+    assert got == want == {(str(COASTER), "india_west"): 3, (str(FEEDER), "singapore_strait"): 1}
 
 
 def test_vessel_stream_keeps_newest(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "ais")
-    write_ndjson(os.path.join(src, "2026-07-21", "a.ndjson"), MESSAGES[-1:])   # 09:00 report
+    write_ndjson(os.path.join(src, DAY, "a.ndjson"), MESSAGES[-1:])   # 17:20 report
     root = os.path.join(tmpdir_path, "dim")
     ck = os.path.join(tmpdir_path, "ck")
     jobs.start_vessels(spark, src, root, checkpoint=ck).awaitTermination()
-    write_ndjson(os.path.join(src, "2026-07-22", "b.ndjson"), MESSAGES[-2:-1])  # replayed 01:00 report
+    write_ndjson(os.path.join(src, "2025-02-12", "b.ndjson"), MESSAGES[-2:-1])  # replayed 04:00 report
     jobs.start_vessels(spark, src, root, checkpoint=ck).awaitTermination()
     v = tables.read_current(spark, root).collect()
-    assert len(v) == 1 and v[0].observed_at.hour == 9
+    assert len(v) == 1 and v[0].observed_at.hour == 17
 
 
 def _queue(spark, ages):
@@ -143,7 +143,7 @@ def test_ais_bronze_stamp_and_filter(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "bronze")
     jobs.start_ais_bronze(spark, landing, out, checkpoint=os.path.join(tmpdir_path, "ck")).awaitTermination()
     got = spark.read.json(out)
-    # 444 is outside every box, "Other" is not subscribed
+    # one report is outside every box, "Other" is not subscribed
     assert got.count() == len(MESSAGES) - 1
     assert got.where("received_at is null").count() == 0
 
