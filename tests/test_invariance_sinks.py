@@ -46,6 +46,7 @@ def test_versioned_write_and_snapshots(spark, tmpdir_path):
     snaps = os.path.join(tmpdir_path, "snaps")
     tables.append_snapshot(spark.range(2), snaps, "2026-07-20T00:00:00Z")
     tables.append_snapshot(spark.range(7), snaps, "2026-07-21T00:00:00Z")
+    tables.append_snapshot(spark.range(7), snaps, "2026-07-21T00:00:00Z")   # rerun: the same snapshot
     s = spark.read.parquet(snaps)
     assert tables.snapshot_as_of(s, "2026-07-20T12:00:00Z").count() == 2
     assert tables.restore_snapshot(s, "2026-07-22T00:00:00Z").count() == 7

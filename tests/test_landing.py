@@ -43,3 +43,17 @@ def test_feed_silence_from_bronze_files(spark, tmpdir_path):
     assert 4.9 <= v.feed_silence_hours <= 5.1 and v.silent
     quiet = feed_silence(bronze_file_times(spark, root), 0, "2026-07-20T19:11:00Z").first()
     assert quiet.feed_silence_hours < 3 and not quiet.silent
+
+
+def test_empty_files_and_odd_names_land(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    write_ndjson(os.path.join(landing, "empty.ndjson"), [])
+    write_ndjson(os.path.join(landing, "two words+50%.ndjson"), [{"event_id": "a"}])
+    rows = {os.path.basename(r.file_path): r for r in landing_plan(spark, landing, "2026-07-21").collect()}
+    assert {k: (r.ok, r.lines) for k, r in rows.items()} == {"empty.ndjson": (True, 0),
+                                                             "two words+50%.ndjson": (True, 1)}
+
+
+def test_absent_weather_sources_are_empty(spark, tmpdir_path):
+    from tidewater.sources.bronze import read_weather
+    assert [df.count() for df in read_weather(spark, tmpdir_path)] == [0, 0, 0]

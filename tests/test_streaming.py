@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -60,6 +61,31 @@ def test_normalize_stream_drops_copies_seen_in_earlier_batches(spark, tmpdir_pat
     assert got["sail"] == "DEHAM" and set(got) == {"book", "sail", "drop", "late", "load"}
 
 
+def test_normalize_batch_that_failed_between_writes_gives_the_same_tables(spark, tmpdir_path, monkeypatch):
+    from test_normalize import ROWS
+    bronze = os.path.join(tmpdir_path, "bronze")
+    home = {"delivery_address": "Shed 12, Kandla 370230"}
+    write_ndjson(os.path.join(bronze, "2025-03-08", "a.ndjson"), [r | home for r in ROWS])
+    write = jobs._write_batch
+
+    def failing(df, path, *rest):
+        if path.endswith("shipment_events"):
+            raise OSError("lost")
+        write(df, path, *rest)
+
+    def run(out, ck):
+        jobs.start_normalize(spark, bronze, os.path.join(tmpdir_path, out),
+                             checkpoint=os.path.join(tmpdir_path, ck)).awaitTermination()
+        return {t: spark.read.parquet(os.path.join(tmpdir_path, out, t)).count()
+                for t in ("shipment_events", "last_mile", "quarantine")}
+
+    monkeypatch.setattr(jobs, "_write_batch", failing)
+    with pytest.raises(Exception):
+        run("retried", "ck1")
+    monkeypatch.setattr(jobs, "_write_batch", write)
+    assert run("retried", "ck1") == run("plain", "ck2") == {"shipment_events": 6, "last_mile": 6, "quarantine": 4}
+
+
 def test_anchor_hours_stream_equals_batch(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "ais")
     write_ndjson(os.path.join(src, DAY, "a.ndjson"), MESSAGES[:3])
@@ -112,7 +138,7 @@ def test_mart_and_alert_streams(spark, tmpdir_path):
 
     def run(now):
         w = jobs.queue_stream(spark, snaps, schema).writeStream \
-            .foreachBatch(lambda df, _id: jobs.alert_batch(df, state_root, dec, now)) \
+            .foreachBatch(lambda df, n: jobs.alert_batch(df, state_root, dec, now, str(n))) \
             .option("checkpointLocation", ck).trigger(availableNow=True)
         w.start().awaitTermination()
 
@@ -138,17 +164,19 @@ def test_landing_stream_rejects_whole_file(spark, tmpdir_path):
 def test_ais_bronze_stamp_and_filter(spark, tmpdir_path):
     import json
     landing = os.path.join(tmpdir_path, "landing")
-    msgs = MESSAGES + [{"MessageType": "Other"}]
+    in_meta = {"MessageType": "PositionReport", "MetaData": {"MMSI": 7, "latitude": 22.61, "longitude": 69.88},
+               "Message": {"PositionReport": {"Sog": 0.1}}}
+    msgs = MESSAGES + [{"MessageType": "Other"}, in_meta]
     write_ndjson(os.path.join(landing, "m.ndjson"), msgs)
     out = os.path.join(tmpdir_path, "bronze")
     jobs.start_ais_bronze(spark, landing, out, checkpoint=os.path.join(tmpdir_path, "ck")).awaitTermination()
-    got = spark.read.json(out)
+    day = os.listdir(out)[0]
+    got = read_ais_day(spark, out, day)
     # one report is outside every box, "Other" is not subscribed
-    assert got.count() == len(MESSAGES) - 1
-    assert got.where("received_at is null").count() == 0
-
-
-import pytest
+    assert got.count() == len(MESSAGES)
+    positions, statics = ais_messages(got)
+    assert positions.where("received_at is null").count() == 0 and statics.count() == 2
+    assert positions.where(F.to_date("received_at") == day).count() == positions.count() == 7
 
 
 @pytest.mark.parametrize("grace", [None, 24 * 30])

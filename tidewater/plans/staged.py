@@ -49,7 +49,7 @@ def normalize_stage(spark: SparkSession, raw: DataFrame, t: Tables, asof: str |
     bad = staged.where(~F.col("valid")).drop("valid", "_ingest", "_malformed", "event_type", "actual_ts",
                                             "planned_ts", "ms_idx", "eway_ts")
     if "date" in bad.columns:
-        tables.overwrite_partitions(bad, t.quarantine, "date")
+        tables.overwrite_partitions(bad, t.quarantine, "date", scope=staged)
     dd = normalize.dedupe(staged.where(F.col("valid")).drop("valid"))
     dd.write.mode("overwrite").parquet(t.deduped)
     dd = spark.read.parquet(t.deduped)
@@ -58,7 +58,9 @@ def normalize_stage(spark: SparkSession, raw: DataFrame, t: Tables, asof: str |
     tables.write_sorted(normalize.last_mile(dd), t.last_mile, ["shipment_id"])
     counters = normalize.run_counters(staged).withColumn("asof", asof_literal(asof)) \
         .withColumn("run_ts", F.current_timestamp())
-    counters.write.mode("append").parquet(t.run_summary)
+    # one row for each instant: a repeated run replaces its own
+    counters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("asof").parquet(t.run_summary)
     return spark.read.parquet(t.run_summary).orderBy(F.desc("run_ts")).first().asDict()  # one row
 
 

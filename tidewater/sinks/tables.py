@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,26 +38,19 @@ def write_sorted(df: DataFrame, path: str, sort_cols: list[str], partitions: int
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "date",
-                         files_per_partition: int = 1) -> None:
+                         scope: DataFrame | None = None) -> None:
     """Replace only the partitions present in ``df`` (upsert by date).
 
-    Rows are first shuffled on the partition column (plus a deterministic
-    hash spread over ``files_per_partition`` files for large or hot dates),
-    so each partition is written by a few tasks instead of every task writing
-    a small file into every partition.  To clear a date whose new result is
-    empty, use ``clear_partitions``."""
-    spark = df.sparkSession
-    if files_per_partition > 1:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        df = df.repartition(F.col(partition_col), spread)
-    else:
-        df = df.repartition(F.col(partition_col))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    Rows are rebalanced on the partition column: small dates share a task, a
+    date larger than the advisory partition size is split over several.
+    ``scope`` holds the dates this run has read; those without a row in ``df``
+    are cleared (the driver sees such dates only)."""
+    df.hint("rebalance", F.col(partition_col)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    if scope is not None:
+        read = scope.select(F.col(partition_col).cast("string").alias("d")).distinct()
+        gone = read.join(df.select(F.col(partition_col).cast("string").alias("d")).distinct(), "d", "left_anti")
+        clear_partitions(df.sparkSession, path, partition_col, [r.d for r in gone.collect()])
 
 
 def clear_partitions(spark: SparkSession, path: str, partition_col: str, values: list[str]) -> None:
@@ -80,9 +73,9 @@ def upsert_by_key(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFr
 def write_version(df: DataFrame, root: str) -> str:
     """Write ``df`` under ``root/v=<id>`` and switch ``root/_CURRENT`` to it.
 
-    The pointer file is written last, so readers see either the old or the new
-    version, never a partial one."""
-    version = f"{datetime.utcnow().strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    The pointer file is written last and replaced by one overwriting rename, so
+    readers see either the old or the new version, never a partial one or none."""
+    version = f"{datetime.now(timezone.utc).strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
     target = f"{root.rstrip('/')}/v={version}"
     df.write.mode("errorifexists").parquet(target)
     spark = df.sparkSession
@@ -94,9 +87,11 @@ def write_version(df: DataFrame, root: str) -> str:
     out = fs.create(tmp, True)
     out.write(bytearray(json.dumps({"version": version}).encode()))
     out.close()
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    fs.rename(tmp, ptr)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+        fs.makeQualified(tmp), fs.makeQualified(ptr), how)
     return target
 
 
@@ -121,9 +116,10 @@ def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | Non
 
 
 def append_snapshot(df: DataFrame, root: str, snapshot_ts: str | datetime) -> None:
-    """Append one build of a table under ``snapshot_ts=<instant>``."""
+    """Add one build of a table under ``snapshot_ts=<instant>``; a repeated run replaces its own."""
     stamped = df.withColumn("snapshot_ts", asof_literal(snapshot_ts))
-    stamped.write.mode("append").partitionBy("snapshot_ts").parquet(root)
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("snapshot_ts").parquet(root)
 
 
 def snapshot_as_of(snapshots: DataFrame, t: str | datetime) -> DataFrame:

@@ -70,18 +70,30 @@ def read_carrier_bronze(spark: SparkSession, root: str) -> DataFrame:
     ).select(*[F.col(f"j.{f}").alias(f) for f in CARRIER_FIELDS], "date", "value", "_malformed", "_ingest")
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _any_file(spark: SparkSession, pattern: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return bool(found)
+
+
+def _empty_files(spark: SparkSession, landing: str) -> list[str]:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{landing.rstrip('/')}/*.ndjson")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    return [f.getPath().toString() for f in found if f.isFile() and not f.getLen()]
+
+
 def read_ais_day(spark: SparkSession, root: str, date: str) -> DataFrame:
     """One receipt date of AIS messages (``<root>/<date>/*.ndjson``) as ``m``
     (``AIS_SAFE`` struct) and ``_ingest``; a missing day is an empty result,
     not an error."""
     path = f"{root.rstrip('/')}/{date}"
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         empty = spark.createDataFrame([], "value string")
         return empty.select(parse_ais(F.col("value")).alias("m"), F.lit(0).cast("bigint").alias("_ingest"))
     return spark.read.text(f"{path}/*.ndjson").select(
@@ -133,8 +145,12 @@ _GDELT = T.StructType([T.StructField("articles", T.ArrayType(T.StructType([
 
 
 def _payload(spark: SparkSession, root: str, source: str, schema: T.StructType) -> DataFrame:
-    """``date, p`` for every ``<root>/<date>/<source>.json`` (whole-file JSON)."""
-    df = spark.read.text(f"{root.rstrip('/')}/*/{source}.json", wholetext=True)
+    """``date, p`` for every ``<root>/<date>/<source>.json`` (whole-file JSON); no such file: no rows."""
+    files = f"{root.rstrip('/')}/*/{source}.json"
+    if not _any_file(spark, files):
+        return spark.createDataFrame([], "date string, value string").select(
+            "date", F.from_json("value", schema).alias("p"))
+    df = spark.read.text(files, wholetext=True)
     return df.select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("date"),
                      F.from_json("value", schema).alias("p"))
 
@@ -184,8 +200,16 @@ def landing_plan(spark: SparkSession, landing: str, date: str, registry: DataFra
     Columns: ``file_path, date, digest, lines, ok, already_landed, landed_other_date``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ndjson").load(landing) \
         .select(F.col("path").alias("file_path"), F.substring(F.sha1("content"), 1, 12).alias("digest"))
-    checks = landing_validation(spark, landing)
-    plan = files.join(checks, "file_path").withColumn("date", F.lit(date))
+    # Spark's readers skip files without a byte: those are listed by name
+    empty = spark.createDataFrame([(p,) for p in _empty_files(spark, landing)], "file_path string")
+    files = files.unionByName(empty.withColumn("digest", F.substring(F.sha1(F.lit("")), 1, 12)))
+    # one spelling of a path for both readers: no scheme, names as they are on disk
+    bare = F.regexp_replace("file_path", "^[a-z0-9]+:/+", "/")
+    plain = F.url_decode(F.replace(bare, F.lit("+"), F.lit("%2B")))
+    checks = landing_validation(spark, landing).select(plain.alias("_at"), "lines", "ok")
+    # an empty file has no line to check: it lands, with no events
+    plan = (files.withColumn("_at", bare).join(checks, "_at", "left").drop("_at").withColumn("date", F.lit(date))
+            .withColumn("lines", F.coalesce("lines", F.lit(0))).withColumn("ok", F.coalesce("ok", F.lit(True))))
     if registry is not None:
         reg = registry.select("date", "digest").distinct().withColumn("already_landed", F.lit(True))
         other = registry.where(F.col("date") != F.lit(date)).select("digest").distinct() \
@@ -207,7 +231,7 @@ def ingest_counters(plan: DataFrame) -> DataFrame:
 def read_mart(spark: SparkSession, gold_root: str, name: str) -> DataFrame:
     """A gold mart by name; a clear error when it has not been built."""
     path = f"{gold_root.rstrip('/')}/{name}"
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"mart {name} not built yet ({path}); run the gold stage first")
     return spark.read.parquet(path)
 

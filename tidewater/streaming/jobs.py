@@ -14,26 +14,31 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewater.functions.timefmt import iso
 from tidewater.operators import ais, alerts, gold, normalize
 from tidewater.session import checkpoint_dir
 from tidewater.sinks import tables
 from tidewater.sources.bronze import CARRIER_FIELDS, CARRIER_SCHEMA, ais_messages, is_json_object_line, \
-    parse_ais
+    parse_ais, path_exists
 
 
 def _ckpt(spark: SparkSession, name: str, given: str | None) -> str:
     return given or f"{checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
-def _table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - table not written yet
-        return None
+def _batch_tag(spark: SparkSession, batch_id: int) -> str:
+    """Names a micro-batch for good: the query's id (kept in its checkpoint) and the batch number."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}"
+
+
+def _write_batch(df: DataFrame, path: str, tag: str, *partition_cols: str) -> None:
+    """Write a micro-batch's rows under ``batch=<tag>``; a retry of the batch replaces them."""
+    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{path.rstrip('/')}/batch={tag}")
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -68,11 +73,14 @@ def with_ingest_order(batch: DataFrame) -> DataFrame:
 
 
 def normalize_batch(batch: DataFrame, silver_path: str, quarantine_path: str, lastmile_path: str,
-                    horizon_days: int | None = None) -> None:
+                    tag: str, horizon_days: int | None = None) -> None:
     """One micro-batch: classify, first-valid-copy per event id inside the
-    batch, drop ids already stored, append silver/last-mile, append quarantine.
+    batch, drop ids that other batches stored, write quarantine, last-mile and
+    silver.
 
-    Every stored id is checked.  With ``horizon_days`` the check reads only the
+    Each table keeps a batch's rows in a folder of its own (``batch=<tag>``),
+    which a retry replaces, and the id check leaves that folder out: a batch
+    that failed between its writes gives the same tables when run again.  Every stored id is checked.  With ``horizon_days`` the check reads only the
     dates of this batch widened by the horizon (silver is partitioned by event
     date), and a copy whose event date is further away than that from the
     stored one is not recognised."""
@@ -80,22 +88,24 @@ def normalize_batch(batch: DataFrame, silver_path: str, quarantine_path: str, la
     cls = normalize.classify(with_ingest_order(batch)).persist()
     try:
         bad = normalize.quarantine_rows(cls).drop("_ingest", "_malformed")
-        bad.write.mode("append").partitionBy("date").parquet(quarantine_path)
+        _write_batch(bad, quarantine_path, tag, "date")
         dd = normalize.dedupe(normalize.valid_rows(cls))
-        dd = dd.withColumn("event_date", F.to_date("actual_ts")).persist()
-        stored = _table_or_none(spark, silver_path)
-        if stored is not None:
+        dd = dd.withColumn("event_date", F.to_date("actual_ts"))
+        if path_exists(spark, silver_path):
+            stored = spark.read.schema("event_id string, event_date date, batch string").parquet(silver_path) \
+                .where(F.col("batch") != tag)
             if horizon_days is not None:
                 lo, hi = dd.agg(F.min("event_date"), F.max("event_date")).first()  # one row
                 if lo is not None:
                     stored = stored.where(F.col("event_date").between(F.date_sub(F.lit(lo), horizon_days),
                                                                       F.date_add(F.lit(hi), horizon_days)))
             dd = dd.join(stored.select("event_id"), "event_id", "left_anti")
-        normalize.silver_events(dd).withColumn("event_date", F.to_date("actual_ts")).drop("_ingest") \
-            .write.mode("append").partitionBy("event_date").parquet(silver_path)
-        normalize.last_mile(dd).select(*normalize.LASTMILE_COLUMNS, F.col("_ingest.file").alias("_file"),
-                                       F.col("_ingest.row").alias("_row")) \
-            .write.mode("append").parquet(lastmile_path)
+        dd = dd.persist()
+        _write_batch(normalize.last_mile(dd).select(
+            *normalize.LASTMILE_COLUMNS, F.col("_ingest.file").alias("_file"), F.col("_ingest.row").alias("_row")),
+            lastmile_path, tag)
+        _write_batch(normalize.silver_events(dd).withColumn("event_date", F.to_date("actual_ts")).drop("_ingest"),
+                     silver_path, tag, "event_date")
         dd.unpersist()
     finally:
         cls.unpersist()
@@ -106,8 +116,8 @@ def start_normalize(spark: SparkSession, bronze_root: str, out_root: str, checkp
                     max_files: int | None = None, horizon_days: int | None = None) -> StreamingQuery:
     out = out_root.rstrip("/")
     w = carrier_stream(spark, bronze_root, max_files).writeStream.foreachBatch(
-        lambda df, _id: normalize_batch(df, f"{out}/shipment_events", f"{out}/quarantine", f"{out}/last_mile",
-                                        horizon_days))
+        lambda df, batch_id: normalize_batch(df, f"{out}/shipment_events", f"{out}/quarantine", f"{out}/last_mile",
+                                             _batch_tag(df.sparkSession, batch_id), horizon_days))
     w = w.option("checkpointLocation", _ckpt(spark, "normalize", checkpoint))
     return _trigger(w, available_now, interval).start()
 
@@ -205,9 +215,11 @@ def start_exception_mart(spark: SparkSession, snapshots_root: str, schema, mart_
     return _trigger(w, available_now, interval).start()
 
 
-def alert_batch(batch: DataFrame, state_root: str, decisions_path: str, now: str | datetime) -> None:
-    """Decide on the newest queue snapshot against the stored state, append the
-    decisions and switch to the next state version."""
+def alert_batch(batch: DataFrame, state_root: str, decisions_path: str, now: str | datetime,
+                tag: str) -> None:
+    """Decide on the newest queue snapshot against the stored state, write the
+    decisions under ``batch=<tag>`` (a retry replaces them) and switch to the
+    next state version."""
     spark = batch.sparkSession
     queue = _newest_snapshot(batch)
     state = tables.read_current(spark, state_root)
@@ -215,7 +227,7 @@ def alert_batch(batch: DataFrame, state_root: str, decisions_path: str, now: str
         state = spark.createDataFrame([], "exception_id string, type string, band int, alerted_at timestamp")
     decisions = alerts.decide(queue, state).persist()
     try:
-        decisions.write.mode("append").parquet(decisions_path)
+        _write_batch(decisions, decisions_path, tag)
         tables.write_version(alerts.next_state(state, decisions, now), state_root)
     finally:
         decisions.unpersist()
@@ -250,18 +262,43 @@ def stamp_and_filter(messages: DataFrame, message_types=("PositionReport", "Ship
     ``messages`` holds the raw JSON text in ``value``."""
     m = parse_ais(F.col("value"))
     mt = m["mt"]
-    in_box = ais.box_of(m["msg"]["pos"]["lat"], m["msg"]["pos"]["lon"]).isNotNull()
+    a, b, pos = m["meta_a"], m["meta_b"], m["msg"]["pos"]      # coordinates may be in the metadata only
+    in_box = ais.box_of(F.coalesce(pos["lat"], a["lat_lc"], b["lat_lc"], a["lat_uc"], b["lat_uc"]),
+                        F.coalesce(pos["lon"], a["lon_lc"], b["lon_lc"], a["lon_uc"], b["lon_uc"])).isNotNull()
     stamped = messages.select("value", F.current_timestamp().alias("received_at"), mt.alias("_mt"),
                               in_box.alias("_in_box"))
     return stamped.where(F.col("_mt").isin(*message_types)
                          & ((F.col("_mt") != "PositionReport") | F.col("_in_box"))) \
-        .select("value", "received_at", F.to_date("received_at").alias("date"))
+        .select(_with_received_at(F.col("value"), F.col("received_at")).alias("value"),
+                F.date_format("received_at", "yyyy-MM-dd").alias("date"))
+
+
+def _with_received_at(message: Column, at: Column) -> Column:
+    """The message's JSON text with ``received_at`` inside it as its last field (an earlier one yields to it)."""
+    body = F.regexp_replace(F.btrim(message), r"\s*\}$", "")
+    comma = F.when(F.endswith(F.btrim(body), F.lit("{")), F.lit("")).otherwise(F.lit(","))
+    return F.concat(body, comma, F.lit('"received_at":"'), iso(at), F.lit('"}'))
+
+
+def ais_bronze_batch(batch: DataFrame, bronze_root: str, tag: str) -> None:
+    """Write a micro-batch's messages, original text with the receipt time, by receipt date.
+
+    The text of one date goes to ``<date>/batch-<tag>.ndjson/``; the receipt
+    time is the batch's, so there are one or two dates a batch."""
+    kept = stamp_and_filter(batch).persist()
+    try:
+        for row in kept.select("date").distinct().collect():
+            kept.where(F.col("date") == row.date).select("value").write.mode("overwrite").text(
+                f"{bronze_root.rstrip('/')}/{row.date}/batch-{tag}.ndjson")
+    finally:
+        kept.unpersist()
 
 
 def start_ais_bronze(spark: SparkSession, landing: str, bronze_root: str, checkpoint: str | None = None,
                      available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
-    """Append stamped, filtered AIS messages to ``bronze/date=<receipt date>``."""
+    """Append stamped, filtered AIS messages to ``bronze/<receipt date>``, where ``read_ais_day`` finds them."""
     src = spark.readStream.format("text").load(landing)
-    w = stamp_and_filter(src).writeStream.format("json").partitionBy("date") \
-        .option("path", bronze_root).option("checkpointLocation", _ckpt(spark, "ais_bronze", checkpoint))
+    w = src.writeStream.foreachBatch(lambda df, batch_id: ais_bronze_batch(
+        df, bronze_root, _batch_tag(df.sparkSession, batch_id))) \
+        .option("checkpointLocation", _ckpt(spark, "ais_bronze", checkpoint))
     return _trigger(w, available_now, interval).start()
