@@ -190,6 +190,36 @@ def test_near_edges(spark, make_docs):
     assert neardup.near_classes(docs.limit(0)).count() == 0 and neardup.keep_one(docs.limit(0)).count() == 0
 
 
+def brute_classes(texts, least=0.8, k=5):
+    """Classes of texts whose common shingles are in one order in all of them: plain set similarity."""
+    sets = [{tuple(w[i:i + k]) for i in range(len(w) - k + 1)} for w in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, a in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            same = len(a & sets[j])
+            if same >= least * (len(a) + len(sets[j]) - same):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return {i: find(i) for i in range(len(texts))}
+
+
+def test_near_pairs_inside_a_template_group(spark, make_docs):
+    form, texts = words_of(344, 21), []  # 340 of 400 shingles in common: 0.74 pairwise
+    for p in range(150):
+        tail = words_of(60, 1000 + p)
+        same = 17 + p % 3  # with the form, 0.806 to 0.815
+        texts += [form + tail, form + tail[:same] + words_of(60 - same, 5000 + p)]
+    want = brute_classes(texts)
+    assert sum(i != c for i, c in want.items()) == 150
+    docs = make_docs([(i, " ".join(w), "s") for i, w in enumerate(texts)])
+    assert {r.doc_id: r.class_id for r in neardup.near_classes(docs).collect()} == want
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).selectExpr("id a", "id + 1 b").unionAll(spark.createDataFrame([(100, 100), (7, 3)], "a long, b long"))
     got = {r.node: r.component for r in components(edges).collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -16,6 +18,10 @@ from tidewater.llm.common import components, stored, text_of
 _MUL = np.uint64(0x9FB21C651E98DF25)
 _ADD = np.uint64(0x2545F4914F6CDD1D)
 _WIDE = 200_000  # k-mers a text may have to be sketched for all functions at once
+_SLOTS = 1 << 20  # counters of the shingle order
+_CHUNK = 1 << 14  # counters that are summed together
+_FEW = 1_000_000  # shingles, 8 bytes each, that may be broadcast
+_SLACK = 1e-6  # bounds on counts of shingles give way by this much, so rounding loses no pair
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -99,6 +105,17 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     return chain / (both - chain)
 
 
+def rarest(keys: np.ndarray, counts: np.ndarray, length: int) -> np.ndarray:
+    """The ``length`` first keys by the count of their slot, then by key: an order all texts share."""
+    seen = counts[(keys & np.uint64(len(counts) - 1)).astype(np.int64)]
+    return keys[np.lexsort((keys, seen))[:length]]
+
+
+def reach(n: int, share: float) -> int:
+    """Rarest shingles of a text of ``n`` that hold one of any ``share * n`` shingles of it."""
+    return n - max(1, math.ceil(share * n - _SLACK)) + 1
+
+
 def _sketcher(k: int, count: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,6 +147,88 @@ def _verifier(k: int, least: float):
     return run
 
 
+def _counter(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(_SLOTS, np.int32)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                np.add.at(counts, (kmers(text, k) & np.uint64(_SLOTS - 1)).astype(np.int64), 1)
+        if counts.any():
+            parts = counts.reshape(-1, _CHUNK)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(parts)), pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for c in parts])],
+                names=["chunk", "counts"])
+
+    return run
+
+
+def _counts(docs: DataFrame, k: int) -> np.ndarray:
+    """Shingles of all texts by slot; a table of fixed size, whatever the corpus."""
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, chunk = np.zeros(_CHUNK, np.int64), None
+        for batch in parts:
+            chunk = batch.column("chunk")[0]
+            for packed in batch.column("counts").to_pylist():
+                total += np.frombuffer(zlib.decompress(packed), np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int32()), pa.array([total.tobytes()])],
+                                         names=["chunk", "counts"])
+
+    schema = "chunk int, counts binary"
+    rows = docs.select(text_of().alias("text")).mapInArrow(_counter(k), schema).groupBy("chunk").applyInArrow(add, schema)
+    counts = np.zeros(_SLOTS, np.int64)
+    for row in rows.collect():  # 64 rows
+        counts[row.chunk * _CHUNK:(row.chunk + 1) * _CHUNK] = np.frombuffer(row.counts, np.int64)
+    return counts
+
+
+def _rarest_of(k: int, counts: np.ndarray, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, firsts, rows = [], [], []
+            for text in batch.column("text").to_pylist():
+                keys = kmers(text, k)
+                n = len(keys)
+                sizes.append(n)
+                firsts.append(reach(n, 2 * least / (1 + least)) if n else 0)
+                rows.append(rarest(keys, counts, reach(n, least)).view(np.int64) if n else [])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(firsts, pa.int64()),
+                 pa.array(rows, pa.list_(pa.int64()))], names=["node", "n", "first", "rare"])
+
+    return run
+
+
+def _unmet(docs: DataFrame, named: DataFrame, k: int, least: float) -> DataFrame:
+    """All pairs ``a, b`` of unequal parts that may be near duplicates: a prefix-filter join, none is left out.
+
+    Texts of s <= g shingles at similarity ``least`` have ``least / (1 + least) *
+    (s + g)`` in common at least, which is no less than ``2 * least / (1 +
+    least) * s`` and ``least * g``.  So the rarest of the common ones is among
+    the ``reach`` of either share, and as many as are needed do not come before
+    it in either text.  The order decides only how few texts share a rare
+    shingle.  Shingles whose texts are one part already drop out by an aggregate.
+    """
+    texts = docs.select(F.unhex(F.md5(F.encode(text_of(), "UTF-8"))).alias("key"), text_of().alias("text"))
+    rare = stored(texts.mapInArrow(_rarest_of(k, _counts(docs, k), least),
+                                   "node binary, n bigint, first bigint, rare array<bigint>").where("n > 0"), "rare")
+    rare = (rare.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
+            .select("node", "n", "first", "rare", F.coalesce("component", "node").alias("part")))
+    label = rare.select(F.explode("rare").alias("bucket"), F.xxhash64("part").alias("label"))
+    open_ = stored(label.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                   .where("low <> high").select("bucket"), "open")
+    at = rare.select("node", "n", "first", "part", F.posexplode("rare").alias("at", "bucket"))
+    few = F.broadcast(open_) if open_.limit(_FEW + 1).count() <= _FEW else open_  # spares a shuffle of all
+    live = stored(at.join(few, "bucket", "left_semi").distinct(), "rare-open")
+    less = live.where(F.col("at") < F.col("first"))
+    more = live.select("bucket", F.col("node").alias("g"), F.col("n").alias("n_g"), F.col("at").alias("at_g"),
+                       F.col("part").alias("part_g"))
+    ordered = (F.col("n") < F.col("n_g")) | ((F.col("n") == F.col("n_g")) & (F.col("node") < F.col("g")))
+    common = F.least(F.col("n") - F.col("at"), F.col("n_g") - F.col("at_g"))
+    enough = common >= F.lit(least / (1 + least)) * (F.col("n") + F.col("n_g")) - F.lit(_SLACK)
+    met = less.join(more, "bucket").where(ordered & enough & (F.col("part") != F.col("part_g")) & _alike("n", "n_g", least))
+    return met.select(F.least("node", "g").alias("a"), F.greatest("node", "g").alias("b")).distinct()
+
+
 def _alike(a: str, b: str, least: float):
     """Sizes that allow the similarity at all."""
     return F.least(a, b) >= F.greatest(a, b) * F.lit(least)
@@ -149,16 +248,17 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     without any pairs; null and blank texts are near duplicates of each other
     only; rows equal in id and text are ``kept`` alike.  Empty table: empty.
 
-    A text has ``count`` sketches of ``length`` shingles: two texts at
-    similarity 0.8 share one with probability near 0.8^4, and share fewer than
-    three of 24 once in 2,000; pairs that share three are verified.  Texts that
-    share a sketch meet in its bucket.  A bucket of up to ``all_pairs_to``
-    compares all its pairs.  A larger one compares its members with a leader,
-    the member that shares most buckets; while its members are not yet one part,
-    they meet three leaders of other parts, drawn anew each round, until a round
-    finds no link.  A round is linear in a bucket's size, and a pair's two texts
-    are all a task holds.  A link that could be missed is one that only large
-    buckets show and no leader of any round joins.
+    The classes are exact: sketches find most links cheaply, then ``_unmet``
+    names every other pair of unequal parts that can be near duplicates, and all
+    of those are verified.
+
+    A text has ``count`` sketches of ``length`` shingles; pairs that share three
+    are verified first.  Texts that share a sketch meet in its bucket.  A bucket
+    of up to ``all_pairs_to`` compares all its pairs.  A larger one compares its
+    members with a leader, the member that shares most buckets; while its
+    members are not yet one part, they meet three leaders of other parts, drawn
+    anew each round, until a round finds no link.  A round is linear in a
+    bucket's size, and a pair's two texts are all a task holds.
     """
     key = F.unhex(F.md5(F.encode(text_of(), "UTF-8")))
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), text_of().alias("text"))
@@ -179,7 +279,7 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     leaders = large.groupBy("bucket").agg(F.max(F.struct("degree", "node", "n")).alias("lead"))
     pairs = pairs.unionByName(_with_leader(large, leaders, least))
     texts = docs.select(key.alias("key"), text_of().alias("text"))
-    links = stored(_verify(pairs.distinct(), nodes, texts, k, least), "links")
+    links = stored(_verify(_three(pairs.distinct(), nodes), texts, k, least), "links")
     blank = nodes.where(F.col("n") == 0).select("key")
     blank = blank.join(F.broadcast(blank.agg(F.min("key").alias("b"))), F.col("key") != F.col("b")).select(
         F.col("key").alias("a"), "b", F.lit(1.0).alias("similarity"))
@@ -198,22 +298,26 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
                   .where("low <> high").select("bucket", F.explode("leads").alias("lead")))
         others = stored(others, "leaders")
         pairs = _with_leader(part, others, least, F.col("part") != F.col("lead.part"))
-        new = stored(_verify(pairs.distinct(), nodes, texts, k, least), "links")
+        new = stored(_verify(_three(pairs.distinct(), nodes), texts, k, least), "links")
         if not new.limit(1).count():
             break
         links = links.unionByName(new)
-        merged = components(_between_parts(new, part))
+        merged = components(_between_parts(new, part.select("node", "part").distinct()))
         open_ = part.join(others.select("bucket").distinct(), "bucket", "left_semi")
         part = stored(_renamed(open_, merged, "part"), "parts")
-        alone = merged.join(named, "node", "left_anti").select("node", "component")
-        named = stored(_renamed(named, merged, "component").unionByName(alone), "labels")
+        named = _relabelled(named, merged)
         turn += 1
+    new = stored(_verify(stored(_unmet(docs, named, k, least), "candidates"), texts, k, least), "links")
+    if new.limit(1).count():
+        links = links.unionByName(new)
+        of = nodes.select(F.col("key").alias("node")).join(named, "node", "left").select(
+            "node", F.coalesce("component", "node").alias("part"))
+        named = _relabelled(named, components(_between_parts(new, of)))
     return _classes(marked, named, links)
 
 
-def _between_parts(links: DataFrame, part: DataFrame) -> DataFrame:
-    """The links as edges between the parts their two texts are in."""
-    of = part.select("node", "part").distinct()
+def _between_parts(links: DataFrame, of: DataFrame) -> DataFrame:
+    """The links as edges between the parts their two texts are in, ``node, part``."""
     return (links.join(of.select(F.col("node").alias("a"), F.col("part").alias("pa")), "a")
             .join(of.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
             .select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct())
@@ -225,6 +329,12 @@ def _renamed(rows: DataFrame, merged: DataFrame, col: str) -> DataFrame:
     return rows.join(to, col, "left").withColumn(col, F.coalesce("_to", col)).select(*rows.columns)
 
 
+def _relabelled(named: DataFrame, merged: DataFrame) -> DataFrame:
+    """Labels after parts have merged; texts that had no link before come in."""
+    alone = merged.join(named, "node", "left_anti").select("node", "component")
+    return stored(_renamed(named, merged, "component").unionByName(alone), "labels")
+
+
 def _with_leader(members: DataFrame, leaders: DataFrame, least: float, also=None) -> DataFrame:
     """Pairs of a bucket's leader and its other members of like size."""
     met = members.join(leaders, "bucket").where(
@@ -233,16 +343,17 @@ def _with_leader(members: DataFrame, leaders: DataFrame, least: float, also=None
     return met.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, least: float) -> DataFrame:
-    """The pairs whose aligned similarity is at least ``least``.
-
-    Pairs that share fewer than three sketches are left out before any text is read.
-    """
+def _three(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that share three sketches, before any text is read; ``_unmet`` comes back to the others."""
     marks = nodes.select("key", "marks")
     alike = F.size(F.filter(F.zip_with("marks_a", "marks_b", lambda x, y: x == y), lambda same: same))
-    pairs = stored(pairs.join(marks.select(F.col("key").alias("a"), F.col("marks").alias("marks_a")), "a")
-                   .join(marks.select(F.col("key").alias("b"), F.col("marks").alias("marks_b")), "b")
-                   .where(alike >= 3).select("a", "b"), "candidates")
+    return stored(pairs.join(marks.select(F.col("key").alias("a"), F.col("marks").alias("marks_a")), "a")
+                  .join(marks.select(F.col("key").alias("b"), F.col("marks").alias("marks_b")), "b")
+                  .where(alike >= 3).select("a", "b"), "candidates")
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, k: int, least: float) -> DataFrame:
+    """The pairs whose aligned similarity is at least ``least``."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     read = texts.join(named, "key", "left_semi").dropDuplicates(["key"])
     both = (pairs.join(read.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
