@@ -110,6 +110,21 @@ def test_urls(spark):
     assert urlfilter.judge(pages, rated.limit(0)).count() == len(rows)
 
 
+def test_small_and_deep_branches_are_told_apart(spark):
+    deep = "http://deep.net/" + "a/" * 12
+    rows = [(i, f"http://hot.net/good{i % 90}x/{i}") for i in range(9000)]
+    rows += [(10_000 + i, f"http://hot.net/bad/{i}") for i in range(40)]  # 0.44 % of the node's urls
+    rows += [(20_000 + i, f"{deep}{'bad' if i % 2 else 'good'}/{i}") for i in range(80)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    rated = spark.createDataFrame([(i, int(i >= 10_000 and (i < 20_000 or i % 2 == 1))) for i, _ in rows
+                                   if i >= 10_000 or i % 10 == 0], "page_id bigint, bad int")
+    by = {r.page_id: r for r in urlfilter.judge(pages, rated, depth=None).collect()}
+    assert len(by) == len(rows)
+    for i, url in rows:
+        assert by[i].verdict == ("block" if "/bad/" in url else "allow"), url
+    assert by[10_000].template == "/bad/<n>" and by[20_001].template.endswith("/bad/<n>")
+
+
 # ---- Hamming search ---------------------------------------------------------------
 
 def test_top_k_is_exact(spark):

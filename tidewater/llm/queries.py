@@ -67,7 +67,7 @@ def op5_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_url_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urlfilter.judge(pages, urlfilter.rated_by_document(pages, table(spark, sf_dir, "labels")))
+    return urlfilter.judge(pages, urlfilter.rated_by_document(pages, table(spark, sf_dir, "labels")), depth=None)
 
 
 @query

@@ -39,58 +39,62 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return (none, none) if name is None else (name, verdict)
 
 
-def segments(path: Column, depth: int) -> Column:
-    """Path segments with hexadecimal and decimal runs made wildcards; those past ``depth`` are one ``**``."""
+def segments(path: Column, depth: int | None) -> Column:
+    """Path segments with hexadecimal and decimal runs made wildcards; those past ``depth``, if given, are one ``**``."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     parts = F.transform(parts, lambda s: F.regexp_replace(
         F.regexp_replace(s, "(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[0-9])[0-9a-fA-F]{8,}(?![0-9A-Za-z])", "<n>"),
         "[0-9]+", "<n>"))
-    return F.when(F.size(parts) <= depth, parts).otherwise(
+    return parts if depth is None else F.when(F.size(parts) <= depth, parts).otherwise(
         F.concat(F.slice(parts, 1, depth), F.array(F.lit("**"))))
 
 
-def templates(shapes: DataFrame, depth: int, min_count: int = 20, min_share: float = 0.005,
-              z: float = 1.96) -> DataFrame:
+def templates(shapes: DataFrame, min_count: int = 20, z: float = 1.96) -> DataFrame:
     """Generalise the tree of ``(host, segs, n, rated, bad)`` level by level: adds ``template``.
 
     Under each node a branch keeps its name if it is frequent (``min_count``
-    urls and ``min_share`` of the node's) and its labelled bad rate differs
-    from that of all branches of the node together by more than ``z`` standard
-    errors; all others are statistically alike and merge into ``*``.
+    urls) and its labelled bad rate differs from that of all branches of the
+    node together by more than ``z`` standard errors, however small its share of
+    them; all others are statistically alike and merge into ``*``.
     Wildcards that the segments already hold do not count as names.  Each level
-    sums branches by (host, template so far, segment) before they meet.
+    sums branches by (host, template so far, segment) before they meet.  Levels
+    go down to the deepest path; a path is carried as far as it has segments.
     """
     tree = shapes.withColumn("template", F.lit(""))
     deepest = shapes.agg(F.max(F.size("segs"))).first()[0] or 0
-    for level in range(min(deepest, depth + 1)):
+    done = tree.where(F.size("segs") == 0)
+    for level in range(deepest):
+        tree = tree.where(F.size("segs") > level)
         seg = F.get("segs", F.lit(level))
-        branch = (tree.where(seg.isNotNull()).groupBy("host", "template", seg.alias("seg"))
+        branch = (tree.groupBy("host", "template", seg.alias("seg"))
                   .agg(F.sum("n").alias("n"), F.sum("rated").alias("rated"), F.sum("bad").alias("bad")))
         node = branch.groupBy("host", "template").agg(
-            F.sum("n").alias("all_n"), F.sum("rated").alias("all_rated"), F.sum("bad").alias("all_bad"))
+            F.sum("rated").alias("all_rated"), F.sum("bad").alias("all_bad"))
         p = (F.col("all_bad") + 1) / (F.col("all_rated") + 2)
         apart = F.abs(F.col("bad") - F.col("rated") * p) > z * F.sqrt(F.col("rated") * p * (1 - p) + 1)
-        frequent = (F.col("n") >= min_count) & (F.col("n") >= F.col("all_n") * F.lit(min_share))
+        frequent = F.col("n") >= min_count
         named = (branch.join(node, ["host", "template"])
                  .select("host", "template", "seg", (frequent & apart & (F.col("rated") > 0)).alias("own")))
         step = tree.withColumn("seg", seg).join(named, ["host", "template", "seg"], "left")
-        part = F.when(F.col("seg").isNull(), "").otherwise(
-            F.concat(F.lit("/"), F.when(F.col("own"), F.col("seg")).otherwise(
-                # a lexical wildcard stays visible, the names around it go
-                F.when(F.col("seg").contains("<n>"), F.lit("<n>")).otherwise(F.lit("*")))))
-        tree = stored(step.withColumn("template", F.concat("template", part)).drop("seg", "own"), "url-tree")
-    return tree
+        part = F.concat(F.lit("/"), F.when(F.col("own"), F.col("seg")).otherwise(
+            # a lexical wildcard stays visible, the names around it go
+            F.when(F.col("seg").contains("<n>"), F.lit("<n>")).otherwise(F.lit("*"))))
+        tree = stored(step.withColumn("template", F.concat("template", part)).drop("seg", "own")
+                      .select(*done.columns), "url-tree")
+        done = done.unionByName(tree.where(F.size("segs") == level + 1))
+    return done
 
 
-def judge(pages: DataFrame, rated: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, depth: int = 8,
-          prior: float = 5.0, cut: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, rated: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
+          depth: int | None = 8, prior: float = 5.0, cut: float = 0.5) -> DataFrame:
     """Verdict on every url: ``page_id, host, path, rule, verdict, template, purity, rated``.
 
     ``rated`` has ``page_id, bad`` (0 or 1) for labelled pages.  Where a rule
     fits, its verdict holds.  Elsewhere the url's template on its host does: its
     purity, the share of labelled pages that are not bad, is smoothed by
     ``prior`` pages at the host's purity, itself smoothed by the overall one;
-    under ``cut`` the template is blocked.  Null urls and urls without ``://``
+    under ``cut`` the template is blocked.  Branches below ``depth`` segments
+    are not told apart; None builds the tree to the deepest path.  Null urls and urls without ``://``
     have an empty host, path and template.  Pages without label count for
     frequency only; an id labelled twice is bad if one label says so, null ids
     and null labels do not count.  Repeated rows: each a row.  Empty table:
@@ -109,7 +113,7 @@ def judge(pages: DataFrame, rated: DataFrame, rules: Sequence[tuple[str, str, st
     shapes = stored(known.groupBy("host", "segs").agg(
         F.count(F.lit(1)).alias("n"), F.count("bad").alias("rated"),
         F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "url-shapes")
-    tree = templates(shapes, depth)
+    tree = templates(shapes)
     overall = shapes.agg(((F.sum("rated") - F.sum("bad") + 1) / (F.sum("rated") + 2)).alias("p_all"))
     by_host = tree.groupBy("host").agg(F.sum("rated").alias("h_rated"), F.sum("bad").alias("h_bad"))
     by_template = (tree.groupBy("host", "template").agg(F.sum("rated").alias("t_rated"), F.sum("bad").alias("t_bad"))
