@@ -220,6 +220,17 @@ def test_near_pairs_inside_a_template_group(spark, make_docs):
     assert {r.doc_id: r.class_id for r in neardup.near_classes(docs).collect()} == want
 
 
+def test_near_pairs_of_short_texts(spark, make_docs):
+    texts = []
+    for p in range(300):
+        long = words_of(9 + p % 3, 9000 + p)  # 5 to 7 shingles, the last one cut off: at least 0.8
+        texts += [long, long[:-1]]
+    want = brute_classes(texts)
+    assert sum(i != c for i, c in want.items()) == 300
+    docs = make_docs([(i, " ".join(w), "s") for i, w in enumerate(texts)])
+    assert {r.doc_id: r.class_id for r in neardup.near_classes(docs).collect()} == want
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).selectExpr("id a", "id + 1 b").unionAll(spark.createDataFrame([(100, 100), (7, 3)], "a long, b long"))
     got = {r.node: r.component for r in components(edges).collect()}
