@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontam, hamming, linededup, lmscore, mixing, neardup, quality, toxicity, urlfilter
+from tidewater.llm import (chat, decontam, hamming, linededup, lmscore, mixing, neardup, quality, secretscan, toxicity,
+                           urlfilter, variants)
 from tidewater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +94,19 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_classes(table(spark, sf_dir, "documents")).drop("key")
+
+
+@query
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets; a document stands for a repository, its source for the owner."""
+    found = secretscan.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda x: x.kind != "bare")
+    of = lambda kind: F.size(F.filter("found", lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", of("assign"), of("access"), of("hex"),
+                        F.sha2(secretscan.listing(base).cast("binary"), 256).alias("base_sha256"),
+                        secretscan.listing(F.col("found")).alias("spans"), "n_live", "n_copied")
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_forms(variants.vocabulary(table(spark, sf_dir, "documents")))
