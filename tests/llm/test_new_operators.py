@@ -1,6 +1,7 @@
 """Secrets, spelling variants and ranked search against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -9,7 +10,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as E
-from tidewater.llm import secretscan, variants
+from tidewater.llm import ranked, secretscan, variants
 from tidewater.llm.common import table
 
 SF001 = "/root/testdata/sf0.001"
@@ -141,3 +142,66 @@ def test_variants_edges(spark, make_docs, filter_bytes):
     small = brute_forms(want)
     assert len(got) == len(small) and set(got) == small
     assert variants.spelling_forms(variants.vocabulary(docs.limit(0))).count() == 0
+
+
+# ---- ranked search ---------------------------------------------------------------
+
+def brute_rank(docs, items, k=20):
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+",
+                                 re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    held = [(i, Counter(split(t))) for i, t in docs]
+    held = [(i, c, sum(c.values())) for i, c in held if c]
+    total, terms = len(held), sum(n for *_, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = []
+    for item, text in sorted(set(items), key=str):
+        q, scores = Counter(split(text)), []
+        for i, c, n in held:
+            m = 75 + (25 * n * total) // terms
+            s = sum(r * math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 12 * m))
+                    for t, r in q.items() if t in c)
+            if s > 0:
+                scores.append((-s, i is None, i))
+        scores.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(item, p + 1, i, -s) for p, (s, _, i) in enumerate(scores[:k])]
+    return out
+
+
+def found(df):
+    return sorted(map(tuple, df.select("item_id", "rank", "doc_id", "score").collect()), key=str)
+
+
+def test_registered_ranking_matches_brute_force(spark):
+    docs = [tuple(r) for r in table(spark, SF001, "documents").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in table(spark, SF001, "benchmark").select("item_id", "text").collect()]
+    assert found(E.queries()["op13_ranked_search"](spark, SF001)) == sorted(brute_rank(docs, items), key=str)
+
+
+@pytest.mark.parametrize("per_shard,k,seeds", [(7, 5, 3), (64, 3, 2), (1, 2, 1), (5000, 20, 8)])
+def test_ranking_edges(spark, make_docs, monkeypatch, per_shard, k, seeds):
+    rng = random.Random(5)
+    monkeypatch.setattr(ranked, "_QUERY_BYTES", 300)
+    words = ["a", "the", "x1", "Éa", "éa", "日本", "rare", "Ab", "aB", "zz", "q_r", "naïve"]
+    rows = [(i, " ".join(rng.choices(words, weights=range(1, 13), k=rng.randrange(30))), "s") for i in range(300)]
+    rows += [(1000 + i, "the same copy of a rare text", "s") for i in range(120)]       # ties beyond the cut
+    rows += [(None, "rare the", "s"), (None, None, "s"), (5, "", "s"), (3, "the the rare", "s"), (2000, "the " * 400 + "x1", "s"),
+             (2001, "zz " * 30_000, "s"), (-4, "the same copy of a rare text", "s")] + rows[:2]
+    docs = make_docs([r + (1.5,) for r in rows], ", score double").repartition(3)
+    items = [(1, "The rare text, the"), (2, "nowhere"), (3, None), (4, "a a a zz Éa 日本!"), (1, "another copy"), (1, "another copy"),
+             (None, "x1 q r"), (6, "the")]
+    frame = spark.createDataFrame(items, "item_id bigint, text string").selectExpr("*", "1 AS rank", "2L AS score")
+    got = found(ranked.rank(ranked.build_index(docs, docs_per_shard=per_shard), frame, k=k, seed_shards=seeds))
+    assert got == sorted(brute_rank([r[:2] for r in rows], items, k), key=str)
+    assert ranked.rank(ranked.build_index(docs.limit(0)), frame).count() == 0
+    assert ranked.rank(ranked.build_index(docs.limit(3)), frame.limit(0)).count() == 0
+
+
+def test_tree_cells_and_peaks():
+    rng = random.Random(6)
+    cells = sorted({(rng.randrange(50), rng.randrange(9)) for _ in range(150)})
+    row, column = (ranked.np.array(x) for x in zip(*cells, strict=True))
+    impact = ranked.np.array([rng.randrange(1, 10**6) for _ in cells])
+    order, masks, peaks, levels = ranked.build_tree(row, column, impact, ranked.height_of(50, 9))
+    assert sorted(order) == list(range(len(cells))) and sum(levels) == len(masks) == len(peaks)
+    assert sum(bin(x).count("1") for x in masks) == len(masks) - 1 + len(cells)
+    assert peaks[0] == -(-impact.max() // ranked._STEP)

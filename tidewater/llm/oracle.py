@@ -149,3 +149,29 @@ SELECT doc_id, item_id, CAST(doc_start AS INTEGER) AS doc_start, CAST(item_start
 FROM good QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
                                      ORDER BY matched DESC, doc_start, item_start DESC) = 1
 """
+
+ORACLE["op13_ranked_search"] = r"""
+WITH doc AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+cell AS (SELECT r, doc_id, term, count(*) AS tf FROM doc GROUP BY ALL),
+len AS (SELECT r, sum(tf) AS n FROM cell GROUP BY r),
+total AS (SELECT count(*) AS docs, sum(n) AS terms FROM len),
+freq AS (SELECT term, count(*) AS df FROM cell GROUP BY term),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                      'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+part AS (
+  SELECT a.item_id, c.r, c.doc_id,
+         CAST(floor(1000 * ln(CAST(2 * t.docs + 2 AS DOUBLE) / (2 * f.df + 1))) AS BIGINT)
+           * ((1000000000 * c.tf) // (1000 * c.tf + 12 * (75 + CAST((25 * l.n * t.docs) // t.terms AS BIGINT)))) AS s
+  FROM asked a JOIN cell c USING (term) JOIN len l USING (r) JOIN freq f USING (term), total t),
+scored AS (SELECT item_id, r, doc_id, CAST(sum(s) AS BIGINT) AS score FROM part GROUP BY ALL HAVING sum(s) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+       doc_id, score
+FROM scored QUALIFY rank <= 20
+"""

@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import (chat, decontam, hamming, linededup, lmscore, mixing, neardup, quality, secretscan, toxicity,
-                           urlfilter, variants)
+from tidewater.llm import (chat, decontam, hamming, linededup, lmscore, mixing, neardup, quality, ranked, secretscan,
+                           toxicity, urlfilter, variants)
 from tidewater.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,10 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_forms(variants.vocabulary(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of every benchmark item."""
+    index = ranked.build_index(table(spark, sf_dir, "documents"))
+    return ranked.rank(index, table(spark, sf_dir, "benchmark"), k=20)
