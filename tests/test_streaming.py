@@ -1,6 +1,7 @@
 """Stream jobs against their batch forms."""
 
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql.window import Window
 
 from conftest import SF001, write_ndjson
 from test_ais import COASTER, DAY, FEEDER, MESSAGES
+from tidewater import config
 from tidewater.operators import ais, gold, normalize
 from tidewater.plans.lake import Lake
 from tidewater.sinks import tables
@@ -179,26 +181,86 @@ def test_ais_bronze_stamp_and_filter(spark, tmpdir_path):
     assert positions.where(F.to_date("received_at") == day).count() == positions.count() == 7
 
 
-@pytest.mark.parametrize("grace", [None, 24 * 30])
-def test_exception_timers_equal_batch_rules_at_watermark(spark, tmpdir_path, grace):
+def _time_ordered_files(rows, by, path, n):
+    """Test set-up only: a global ntile cuts the small fixture into time-ordered files."""
+    cut = rows.withColumn("b", F.ntile(n).over(Window.orderBy(by)))
+    for b in range(1, n + 1):
+        cut.where(F.col("b") == b).drop("b").coalesce(1).write.mode("overwrite").parquet(f"{path}/b={b:02d}")
+
+
+@pytest.fixture
+def two_partitions(spark):
+    """State stores are few in these small streams."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_exception_timers_equal_all_batch_rules_at_watermark(spark, tmpdir_path, two_partitions):
     from tidewater.operators import rules, state
     from tidewater.streaming import timers
-    silver = Lake(spark, SF001).silver.drop("_ingest")
-    src = os.path.join(tmpdir_path, "silver")
-    # silver arrives in twelve time-ordered files
-    # test setup only: a global ntile to cut the small fixture into time-ordered files
-    bucketed = silver.withColumn("b", F.ntile(12).over(Window.orderBy("actual_ts")))
-    for b in range(1, 13):
-        bucketed.where(F.col("b") == b).drop("b").coalesce(1).write.mode("overwrite").parquet(f"{src}/b={b:02d}")
-    stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    q = timers.exception_flags(stream, delay="120 days", expire_delivered_after_h=grace).writeStream \
-        .format("parquet") \
-        .option("path", os.path.join(tmpdir_path, "flags")) \
-        .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    wm = q.lastProgress["eventTime"]["watermark"]
-    got = {tuple(r) for r in timers.open_flags(spark.read.parquet(os.path.join(tmpdir_path, "flags"))).collect()}
-    batch = rules.detect_exceptions(state.shipment_state(silver), wm) \
-        .where(F.col("exception_type").isin(*timers.FLAG_TYPES)).select("shipment_id", "exception_type")
+    lk = Lake(spark, SF001)
+    order = F.concat_ws("-", *[F.lpad(F.col(f"_ingest.{f}").cast("string"), 12, "0")
+                               for f in lk.deduped.select("_ingest.*").columns])
+    rows = normalize.silver_with_last_mile(lk.deduped).withColumn("lm_order", order)
+    # some vessels never arrive, and all have been at anchor for long
+    rows = rows.where("not (event_type = 'vessel_arrived' and crc32(encode(shipment_id, 'UTF-8')) % 3 = 0)")
+    silver = rows.drop("_ingest")
+    src, flags = os.path.join(tmpdir_path, "silver"), os.path.join(tmpdir_path, "flags")
+    totals = ais.dwell_totals(lk.vessel_dwell).withColumn("anchor_hours", F.col("anchor_hours") + 70)
+    st = state.shipment_state(rows)
+    departed = st.where("vessel_departed is not null").select("shipment_id", "vessel_departed.vessel_mmsi")
+    hours = timers.voyage_anchor_hours(departed, totals, F.lit(silver.agg(F.min("actual_ts")).first()[0]))
+    hours.write.parquet(os.path.join(tmpdir_path, "anchor"))
+    _time_ordered_files(silver, "actual_ts", src, 4)
+    moved = os.path.join(tmpdir_path, "half")   # the first half arrives, the query stops, the rest follows
+    os.makedirs(moved)
+
+    def run():
+        stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(f"{moved}/*")
+        anchors = spark.readStream.schema(hours.schema).parquet(os.path.join(tmpdir_path, "anchor"))
+        q = timers.exception_flags(stream, "120 days", 24 * 30, anchors, F.col("lm_order")).writeStream.format("parquet") \
+            .option("path", flags).option("checkpointLocation", os.path.join(tmpdir_path, "ck")) \
+            .trigger(availableNow=True).start()
+        q.awaitTermination()
+        return q.lastProgress["eventTime"]["watermark"]
+
+    for part in (range(1, 3), range(3, 5)):
+        for b in part:
+            shutil.copytree(f"{src}/b={b:02d}", f"{moved}/b{b:02d}")
+        wm = run()
+    got = {tuple(r) for r in timers.open_flags(spark.read.parquet(flags)).collect()}
+    batch = rules.detect_exceptions(st, wm, totals).select("shipment_id", "exception_type")
     want = {tuple(r) for r in batch.collect()}
-    assert len(want) > 50 and got == want
+    assert got == want
+    assert {t for _, t in want} == set(timers.FLAG_TYPES)
+
+
+def test_exception_timers_fire_without_new_events(spark, tmpdir_path, two_partitions):
+    """One shipment goes silent; another one's events move the watermark past each of its deadlines."""
+    from datetime import datetime, timedelta
+    from tidewater.streaming import timers
+    t0 = datetime(2025, 1, 1)
+    schema = ("event_id string, shipment_id string, carrier string, event_type string, planned_ts timestamp, "
+              "actual_ts timestamp, ms_idx int, vessel_mmsi string, delivery_address string, eway_ts timestamp")
+    src = os.path.join(tmpdir_path, "in")
+
+    def put(n, *rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{src}/{n}")
+
+    def step():
+        stream = spark.readStream.schema(schema).parquet(f"{src}/*")
+        timers.exception_flags(stream, "0 seconds").writeStream.format("parquet").option("path", f"{src}-out") \
+            .option("checkpointLocation", f"{src}-ck").trigger(availableNow=True).start().awaitTermination()
+        return {r.exception_type for r in timers.open_flags(spark.read.parquet(f"{src}-out")).where("shipment_id = 'A'").collect()}
+
+    arrived = config.MILESTONE_INDEX["vessel_arrived"]
+    put(1, ("a1", "A", "MAEU", "vessel_arrived", t0, t0, arrived, "1", "Shed 12", t0 + timedelta(hours=30)))
+    assert step() == set()
+    tick = lambda n, h: put(n, (f"b{n}", "B", "MAEU", "booked", None, t0 + timedelta(hours=h), 0, None, None, None))
+    tick(2, 31)
+    assert step() == {"EWAY_BILL_EXPIRED"}
+    gap = config.MAX_GAP_H["vessel_arrived"]
+    tick(3, max(gap, config.CUSTOMS_DWELL_H) + 1)
+    assert step() == {"EWAY_BILL_EXPIRED", "CUSTOMS_DWELL", "MISSED_MILESTONE"}

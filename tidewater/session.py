@@ -29,6 +29,14 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB, its checkpoints as change logs: a micro-batch reads and writes the keys it
+    touches, not the whole state."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def build_session(master: str | None = None, app: str = "tidewater",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local session for tests and the benchmark (the UI stays off)."""
@@ -51,13 +59,17 @@ def build_session(master: str | None = None, app: str = "tidewater",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a scratch folder set.
+    Only a session in one local process (tests) that has none gets a scratch
+    folder; on a cluster other machines could not read it, so that raises.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
     scratch = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
