@@ -56,11 +56,15 @@ def state_from_queue(queue: DataFrame, alerted_at: str | datetime) -> DataFrame:
 
 
 def next_state(state: DataFrame, decisions: DataFrame, now: str | datetime,
-               delivered: DataFrame | None = None) -> DataFrame:
+               delivered: DataFrame | None = None, ops: DataFrame | None = None) -> DataFrame:
     """State after a run: alerts that were delivered are recorded (type, band,
     now); failed ones are not, so the next run retries them.  Entries are never
-    pruned.  ``delivered``: ``exception_id, ok`` (missing -> delivered)."""
-    sent = decisions.where(F.col("decision") != "suppressed")
+    pruned.  ``delivered``: ``exception_id, ok`` (missing -> delivered).
+    ``ops``: fired ops alerts (``quarantine_spike``), recorded under their key
+    of the day in the same state."""
+    sent = decisions.where(F.col("decision") != "suppressed").select("exception_id", "exception_type", "band")
+    if ops is not None:
+        sent = sent.unionByName(ops.select("exception_id", F.lit("ops").alias("exception_type"), F.lit(0).alias("band")))
     if delivered is not None:
         sent = sent.join(delivered, "exception_id", "left").where(F.coalesce(F.col("ok"), F.lit(True)))
     rec = sent.select("exception_id", F.col("exception_type").alias("type"), "band",

@@ -21,6 +21,7 @@ from tidewater import config
 from tidewater.functions.text import lane_text
 from tidewater.functions.timefmt import hours_1dp, hours_text1, iso
 from tidewater.operators.gold import round_ratio
+from tidewater.operators.selection import medians
 
 ETA_COLUMNS = ["shipment_id", "carrier", "lane", "last_event_type", "predicted_delivery_ts",
                "planned_anchor_ts", "planned_span_h", "span_source", "median_offset_h", "offset_source",
@@ -51,8 +52,11 @@ def features(state: DataFrame) -> DataFrame:
     )
 
 
-def _median(c: Column, approx: bool) -> Column:
-    return F.percentile_approx(c, 0.5, 10000).cast("double") if approx else F.median(c)
+_MEASURES = ("span_s", "off_s", "ratio")
+
+
+def _sketched(c: Column) -> Column:
+    return F.percentile_approx(c, 0.5, 10000).cast("double")
 
 
 def learn(completed: DataFrame, approx: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -69,15 +73,27 @@ def learn(completed: DataFrame, approx: bool = False) -> tuple[DataFrame, DataFr
     ratio = F.when((gap > 0) & (span > 0), span.cast("double") / gap)
     rows = completed.select("carrier", "lane", span.cast("double").alias("span_s"),
                             off.cast("double").alias("off_s"), ratio.alias("ratio"))
-    lane_model = rows.groupBy("carrier", "lane").agg(
-        _median(F.col("span_s"), approx).alias("lane_span_s"),
-        _median(F.col("off_s"), approx).alias("lane_off_s"))
-    global_model = rows.agg(
-        F.coalesce(_median(F.col("span_s"), approx), F.lit(0.0)).alias("global_span_s"),
-        F.coalesce(_median(F.col("off_s"), approx), F.lit(0.0)).alias("global_off_s"),
-        _median(F.col("ratio"), approx).alias("departed_ratio"),
-        F.count(F.lit(1)).alias("trained_on"))
-    return lane_model, global_model
+    if approx:
+        lane_model = rows.groupBy("carrier", "lane").agg(
+            _sketched(F.col("span_s")).alias("lane_span_s"), _sketched(F.col("off_s")).alias("lane_off_s"))
+        picks = [_sketched(F.col(c)).alias(c) for c in _MEASURES]
+        global_model = rows.agg(*picks, F.count(F.lit(1)).alias("trained_on"))
+    else:
+        # one selection for all: a row a measure, once for its lane and once for the whole
+        each = rows.select("carrier", "lane", F.explode(F.array(*[
+            F.struct(F.lit(m).alias("measure"), F.lit(whole).alias("whole"), F.col(m).alias("v"))
+            for m in _MEASURES for whole in (True, False) if whole or m != "ratio"])).alias("x"))
+        key = lambda c: F.when(~F.col("x.whole"), F.col(c)).alias(c)
+        each = each.select("x.measure", "x.whole", key("carrier"), key("lane"), "x.v")
+        found = medians(each, ["measure", "whole", "carrier", "lane"], "v")
+        pick = lambda m: F.max(F.when(F.col("measure") == m, F.col("median")))
+        lane_model = found.where("not whole").groupBy("carrier", "lane").agg(
+            pick("span_s").alias("lane_span_s"), pick("off_s").alias("lane_off_s"))
+        global_model = found.where("whole").agg(*[pick(m).alias(m) for m in _MEASURES], F.coalesce(
+            F.max(F.when(F.col("measure") == "span_s", F.col("n"))), F.lit(0)).alias("trained_on"))
+    return lane_model, global_model.select(
+        F.coalesce("span_s", F.lit(0.0)).alias("global_span_s"), F.coalesce("off_s", F.lit(0.0)).alias("global_off_s"),
+        F.col("ratio").alias("departed_ratio"), "trained_on")
 
 
 def exception_adjustments(queue: DataFrame) -> DataFrame:

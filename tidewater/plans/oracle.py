@@ -604,8 +604,8 @@ def _band(col: str) -> str:
 
 
 _DECIDE = f"""
-prior AS (SELECT exception_id, exception_type AS type, {_band('age_hours')} AS band FROM {queue_at(PRIOR_S)}),
-decided AS (
+prior AS MATERIALIZED (SELECT exception_id, exception_type AS type, {_band('age_hours')} AS band FROM {queue_at(PRIOR_S)}),
+decided AS MATERIALIZED (
   SELECT q.exception_id, q.shipment_id, q.carrier, q.exception_type, q.age_hours, q.detail,
     {_band('q.age_hours')} AS band, p.band AS prior_band,
     CASE WHEN p.band IS NULL THEN 'new' WHEN {_band('q.age_hours')} > p.band THEN 'escalated'
@@ -622,7 +622,7 @@ ORACLE["alert_decisions"] = _q(
 
 ORACLE["alert_state_next"] = _q(
     f"SELECT exception_id, type, band, {_iso(f'make_timestamp({PRIOR_S}::BIGINT * 1000000)')} AS alerted_at "
-    "FROM prior WHERE exception_id NOT IN (SELECT exception_id FROM decided WHERE decision <> 'suppressed') "
+    "FROM prior ANTI JOIN (SELECT exception_id FROM decided WHERE decision <> 'suppressed') USING (exception_id) "
     "UNION ALL SELECT exception_id, exception_type AS type, band, "
     f"{_iso('make_timestamp(__ASOF__::BIGINT * 1000000)')} AS alerted_at FROM decided "
     "WHERE decision <> 'suppressed'", FULL + (_DECIDE,))

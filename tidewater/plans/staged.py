@@ -118,16 +118,23 @@ def gold_stage(spark: SparkSession, t: Tables) -> None:
 
 
 def alert_stage(spark: SparkSession, t: Tables, now: str | datetime) -> DataFrame:
+    """Alert decisions of one instant and the next state; a repeated run of the instant starts from the state before
+    it and replaces its decisions.  The quarantine spike is decided and remembered in the same state."""
     ensure_conf(spark)
     queue = spark.read.parquet(t.exception_queue)
-    st = tables.read_current(spark, t.alert_state)
+    run = to_datetime(now).isoformat()
+    st = tables.read_before(spark, t.alert_state, run)
     if st is None:
         st = spark.createDataFrame([], "exception_id string, type string, band int, alerted_at timestamp")
-    decisions = alerts.decide(queue, st)
-    decisions.withColumn("decided_at", asof_literal(now)).write.mode("append").parquet(t.alert_decisions)
-    written = spark.read.parquet(t.alert_decisions).where(F.col("decided_at") == asof_literal(now)) \
-        .drop("decided_at")
-    tables.write_version(alerts.next_state(st, written, now), t.alert_state)
+    at = asof_literal(now)
+    write = lambda df, path: df.withColumn("decided_at", at).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("decided_at").parquet(path)
+    write(alerts.decide(queue, st), t.alert_decisions)
+    written = spark.read.parquet(t.alert_decisions).where(F.col("decided_at") == at).drop("decided_at")
+    counters = spark.read.parquet(t.run_summary).where(F.col("asof") == at)
+    ops = alerts.quarantine_spike(counters, st, now)
+    write(ops, t.ops_alerts)
+    tables.write_version(alerts.next_state(st, written, now, ops=ops), t.alert_state, run)
     return written
 
 

@@ -70,11 +70,16 @@ def upsert_by_key(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFr
     return keep.unionByName(new)
 
 
-def write_version(df: DataFrame, root: str) -> str:
+def write_version(df: DataFrame, root: str, run: str | None = None) -> str:
     """Write ``df`` under ``root/v=<id>`` and switch ``root/_CURRENT`` to it.
 
     The pointer file is written last and replaced by one overwriting rename, so
-    readers see either the old or the new version, never a partial one or none."""
+    readers see either the old or the new version, never a partial one or none.
+    ``run`` names what made the version; the pointer also keeps the version that
+    run started from, so a repeat of the same run starts there again
+    (``read_before``)."""
+    held = _pointer(df.sparkSession, root)
+    base = held.get("base") if run is not None and held.get("run") == run else held.get("version")
     version = f"{datetime.now(timezone.utc).strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
     target = f"{root.rstrip('/')}/v={version}"
     df.write.mode("errorifexists").parquet(target)
@@ -85,7 +90,7 @@ def write_version(df: DataFrame, root: str) -> str:
     tmp = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_CURRENT.{uuid.uuid4().hex}")
     fs = ptr.getFileSystem(conf)
     out = fs.create(tmp, True)
-    out.write(bytearray(json.dumps({"version": version}).encode()))
+    out.write(bytearray(json.dumps({"version": version, "run": run, "base": base}).encode()))
     out.close()
     rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
     how = spark.sparkContext._gateway.new_array(rename, 1)
@@ -95,26 +100,39 @@ def write_version(df: DataFrame, root: str) -> str:
     return target
 
 
-def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """The table version ``_CURRENT`` points at (None when nothing was written).
-
-    The pointer is a few bytes of metadata read through the Hadoop file
-    system (Spark's file readers skip names starting with ``_``)."""
+def _pointer(spark: SparkSession, root: str) -> dict:
+    """What ``_CURRENT`` says: a few bytes of metadata, read through the Hadoop file system (Spark's file readers
+    skip names starting with ``_``)."""
     jvm = spark.sparkContext._jvm
     ptr = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_CURRENT")
     fs = ptr.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(ptr):
-        return None
+        return {}
     stream = fs.open(ptr)
     try:
-        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    version = json.loads(text)["version"]
+
+
+def _version(spark: SparkSession, root: str, version: str | None, schema) -> DataFrame | None:
+    if version is None:
+        return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(f"{root.rstrip('/')}/v={version}")
 
 
+def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
+    """The table version ``_CURRENT`` points at (None when nothing was written)."""
+    return _version(spark, root, _pointer(spark, root).get("version"), schema)
+
+
+def read_before(spark: SparkSession, root: str, run: str, schema=None) -> DataFrame | None:
+    """The version ``run`` starts from: the current one, or, where ``run`` itself made that, the one it was made from."""
+    held = _pointer(spark, root)
+    return _version(spark, root, held.get("base") if held.get("run") == run else held.get("version"), schema)
+
+
 def append_snapshot(df: DataFrame, root: str, snapshot_ts: str | datetime) -> None:
     """Add one build of a table under ``snapshot_ts=<instant>``; a repeated run replaces its own."""
     stamped = df.withColumn("snapshot_ts", asof_literal(snapshot_ts))

@@ -14,15 +14,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.timefmt import iso
 from tidewater.operators import ais, alerts, gold, normalize
-from tidewater.session import checkpoint_dir
+from tidewater.session import checkpoint_dir, use_rocksdb
 from tidewater.sinks import tables
-from tidewater.sources.bronze import CARRIER_FIELDS, CARRIER_SCHEMA, ais_messages, is_json_object_line, \
+from tidewater.sources.bronze import CARRIER_FIELDS, CARRIER_SCHEMA, _any_file, ais_messages, is_json_object_line, \
     parse_ais, path_exists
 
 
@@ -122,6 +124,73 @@ def start_normalize(spark: SparkSession, bronze_root: str, out_root: str, checkp
     return _trigger(w, available_now, interval).start()
 
 
+# ---- T2 with keyed state ----------------------------------------------------
+
+def number_rows(batches):
+    """Row numbers inside a partition (``mapInArrow``): lines of a file split come in order."""
+    start = 0
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(range(start, start + batch.num_rows), pa.int64())],
+                                         names=[*batch.schema.names, "_row"])
+        start += batch.num_rows
+
+
+def ordered_carrier_stream(spark: SparkSession, bronze_root: str, max_files: int | None = None) -> DataFrame:
+    """``carrier_stream`` with the ingest order of each row, as streams can have it."""
+    rows = carrier_stream(spark, bronze_root, max_files)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_row", T.LongType())])
+    return rows.mapInArrow(number_rows, schema).withColumn("_ingest", F.struct(
+        F.col("_file").alias("file"), F.col("_block").alias("block"), F.col("_row").alias("row"))).drop("_file", "_block", "_row")
+
+
+def first_copies(valid: DataFrame) -> DataFrame:
+    """The first copy of each event id over the whole stream, given out in the micro-batch that brings it.
+
+    State is one entry per id in RocksDB, and a micro-batch looks up its own
+    ids only: what it reads does not grow with the history, and no horizon is
+    needed.  The batch's time, fixed in the checkpoint, is the first part of the
+    order, so a retry gives the same rows, and an id whose first copy is older
+    is not given out again."""
+    cols = [c for c in normalize.KEPT_COLUMNS if c in valid.columns]
+    seen = valid.withColumn("_seen", F.current_timestamp())
+    kept = seen.groupBy("event_id").agg(
+        F.min_by(F.struct(*cols, "_ingest"), F.struct("_seen", "_ingest")).alias("r"), F.min("_seen").alias("_first"))
+    return kept.where(F.col("_first") == F.current_timestamp()).select("event_id", "r.*")
+
+
+def start_normalize_keyed(spark: SparkSession, bronze_root: str, out_root: str, checkpoint: str | None = None,
+                          available_now: bool = True, interval: str = "1 hour",
+                          max_files: int | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+    """``start_normalize`` with the seen ids in keyed state: (silver query, quarantine query).
+
+    The quarantine needs no state and is a stream of its own over the same files."""
+    use_rocksdb(spark)
+    out = out_root.rstrip("/")
+    rows = normalize.valid_rows(normalize.classify(ordered_carrier_stream(spark, bronze_root, max_files)))
+
+    def write_silver(dd: DataFrame, batch_id: int) -> None:
+        tag = _batch_tag(dd.sparkSession, batch_id)
+        dd = dd.persist()
+        try:
+            _write_batch(normalize.last_mile(dd).select(*normalize.LASTMILE_COLUMNS, F.col("_ingest.file").alias("_file"),
+                                                        F.col("_ingest.row").alias("_row")), f"{out}/last_mile", tag)
+            _write_batch(normalize.silver_events(dd).withColumn("event_date", F.to_date("actual_ts")).drop("_ingest"),
+                         f"{out}/shipment_events", tag, "event_date")
+        finally:
+            dd.unpersist()
+
+    def write_quarantine(batch: DataFrame, batch_id: int) -> None:
+        bad = normalize.quarantine_rows(normalize.classify(with_ingest_order(batch))).drop("_ingest", "_malformed")
+        _write_batch(bad, f"{out}/quarantine", _batch_tag(batch.sparkSession, batch_id), "date")
+
+    base = _ckpt(spark, "normalize_keyed", checkpoint)
+    silver = first_copies(rows).writeStream.outputMode("update").foreachBatch(write_silver) \
+        .option("checkpointLocation", f"{base}/silver")
+    quarantine = carrier_stream(spark, bronze_root, max_files).writeStream.foreachBatch(write_quarantine) \
+        .option("checkpointLocation", f"{base}/quarantine")
+    return _trigger(silver, available_now, interval).start(), _trigger(quarantine, available_now, interval).start()
+
+
 # ---- T4: AIS anchor presence --------------------------------------------------
 
 def ais_stream(spark: SparkSession, root: str, max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -216,40 +285,116 @@ def start_exception_mart(spark: SparkSession, snapshots_root: str, schema, mart_
 
 
 def alert_batch(batch: DataFrame, state_root: str, decisions_path: str, now: str | datetime,
-                tag: str) -> None:
-    """Decide on the newest queue snapshot against the stored state, write the
-    decisions under ``batch=<tag>`` (a retry replaces them) and switch to the
-    next state version."""
+                tag: str, counters: DataFrame | None = None) -> None:
+    """Decide on the newest queue snapshot against the state before this batch,
+    write the decisions under ``batch=<tag>`` and switch to the next state
+    version, named by the tag.
+
+    A batch replayed at any point, also after the switch, starts from the same
+    state and replaces its decisions by equal ones.  ``counters`` (a run's
+    ``events_read, quarantined_total``) adds the ops alert for a quarantine
+    spike, whose key of the day enters the same state."""
     spark = batch.sparkSession
     queue = _newest_snapshot(batch)
-    state = tables.read_current(spark, state_root)
+    state = tables.read_before(spark, state_root, tag)
     if state is None:
         state = spark.createDataFrame([], "exception_id string, type string, band int, alerted_at timestamp")
-    decisions = alerts.decide(queue, state).persist()
-    try:
-        _write_batch(decisions, decisions_path, tag)
-        tables.write_version(alerts.next_state(state, decisions, now), state_root)
-    finally:
-        decisions.unpersist()
+    decided = alerts.decide(queue, state)
+    ops = None
+    if counters is not None:
+        ops = alerts.quarantine_spike(counters, state, now)
+        _write_batch(ops, f"{decisions_path.rstrip('/')}_ops", tag)
+        ops = spark.read.parquet(f"{decisions_path.rstrip('/')}_ops/batch={tag}")
+    _write_batch(decided, decisions_path, tag)
+    written = spark.read.schema(decided.schema).parquet(f"{decisions_path.rstrip('/')}/batch={tag}")
+    tables.write_version(alerts.next_state(state, written, now, ops=ops), state_root, tag)
 
 
 # ---- T1: landing validation ---------------------------------------------------------
 
-def landing_batch(batch: DataFrame, bronze_root: str, rejected_path: str, date: str) -> None:
-    """Accept whole files whose every line is one JSON object; write their
-    lines under ``bronze/date=<date>``; list rejected files."""
-    per_file = batch.groupBy("file_path").agg(F.every("ok").alias("file_ok"))
-    j = batch.join(per_file, "file_path")
-    j.where("file_ok").select("value").write.mode("append").text(f"{bronze_root.rstrip('/')}/{date}")
-    per_file.where(~F.col("file_ok")).write.mode("append").parquet(rejected_path)
+def landing_batch(batch: DataFrame, bronze_root: str, rejected_path: str, date: str, tag: str) -> None:
+    """Land the accepted files of a micro-batch of lines (``value, file_path, block, ok``).
+
+    A file whose every line is one JSON object lands under its content's digest
+    as ``<bronze>/<date>/events_<digest>-<part>.ndjson``, lines in order, where
+    ``read_carrier_bronze`` finds it.  A (date, digest) that has landed before
+    does not land again.  The ledger ``<bronze>/_ledger/batch=<tag>`` lists every
+    file with its digest and outcome (landed, repeat, rejected) before anything
+    is moved in; a retry follows the ledger of its first attempt, and parts
+    already in place stay."""
+    spark = batch.sparkSession
+    root = bronze_root.rstrip("/")
+    ledger, staging = f"{root}/_ledger/batch={tag}", f"{root}/_staging/{tag}"
+    if not path_exists(spark, f"{ledger}/_SUCCESS"):
+        numbered = number_lines(batch)
+        plan = content_digests(numbered).withColumn("date", F.lit(date))
+        known = spark.read.schema(_LEDGER).parquet(f"{root}/_ledger/*").where("outcome = 'landed'") \
+            if _any_file(spark, f"{root}/_ledger/*/_SUCCESS") else spark.createDataFrame([], _LEDGER)
+        known = known.select("date", "digest").distinct().withColumn("known", F.lit(True))
+        first = plan.where("ok").groupBy("date", "digest").agg(F.min("file_path").alias("first"))
+        plan = plan.join(first, ["date", "digest"], "left").join(known, ["date", "digest"], "left")
+        outcome = (F.when(~F.col("ok"), "rejected").when(F.col("known") | (F.col("first") != F.col("file_path")), "repeat")
+                   .otherwise("landed"))
+        plan.select("file_path", "date", "digest", "lines", outcome.alias("outcome")).write.mode("overwrite").parquet(ledger)
+    plan = spark.read.schema(_LEDGER).parquet(ledger)
+    _write_batch(plan.where("outcome = 'rejected'").select("file_path", "lines"), rejected_path, tag)
+    fresh = plan.where("outcome = 'landed'").select("file_path", "digest")
+    lines = number_lines(batch).join(fresh, "file_path").select("digest", "line", "value")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines.repartitionByRange(width, "digest", "line").sortWithinPartitions("digest", "line").select("digest", "value") \
+        .write.mode("overwrite").partitionBy("digest").text(staging)
+    _move_parts(spark, staging, f"{root}/{date}")
+
+
+_LEDGER = "file_path string, date string, digest string, lines bigint, outcome string"
+
+
+def number_lines(batch: DataFrame) -> DataFrame:
+    """``line``: a line's number in its file, however the file was split (a split is read by one task, in order)."""
+    rows = batch.withColumn("_row", F.monotonically_increasing_id())
+    blocks = rows.groupBy("file_path", "block").agg(F.min("_row").alias("_start"), F.count(F.lit(1)).alias("_lines"))
+    before = F.sum("_lines").over(Window.partitionBy("file_path").orderBy("block")) - F.col("_lines")
+    blocks = blocks.select("file_path", "block", "_start", before.alias("_before"))
+    return rows.join(blocks, ["file_path", "block"]).withColumn(
+        "line", F.col("_before") + F.col("_row") - F.col("_start")).drop("_row", "_start", "_before")
+
+
+def content_digests(lines: DataFrame) -> DataFrame:
+    """``file_path, lines, ok, digest`` of numbered lines.
+
+    The digest is taken over the hashes of (line number, line), which any task
+    may sum for its block: files of any size, the same digest however they are
+    split, another one if lines change places."""
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "line", "value"))
+    g = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("lines"), F.every("ok").alias("ok"),
+                                       mark(1).alias("x"), mark(2).alias("y"))
+    return g.select("file_path", "lines", "ok", F.substring(F.sha1(F.concat_ws(":", "lines", "x", "y")), 1, 12).alias("digest"))
+
+
+def _move_parts(spark: SparkSession, staging: str, target: str) -> None:
+    """Rename staged parts to their content's name; one that is there already is left as it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(target))
+    for folder in fs.globStatus(path(f"{staging}/digest=*")) or []:
+        digest = folder.getPath().getName().removeprefix("digest=")
+        parts = sorted(f.getPath().toString() for f in fs.globStatus(path(f"{folder.getPath().toString()}/part-*")))
+        for i, part in enumerate(parts):
+            to = path(f"{target}/events_{digest}-{i:05d}.ndjson")
+            if not fs.exists(to):
+                fs.rename(path(part), to)
+    fs.delete(path(staging), True)
 
 
 def start_landing(spark: SparkSession, landing: str, bronze_root: str, rejected_path: str, date: str,
                   checkpoint: str | None = None, available_now: bool = True,
-                  interval: str = "5 minutes") -> StreamingQuery:
-    lines = spark.readStream.format("text").load(landing).select(
-        "value", F.col("_metadata.file_path").alias("file_path"), is_json_object_line(F.col("value")).alias("ok"))
-    w = lines.writeStream.foreachBatch(lambda df, _id: landing_batch(df, bronze_root, rejected_path, date)) \
+                  interval: str = "5 minutes", max_files: int = 1000) -> StreamingQuery:
+    """Land new files of ``landing``; a micro-batch takes at most ``max_files`` (the driver renames so many)."""
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(landing).select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
+        is_json_object_line(F.col("value")).alias("ok"))
+    w = lines.writeStream.foreachBatch(lambda df, batch_id: landing_batch(
+        df, bronze_root, rejected_path, date, _batch_tag(df.sparkSession, batch_id))) \
         .option("checkpointLocation", _ckpt(spark, "landing", checkpoint))
     return _trigger(w, available_now, interval).start()
 
