@@ -188,15 +188,6 @@ def _time_ordered_files(rows, by, path, n):
         cut.where(F.col("b") == b).drop("b").coalesce(1).write.mode("overwrite").parquet(f"{path}/b={b:02d}")
 
 
-@pytest.fixture
-def two_partitions(spark):
-    """State stores are few in these small streams."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
-    yield
-    spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def test_exception_timers_equal_all_batch_rules_at_watermark(spark, tmpdir_path, two_partitions):
     from tidewater.operators import rules, state
     from tidewater.streaming import timers

@@ -144,7 +144,6 @@ QUARANTINE_REASONS = ["malformed_record", "unmapped_ref", "unknown_status", "unp
 # ---------------------------------------------------------------------------
 
 MILESTONE_INDEX = {m: i + 1 for i, m in enumerate(MILESTONES)}  # 1-based
-CARRIER_CODES = [c[0] for c in CARRIERS]
 PORT_CODES = [p[0] for p in PORTS]
 
 
@@ -183,17 +182,6 @@ def boxes_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def box_ports_df(spark: SparkSession) -> DataFrame:
-    """Box dimension exploded to one row per (box, port)."""
-    rows = [(name, port, i) for i, (name, ports, _, _) in enumerate(AIS_BOXES) for port in ports]
-    schema = T.StructType([
-        T.StructField("box", T.StringType(), False),
-        T.StructField("port", T.StringType(), False),
-        T.StructField("ord", T.IntegerType(), False),
-    ])
-    return spark.createDataFrame(rows, schema)
-
-
 def port_boxes_df(spark: SparkSession) -> DataFrame:
     """Every configured port with the anchorage box it belongs to (NULL if none)."""
     box_of_port = {port: name for name, ports, _, _ in AIS_BOXES for port in ports}
@@ -210,13 +198,3 @@ def vessels_df(spark: SparkSession) -> DataFrame:
         T.StructField("name", T.StringType(), False),
     ])
     return spark.createDataFrame(VESSELS, schema)
-
-
-def gaps_df(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("event_type", T.StringType(), False),
-        T.StructField("ms_idx", T.IntegerType(), False),
-        T.StructField("max_gap_h", T.IntegerType(), True),
-    ])
-    return spark.createDataFrame(
-        [(m, MILESTONE_INDEX[m], MAX_GAP_H[m]) for m in MILESTONES], schema)

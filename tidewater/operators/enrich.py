@@ -7,8 +7,7 @@ Two inputs are supported:
 * observation rows (``sources.feeds.supplier_conditions``): several
   observations per port-day, combined with an aggregate.
 
-Headlines are matched to ports with a containment join against the broadcast
-port dimension (bounded by the configured ports).
+Headlines are matched to all port names in one pass, as a projection.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater import config
+from tidewater.functions import phrases
 
 CONDITION_COLUMNS = ["port", "date", "weather_alerts", "weather_code",
                      "wind_max_kmh", "precip_mm", "disruption_news"]
@@ -24,16 +24,16 @@ CONDITION_COLUMNS = ["port", "date", "weather_alerts", "weather_code",
 
 def headline_counts(headlines: DataFrame, text_col: str = "title", date_col: str | None = "date") -> DataFrame:
     """``port, [date,] disruption_news``: headlines whose lower-cased text
-    contains the lower-cased port name.  Ports (a configured, bounded list)
-    are the broadcast side of the containment join; every text is read whole.
-    With ``date_col=None`` the counts are per port only."""
-    spark = headlines.sparkSession
-    ports = F.broadcast(config.locations_df(spark).select(
-        F.col("unlocode").alias("port"), F.lower("port_name").alias("_needle")))
+    contains the lower-cased port name.  All names are looked for in one pass
+    over each whole text (``functions.phrases``), without a join.  With
+    ``date_col=None`` the counts are per port only."""
+    codes: dict[str, list[str]] = {}
+    for code, name, *_ in config.PORTS:
+        codes.setdefault(name.lower(), []).append(code)
+    ports_of = F.create_map(*[x for name, held in codes.items() for x in (F.lit(name), F.array(*map(F.lit, held)))])
+    ports = F.flatten(F.transform(phrases.found(F.lower(F.col(text_col)), list(codes)), lambda p: F.element_at(ports_of, p)))
     keys = ["port"] + (["date"] if date_col else [])
-    h = headlines.select(*([F.col(date_col).alias("date")] if date_col else []),
-                         F.lower(F.col(text_col)).alias("_text"))
-    matched = h.join(ports, F.col("_text").contains(F.col("_needle")), "inner")
+    matched = headlines.select(*([F.col(date_col).alias("date")] if date_col else []), F.explode(ports).alias("port"))
     return matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("disruption_news"))
 
 

@@ -3,20 +3,20 @@
 Governed metrics are evaluated for every filter combination at once: each mart
 row is exploded into the (carrier filter, port filter) combinations it belongs
 to (at most 2 x 4 per row), then one aggregate per combination.  The answers
-table is therefore bounded by the configured metrics, carriers and ports and
-can be broadcast to a question table of any size.  Questions are matched to
-phrases with a containment join against the broadcast phrase list.
+table is therefore bounded by the configured metrics, carriers and ports.
+Questions are matched to all phrases in one pass, as a projection.
 """
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewater import config
+from tidewater.functions.phrases import found as find_phrases
 from tidewater.functions.timefmt import asof_literal
 from tidewater.operators.gold import round_ratio
 
@@ -161,21 +161,14 @@ def superlatives(marts: dict[str, DataFrame], rows: DataFrame | None = None) ->
                     F.when(lower, F.col("_hiv")).otherwise(F.col("_lov")).alias("worst_value"))
 
 
-def phrases(spark: SparkSession) -> DataFrame:
-    """Phrase dimension: ``kind, key, phrase, plen, ord`` (config order)."""
-    rows, i = [], 0
+def phrase_rows() -> list[tuple[str, str, str, int, int]]:
+    """``kind, key, phrase, plen, ord`` of every phrase (config order)."""
+    rows = []
     for name, (_m, _c, _a, _w, _u, syn) in config.METRICS.items():
-        for p in [name.replace("_", " ")] + syn:
-            rows.append(("metric", name, p, len(p), i))
-            i += 1
+        rows += [("metric", name, p) for p in [name.replace("_", " ")] + syn]
     for dim, values in config.DIMENSION_PHRASES.items():
-        for p, code in values.items():
-            rows.append((dim, code, p, len(p), i))
-            i += 1
-    schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("key", T.StringType()),
-                           T.StructField("phrase", T.StringType()), T.StructField("plen", T.IntegerType()),
-                           T.StructField("ord", T.IntegerType())])
-    return spark.createDataFrame(rows, schema)
+        rows += [(dim, code, p) for p, code in values.items()]
+    return [(kind, key, p, len(p), i) for i, (kind, key, p) in enumerate(rows)]
 
 
 def _tokens(text: Column) -> Column:
@@ -191,33 +184,38 @@ def resolve_questions(questions: DataFrame, mode: str = "substring") -> DataFram
     superlative words are matched best before worst.  ``mode="substring"``
     reproduces plain containment (so "la" also hits inside "delay");
     ``mode="token"`` matches phrases and superlative words on word boundaries."""
-    spark = questions.sparkSession
     if mode == "token":
         q = questions.select("question_id", _tokens(F.col("question")).alias("_ql"))
-        ph = F.broadcast(phrases(spark).withColumn("phrase", _tokens(F.col("phrase"))))
+        spell = lambda p: f" {re.sub('[^a-z0-9-]+', ' ', p.lower())} "
         words = lambda ws: [f" {w} " for w in ws]
     elif mode == "substring":
         q = questions.select("question_id", F.lower(F.col("question")).alias("_ql"))
-        ph = F.broadcast(phrases(spark))
+        spell = str
         words = list
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    hits = q.join(ph, F.col("_ql").contains(F.col("phrase")), "inner")
-    rank = F.struct(F.col("plen"), (-F.col("ord")).alias("o"))
+    listed = [(kind, key, spell(p), plen, i) for kind, key, p, plen, i in phrase_rows()]
 
     def pick(kind):
-        return F.max_by(F.when(F.col("kind") == kind, F.col("key")), F.when(F.col("kind") == kind, rank))
-
-    res = hits.groupBy("question_id").agg(pick("metric").alias("metric"), pick("carrier").alias("carrier_filter"),
-                                          pick("port").alias("port_filter"))
+        """Key of the longest phrase of a kind that the text contains, the first listed of equals."""
+        rank = {}
+        for _, key, phrase, plen, i in (r for r in listed if r[0] == kind):
+            rank.setdefault(phrase, (plen, -i, key))
+        of = F.create_map(*[x for p, (plen, i, key) in rank.items()
+                            for x in (F.lit(p), F.struct(F.lit(plen), F.lit(i), F.lit(key).alias("key")))])
+        best = F.array_max(F.transform(find_phrases(F.col("_ql"), list(rank)), lambda p: F.element_at(of, p)))
+        return best.key
+
+    res = q.select("question_id", "_ql", pick("metric").alias("metric"), pick("carrier").alias("carrier_filter"),
+                   pick("port").alias("port_filter"))
     best = F.lit(False)
     for w in words(config.SUPERLATIVE_BEST):
         best = best | F.col("_ql").contains(w)
     worst = F.lit(False)
     for w in words(config.SUPERLATIVE_WORST):
         worst = worst | F.col("_ql").contains(w)
-    sup = q.select("question_id", F.when(best, "best").when(worst, "worst").alias("superlative"))
-    return sup.join(res, "question_id", "left")
+    return res.select("question_id", F.when(best, "best").when(worst, "worst").alias("superlative"), "metric",
+                      "carrier_filter", "port_filter")
 
 
 def answer_questions(questions: DataFrame, marts: dict[str, DataFrame], mode: str = "substring") -> DataFrame:
@@ -226,8 +224,8 @@ def answer_questions(questions: DataFrame, marts: dict[str, DataFrame], mode: st
     r = resolve_questions(questions, mode)
     keys = ["metric", "carrier_filter", "port_filter"]
     rows = _with_filters(metric_rows(marts))   # built once, read by both aggregates
-    vals = F.broadcast(governed_values(marts, rows).select(*keys, "value", "rows_used"))
-    sups = F.broadcast(superlatives(marts, rows))
+    vals = governed_values(marts, rows).select(*keys, "value", "rows_used")  # adaptive execution checks their size
+    sups = superlatives(marts, rows)
     cond_v = [r[k].eqNullSafe(vals[k]) for k in keys]
     j = r.join(vals, cond_v, "left").select(r["*"], vals["value"], vals["rows_used"])
     cond_s = [j[k].eqNullSafe(sups[k]) for k in keys]

@@ -238,18 +238,28 @@ def start_anchor_hours(spark: SparkSession, ais_root: str, dwell_path: str, chec
 # ---- T5: vessel dimension, last write wins ---------------------------------------
 
 def vessel_batch(batch: DataFrame, dim_root: str) -> None:
-    """Upsert statics by MMSI, keeping whichever report is newer across the
-    stored and the new rows (a replayed old day cannot regress the dimension)."""
+    """Upsert statics by MMSI: the newest report stays, and of equally new ones the first in ingest order.
+
+    ``ingest`` (file, block, row inside the file) is kept with the row.  It does
+    not change with a shuffle or with the way a file's rows come in several
+    micro-batches, so the choice is the batch operator's; a replayed old day
+    cannot regress the dimension."""
     spark = batch.sparkSession
-    ordered = batch.orderBy("_file", "_block").withColumn("_ingest", F.monotonically_increasing_id())
-    _, statics = ais_messages(ordered)
-    new = ais.vessel_static(statics)
+    lines = number_lines(batch.select("m", F.col("_file").alias("file_path"), F.col("_block").alias("block")))
+    _, statics = ais_messages(lines.withColumn("_ingest", F.struct(F.col("file_path").alias("file"), F.col("line"))))
+    known = statics.where(F.col("mmsi").isNotNull() & (F.col("mmsi") != ""))
+    new = known.select("mmsi", F.col("imo").cast("string").alias("imo"), F.trim("name").alias("name"),
+                       F.col("type").cast("string").alias("type"), F.col("received_at").alias("observed_at"),
+                       F.col("_ingest").alias("ingest"))
     current = tables.read_current(spark, dim_root)
     if current is not None:
-        both = current.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)))
-        new = both.groupBy("mmsi").agg(F.max_by(F.struct("imo", "name", "type", "observed_at"),
-                                                F.struct("observed_at", "_src")).alias("v")).select("mmsi", "v.*")
-    tables.write_version(new, dim_root)
+        new = new.unionByName(current.select(*new.columns))
+    # the smallest of (newest first, ingest order): times are negated, so the first copy wins
+    order = F.struct((-F.unix_micros("observed_at")).alias("t"), "ingest")
+    undated = F.col("observed_at").isNull()
+    best = new.groupBy("mmsi").agg(F.min_by(F.struct("imo", "name", "type", "observed_at", "ingest"),
+                                            F.struct(undated.alias("u"), order.alias("o"))).alias("v"))
+    tables.write_version(best.select("mmsi", "v.*"), dim_root)
 
 
 def start_vessels(spark: SparkSession, ais_root: str, dim_root: str, checkpoint: str | None = None,

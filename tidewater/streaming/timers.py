@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidewater import config
 from tidewater.session import use_rocksdb
 
-FLAG_TYPES = ("MISSED_MILESTONE", "LATE_DEPARTURE", "CUSTOMS_DWELL", "VESSEL_STALLED", "EWAY_BILL_EXPIRED")
+FLAG_TYPES = config.EXCEPTION_TYPES
 TIMERS = ("silence", "customs", "eway", "expiry")
 OUTPUT_SCHEMA = ("shipment_id string, exception_type string, is_open boolean, evaluated_at timestamp, "
                  "seq long, carrier string")
