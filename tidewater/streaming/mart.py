@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater import config
-from tidewater.operators.gold import round_ratio
 from tidewater.sinks import tables
 from tidewater.sinks.tables import snapshot_as_of
 from tidewater.streaming import jobs
@@ -87,7 +86,7 @@ def _mart_of(held: DataFrame) -> DataFrame:
         F.max(F.when(there, F.col("tenths"))).alias("_most"),
         F.coalesce(F.sum(F.when(F.col("tenths") >= 10 * config.BANDS_H[1], F.col("n"))), F.lit(0)).alias("band2_escalations"))
     return g.select("bucket", *KEYS, "open_exceptions",
-                    F.when(F.col("open_exceptions") > 0, round_ratio(F.col("_t"), F.col("open_exceptions") * 10, 2)).alias("avg_age_h"),
+                    F.when(F.col("open_exceptions") > 0, F.col("_t") / F.col("open_exceptions") / 10.0).alias("avg_age_h"),
                     (F.col("_most") / 10.0).alias("max_age_h"), "band2_escalations")
 
 
