@@ -50,7 +50,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tidewater-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote, once what was made of them is written itself."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
@@ -67,7 +76,8 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
         edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
         .unionByName(edges.select(F.col(dst).alias("u"), F.col(src).alias("v")))
         .where(F.col("u").isNotNull() & F.col("v").isNotNull()).distinct(), "edges")
-    labels = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")), "labels")
+    held = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")), "labels")
+    labels = held
     while True:
         near = (both.join(labels.select(F.col("u").alias("v"), "label"), "v")
                 .groupBy("u").agg(F.min("label").alias("near")))
@@ -76,7 +86,9 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
                 .select("u", F.least("label", "near", "root").alias("next"),
                         F.col("label").alias("was")))
         step = stored(step, "labels")
+        forget(held)
         moved = step.where("next <> was").limit(1).count()
-        labels = step.select("u", F.col("next").alias("label"))
+        held, labels = step, step.select("u", F.col("next").alias("label"))
         if not moved:
+            forget(both)
             return labels.select(F.col("u").alias("node"), F.col("label").alias("component"))

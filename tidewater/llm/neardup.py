@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import components, stored, text_of
+from tidewater.llm.variants import build_filters
 
 _MUL = np.uint64(0x9FB21C651E98DF25)
 _ADD = np.uint64(0x2545F4914F6CDD1D)
 _WIDE = 200_000  # k-mers a text may have to be sketched for all functions at once
-_SLOTS = 1 << 20  # counters of the shingle order
+_SLOTS = 1 << 22  # counters of the shingle order
 _CHUNK = 1 << 14  # counters that are summed together
-_FEW = 1_000_000  # shingles, 8 bytes each, that may be broadcast
+_FILTER_BYTES = 32 << 20  # what the filter of shared shingles may take
 _SLACK = 1e-6  # bounds on counts of shingles give way by this much, so rounding loses no pair
 
 
@@ -116,17 +117,33 @@ def reach(n: int, share: float) -> int:
     return n - max(1, math.ceil(share * n - _SLACK)) + 1
 
 
+_MARKED = "doc_id bigint, key binary, n bigint, marks array<bigint>, chunk int, counts binary"
+
+
 def _sketcher(k: int, count: int, length: int):
+    """Sketches of the texts, then the counters of all shingles read, chunk by chunk."""
+    names = [c.split()[0] for c in _MARKED.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(_SLOTS, np.int32)
         for batch in batches:
             sizes, rows = [], []
-            for text in batch.column("text").to_pylist():
-                keys = kmers(text, k)
+            for cell in batch.column("text"):
+                keys = kmers(cell.as_py(), k)
                 sizes.append(len(keys))
                 rows.append(sketches(keys, count, length).view(np.int64) if len(keys) else None)
+                np.add.at(seen, (keys & np.uint64(_SLOTS - 1)).astype(np.int64), 1)
+            none = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()),
-                 pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "key", "n", "marks"])
+                 pa.array(rows, pa.list_(pa.int64())), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names)
+        parts = np.minimum(seen, 65535).astype(np.uint16).reshape(-1, _CHUNK)
+        used = np.flatnonzero(parts.any(axis=1))
+        none = len(used)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(none, pa.int64()), pa.nulls(none, pa.binary()), pa.nulls(none, pa.int64()),
+             pa.nulls(none, pa.list_(pa.int64())), pa.array(used, pa.int32()),
+             pa.array([zlib.compress(parts[i].tobytes(), 1) for i in used], pa.binary())], names=names)
 
     return run
 
@@ -147,86 +164,106 @@ def _verifier(k: int, least: float):
     return run
 
 
-def _counter(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(_SLOTS, np.int32)
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                np.add.at(counts, (kmers(text, k) & np.uint64(_SLOTS - 1)).astype(np.int64), 1)
-        if counts.any():
-            parts = counts.reshape(-1, _CHUNK)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(parts)), pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for c in parts])],
-                names=["chunk", "counts"])
-
-    return run
-
-
-def _counts(docs: DataFrame, k: int) -> np.ndarray:
+def _counts(marked: DataFrame) -> np.ndarray:
     """Shingles of all texts by slot; a table of fixed size, whatever the corpus."""
     def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, chunk = np.zeros(_CHUNK, np.int64), None
         for batch in parts:
             chunk = batch.column("chunk")[0]
             for packed in batch.column("counts").to_pylist():
-                total += np.frombuffer(zlib.decompress(packed), np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int32()), pa.array([total.tobytes()])],
+                total += np.frombuffer(zlib.decompress(packed), np.uint16)
+        low = np.minimum(total, 2 ** 31 - 1).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int32()), pa.array([low.tobytes()])],
                                          names=["chunk", "counts"])
 
-    schema = "chunk int, counts binary"
-    rows = docs.select(text_of().alias("text")).mapInArrow(_counter(k), schema).groupBy("chunk").applyInArrow(add, schema)
-    counts = np.zeros(_SLOTS, np.int64)
-    for row in rows.collect():  # 64 rows
-        counts[row.chunk * _CHUNK:(row.chunk + 1) * _CHUNK] = np.frombuffer(row.counts, np.int64)
+    rows = marked.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(
+        add, "chunk int, counts binary")
+    counts = np.zeros(_SLOTS, np.int32)
+    for row in rows.toLocalIterator():  # _SLOTS / _CHUNK rows
+        counts[row.chunk * _CHUNK:(row.chunk + 1) * _CHUNK] = np.frombuffer(row.counts, np.int32)
     return counts
 
 
 def _rarest_of(k: int, counts: np.ndarray, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, firsts, rows = [], [], []
-            for text in batch.column("text").to_pylist():
-                keys = kmers(text, k)
+            sizes, ends, rows = [], [], []
+            for cell in batch.column("text"):
+                keys = kmers(cell.as_py(), k)
                 n = len(keys)
+                rare = rarest(keys, counts, reach(n, least)) if n else keys
                 sizes.append(n)
-                firsts.append(reach(n, 2 * least / (1 + least)) if n else 0)
-                rows.append(rarest(keys, counts, reach(n, least)).view(np.int64) if n else [])
+                rows.append(rare.view(np.int64))
+                # the place of the last one in the order all texts share: its count, then its key
+                ends.append(dict(seen=int(counts[int(rare[-1]) & (_SLOTS - 1)]),
+                                 key=int(rare[-1] ^ np.uint64(1 << 63)) - (1 << 64) if int(rare[-1]) < 1 << 63
+                                 else int(rare[-1]) - (1 << 63)) if n else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(sizes, pa.int64()),
+                 pa.array(ends, pa.struct([("seen", pa.int64()), ("key", pa.int64())])),
+                 pa.array(rows, pa.list_(pa.int64()))], names=["node", "n", "last", "rare"])
+
+    return run
+
+
+def _shared_only(filters):
+    """The rare shingles that the filter of shared ones holds, with their texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = filters.value
+        for batch in batches:
+            lists = batch.column("rare")
+            flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            there = held.holds(0, flat)
+            at = pa.array(row[there])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(firsts, pa.int64()),
-                 pa.array(rows, pa.list_(pa.int64()))], names=["node", "n", "first", "rare"])
+                [*[batch.column(c).take(at) for c in ("node", "n", "last", "part")], pa.array(flat[there].view(np.int64))],
+                names=["node", "n", "last", "part", "bucket"])
 
     return run
 
 
-def _unmet(docs: DataFrame, named: DataFrame, k: int, least: float) -> DataFrame:
+def _unmet(texts: DataFrame, marked: DataFrame, named: DataFrame, k: int, least: float) -> DataFrame:
     """All pairs ``a, b`` of unequal parts that may be near duplicates: a prefix-filter join, none is left out.
 
     Texts of s <= g shingles at similarity ``least`` have ``least / (1 + least) *
-    (s + g)`` in common at least, which is no less than ``2 * least / (1 +
-    least) * s`` and ``least * g``.  So the rarest of the common ones is among
-    the ``reach`` of either share, and as many as are needed do not come before
-    it in either text.  The order decides only how few texts share a rare
-    shingle.  Shingles whose texts are one part already drop out by an aggregate.
+    (s + g)`` in common at least, which is no less than ``least * g``.  So at
+    least one of the common ones is among the ``reach`` rarest of both.  Of two
+    prefixes let one end first in the order all texts share: a common shingle
+    that is not in both prefixes comes after that end, so the common ones are at
+    most those of the prefixes and the rest of that text.  Pairs that cannot
+    reach the number go before any text is read.  The order decides only how
+    few texts share a rare shingle.
+
+    Shingles whose texts are one part already drop out by an aggregate; a
+    filter of those left, of bounded size, keeps the others from being dealt
+    out again.
     """
-    texts = docs.select(F.unhex(F.md5(F.encode(text_of(), "UTF-8"))).alias("key"), text_of().alias("text"))
-    rare = stored(texts.mapInArrow(_rarest_of(k, _counts(docs, k), least),
-                                   "node binary, n bigint, first bigint, rare array<bigint>").where("n > 0"), "rare")
-    rare = (rare.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
-            .select("node", "n", "first", "rare", F.coalesce("component", "node").alias("part")))
-    label = rare.select(F.explode("rare").alias("bucket"), F.xxhash64("part").alias("label"))
+    spark = texts.sparkSession
+    rare = stored(texts.mapInArrow(_rarest_of(k, _counts(marked), least),
+                                   "node binary, n bigint, last struct<seen:bigint,key:bigint>, rare array<bigint>")
+                  .where("n > 0"), "rare")
+    parted = (rare.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
+              .select("node", "n", "last", "rare", F.coalesce("component", "node").alias("part")))
+    label = parted.select(F.explode("rare").alias("bucket"), F.xxhash64("part").alias("label"))
     open_ = stored(label.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                    .where("low <> high").select("bucket"), "open")
-    at = rare.select("node", "n", "first", "part", F.posexplode("rare").alias("at", "bucket"))
-    few = F.broadcast(open_) if open_.limit(_FEW + 1).count() <= _FEW else open_  # spares a shuffle of all
-    live = stored(at.join(few, "bucket", "left_semi").distinct(), "rare-open")
-    less = live.where(F.col("at") < F.col("first"))
-    more = live.select("bucket", F.col("node").alias("g"), F.col("n").alias("n_g"), F.col("at").alias("at_g"),
-                       F.col("part").alias("part_g"))
-    ordered = (F.col("n") < F.col("n_g")) | ((F.col("n") == F.col("n_g")) & (F.col("node") < F.col("g")))
-    common = F.least(F.col("n") - F.col("at"), F.col("n_g") - F.col("at_g"))
-    enough = common >= F.lit(least / (1 + least)) * (F.col("n") + F.col("n_g")) - F.lit(_SLACK)
-    met = less.join(more, "bucket").where(ordered & enough & (F.col("part") != F.col("part_g")) & _alike("n", "n_g", least))
-    return met.select(F.least("node", "g").alias("a"), F.greatest("node", "g").alias("b")).distinct()
+    filters = spark.sparkContext.broadcast(build_filters(open_.select(F.lit(0).alias("length"), F.col("bucket").alias("hash")),
+                                                         _FILTER_BYTES))
+    likely = parted.mapInArrow(_shared_only(filters), "node binary, n bigint, last struct<seen:bigint,key:bigint>, "
+                               "part binary, bucket bigint")
+    live = stored(likely.join(open_, "bucket", "left_semi").distinct(), "rare-open")
+    other = live.select("bucket", *[F.col(c).alias(f"{c}_g") for c in ("node", "n", "last", "part")])
+    ordered = (F.col("n") < F.col("n_g")) | ((F.col("n") == F.col("n_g")) & (F.col("node") < F.col("node_g")))
+    met = live.join(other, "bucket").where(ordered & (F.col("part") != F.col("part_g")) & _alike("n", "n_g", least))
+    # what both texts have behind their prefixes; a prefix is as long as its text's size says
+    rest = [F.ceil(F.col(n) * F.lit(least) - F.lit(_SLACK)) - 1 for n in ("n", "n_g")]
+    rest = F.when(F.col("last") <= F.col("last_g"), rest[0]).otherwise(rest[1])
+    pairs = met.groupBy("node", F.col("node_g").alias("g")).agg(
+        F.count(F.lit(1)).alias("common"), F.first(rest).alias("rest"),
+        F.first(F.lit(least / (1 + least)) * (F.col("n") + F.col("n_g"))).alias("needed"))
+    pairs = pairs.where(F.col("common") + F.col("rest") >= F.col("needed") - F.lit(_SLACK))
+    return pairs.select(F.least("node", "g").alias("a"), F.greatest("node", "g").alias("b"))
 
 
 def _alike(a: str, b: str, least: float):
@@ -254,16 +291,17 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
 
     A text has ``count`` sketches of ``length`` shingles; pairs that share three
     are verified first.  Texts that share a sketch meet in its bucket.  A bucket
-    of up to ``all_pairs_to`` compares all its pairs.  A larger one compares its
-    members with a leader, the member that shares most buckets; while its
-    members are not yet one part, they meet three leaders of other parts, drawn
-    anew each round, until a round finds no link.  A round is linear in a
-    bucket's size, and a pair's two texts are all a task holds.
+    of up to ``all_pairs_to`` compares all its pairs.  The texts of larger ones
+    are compared with the leader of their largest bucket, the member that shares
+    most buckets; while the members of a bucket are not yet one part, they meet
+    three leaders of other parts, drawn anew each round, until a round finds no
+    link.  A round is linear in a bucket's size, and a pair's two texts are all
+    a task holds.
     """
     key = F.unhex(F.md5(F.encode(text_of(), "UTF-8")))
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), text_of().alias("text"))
-    marked = stored(base.mapInArrow(_sketcher(k, count, length),
-                                    "doc_id bigint, key binary, n bigint, marks array<bigint>"), "sketches")
+    made = stored(base.mapInArrow(_sketcher(k, count, length), _MARKED), "sketches")
+    marked = made.where("chunk is null").select("doc_id", "key", "n", "marks")
     nodes = marked.groupBy("key").agg(F.first("n").alias("n"), F.first("marks").alias("marks"))
     spread = nodes.select(F.col("key").alias("node"), "n", F.posexplode("marks").alias("j", "mark"))
     spread = spread.select("node", "n", F.xxhash64("j", "mark").alias("bucket"))
@@ -277,7 +315,11 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     pairs = (few.join(other, "bucket").where((F.col("node") < F.col("b")) & _alike("n", "n_b", least))
              .select(F.col("node").alias("a"), "b"))
     leaders = large.groupBy("bucket").agg(F.max(F.struct("degree", "node", "n")).alias("lead"))
-    pairs = pairs.unionByName(_with_leader(large, leaders, least))
+    # a text first meets one leader only; the buckets it shares with others come back while they are of several parts
+    first = large.join(leaders, "bucket").groupBy("node").agg(
+        F.max_by(F.struct("n", "lead"), F.struct("size", "lead.degree", "bucket")).alias("x"))
+    first = first.select("node", "x.*").where((F.col("node") != F.col("lead.node")) & _alike("n", "lead.n", least))
+    pairs = pairs.unionByName(first.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")))
     texts = docs.select(key.alias("key"), text_of().alias("text"))
     links = stored(_verify(_three(pairs.distinct(), nodes), texts, k, least), "links")
     blank = nodes.where(F.col("n") == 0).select("key")
@@ -307,7 +349,8 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
         part = stored(_renamed(open_, merged, "part"), "parts")
         named = _relabelled(named, merged)
         turn += 1
-    new = stored(_verify(stored(_unmet(docs, named, k, least), "candidates"), texts, k, least), "links")
+    whole = docs.select(key.alias("key"), text_of().alias("text"))
+    new = stored(_verify(stored(_unmet(whole, made, named, k, least), "candidates"), texts, k, least), "links")
     if new.limit(1).count():
         links = links.unionByName(new)
         of = nodes.select(F.col("key").alias("node")).join(named, "node", "left").select(

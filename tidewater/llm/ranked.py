@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import stored, text_of
 
-#: Runs of these are terms; the same set as bytes of UTF-8, A-Z lower-cased, all others a space.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bytes of UTF-8 as terms are made of them: digits and letters, A-Z lower-cased, and all beyond ASCII; others are a space.
 _BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _STEP = 4096  # inner cells hold their maximum in these units, rounded up, in a byte; an impact is at most 10**6
 _POPCOUNT = np.array([bin(i).count("1") for i in range(16)], np.uint8)
 _QUERY_BYTES = 8 << 20  # texts of the items searched together
-_AT_ONCE = 32  # document ranges of an item that are split together
+_AT_ONCE = 64  # document ranges of an item that are split together
+_TOGETHER = 50  # items whose ranges are held at a time
+_STRETCH = 6  # empty bits under a row's number: rows part this many levels ahead of documents
 _SCHEMA = ("doc_ids array<bigint>, lengths binary, terms binary, df binary, levels array<bigint>, masks binary, "
            "peaks binary, tf binary, large_at binary, large binary")
 
@@ -52,7 +53,9 @@ def _spread(x: np.ndarray) -> np.ndarray:
 
 
 def height_of(rows: int, columns: int) -> int:
-    return max((rows - 1).bit_length(), (columns - 1).bit_length(), 1)
+    """Levels of the grid.  Rows are spread out, so a node of many documents already stands for few terms:
+    its peak says more about the term that is asked for."""
+    return max((rows - 1).bit_length() + _STRETCH, (columns - 1).bit_length())
 
 
 def build_tree(row: np.ndarray, column: np.ndarray, impact: np.ndarray, height: int):
@@ -77,6 +80,14 @@ def build_tree(row: np.ndarray, column: np.ndarray, impact: np.ndarray, height:
     return order, np.concatenate(masks[::-1]), np.concatenate(peaks[::-1]), [len(m) for m in masks[::-1]]
 
 
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with a term, and their terms."""
+    for batch in batches:
+        n = [len(terms_of(cell.as_py())) for cell in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([pa.array([sum(x > 0 for x in n)], pa.int64()), pa.array([sum(n)], pa.int64())],
+                                         names=["docs", "terms"])
+
+
 def _indexer(docs: int, terms: int, docs_per_shard: int, terms_per_shard: int):
     """Shards of consecutive documents of a partition, each with its tree."""
     def shard(rows: list, vocabulary: dict) -> pa.RecordBatch:
@@ -91,7 +102,7 @@ def _indexer(docs: int, terms: int, docs_per_shard: int, terms_per_shard: int):
         row_of = np.empty(len(vocabulary), np.int64)
         row_of[by_df] = np.arange(len(vocabulary))
         names = list(vocabulary)
-        order, masks, peaks, levels = build_tree(row_of[term], column, impacts(tf, length[column], docs, terms),
+        order, masks, peaks, levels = build_tree(row_of[term] << _STRETCH, column, impacts(tf, length[column], docs, terms),
                                                  height_of(len(names), len(rows)))
         tf = tf[order]
         large = np.flatnonzero(tf > 255)
@@ -136,17 +147,17 @@ class Index:
     terms: int
 
 
-def build_index(docs: DataFrame, docs_per_shard: int = 1 << 14, terms_per_shard: int = 3_000_000) -> Index:
+def build_index(docs: DataFrame, docs_per_shard: int = 1 << 12, terms_per_shard: int = 300_000) -> Index:
     """K2-treaps over all texts and all their terms, written as one row a shard.
 
     A shard is a run of documents of one input partition, so nothing shuffles;
     its rows are the shard's terms, its columns the documents by id (null last).
     Texts without a term are in no ranking and not in the index.
     """
-    n = F.regexp_count(text_of(), F.lit(TERM)).cast("long")
-    size = docs.agg(F.sum((n > 0).cast("long")).alias("docs"), F.sum(n).alias("terms")).first()
-    total, terms = size.docs or 0, size.terms or 0
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().cast("binary").alias("text"))
+    size = rows.select("text").mapInArrow(_sizes, "docs bigint, terms bigint").agg(
+        F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
+    total, terms = size.docs or 0, size.terms or 0
     shards = rows.mapInArrow(_indexer(total, max(terms, 1), docs_per_shard, terms_per_shard), _SCHEMA)
     return Index(stored(shards, "term-index"), total, terms)
 
@@ -161,9 +172,10 @@ class Shard:
         self.masks = np.frombuffer(row["masks"], np.uint8)
         self.peaks = np.frombuffer(row["peaks"], np.uint8)
         self.height = len(row["levels"])
-        children = np.cumsum(_POPCOUNT[self.masks], dtype=np.int64)
-        self.first = np.r_[1, 1 + children[:-1]]  # nodes are numbered breadth first, the cells after them
-        self.tf = np.frombuffer(row["tf"], np.uint8).astype(np.int64)
+        self.first = np.ones(len(self.masks), np.int32)  # nodes are numbered breadth first, the cells after them
+        np.cumsum(_POPCOUNT[self.masks[:-1]], out=self.first[1:])
+        self.first[1:] += 1
+        self.tf = np.frombuffer(row["tf"], np.uint8).astype(np.int32)
         self.tf[np.frombuffer(row["large_at"], np.int64)] = np.frombuffer(row["large"], np.int64)
         self.width = (len(self.doc_ids) - 1).bit_length()  # levels at which documents part
 
@@ -259,7 +271,7 @@ def search_shard(shard: Shard, items: list[tuple[np.ndarray, np.ndarray]], floor
 
 def _cells(shard: Shard, item: np.ndarray, state: np.ndarray, column: np.ndarray, gain: np.ndarray, cell: np.ndarray):
     """Exact scores of single documents."""
-    tf = shard.tf[cell]
+    tf = shard.tf[cell].astype(np.int64)
     part = gain * ((1_000_000_000 * tf) // (1000 * tf + shard.m12[column[state]]))
     score = np.zeros(len(item), np.int64)
     np.add.at(score, state, part)
@@ -294,15 +306,16 @@ def _searcher(queries: list[dict], floors: np.ndarray, docs: int, terms: int, k:
                 held = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 place = {t: j for j, t in enumerate(held.pop("terms").split(b"\n")) if t in wanted}
                 shard = Shard(held, docs, terms)
-                items = []
-                for gains in queries:
-                    known = [(place[t], g) for t, g in gains.items() if t in place]
-                    items.append(tuple(np.array(x, np.int64) for x in zip(*known, strict=True)) if known
-                                 else (np.empty(0, np.int64),) * 2)
-                item, column, score = search_shard(shard, items, floors, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(item, pa.int64()), pa.array([shard.doc_ids[c] for c in column], pa.int64()),
-                     pa.array(score, pa.int64())], names=["query", "doc_id", "score"])
+                for at in range(0, len(queries), _TOGETHER):
+                    items = []
+                    for gains in queries[at:at + _TOGETHER]:
+                        known = [(place[t] << _STRETCH, g) for t, g in gains.items() if t in place]
+                        items.append(tuple(np.array(x, np.int64) for x in zip(*known, strict=True)) if known
+                                     else (np.empty(0, np.int64),) * 2)
+                    item, column, score = search_shard(shard, items, floors[at:at + _TOGETHER], k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(item + at, pa.int64()), pa.array([shard.doc_ids[c] for c in column], pa.int64()),
+                         pa.array(score, pa.int64())], names=["query", "doc_id", "score"])
 
     return run
 

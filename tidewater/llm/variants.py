@@ -84,7 +84,7 @@ def _letter(at: np.ndarray, code: np.ndarray) -> np.ndarray:
 
 
 def _final(total: np.ndarray, length: int) -> np.ndarray:
-    return _mix(total + np.uint64(length) * _A)
+    return _mix(total + np.full(1, length, np.uint64) * _A)
 
 
 def _codes(words: list[str]) -> np.ndarray:
