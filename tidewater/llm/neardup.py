@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import components, stored, text_of
+from tidewater.llm.common import components, forget, stored, text_of
 from tidewater.llm.variants import build_filters
 
 _MUL = np.uint64(0x9FB21C651E98DF25)
@@ -21,6 +21,7 @@ _ADD = np.uint64(0x2545F4914F6CDD1D)
 _WIDE = 200_000  # k-mers a text may have to be sketched for all functions at once
 _SLOTS = 1 << 22  # counters of the shingle order
 _CHUNK = 1 << 14  # counters that are summed together
+_FEW = 1_000_000  # texts, named by 8 bytes each, that may be broadcast
 _FILTER_BYTES = 32 << 20  # what the filter of shared shingles may take
 _SLACK = 1e-6  # bounds on counts of shingles give way by this much, so rounding loses no pair
 
@@ -330,6 +331,8 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     named = components(links)
     part = stored(large.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select(
         "bucket", "node", "n", F.coalesce("component", "node").alias("part")), "parts")
+    # the rounds read the texts of large buckets only, written once
+    inside = stored(_texts_of(texts, part.select(F.col("node").alias("key"))), "large-texts")
     turn = 0
     while True:
         # buckets whose members are not one part yet draw three leaders, others each round
@@ -340,7 +343,7 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
                   .where("low <> high").select("bucket", F.explode("leads").alias("lead")))
         others = stored(others, "leaders")
         pairs = _with_leader(part, others, least, F.col("part") != F.col("lead.part"))
-        new = stored(_verify(_three(pairs.distinct(), nodes), texts, k, least), "links")
+        new = stored(_verify(_three(pairs.distinct(), nodes), inside, k, least), "links")
         if not new.limit(1).count():
             break
         links = links.unionByName(new)
@@ -349,8 +352,8 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
         part = stored(_renamed(open_, merged, "part"), "parts")
         named = _relabelled(named, merged)
         turn += 1
-    whole = docs.select(key.alias("key"), text_of().alias("text"))
-    new = stored(_verify(stored(_unmet(whole, made, named, k, least), "candidates"), texts, k, least), "links")
+    forget(inside)
+    new = stored(_verify(stored(_unmet(texts, made, named, k, least), "candidates"), texts, k, least), "links")
     if new.limit(1).count():
         links = links.unionByName(new)
         of = nodes.select(F.col("key").alias("node")).join(named, "node", "left").select(
@@ -397,14 +400,22 @@ def _three(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _verify(pairs: DataFrame, texts: DataFrame, k: int, least: float) -> DataFrame:
     """The pairs whose aligned similarity is at least ``least``."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    read = texts.join(named, "key", "left_semi").dropDuplicates(["key"])
+    named = pairs.select(F.explode(F.array("a", "b")).alias("key"))
+    read = _texts_of(texts, named)
     both = (pairs.join(read.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
             .join(read.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"))
     return both.mapInArrow(_verifier(k, least), "a binary, b binary, similarity double").where(
         F.col("similarity") >= F.lit(least))
 
 
+def _texts_of(texts: DataFrame, named: DataFrame) -> DataFrame:
+    """The texts of the named keys, each once.  Up to ``_FEW`` names are broadcast, so that the other texts stay where
+    they are."""
+    hashed = named.select(F.xxhash64("key").alias("h")).distinct()
+    few = F.broadcast(hashed) if hashed.limit(_FEW + 1).count() <= _FEW else hashed
+    return texts.withColumn("h", F.xxhash64("key")).join(few, "h", "left_semi").dropDuplicates(["key"]).select("key", "text")
+
+
 def _classes(marked: DataFrame, named: DataFrame, links: DataFrame) -> DataFrame:
     """Rows with their class; a class is pre-aggregated over its rows."""
     degree = (links.select(F.explode(F.array("a", "b")).alias("node"), F.struct("a", "b").alias("pair"))
