@@ -47,7 +47,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-#: The classifier and the sketches have no SQL form; tests compare with a brute-force pipeline.
+#: The classifier and the sketches have no SQL form; tests check each stage, and that run() is their sequence.
 ORACLE_SQL = None
 
 
