@@ -19,10 +19,10 @@ def test_wire_format_edges(spark, tmpdir_path):
     rows = [
         ev("h1", "HLCU", "HLCU123A456789", "8/7/2026 3:05", "8/7/2026 1:00"),         # single digits accepted
         ev("h2", "HLCU", "HLCU123A456789", "30/02/2026 10:00", "01/02/2026 10:00"),   # 30 February
-        ev("m1", "MSCU", "MSCU1234567", "1_784_556_000_000", "1784448000000"),        # underscore epoch
-        ev("m2", "MSCU", "MSCU1234567", " 1784556000000 ", "1784448000000"),          # padded epoch
-        ev("i1", "MAEU", "MAEU123456789", "2026-7-8T3:05:00Z", "2026-07-08T03:05:00Z"),  # single-digit ISO
-        ev("p1", "MAEU", "MAEU123456789", "2026-07-08T03:05:00Z", None),              # planned missing
+        ev("m1", "MSCU", "MSCU1234567", "1_784_556_000_000", "1741309200000"),        # underscore epoch
+        ev("m2", "MSCU", "MSCU1234567", " 1741395600000 ", "1741309200000"),          # padded epoch
+        ev("i1", "MAEU", "MAEU204816327", "2026-7-8T3:05:00Z", "2026-07-08T03:05:00Z"),  # single-digit ISO
+        ev("p1", "MAEU", "MAEU204816327", "2026-07-08T03:05:00Z", None),              # planned missing
     ]
     path = os.path.join(tmpdir_path, "2026-07-20", "e.ndjson")
     write_ndjson(path, rows)
