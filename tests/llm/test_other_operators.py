@@ -147,9 +147,35 @@ def test_top_k_is_exact(spark):
     assert hamming.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def brute_top_k(rows, asked, k):
+    """Lists of (distance, id) by (asking id, code), each code of an id a row."""
+    rows = {r for r in rows if None not in r}
+    return {(q, c): sorted(((c ^ d) & (2**64 - 1)).bit_count() * 10**6 + i for i, d in rows if i != q)[:k]
+            for q, c in {r for r in asked if None not in r}}
+
+
+@pytest.mark.parametrize("most_masks", [hamming.MOST_MASKS, 3])
+def test_top_k_with_repeated_ids(spark, most_masks):
+    rng = random.Random(9)
+    near = [(1, 1 << b) for b in range(30)] + [(1, 0), (2, 0), (3, 3), (4, 0), (4, 5), (5, -1), (6, (1 << 32) - 1)]
+    rows = near + [(7 + i % 20, rng.getrandbits(64) - 2**63) for i in range(200)]
+    df = spark.createDataFrame(rows, "id bigint, code bigint")
+    asked = df.where("id <= 9")
+    for k in (2, 5, 300):
+        got = {}
+        for r in hamming.top_k(df, asked, k=k, most_masks=most_masks).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.distance * 10**6 + r.neighbor_id)
+        want = {}
+        for (q, _), found in brute_top_k(rows, [r for r in rows if r[0] <= 9], k).items():
+            want.setdefault(q, []).extend(found)
+        assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in want.items()}
+
+
 def test_sign_code(spark):
-    df = spark.createDataFrame([([1.0, -1.0, 2.0],), (None,), ([],), ([0.0] * 63 + [1.0, 9.0],)], "v array<float>")
+    df = spark.createDataFrame([([1.0, -1.0, 2.0],), (None,), ([],), ([0.0] * 63 + [1.0],)], "v array<float>")
     assert [r[0] for r in df.select(hamming.sign_code(F.col("v"))).collect()] == [5, None, 0, -2**63]
+    with pytest.raises(Exception, match="64 bits"):
+        spark.createDataFrame([([1.0] * 65,)], "v array<float>").select(hamming.sign_code(F.col("v"))).collect()
 
 
 # ---- chat pairs -------------------------------------------------------------------

@@ -63,7 +63,7 @@ def test_lines_edges(make_docs):
 
 def brute_overlap(doc, item):
     a, b = WORD.findall((doc or "").lower()), WORD.findall((item or "").lower())
-    if len(b) < 5:
+    if not b:
         return False
     need = min(13, len(b))
     for diag in range(-len(b) + 1, len(a)):
@@ -82,6 +82,27 @@ def test_overlaps_match_brute_force(spark):
     assert got == want and want
 
 
+def test_short_items_match_brute_force(spark, make_docs):
+    rng = random.Random(4)
+    items = [(n, " ".join(words_of(n, 300 + n))) for n in range(13)]
+    texts = []
+    for n, item in items:
+        for p in range(-1, n):  # as it is, then with each word replaced, at either end of a text and inside it
+            body = item.split()
+            if p >= 0:
+                body[p] = "other"
+            around = words_of(9, rng.randrange(10**6))
+            texts += [" ".join(body), " ".join(around[:4] + body + around[4:]), " ".join(around + body)]
+        texts.append(" ".join(item.split()[:-1]))
+    docs = make_docs([(i, t, "s") for i, t in enumerate(texts)])
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.overlaps(docs, bench).collect()}
+    want = {(i, n) for i, t in enumerate(texts) for n, item in items if brute_overlap(t, item)}
+    assert got == want and {n for _, n in want} == set(range(1, 13))
+    loose = {(r.doc_id, r.item_id) for r in decontam.overlaps(docs, bench, min_overlap=6).collect()}
+    assert loose >= got
+
+
 def test_overlaps_survive_substitutions(spark, make_docs):
     item = words_of(40, 1)
     texts = {}

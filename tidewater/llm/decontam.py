@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +15,8 @@ from tidewater.llm.common import stored, text_of, words
 #: Together they hit every aligned stretch of 8 tokens with one substitution
 #: and of 10 or 13 tokens with two.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
+#: Shorter stretches are sought by masks of their own length.
+SHORT = 8
 #: Benchmark seeds up to this many are broadcast (about 12 bytes each).
 BROADCAST_SEEDS = 4_000_000
 _CHUNK = 4096
@@ -26,14 +32,31 @@ def _row_key(id_col: str) -> Column:
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
 
 
-def _seeds(rows: DataFrame) -> DataFrame:
+def _enough(need: int, identity: float) -> int:
+    """Equal words that a stretch of ``need`` words must have."""
+    return math.ceil(need * identity)
+
+
+def _masks_of(need: int, identity: float) -> list[tuple[int, tuple[int, ...]]]:
+    """``(tag, offsets)`` of the masks that find a stretch of ``need`` words.
+
+    Under ``SHORT`` words one mask for each choice of the positions that may be
+    substituted, so none is missed and, below five words, only equal ones hit.
+    """
+    if need >= SHORT:
+        return list(enumerate(MASKS))
+    kept = combinations(range(need), _enough(need, identity))
+    return [(1000 * need + i, m) for i, m in enumerate(kept)]
+
+
+def _seeds(rows: DataFrame, masks: list[tuple[int, tuple[int, ...]]]) -> DataFrame:
     """``(key, pos, seed)`` for each mask and token position of ``(key, tokens)``.
 
     A text is cut into overlapping chunks first, so one row holds a bounded
     array however long the text; shifted copies of a chunk side by side give
     the masked tokens as plain columns.
     """
-    span = 1 + max(m[-1] for m in MASKS)
+    span = 1 + max(m[-1] for _, m in masks)
     starts = F.sequence(F.lit(0), F.size("tokens") - 1, F.lit(_CHUNK))
     chunked = rows.where(F.size("tokens") > 0).select(
         "key", F.explode(F.transform(starts, lambda s: F.struct(
@@ -44,7 +67,7 @@ def _seeds(rows: DataFrame) -> DataFrame:
     flat = chunked.select("key", "at", F.posexplode(shifts).alias("i", "t"))
     flat = flat.select("key", (F.col("at") + F.col("i")).alias("pos"), "t.*")
     seeds = F.array(*[F.when(F.col(f"t{m[-1]}").isNotNull(), F.xxhash64(F.lit(k), *[F.col(f"t{i}") for i in m]))
-                      for k, m in enumerate(MASKS)])
+                      for k, m in masks])
     return (flat.select("key", "pos", F.explode(seeds).alias("seed")).where(F.col("seed").isNotNull()))
 
 
@@ -57,25 +80,31 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_overlap: int = 13, ident
     most equal words (then the one furthest left).  Tokens are lower-cased
     words.  Item and document overlap when, at some alignment, a stretch of
     ``min_overlap`` words (the whole item if it is shorter) has at least
-    ``identity`` of its words equal.  Items of under five words cannot be told
-    from chance and never match; null texts are empty; null ids are ids.  Rows
+    ``identity`` of its words equal; at the given 0.8 that is every word of an
+    item of under five words.  Items without a word never match; null texts are empty; null ids are ids.  Rows
     equal in id and text count once; an empty table on either side gives an
     empty result.
 
     The masks find every stretch of 13 words with up to two substitutions
     (and of 8 with one): their hashes of all documents meet the benchmark's.
+    Items of under eight words (or all, at such a ``min_overlap``) have masks of
+    their own; documents are read with them only for the lengths that occur.
     The benchmark's seeds are counted, broadcast up to ``broadcast_seeds`` and
     shuffled beyond.  Only alignments hit are verified, and only documents
     with a hit are read again for it.
     """
     items = (benchmark.select(_row_key("item_id").alias("key"), _tokens(text_of()).alias("tokens"))
-             .where(F.size("tokens") >= 5).dropDuplicates(["key"]))
-    wanted = _seeds(items).select("seed", F.col("key").alias("item"), F.col("pos").alias("item_pos"))
+             .where(F.size("tokens") > 0).dropDuplicates(["key"])
+             .withColumn("need", F.least(F.size("tokens"), F.lit(min_overlap), F.lit(SHORT))))
+    needs = sorted(r.need for r in items.select("need").distinct().collect()) or [SHORT]  # at most SHORT numbers
+    masks = [m for need in needs for m in _masks_of(need, identity)]
+    wanted = reduce(DataFrame.unionByName, [
+        _seeds(items.where(F.col("need") == need), _masks_of(need, identity)) for need in needs]).select("seed", F.col("key").alias("item"), F.col("pos").alias("item_pos"))
     few = wanted.count() <= broadcast_seeds
     hint = F.broadcast if few else (lambda df: df)
 
     texts = docs.select(_row_key("doc_id").alias("key"), text_of().alias("text"))
-    probes = _seeds(texts.select("key", _tokens(F.col("text")).alias("tokens")))
+    probes = _seeds(texts.select("key", _tokens(F.col("text")).alias("tokens")), masks)
     hits = stored(probes.join(hint(wanted), "seed")
                   .select("key", "item", (F.col("pos") - F.col("item_pos")).alias("diag")).distinct(), "seed-hits")
 

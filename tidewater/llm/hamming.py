@@ -11,17 +11,24 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import stored
 
 BITS = 64
+#: Masks of one round are made on the driver and broadcast up to this many (about 16 bytes each).
+MOST_MASKS = 1 << 18
 
 
 def sign_code(vector: Column) -> Column:
-    """64-bit code of the signs of a vector's first 64 numbers; missing ones count as not positive."""
+    """64-bit code of the signs of a vector of up to 64 numbers; missing ones count as not positive.
+
+    A longer vector does not fit and raises: distances of its first numbers
+    would not be those of the vector.
+    """
     def add(code: Column, i: Column) -> Column:
         one = F.when(F.get(vector, i) > 0, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
         # shiftleft by a column, written as SQL has it
         return code.bitwiseOR(F.call_function("shiftleft", one, i))
 
     folded = F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("bigint"), add)
-    return F.when(vector.isNotNull(), folded)
+    wide = F.raise_error(F.concat(F.lit(f"a code has {BITS} bits, a vector has "), F.size(vector).cast("string")))
+    return F.when(F.size(vector) > BITS, wide.cast("bigint")).when(vector.isNotNull(), folded)
 
 
 def _segment(code: Column, j: Column, width: int) -> Column:
@@ -30,7 +37,24 @@ def _segment(code: Column, j: Column, width: int) -> Column:
         F.lit((1 << width) - 1).cast("bigint"))
 
 
-def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+def _nearest(near: DataFrame, k: int) -> DataFrame:
+    """Rows of ``(q, id, distance, code)`` that can be among the ``k`` nearest for some asking id; adds ``others``.
+
+    A query leaves out the rows of its own id, which may be many.  Of one id
+    only ``k`` rows can count.  Of those, ``others`` is the number of rows up to
+    this one that are sure to remain, whichever id asks; rows are kept until it
+    passes ``k``: k + 1 rows where ids have one code, never over 2 k.
+    """
+    order = Window.partitionBy("q").orderBy("distance", "id", "code")
+    of_id = Window.partitionBy("q", "id").orderBy("distance", "code")
+    few = near.withColumn("of_id", F.row_number().over(of_id)).where(F.col("of_id") <= k)
+    few = few.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= 2 * k)
+    most = F.max("of_id").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (few.withColumn("others", F.col("nth") - most).where(F.col("others") <= k)
+            .select("q", "id", "distance", "code", "others"))
+
+
+def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, most_masks: int = MOST_MASKS) -> DataFrame:
     """The ``k`` nearest rows of each query row by Hamming distance, exactly.
 
     ``codes`` and ``queries`` have ``id, code`` (64 bits).  Returns ``query_id,
@@ -46,8 +70,12 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     ``segments * (r + 1) - 1`` has been met, and a query whose k-th verified
     distance is no more than that is done.  Equal codes are met once: of a code
     only the ``k + 1`` smallest ids can be among the results, found by a window
-    that is cut to that length before the shuffle.  Rounds are written to the
-    checkpoint folder; the driver sees one count a round.
+    that is cut to that length before the shuffle.  A query's own id is left
+    out before its rows are cut, however many codes it has.  When a round would
+    need more masks than there are codes, or more than ``most_masks`` to
+    broadcast, the queries still open, far from nearly all codes, are compared
+    with every code that may be nearer than what they hold.  Rounds are written
+    to the checkpoint folder; the driver sees one count a round.
     """
     known = codes.where(F.col("id").isNotNull() & F.col("code").isNotNull()).select("id", "code").distinct()
     first = Window.partitionBy("code").orderBy("id")
@@ -67,28 +95,35 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     open_ = asked.select(F.col("code").alias("q")).distinct()
     best = done = None
     for r in range(width + 1):
-        flips = [(j, sum(1 << b for b in bits)) for j in range(parts) for bits in combinations(range(widths[j]), r)]
-        masks = F.broadcast(spark.createDataFrame(flips, "j int, mask bigint"))  # C(width, r) a segment
-        probes = (open_.select("q", where.alias("j")).join(masks, "j")
-                  .select("q", "j", _segment(F.col("q"), F.col("j"), width).bitwiseXOR(F.col("mask")).alias("value")))
-        met = probes.join(table, ["j", "value"]).select("q", "code").distinct()
+        last = r == width or (r > 0 and sum(math.comb(w, r) for w in widths) > min(number, most_masks))
+        if last:
+            # r > 0 here: every width is at least 1
+            held = best.where(F.col("others") == k).groupBy("q").agg(F.min("distance").alias("held"))
+            bound = open_.join(held, "q", "left").select("q", F.coalesce("held", F.lit(BITS)).alias("held"))
+            met = bound.join(index, F.bit_count(F.col("q").bitwiseXOR(F.col("code"))) <= F.col("held")).select("q", "code")
+        else:
+            flips = [(j, sum(1 << b for b in bits)) for j in range(parts) for bits in combinations(range(widths[j]), r)]
+            masks = F.broadcast(spark.createDataFrame(flips, "j int, mask bigint"))  # at most ``most_masks``
+            probes = (open_.select("q", where.alias("j")).join(masks, "j")
+                      .select("q", "j", _segment(F.col("q"), F.col("j"), width).bitwiseXOR(F.col("mask")).alias("value")))
+            met = probes.join(table, ["j", "value"]).select("q", "code").distinct()
         near = met.join(members, "code").select("q", "id", F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
                                                 .alias("distance"), "code")
         if best is not None:
-            near = near.unionByName(best).distinct()
-        order = Window.partitionBy("q").orderBy("distance", "id", "code")
-        ranked = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1)
-        ranked = stored(ranked, "nearest")
+            near = near.unionByName(best.drop("others")).distinct()
+        ranked = stored(_nearest(near, k), "nearest")
         covered = F.lit(parts * (r + 1) - 1)
-        state = open_.join(ranked.where(F.col("nth") == k + 1).select("q", F.col("distance").alias("kth")), "q", "left")
-        shut = state.where(F.col("kth") <= covered) if r < width else state
-        shut, left = shut.select("q"), state.where(~(F.coalesce("kth", F.lit(BITS + 1)) <= covered)).select("q")
-        ready = ranked.drop("nth").join(shut, "q", "left_semi")
+        kth = ranked.where(F.col("others") == k).groupBy("q").agg(F.min("distance").alias("kth"))
+        state = open_.join(kth, "q", "left")
+        shut = state if last else state.where(F.col("kth") <= covered)
+        ready = ranked.drop("others").join(shut.select("q"), "q", "left_semi")
         done = ready if done is None else done.unionByName(ready)
-        open_ = stored(left, "open")
-        if r == width or not open_.limit(1).count():
+        if last:
+            break
+        open_ = stored(state.where(~(F.coalesce("kth", F.lit(BITS + 1)) <= covered)).select("q"), "open")
+        if not open_.limit(1).count():
             break
-        best = ranked.drop("nth").join(open_, "q", "left_semi")
+        best = ranked.join(open_, "q", "left_semi")
     pairs = (asked.select(F.col("id").alias("query_id"), F.col("code").alias("q")).join(done, "q")
              .where(F.col("id") != F.col("query_id")))
     rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy("distance", "id", "code"))

@@ -115,16 +115,11 @@ WITH word AS (
   SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents
   UNION ALL
   SELECT 'b', item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') FROM benchmark),
-pos AS (SELECT side, id, unnest(range(len(w))) AS p, w FROM word WHERE side = 'd' OR len(w) >= 5),
-seed AS (
-  SELECT side, id, p, unnest([
-    CASE WHEN p + 5 <= len(w) THEN [w[p+1], w[p+2], w[p+3], w[p+4], w[p+5], '0'] END,
-    CASE WHEN p + 6 <= len(w) THEN [w[p+1], w[p+2], w[p+3], w[p+5], w[p+6], '1'] END,
-    CASE WHEN p + 8 <= len(w) THEN [w[p+1], w[p+2], w[p+4], w[p+7], w[p+8], '2'] END]) AS s
-  FROM pos),
+pos AS (SELECT side, id, len(w) AS n, unnest(range(len(w))) AS p, unnest(w) AS t FROM word),
 hit AS (
-  SELECT DISTINCT d.id AS doc_id, b.id AS item_id, d.p - b.p AS diag
-  FROM seed d JOIN seed b ON d.s = b.s AND d.side = 'd' AND b.side = 'b'),
+  SELECT d.id AS doc_id, b.id AS item_id, d.p - b.p AS diag
+  FROM pos d JOIN pos b ON d.t = b.t AND d.side = 'd' AND b.side = 'b'
+  GROUP BY ALL HAVING count(*) >= ceil(least(max(b.n), 13) * 0.8)),
 lined AS (
   SELECT h.doc_id, h.item_id, greatest(h.diag, 0) AS doc_start, greatest(-h.diag, 0) AS item_start,
          least(len(d.w) - greatest(h.diag, 0), len(b.w) - greatest(-h.diag, 0)) AS overlap,
