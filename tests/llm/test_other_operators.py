@@ -105,7 +105,9 @@ def test_urls(spark):
         assert r.verdict == verdict if verdict else r.verdict in ("allow", "block")
     by = {r.page_id: r for r in got}
     assert by[159].verdict == "block" and by[159].template == "/bad/<n>" and by[None].verdict == "block"
-    assert by[259].verdict == "allow" and by[300].template.count("/") == 9 and by[12].template == ""
+    assert by[259].verdict == "allow" and by[300].template.count("/") == 50 and by[12].template == ""
+    cut = {r.page_id: r for r in urlfilter.judge(pages, rated, depth=8).collect()}
+    assert cut[300].template.count("/") == 9 and cut[159].template == "/bad/<n>"
     assert urlfilter.judge(pages.limit(0), rated).count() == 0
     assert urlfilter.judge(pages, rated.limit(0)).count() == len(rows)
 
@@ -118,13 +120,95 @@ def test_small_and_deep_branches_are_told_apart(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, url string")
     rated = spark.createDataFrame([(i, int(i >= 10_000 and (i < 20_000 or i % 2 == 1))) for i, _ in rows
                                    if i >= 10_000 or i % 10 == 0], "page_id bigint, bad int")
-    by = {r.page_id: r for r in urlfilter.judge(pages, rated, depth=None).collect()}
+    by = {r.page_id: r for r in urlfilter.judge(pages, rated).collect()}
     assert len(by) == len(rows)
     for i, url in rows:
         assert by[i].verdict == ("block" if "/bad/" in url else "allow"), url
     assert by[10_000].template == "/bad/<n>" and by[20_001].template.endswith("/bad/<n>")
 
 
+def brute_templates(shapes, min_count=20, z=1.96):
+    """The tree, one level after the other: {(host, segs): template} of (host, segs, n, rated, bad)."""
+    wild = lambda s: "<n>" if "<n>" in s else "*"
+    out = {}
+
+    def grow(rows, template):
+        branches = {}
+        for key, rest, n, rated, bad in rows:
+            if not rest:
+                out[key] = template
+            else:
+                b = branches.setdefault(rest[0], [0, 0, 0, []])
+                b[0], b[1], b[2] = b[0] + n, b[1] + rated, b[2] + bad
+                b[3].append((key, rest[1:], n, rated, bad))
+        total, marked = sum(b[1] for b in branches.values()), sum(b[2] for b in branches.values())
+        p = (marked + 1) / (total + 2)
+        bands, own = {}, {}
+        if sum(b[0] for b in branches.values()) >= min_count and 0 < marked < total:
+            for s, (n, rated, bad, _) in branches.items():
+                if n >= min_count and rated and abs(bad - rated * p) > z * (rated * p * (1 - p) + 1) ** 0.5:
+                    band = (bad > rated * p, int(16 * (bad + 1) / (rated + 2)))
+                    bands.setdefault(band, []).append(s)
+        group, groups = None, []
+        for band in sorted(bands):
+            r, m = (sum(branches[s][i] for s in bands[band]) for i in (1, 2))
+            if group and group[0] == band[0]:
+                q = (m + group[2] + 1) / (r + group[1] + 2)
+                if abs(m / r - group[2] / group[1]) <= z * (q * (1 - q) * (1 / r + 1 / group[1])) ** 0.5:
+                    group[1:] = [group[1] + r, group[2] + m, group[3] + bands[band]]
+                    continue
+            group = [band[0], r, m, bands[band]]
+            groups.append(group)
+        for *_, members in groups:
+            for s in members:
+                own[s] = s if len(members) == 1 and s not in ("*", "<n>") and s[0] != "{" else (
+                    "{%s|+%d}" % (min(members), len(members) - 1))
+        below = {}
+        for s, b in branches.items():
+            below.setdefault(own.get(s, wild(s)), []).extend(b[3])
+        for name, rows in below.items():
+            grow(rows, template + "/" + name)
+
+    hosts = {}
+    for host, segs, *counts in shapes:
+        hosts.setdefault(host, []).append(((host, segs), segs, *counts))
+    for rows in hosts.values():
+        grow(rows, "")
+    return out
+
+
+def test_templates_match_brute_force(spark):
+    rng = random.Random(12)
+    shapes = {}
+    for _ in range(3000):
+        host = rng.choice(["a", "a", "a", "b", "c"])
+        segs = tuple(rng.choice(["x", "y", "z", "w", "u", "<n>", "v<n>", "{x|+1}", "*"]) for _ in range(rng.randrange(6)))
+        shapes[host, segs] = None
+    rows = []
+    for host, segs in shapes:
+        rate = 0.9 if segs[:1] in (("x",), ("y",)) else 0.5 if segs[:1] == ("z",) else 0.1
+        rate = 1 - rate if segs[1:2] == ("w",) else rate
+        rated = rng.randrange(6)
+        rows.append((host, segs, rated + rng.randrange(4), rated, sum(rng.random() < rate for _ in range(rated))))
+    rows += [("deep", ("p",) * 1000 + (s,), 50, 30, 30 * (s in "ab")) for s in "abcd"]
+    df = spark.createDataFrame([(h, list(s), *r) for h, s, *r in rows],
+                               "host string, segs array<string>, n bigint, rated bigint, bad bigint")
+    got = {(r.host, tuple(r.segs)): r.template for r in urlfilter.templates(df).collect()}
+    want = {k: v for k, v in brute_templates([r for r in rows if r[0] != "deep"]).items()}
+    assert {k: v for k, v in got.items() if k[0] != "deep"} == want
+    assert any("|+1}" in t for t in want.values()) and len(got) == len(rows)
+    ends = {k[1][-1]: t for k, t in got.items() if k[0] == "deep"}
+    assert ends == {s: "/*" * 1000 + ("/{a|+1}" if s in "ab" else "/{c|+1}") for s in "abcd"}
+
+
+def test_alike_siblings_merge(spark):
+    rows = [(1000 * b + i, f"http://h.net/{'abcd'[b]}/{i}") for b in range(4) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    rated = spark.createDataFrame([(i, int(i < 2000)) for i, _ in rows], "page_id bigint, bad int")
+    got = {(r.template, r.verdict) for r in urlfilter.judge(pages, rated).collect()}
+    assert got == {("/{a|+1}/<n>", "block"), ("/{c|+1}/<n>", "allow")}
+
+
 # ---- Hamming search ---------------------------------------------------------------
 
 def test_top_k_is_exact(spark):

@@ -49,52 +49,127 @@ def segments(path: Column, depth: int | None) -> Column:
         F.concat(F.slice(parts, 1, depth), F.array(F.lit("**"))))
 
 
+#: Smoothed bad rates are told apart in this many bands before alike branches are merged.
+BANDS = 16
+
+
+def _wild(segs: Column) -> Column:
+    """Segments as wildcards; a lexical one stays visible, the names around it go."""
+    return F.concat_ws("", F.transform(segs, lambda s: F.when(s.contains("<n>"), "/<n>").otherwise("/*")))
+
+
+def _common(lo: Column, hi: Column) -> Column:
+    """Number of first segments that two paths share."""
+    same = F.zip_with(lo, hi, lambda a, b: a.eqNullSafe(b))
+    apart = F.array_position(same, F.lit(False))
+    return F.when(apart > 0, apart - 1).otherwise(F.size(same)).cast("int")
+
+
+def _merged_bands(z: float) -> Column:
+    """Group number of each of a node's ``bands`` (side, band, rated, bad): neighbours that are alike share one.
+
+    Groups grow from the cleanest band on, on either side of the node's rate; a
+    band joins the last group unless the two bad rates differ by more than
+    ``z`` standard errors.
+    """
+    kind = "struct<side:boolean,rated:double,bad:double,grp:int,out:array<struct<side:boolean,band:int,grp:int>>>"
+    start = F.expr(f"cast(named_struct('side', null, 'rated', 0, 'bad', 0, 'grp', 0, 'out', array()) as {kind})")
+
+    def step(acc: Column, x: Column) -> Column:
+        rated, bad = acc.rated + x.rated, acc.bad + x.bad
+        q = (bad + 1) / (rated + 2)
+        alike = (acc.side.eqNullSafe(x.side)
+                 & (F.abs(x.bad / x.rated - F.try_divide(acc.bad, acc.rated))
+                    <= z * F.sqrt(q * (1 - q) * (1 / x.rated + F.try_divide(F.lit(1.0), acc.rated)))))
+        grp = F.when(alike, acc.grp).otherwise(acc.grp + 1)
+        return F.struct(x.side.alias("side"), F.when(alike, rated).otherwise(x.rated).cast("double").alias("rated"),
+                        F.when(alike, bad).otherwise(x.bad).cast("double").alias("bad"), grp.alias("grp"),
+                        F.concat(acc.out, F.array(F.struct(x.side.alias("side"), x.band.alias("band"), grp.alias("grp"))))
+                        .alias("out"))
+
+    return F.aggregate(F.array_sort("bands"), start, lambda acc, x: step(acc, x).cast(kind), lambda acc: acc.out)
+
+
+def _branch_names(tree: DataFrame, min_count: int, z: float) -> DataFrame:
+    """``(host, template, seg, own)`` of the branches that do not become wildcards."""
+    branch = (tree.groupBy("host", "template", F.get("rest", F.lit(0)).alias("seg"))
+              .agg(F.sum("n").alias("n"), F.sum("rated").alias("rated"), F.sum("bad").alias("bad")))
+    node = branch.groupBy("host", "template").agg(F.sum("rated").alias("all_rated"), F.sum("bad").alias("all_bad"))
+    p = (F.col("all_bad") + 1) / (F.col("all_rated") + 2)
+    off = F.col("bad") - F.col("rated") * p
+    apart = F.abs(off) > z * F.sqrt(F.col("rated") * p * (1 - p) + 1)
+    band = F.floor(F.lit(BANDS) * (F.col("bad") + 1) / (F.col("rated") + 2)).cast("int")
+    own = stored(branch.join(node, ["host", "template"]).where((F.col("n") >= min_count) & (F.col("rated") > 0) & apart)
+                 .select("host", "template", "seg", (off > 0).alias("side"), band.alias("band"), "rated", "bad"), "url-own")
+    bands = (own.groupBy("host", "template", "side", "band").agg(F.sum("rated").alias("rated"), F.sum("bad").alias("bad"))
+             .groupBy("host", "template").agg(F.collect_list(F.struct("side", "band", "rated", "bad")).alias("bands"))
+             .select("host", "template", F.inline(_merged_bands(z))))  # at most 2 * BANDS entries a node
+    keys = ["host", "template", "side", "band"]
+    grouped = own.join(bands, keys).select("host", "template", "seg", "grp")
+    names = grouped.groupBy("host", "template", "grp").agg(F.min("seg").alias("first"), F.count("seg").alias("members"))
+    plain = (F.col("members") == 1) & ~F.col("first").isin("*", "<n>") & ~F.col("first").startswith("{")
+    name = F.when(plain, F.col("first")).otherwise(
+        F.concat(F.lit("{"), F.col("first"), F.lit("|+"), (F.col("members") - 1).cast("string"), F.lit("}")))
+    return grouped.join(names.select("host", "template", "grp", name.alias("own")), ["host", "template", "grp"]).drop("grp")
+
+
 def templates(shapes: DataFrame, min_count: int = 20, z: float = 1.96) -> DataFrame:
-    """Generalise the tree of ``(host, segs, n, rated, bad)`` level by level: adds ``template``.
-
-    Under each node a branch keeps its name if it is frequent (``min_count``
-    urls) and its labelled bad rate differs from that of all branches of the
-    node together by more than ``z`` standard errors, however small its share of
-    them; all others are statistically alike and merge into ``*``.
-    Wildcards that the segments already hold do not count as names.  Each level
-    sums branches by (host, template so far, segment) before they meet.  Levels
-    go down to the deepest path; a path is carried as far as it has segments.
+    """Generalise the tree of ``(host, segs, n, rated, bad)``: adds ``template``.
+
+    Under each node a branch stands out if it is frequent (``min_count`` urls)
+    and its labelled bad rate differs from that of all branches of the node
+    together by more than ``z`` standard errors, however small its share of
+    them; all others become ``*``.  Branches that stand out to the same side
+    and are statistically alike merge with each other: ``{first|+k}`` is the
+    first by code point and k more; one that is like no other keeps its name.
+    A merged branch is one node below.  Wildcards that segments already hold
+    do not count as names.
+
+    A node of under ``min_count`` urls, or whose labels all agree, has no branch
+    that stands out, nor has one with a single branch: whole paths below the
+    former and the shared start of paths below the latter are settled in one
+    step.  So rounds follow the nodes that really branch under mixed labels,
+    not the depth of paths.  Branches are summed by (host, template, segment)
+    before they meet; of a node only bands of rates come together in one row.
     """
-    tree = shapes.withColumn("template", F.lit(""))
-    deepest = shapes.agg(F.max(F.size("segs"))).first()[0] or 0
-    done = tree.where(F.size("segs") == 0)
-    for level in range(deepest):
-        tree = tree.where(F.size("segs") > level)
-        seg = F.get("segs", F.lit(level))
-        branch = (tree.groupBy("host", "template", seg.alias("seg"))
-                  .agg(F.sum("n").alias("n"), F.sum("rated").alias("rated"), F.sum("bad").alias("bad")))
-        node = branch.groupBy("host", "template").agg(
-            F.sum("rated").alias("all_rated"), F.sum("bad").alias("all_bad"))
-        p = (F.col("all_bad") + 1) / (F.col("all_rated") + 2)
-        apart = F.abs(F.col("bad") - F.col("rated") * p) > z * F.sqrt(F.col("rated") * p * (1 - p) + 1)
-        frequent = F.col("n") >= min_count
-        named = (branch.join(node, ["host", "template"])
-                 .select("host", "template", "seg", (frequent & apart & (F.col("rated") > 0)).alias("own")))
-        step = tree.withColumn("seg", seg).join(named, ["host", "template", "seg"], "left")
-        part = F.concat(F.lit("/"), F.when(F.col("own"), F.col("seg")).otherwise(
-            # a lexical wildcard stays visible, the names around it go
-            F.when(F.col("seg").contains("<n>"), F.lit("<n>")).otherwise(F.lit("*"))))
-        tree = stored(step.withColumn("template", F.concat("template", part)).drop("seg", "own")
-                      .select(*done.columns), "url-tree")
-        done = done.unionByName(tree.where(F.size("segs") == level + 1))
-    return done
+    columns = shapes.columns + ["template"]
+    tree = shapes.withColumn("template", F.lit("")).withColumn("rest", F.col("segs"))
+    done = tree.where(F.size("rest") == 0).select(*columns)
+    tree = tree.where(F.size("rest") > 0)
+    while True:
+        node = tree.groupBy("host", "template").agg(
+            F.sum("n").alias("all_n"), F.sum("rated").alias("all_rated"), F.sum("bad").alias("all_bad"),
+            F.min("rest").alias("lo"), F.max("rest").alias("hi"))
+        mixed = (F.col("all_n") >= min_count) & (F.col("all_bad") > 0) & (F.col("all_bad") < F.col("all_rated"))
+        node = node.select("host", "template", F.when(mixed, _common(F.col("lo"), F.col("hi"))).alias("shared"))
+        skip = F.coalesce("shared", F.size("rest"))
+        ahead = tree.join(node, ["host", "template"]).select(
+            *shapes.columns, F.concat("template", _wild(F.slice("rest", F.lit(1), skip))).alias("template"),
+            F.slice("rest", skip + 1, F.size("rest")).alias("rest"))
+        ahead = stored(ahead, "url-tree")
+        done = done.unionByName(ahead.where(F.size("rest") == 0).select(*columns))
+        ahead = ahead.where(F.size("rest") > 0)
+        if not ahead.limit(1).count():
+            return done
+        first = F.get("rest", F.lit(0))
+        step = ahead.withColumn("seg", first).join(_branch_names(ahead, min_count, z), ["host", "template", "seg"], "left")
+        part = F.coalesce(F.concat(F.lit("/"), F.col("own")), _wild(F.array(F.col("seg"))))
+        tree = stored(step.select(*shapes.columns, F.concat("template", part).alias("template"),
+                                  F.slice("rest", F.lit(2), F.size("rest")).alias("rest")), "url-tree")
+        done = done.unionByName(tree.where(F.size("rest") == 0).select(*columns))
+        tree = tree.where(F.size("rest") > 0)
 
 
 def judge(pages: DataFrame, rated: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
-          depth: int | None = 8, prior: float = 5.0, cut: float = 0.5) -> DataFrame:
+          depth: int | None = None, prior: float = 5.0, cut: float = 0.5) -> DataFrame:
     """Verdict on every url: ``page_id, host, path, rule, verdict, template, purity, rated``.
 
     ``rated`` has ``page_id, bad`` (0 or 1) for labelled pages.  Where a rule
     fits, its verdict holds.  Elsewhere the url's template on its host does: its
     purity, the share of labelled pages that are not bad, is smoothed by
     ``prior`` pages at the host's purity, itself smoothed by the overall one;
-    under ``cut`` the template is blocked.  Branches below ``depth`` segments
-    are not told apart; None builds the tree to the deepest path.  Null urls and urls without ``://``
+    under ``cut`` the template is blocked.  The tree goes down to the deepest
+    path; with ``depth``, branches below so many segments are not told apart.  Null urls and urls without ``://``
     have an empty host, path and template.  Pages without label count for
     frequency only; an id labelled twice is bad if one label says so, null ids
     and null labels do not count.  Repeated rows: each a row.  Empty table:
