@@ -65,10 +65,11 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, most_masks: int = M
     table: empty.
 
     Codes are cut into segments of about log2(number of codes) bits, so a
-    segment value has few codes at any size.  Round r probes each segment with
-    all values that differ in exactly r bits; after it, every code within
-    ``segments * (r + 1) - 1`` has been met, and a query whose k-th verified
-    distance is no more than that is done.  Equal codes are met once: of a code
+    segment value has few codes at any size.  A segment at radius r is probed with
+    all values that differ in exactly r bits.  A code that no probe has met differs in
+    over r bits in each segment grown to r, so after the first two rounds radii grow
+    one segment at a time, each step proving one more bit of distance, and a query
+    whose k-th verified distance is no more than what is proved is done.  Equal codes are met once: of a code
     only the ``k + 1`` smallest ids can be among the results, found by a window
     that is cut to that length before the shuffle.  A query's own id is left
     out before its rows are cut, however many codes it has.  When a round would
@@ -94,15 +95,19 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, most_masks: int = M
 
     open_ = asked.select(F.col("code").alias("q")).distinct()
     best = done = None
-    for r in range(width + 1):
+    # two cheap rounds over all segments, then one segment's radius at a time
+    steps = [(0, range(parts)), (1, range(parts))] + [(r, [j]) for r in range(2, width + 1) for j in range(parts)]
+    for r, grown in steps:
         last = r == width or (r > 0 and sum(math.comb(w, r) for w in widths) > min(number, most_masks))
+        if not last and max(widths[j] for j in grown) < r:
+            continue  # a narrow last segment that is searched whole already
         if last:
             # r > 0 here: every width is at least 1
             held = best.where(F.col("others") == k).groupBy("q").agg(F.min("distance").alias("held"))
             bound = open_.join(held, "q", "left").select("q", F.coalesce("held", F.lit(BITS)).alias("held"))
             met = bound.join(index, F.bit_count(F.col("q").bitwiseXOR(F.col("code"))) <= F.col("held")).select("q", "code")
         else:
-            flips = [(j, sum(1 << b for b in bits)) for j in range(parts) for bits in combinations(range(widths[j]), r)]
+            flips = [(j, sum(1 << b for b in bits)) for j in grown for bits in combinations(range(widths[j]), r)]
             masks = F.broadcast(spark.createDataFrame(flips, "j int, mask bigint"))  # at most ``most_masks``
             probes = (open_.select("q", where.alias("j")).join(masks, "j")
                       .select("q", "j", _segment(F.col("q"), F.col("j"), width).bitwiseXOR(F.col("mask")).alias("value")))
@@ -112,7 +117,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, most_masks: int = M
         if best is not None:
             near = near.unionByName(best.drop("others")).distinct()
         ranked = stored(_nearest(near, k), "nearest")
-        covered = F.lit(parts * (r + 1) - 1)
+        covered = F.lit(parts * r + grown[-1])  # radius r in segments up to this one, r - 1 in the others
         kth = ranked.where(F.col("others") == k).groupBy("q").agg(F.min("distance").alias("kth"))
         state = open_.join(kth, "q", "left")
         shut = state if last else state.where(F.col("kth") <= covered)
