@@ -6,9 +6,10 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from tidewater.llm import decontam, linededup, lmscore, neardup
+from tidewater.llm import automaton, decontam, linededup, lmscore, neardup
 from tidewater.llm.common import components, table
 
 SF001 = "/root/testdata/sf0.001"
@@ -313,3 +314,35 @@ def test_scores_without_training(spark, make_docs):
     row = lmscore.score_texts(docs, "true").collect()[0]
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.score) == (True, 3, 0, 0, 0.0)
     assert lmscore.score_texts(docs.limit(0), "true").count() == 0
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_automaton_state_is_carried_over_any_lanes(monkeypatch, order):
+    rng = np.random.default_rng(order)
+    texts = [" ".join(rng.choice(list("abcdefg"), size=rng.integers(0, 30))) for _ in range(60)]
+    tokens, lengths = lmscore._tokens(texts, lmscore._Vocabulary())
+    grams = lmscore._grams(tokens, lengths, order)
+    keys, place = zip(*(lmscore._distinct(g) for g in grams), strict=True)
+    begins = np.zeros(len(tokens), bool)
+    begins[np.cumsum(lengths) - lengths] = True
+    learnt = np.repeat(np.arange(len(texts)) % 3 > 0, lengths)  # the other texts hold unknown n-grams
+    counts = [np.bincount(p[learnt], minlength=len(k)) for p, k in zip(place, keys, strict=True)]
+    n = int((learnt & ~begins).sum())
+    machine, states = automaton.build(list(place), [g != 0 for g in grams], counts, n, 8, 0.5, 8.0, 0.7)
+    assert (machine.fail_to < np.maximum(np.arange(len(machine.fail_to)), 1)).all()  # failure arcs lead to shorter histories
+    got = []
+    for lanes in (1, 2, 7, len(tokens), 10 * len(tokens)):
+        monkeypatch.setattr(automaton, "LANES", lanes)
+        got.append(machine.traverse(place[0], begins, int(states[place[0][0]]), order - 1))
+    for other in got[1:]:
+        assert np.allclose(got[0], other, atol=1e-12)
+    # the words known and the unknown word share a weight of one in every state that a text goes on from
+    words = np.flatnonzero((counts[0] > 0) & (keys[0] != lmscore._START))
+    end = states[np.flatnonzero(keys[0] == lmscore._END)[0]]
+    for state in range(len(machine.fail_to)):
+        _, weight = machine.step(np.full(len(words), state), words)
+        rest, at, last = machine.unknown_log, state, 0
+        while at:
+            rest, last, at = rest + machine.fail_log[at], at, machine.fail_to[at]
+        if last == 0 or last != end:
+            assert (10**weight).sum() + 10**rest == pytest.approx(1.0)

@@ -4,8 +4,9 @@ The n-gram model of a large corpus does not fit on one machine, so no task
 ever holds it.  Documents are dealt into blocks; a block sends the keys of its
 distinct n-grams, with their training counts, to buckets by key; a bucket adds
 the counts of all blocks up and sends each block the totals of the keys it
-asked for.  A block then holds the part of the automaton its own texts can
-visit, and scores them against the counts of the whole corpus.
+asked for.  From these a block builds the part of the automaton that its own
+texts can visit, weighted by the counts of the whole corpus, and traverses it
+once from left to right.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm import automaton
 from tidewater.llm.common import text_of
 
 _START, _END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -174,33 +176,29 @@ def _scorer(order: int, buckets: int, strength: float, growth: float) -> Callabl
         vocabulary, n_tokens = (answers.column(c)[0].as_py() for c in ("vocabulary", "train_tokens"))
         discount = answers.column("discount")[0].as_py()
         for n in range(order):
-            total = np.zeros(len(keys[n]))
+            total = np.zeros(len(keys[n]), np.int64)
             for p, at in _by_part(_part(keys[n], buckets)):
                 total[at] = totals[rows[n * buckets + p]].values.to_numpy()
-            counts.append(total[place[n]])
-        # one left-to-right pass: the state before a token is its longest known history, and the
-        # arcs tried are those of that state and of the states its failure arcs lead to
-        event = np.ones(len(tokens), bool)
-        event[np.cumsum(lengths) - lengths] = False
-        known = counts[0] > 0
-        p = (np.where(known, counts[0] - discount, discount * vocabulary) / n_tokens if n_tokens
-             else np.ones(len(tokens)))
-        for n in range(1, order):
-            state = np.zeros_like(p)
-            state[1:] = counts[n - 1][:-1]
-            ok = (grams[n] != 0) & event & (state > 0)
-            pseudo = strength * state**growth
-            failure = np.where(ok, pseudo / (state + pseudo + (state == 0)), 1.0)
-            arc = np.where(ok, counts[n] / np.maximum(state, 1) * (1 - failure), 0.0)
-            p = arc + failure * p
+            counts.append(total)
+        begins = np.zeros(len(tokens), bool)
+        begins[np.cumsum(lengths) - lengths] = True
+        valid = [g != 0 for g in grams]
+        valid[0] = np.ones(len(tokens), bool)
+        start = int(place[0][0])  # the first token of the first text
+        del tokens, grams, keys, totals
+        gained = np.zeros(len(begins))
+        if n_tokens:
+            machine, states = automaton.build(place, valid, counts, n_tokens, vocabulary, discount, strength, growth)
+            gained = machine.traverse(place[0], begins, int(states[start]), order - 1)
+        event, own = ~begins, counts[0][place[0]]
         of = np.repeat(np.arange(docs), lengths)[event]
         add = lambda v: np.bincount(of, weights=v, minlength=docs)
         return pa.table({
             "doc_id": table.column("doc_id").cast(pa.int64()), "held_out": table.column("held_out"),
             "n_tokens": pa.array(lengths - 1, pa.int64()),
-            "n_known": pa.array(add(known[event]).astype(np.int64)),
-            "known_log": pa.array(add(np.log10(counts[0][event] + 1))),
-            "score": pa.array(add(np.log10(p[event]))),
+            "n_known": pa.array(add(own[event] > 0).astype(np.int64)),
+            "known_log": pa.array(add(np.log10(own[event] + 1))),
+            "score": pa.array(add(gained[event])),
             "vocabulary": pa.array([vocabulary] * docs, pa.int64()),
             "train_tokens": pa.array([n_tokens] * docs, pa.int64())})
 
