@@ -90,73 +90,83 @@ def _block(table: pa.Table, order: int, vocabulary: _Vocabulary):
     return tokens, lengths, grams, keys, place
 
 
-def _by_part(parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """The parts that occur, each with the places of its keys in their order."""
-    order = np.argsort(parts, kind="stable")
-    ranked = parts[order]
-    cuts = np.flatnonzero(np.diff(ranked, prepend=-1, append=-1))
-    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-        yield int(ranked[low]), order[low:high]
+def _by_part(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The buckets that sorted keys fall into, each a range of keys, with the place of its keys."""
+    part = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    cuts = np.searchsorted(part, np.arange(buckets + 1, dtype=np.uint64))
+    for p in np.flatnonzero(np.diff(cuts)):
+        yield int(p), slice(cuts[p], cuts[p + 1])
 
 
-def _part(keys: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = (keys ^ (keys >> np.uint64(33))) * _MIX
-    return ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+def _pack(values: np.ndarray) -> bytes:
+    """Unsigned numbers, first their lowest bytes, then their next ones: bytes that hardly vary cost nothing."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return pa.Codec("zstd", 1).compress(planes, asbytes=True)
+
+
+def _unpack(data: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, size * 8, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, size).T).view("<u8").ravel()
+
+
+_ASKED = "block bigint, n int, bucket bigint, size bigint, keys binary, counts binary"
+_ANSWERED = "block bigint, n int, bucket bigint, size bigint, totals binary"
 
 
 def _asker(order: int, buckets: int) -> Callable:
     """First pass: the block's distinct n-grams with their training counts, by bucket."""
-    schema = "block bigint, n int, bucket bigint, keys array<bigint>, counts array<bigint>"
 
     def ask(table: pa.Table) -> pa.Table:
-        out: dict[str, list] = {c: [] for c in ("block", "n", "bucket", "keys", "counts")}
+        out: dict[str, list] = {c: [] for c in ("block", "n", "bucket", "size", "keys", "counts")}
         block = table.column("block")[0].as_py()
-        tokens, lengths, _, keys, place = _block(table, order, _Vocabulary())
+        tokens, lengths, grams, keys, place = _block(table, order, _Vocabulary())
         learnt = np.repeat(~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool), lengths)
+        del tokens, grams
         for n in range(order):
             counts = np.bincount(place[n][learnt], minlength=len(keys[n]))
-            for p, at in _by_part(_part(keys[n], buckets)):
+            for p, at in _by_part(keys[n], buckets):
                 out["block"].append(block)
                 out["n"].append(n + 1)
                 out["bucket"].append(n * buckets + p)
-                out["keys"].append(keys[n][at].view(np.int64))
-                out["counts"].append(counts[at])
+                out["size"].append(at.stop - at.start)
+                out["keys"].append(_pack(np.diff(keys[n][at], prepend=np.uint64(0))))
+                out["counts"].append(_pack(counts[at]))
         return pa.table({
             "block": pa.array(out["block"], pa.int64()), "n": pa.array(out["n"], pa.int32()),
-            "bucket": pa.array(out["bucket"], pa.int64()),
-            "keys": pa.array(out["keys"], pa.list_(pa.int64())),
-            "counts": pa.array(out["counts"], pa.list_(pa.int64()))})
+            "bucket": pa.array(out["bucket"], pa.int64()), "size": pa.array(out["size"], pa.int64()),
+            "keys": pa.array(out["keys"], pa.binary()), "counts": pa.array(out["counts"], pa.binary())})
 
-    return ask, schema
+    return ask
 
 
-def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A bucket's distinct keys, how many keys each row asks for, the keys' counts in all
-    blocks together, and the place of each asked key among them."""
-    rows = table.column("keys").combine_chunks()
-    flat = rows.flatten().to_numpy(zero_copy_only=False)
-    counts = table.column("counts").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    sizes = np.diff(rows.offsets.to_numpy())
+def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's distinct keys, their counts in all blocks together, and the place among
+    them of each key that its rows ask for, row after row."""
+    sizes = table.column("size").to_pylist()
+    flat = np.concatenate([np.cumsum(_unpack(k.as_py(), m), dtype=np.uint64)
+                           for k, m in zip(table.column("keys"), sizes, strict=True)])
+    counts = np.concatenate([_unpack(c.as_py(), m) for c, m in zip(table.column("counts"), sizes, strict=True)])
     distinct, place = _distinct(flat)
-    total = np.bincount(place, weights=counts) if len(flat) else np.zeros(0)
-    return distinct, sizes, total.astype(np.int64), place
+    return distinct, np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64), place
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """Second pass: each block's keys answered, in the order asked, by the corpus's counts."""
-    _, sizes, total, place = _totals(table)
-    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "n": table.column("n"),
-                     "totals": pa.ListArray.from_arrays(offsets, pa.array(total[place], pa.int64()))})
+    _, total, place = _totals(table)
+    cuts = np.cumsum(table.column("size").to_numpy())[:-1]
+    return pa.table({c: table.column(c) for c in ("block", "n", "bucket", "size")} | {
+        "totals": pa.array([_pack(total[at]) for at in np.split(place, cuts)], pa.binary())})
 
 
 def _census(table: pa.Table) -> pa.Table:
-    """A bucket's share of the model-wide figures: distinct n-grams, n-grams seen once and twice, tokens."""
-    distinct, _, total, _ = _totals(table)
-    total = total[distinct != _START.astype(np.int64)]  # a history only, never an event
+    """A bucket's share of the model-wide figures: distinct words, words seen once and twice, tokens."""
+    names = ("distinct", "once", "twice", "tokens")
+    if table.column("n")[0].as_py() > 1:
+        return pa.table({c: pa.array([], pa.int64()) for c in names})
+    distinct, total, _ = _totals(table)
+    total = total[distinct != _START]  # a history only, never an event
     figures = [int((total > 0).sum()), int((total == 1).sum()), int((total == 2).sum()), int(total.sum())]
-    return pa.table({"n": table.column("n")[:1], **{c: pa.array([v], pa.int64()) for c, v in
-                                                    zip(("distinct", "once", "twice", "tokens"), figures, strict=True)}})
+    return pa.table({c: pa.array([v], pa.int64()) for c, v in zip(names, figures, strict=True)})
 
 
 def _scorer(order: int, buckets: int, strength: float, growth: float) -> Callable:
@@ -171,21 +181,21 @@ def _scorer(order: int, buckets: int, strength: float, growth: float) -> Callabl
                              "vocabulary": pa.array([], pa.int64()), "train_tokens": pa.array([], pa.int64())})
         tokens, lengths, grams, keys, place = _block(table, order, _Vocabulary())
         docs, counts = table.num_rows, []
-        rows = {b: k for k, b in enumerate(answers.column("bucket").to_pylist())}
-        totals = answers.column("totals").combine_chunks()
+        row = {b: k for k, b in enumerate(answers.column("bucket").to_pylist())}
         vocabulary, n_tokens = (answers.column(c)[0].as_py() for c in ("vocabulary", "train_tokens"))
         discount = answers.column("discount")[0].as_py()
         for n in range(order):
             total = np.zeros(len(keys[n]), np.int64)
-            for p, at in _by_part(_part(keys[n], buckets)):
-                total[at] = totals[rows[n * buckets + p]].values.to_numpy()
+            for p, at in _by_part(keys[n], buckets):
+                data = answers.column("totals")[row[n * buckets + p]].as_py()
+                total[at] = _unpack(data, at.stop - at.start)
             counts.append(total)
         begins = np.zeros(len(tokens), bool)
         begins[np.cumsum(lengths) - lengths] = True
         valid = [g != 0 for g in grams]
         valid[0] = np.ones(len(tokens), bool)
         start = int(place[0][0])  # the first token of the first text
-        del tokens, grams, keys, totals
+        del tokens, grams, keys, answers
         gained = np.zeros(len(begins))
         if n_tokens:
             machine, states = automaton.build(place, valid, counts, n_tokens, vocabulary, discount, strength, growth)
@@ -205,7 +215,7 @@ def _scorer(order: int, buckets: int, strength: float, growth: float) -> Callabl
     return score, schema
 
 
-def score_texts(docs: DataFrame, held_out: str, order: int = 2, strength: float = 8.0, growth: float = 0.7,
+def score_texts(docs: DataFrame, held_out: str, order: int = 3, strength: float = 8.0, growth: float = 0.7,
                 block_bytes: int = 16 << 20) -> DataFrame:
     """log10 probability of every text under an n-gram model of the rows not held out.
 
@@ -239,11 +249,10 @@ def score_texts(docs: DataFrame, held_out: str, order: int = 2, strength: float
     blocks = int(volume // block_bytes) + 1
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("bigint"))
 
-    ask, ask_schema = _asker(order, blocks)
-    asked = dealt.groupBy("block").applyInArrow(ask, ask_schema)
-    answers = asked.groupBy("bucket").applyInArrow(_answer, "block bigint, bucket bigint, n int, totals array<bigint>")
+    asked = dealt.groupBy("block").applyInArrow(_asker(order, blocks), _ASKED)
+    answers = asked.groupBy("bucket").applyInArrow(_answer, _ANSWERED)
     census = (asked.groupBy("bucket").applyInArrow(
-        _census, "n int, distinct bigint, once bigint, twice bigint, tokens bigint").where("n = 1")
+        _census, "distinct bigint, once bigint, twice bigint, tokens bigint")
         .agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("vocabulary"),
              F.coalesce(F.sum("tokens"), F.lit(0)).alias("train_tokens"),
              ((F.coalesce(F.sum("once"), F.lit(0)) + 1)
