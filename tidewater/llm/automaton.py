@@ -32,7 +32,7 @@ class Automaton:
         after, gained = np.zeros_like(state), np.zeros(len(state))
         lane, at = np.arange(len(state)), state
         while len(lane):
-            key = at * self.words + word[lane]
+            key = at * np.int64(self.words) + word[lane]
             place = np.searchsorted(self.arc_key, key)
             np.minimum(place, len(self.arc_key) - 1, out=place)
             hit = self.arc_key[place] == key
@@ -56,7 +56,7 @@ class Automaton:
         gained = np.zeros(len(word))
         length = -(-len(word) // LANES) if len(word) else 0
         first = np.arange(0, len(word), max(length, 1))
-        state = np.zeros(len(first), np.int64)
+        state = np.zeros(len(first), np.int32)
         for t in range(-memory, length):
             lane = np.flatnonzero((first + t >= 0) & (first + t < len(word)))
             at = first[lane] + t
@@ -80,56 +80,54 @@ def build(place: list[np.ndarray], valid: list[np.ndarray], counts: list[np.ndar
     """
     order = len(place)
     words = len(counts[0])
-    at = [np.zeros(len(c), np.int64) for c in counts]  # a position where the n-gram ends
+    known = [np.flatnonzero(c > 0).astype(np.int32) for c in counts]
+    ends = []  # a position where each known n-gram ends
     for n in range(order):
-        ends = np.flatnonzero(valid[n])
-        at[n][place[n][ends]] = ends
-    known = []
-    for n in range(order):
-        found = np.zeros(len(counts[n]), bool)
-        found[place[n][valid[n]]] = True
-        known.append(np.flatnonzero(found & (counts[n] > 0)))
-    # states: the known n-grams of fewer than ``order`` words
+        at = np.flatnonzero(valid[n]).astype(np.int32)
+        last = np.full(len(counts[n]), -1, np.int32)
+        last[place[n][at]] = at
+        known[n] = known[n][last[known[n]] >= 0]
+        ends.append(last[known[n]])
+    # states: the known n-grams of fewer than ``order`` words, shorter ones first
     state_of, states = [], 1
     for n in range(order - 1):
-        number = np.zeros(len(counts[n]), np.int64)
-        number[known[n]] = states + np.arange(len(known[n]))
+        number = np.zeros(len(counts[n]), np.int32)
+        number[known[n]] = np.arange(states, states + len(known[n]))
         states += len(known[n])
         state_of.append(number)
-    fail_to, fail_weight = np.zeros(states, np.int64), np.ones(states)
+    fail_to, fail_weight = np.zeros(states, np.int32), np.ones(states)
     for n in range(order - 1):
         own = state_of[n][known[n]]
         seen = counts[n][known[n]].astype(float)
         pseudo = strength * seen**growth
         fail_weight[own] = pseudo / (seen + pseudo)
         if n:
-            fail_to[own] = state_of[n - 1][place[n - 1][at[n][known[n]]]]
-    weight = (counts[0] - discount) / tokens
-    keys, logs, targets = [], [], []
+            fail_to[own] = state_of[n - 1][place[n - 1][ends[n]]]
+    arcs = sum(map(len, known))
+    arc_key, arc_log, arc_to = np.empty(arcs, np.int64), np.empty(arcs), np.zeros(arcs, np.int32)
+    weight, low = None, 0  # ``weight``: of each known n-gram one word shorter, by its number
     for n in range(order):
-        grams = known[n]
-        ends = at[n][grams]
+        own = counts[n][known[n]]
         if n:
-            history = place[n - 1][ends - 1]
+            history = place[n - 1][ends[n] - 1]
             source = state_of[n - 1][history]
-            shorter = weight[place[n - 1][ends]]
             fails = fail_weight[source]
-            own = np.zeros(len(counts[n]))
-            own[grams] = counts[n][grams] / counts[n - 1][history] * (1 - fails) + fails * shorter
-            weight = own
-        else:
-            source = np.zeros(len(grams), np.int64)
-        if order == 1:
-            target = np.zeros(len(grams), np.int64)
-        elif n < order - 1:
-            target = state_of[n][grams]
+            own = own / counts[n - 1][history] * (1 - fails) + fails * weight[place[n - 1][ends[n]]]
         else:
-            target = state_of[n - 1][place[n - 1][ends]]
-        keys.append(source * words + place[0][ends])
-        logs.append(np.log10(weight[grams]))
-        targets.append(target)
-    key = np.concatenate(keys)
-    rank = np.argsort(key)
-    machine = Automaton(words, key[rank], np.concatenate(logs)[rank], np.concatenate(targets)[rank], fail_to,
-                        np.log10(fail_weight), float(np.log10(discount * vocabulary / tokens)))
-    return machine, state_of[0] if order > 1 else np.zeros(words, np.int64)
+            source = np.zeros(len(own), np.int32)
+            own = (own - discount) / tokens
+        key = source * np.int64(words) + place[0][ends[n]]
+        rank = np.argsort(key)
+        here = slice(low, low + len(own))  # arcs of longer histories have larger keys
+        arc_key[here], arc_log[here] = key[rank], np.log10(own[rank])
+        if n < order - 1:
+            arc_to[here] = state_of[n][known[n][rank]]
+            weight = np.zeros(len(counts[n]))
+            weight[known[n]] = own
+        elif n:
+            arc_to[here] = state_of[n - 1][place[n - 1][ends[n][rank]]]
+        low = here.stop
+        del key, rank, own, source
+    machine = Automaton(words, arc_key, arc_log, arc_to, fail_to, np.log10(fail_weight),
+                        float(np.log10(discount * vocabulary / tokens)))
+    return machine, state_of[0] if order > 1 else np.zeros(words, np.int32)

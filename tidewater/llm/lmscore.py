@@ -59,10 +59,14 @@ def _grams(tokens: np.ndarray, lengths: np.ndarray, order: int) -> list[np.ndarr
     place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     grams = [tokens]
     for n in range(1, order):
-        history = np.zeros_like(tokens)
-        history[1:] = grams[-1][:-1]
-        key = (history ^ (history >> _SHIFT)) * _MIX + tokens
-        key = (key ^ (key >> _SHIFT)) * _MIX + np.uint64(n)
+        key = np.zeros_like(tokens)
+        key[1:] = grams[-1][:-1]  # the history
+        key ^= key >> _SHIFT
+        key *= _MIX
+        key += tokens
+        key ^= key >> _SHIFT
+        key *= _MIX
+        key += np.uint64(n)
         key[place < n] = 0
         grams.append(key)
     return grams
@@ -77,7 +81,7 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         fresh[0] = True
         np.not_equal(ranked[1:], ranked[:-1], out=fresh[1:])
     place = np.empty(len(keys), np.int32)
-    place[order] = np.cumsum(fresh) - 1
+    place[order] = np.cumsum(fresh, dtype=np.int32) - 1
     return ranked[fresh], place
 
 
@@ -85,9 +89,16 @@ def _block(table: pa.Table, order: int, vocabulary: _Vocabulary):
     """What both passes over a block derive from its rows, in the same order of keys."""
     texts = table.column("text").to_pylist()
     tokens, lengths = _tokens(texts, vocabulary)
-    grams = _grams(tokens, lengths, order)
-    keys, place = zip(*(_distinct(g) for g in grams), strict=True)
-    return tokens, lengths, grams, keys, place
+    del texts
+    vocabulary.clear()
+    grams, valid, keys, place = _grams(tokens, lengths, order), [], [], []
+    for n in range(order):  # an n-gram is not kept longer than needed
+        valid.append((grams[n] != 0) if n else np.ones(len(tokens), bool))
+        distinct, at = _distinct(grams[n])
+        grams[n] = None
+        keys.append(distinct)
+        place.append(at)
+    return lengths, valid, keys, place
 
 
 def _by_part(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
@@ -119,9 +130,8 @@ def _asker(order: int, buckets: int) -> Callable:
     def ask(table: pa.Table) -> pa.Table:
         out: dict[str, list] = {c: [] for c in ("block", "n", "bucket", "size", "keys", "counts")}
         block = table.column("block")[0].as_py()
-        tokens, lengths, grams, keys, place = _block(table, order, _Vocabulary())
+        lengths, _, keys, place = _block(table, order, _Vocabulary())
         learnt = np.repeat(~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool), lengths)
-        del tokens, grams
         for n in range(order):
             counts = np.bincount(place[n][learnt], minlength=len(keys[n]))
             for p, at in _by_part(keys[n], buckets):
@@ -179,7 +189,7 @@ def _scorer(order: int, buckets: int, strength: float, growth: float) -> Callabl
                              "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()),
                              "known_log": pa.array([], pa.float64()), "score": pa.array([], pa.float64()),
                              "vocabulary": pa.array([], pa.int64()), "train_tokens": pa.array([], pa.int64())})
-        tokens, lengths, grams, keys, place = _block(table, order, _Vocabulary())
+        lengths, valid, keys, place = _block(table, order, _Vocabulary())
         docs, counts = table.num_rows, []
         row = {b: k for k, b in enumerate(answers.column("bucket").to_pylist())}
         vocabulary, n_tokens = (answers.column(c)[0].as_py() for c in ("vocabulary", "train_tokens"))
@@ -190,12 +200,10 @@ def _scorer(order: int, buckets: int, strength: float, growth: float) -> Callabl
                 data = answers.column("totals")[row[n * buckets + p]].as_py()
                 total[at] = _unpack(data, at.stop - at.start)
             counts.append(total)
-        begins = np.zeros(len(tokens), bool)
+        begins = np.zeros(len(place[0]), bool)
         begins[np.cumsum(lengths) - lengths] = True
-        valid = [g != 0 for g in grams]
-        valid[0] = np.ones(len(tokens), bool)
         start = int(place[0][0])  # the first token of the first text
-        del tokens, grams, keys, answers
+        del keys, answers
         gained = np.zeros(len(begins))
         if n_tokens:
             machine, states = automaton.build(place, valid, counts, n_tokens, vocabulary, discount, strength, growth)
@@ -215,7 +223,7 @@ def _scorer(order: int, buckets: int, strength: float, growth: float) -> Callabl
     return score, schema
 
 
-def score_texts(docs: DataFrame, held_out: str, order: int = 3, strength: float = 8.0, growth: float = 0.7,
+def score_texts(docs: DataFrame, held_out: str, order: int = 2, strength: float = 8.0, growth: float = 0.7,
                 block_bytes: int = 16 << 20) -> DataFrame:
     """log10 probability of every text under an n-gram model of the rows not held out.
 
