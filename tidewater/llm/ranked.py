@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stored, text_of
+from tidewater.llm.common import settings, stored, text_of
 
 #: Bytes of UTF-8 as terms are made of them: digits and letters, A-Z lower-cased, and all beyond ASCII; others are a space.
 _BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -22,6 +22,11 @@ _QUERY_BYTES = 8 << 20  # texts of the items searched together
 _AT_ONCE = 64  # document ranges of an item that are split together
 _TOGETHER = 50  # items whose ranges are held at a time
 _STRETCH = 6  # empty bits under a row's number: rows part this many levels ahead of documents
+#: Rows are whole texts or whole shards: few are held at a time, whatever they weigh.
+_FEW_TEXTS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
+_FEW_SHARDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1", "spark.sql.parquet.columnarReaderBatchSize": "4"}
+_SHARD_FILES = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "1",
+                "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
 _SCHEMA = ("doc_ids array<bigint>, lengths binary, terms binary, df binary, levels array<bigint>, masks binary, "
            "peaks binary, tf binary, large_at binary, large binary")
 
@@ -155,11 +160,12 @@ def build_index(docs: DataFrame, docs_per_shard: int = 1 << 12, terms_per_shard:
     Texts without a term are in no ranking and not in the index.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().cast("binary").alias("text"))
-    size = rows.select("text").mapInArrow(_sizes, "docs bigint, terms bigint").agg(
-        F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
-    total, terms = size.docs or 0, size.terms or 0
-    shards = rows.mapInArrow(_indexer(total, max(terms, 1), docs_per_shard, terms_per_shard), _SCHEMA)
-    return Index(stored(shards, "term-index"), total, terms)
+    with settings(docs.sparkSession, _FEW_TEXTS):
+        size = rows.select("text").mapInArrow(_sizes, "docs bigint, terms bigint").agg(
+            F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
+        total, terms = size.docs or 0, size.terms or 0
+        shards = rows.mapInArrow(_indexer(total, max(terms, 1), docs_per_shard, terms_per_shard), _SCHEMA)
+        return Index(stored(shards, "term-index", **_SHARD_FILES), total, terms)
 
 
 class Shard:
@@ -373,7 +379,8 @@ def rank(index: Index, items: DataFrame, k: int = 20, seed_shards: int = 8) -> D
         rows = asked.where(number == block).collect()  # about _QUERY_BYTES
         if not rows:
             continue
-        found = _block(index, [bytes(r.text) for r in rows], k, seed_shards)
+        with settings(spark, _FEW_SHARDS):
+            found = _block(index, [bytes(r.text) for r in rows], k, seed_shards)
         names = spark.createDataFrame([(i, r.item_id) for i, r in enumerate(rows)],
                                       f"query bigint, item_id {schema.split()[1].rstrip(',')}")
         found = _best(found, k, ["query"]).join(names, "query").select("item_id", "rank", "doc_id", "score")
