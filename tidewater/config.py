@@ -120,6 +120,14 @@ METRICS = {
     "eta_offset": ("eta_baseline", "median_offset_h", "median_of_medians", None, "h",
                    ["eta offset", "schedule offset", "planned vs actual", "delay baseline", "typical delay"]),
 }
+# What an answer cites as the meaning of its metric (fixed values).
+METRIC_DEFINITIONS = {
+    "on_time_pct": "Percent of delivered shipments arriving within 24h of plan.",
+    "mis_scan_rate": "Percent of shipments that went silent (MISSED_MILESTONE).",
+    "avg_customs_dwell": "Average hours from vessel arrival to customs release.",
+    "shipments": "Count of shipments observed.",
+    "eta_offset": "Median planned-vs-actual offset per lane/carrier/milestone.",
+}
 LOWER_IS_BETTER = ("mis_scan_rate", "avg_customs_dwell", "eta_offset")
 SUPERLATIVE_BEST = ("best", "highest", "top", "most")
 SUPERLATIVE_WORST = ("worst", "lowest", "bottom", "least")

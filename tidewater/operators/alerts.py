@@ -73,10 +73,16 @@ def next_state(state: DataFrame, decisions: DataFrame, now: str | datetime,
         .unionByName(rec)
 
 
-def failures(decisions: DataFrame, delivered: DataFrame, now: str | datetime) -> DataFrame:
-    """Ledger rows for alerts whose delivery failed (append-only sink)."""
+def failures(decisions: DataFrame, delivered: DataFrame, now: str | datetime,
+             queue: DataFrame | None = None) -> DataFrame:
+    """Ledger rows for alerts whose delivery failed (append-only sink); with
+    ``queue`` each also holds the whole ``exception`` that was to be reported."""
     sent = decisions.where(F.col("decision") != "suppressed").join(delivered, "exception_id")
-    return sent.where(~F.col("ok")).select(asof_literal(now).alias("failed_at"), "exception_id", "message")
+    failed = sent.where(~F.col("ok")).select(asof_literal(now).alias("failed_at"), "exception_id", "message")
+    if queue is None:
+        return failed
+    whole = queue.select("exception_id", F.struct(*queue.columns).alias("exception"))
+    return failed.join(whole, "exception_id").select("failed_at", "exception_id", "exception", "message")
 
 
 def quarantine_share(counters: DataFrame) -> DataFrame:

@@ -49,6 +49,29 @@ def exposition(metric_rows: DataFrame, prefix: str = "tidewater_") -> DataFrame:
                                        F.col("value").cast("string")).alias("line"))
 
 
+def job_metrics(runs: DataFrame) -> DataFrame:
+    """``metric, label, value`` of each job's newest run from a run log ``job,
+    finished_at, seconds, rows``: run seconds, instant of the last run, rows read."""
+    last = runs.groupBy("job").agg(F.max_by(F.struct("finished_at", "seconds", "rows"), "finished_at").alias("r"))
+    label = F.concat(F.lit('job="'), "job", F.lit('"'))
+    one = lambda name, v: F.struct(F.lit(name).alias("metric"), label.alias("label"), v.cast("bigint").alias("value"))
+    return last.select(F.inline(F.array(
+        one("run_seconds", F.ceil("r.seconds")), one("last_run_timestamp", F.unix_seconds("r.finished_at")),
+        one("rows_read", F.col("r.rows")))))
+
+
+def run_freshness(runs: DataFrame, now: str | datetime) -> DataFrame:
+    """Time since each job last finished against its target: ``slo, lag_s, target_s, ok``; a job that never
+    ran has a null lag and is not ok."""
+    targets = [("normalize", "normalize_freshness", config.SLO_NORMALIZE_FRESHNESS_S),
+               ("ais", "ais_staleness", config.SLO_AIS_STALENESS_S)]
+    newest = [F.max(F.when(F.col("job") == job, F.col("finished_at"))).alias(job) for job, _, _ in targets]
+    rows = F.array(*[F.struct(F.lit(slo).alias("slo"), (F.unix_seconds(asof_literal(now)) - F.unix_seconds(job)).alias("lag_s"),
+                              F.lit(target).cast("bigint").alias("target_s")) for job, slo, target in targets])
+    out = runs.agg(*newest).select(F.inline(rows))
+    return out.withColumn("ok", F.coalesce(F.col("lag_s") < F.col("target_s"), F.lit(False)))
+
+
 def slo_freshness(silver: DataFrame, now: str | datetime, positions: DataFrame | None = None) -> DataFrame:
     """Lag of the newest silver event against the freshness target and the
     feed-silence limit, and, when AIS positions are given, of the newest AIS
@@ -144,7 +167,7 @@ def governed_values(marts: dict[str, DataFrame], rows: DataFrame | None = None)
 
 
 def superlatives(marts: dict[str, DataFrame], rows: DataFrame | None = None) -> DataFrame:
-    """Best and worst carrier per (metric, filters) with the carrier values.
+    """Best and worst carrier per (metric, filters), and the values of all carriers by name.
     Ties go to the alphabetically first carrier."""
     rows = rows if rows is not None else _with_filters(metric_rows(marts))
     per = rows.groupBy("metric", "carrier_filter", "port_filter", "carrier").agg(*_agg_value(F.col("metric"))) \
@@ -153,12 +176,13 @@ def superlatives(marts: dict[str, DataFrame], rows: DataFrame | None = None) ->
     lo = F.min_by("carrier", F.struct(F.col("value"), F.col("carrier")))
     hi = F.min_by("carrier", F.struct(-F.col("value"), F.col("carrier")))
     g = per.groupBy("metric", "carrier_filter", "port_filter").agg(
-        lo.alias("_lo"), hi.alias("_hi"), F.min("value").alias("_lov"), F.max("value").alias("_hiv"))
+        lo.alias("_lo"), hi.alias("_hi"), F.min("value").alias("_lov"), F.max("value").alias("_hiv"),
+        F.array_sort(F.collect_list(F.struct("carrier", "value"))).alias("all_values"))  # a row a carrier
     return g.select("metric", "carrier_filter", "port_filter",
                     F.when(lower, F.col("_lo")).otherwise(F.col("_hi")).alias("best_entity"),
                     F.when(lower, F.col("_lov")).otherwise(F.col("_hiv")).alias("best_value"),
                     F.when(lower, F.col("_hi")).otherwise(F.col("_lo")).alias("worst_entity"),
-                    F.when(lower, F.col("_hiv")).otherwise(F.col("_lov")).alias("worst_value"))
+                    F.when(lower, F.col("_hiv")).otherwise(F.col("_lov")).alias("worst_value"), "all_values")
 
 
 def phrase_rows() -> list[tuple[str, str, str, int, int]]:
@@ -218,9 +242,41 @@ def resolve_questions(questions: DataFrame, mode: str = "substring") -> DataFram
                       "carrier_filter", "port_filter")
 
 
-def answer_questions(questions: DataFrame, marts: dict[str, DataFrame], mode: str = "substring") -> DataFrame:
+def _number(value: Column) -> Column:
+    """A value as text: up to two decimals, at least one."""
+    return F.regexp_replace(F.format_string("%.2f", value), "0$", "")
+
+
+def _cited(answers: DataFrame) -> DataFrame:
+    """Answers with what they rest on: answer or refusal text, the values of all carriers, mart, column,
+    aggregation, unit, definition and filters of the metric."""
+    def of(field):
+        return F.element_at(F.create_map(*[F.lit(x) for name in config.METRICS for x in (name, field(name))]),
+                            F.coalesce("metric", F.lit("")))
+
+    answers = answers.withColumns({
+        "mart": of(lambda m: config.METRICS[m][0]), "column_name": of(lambda m: config.METRICS[m][1]),
+        "aggregation": of(lambda m: config.METRICS[m][2]), "unit": of(lambda m: config.METRICS[m][4]),
+        "definition": of(config.METRIC_DEFINITIONS.get),
+        "filters": F.when(F.col("metric").isNotNull(), F.concat_ws(
+            ", ", F.concat(F.lit("carrier="), "carrier_filter"), F.concat(F.lit("port="), "port_filter")))})
+    text = F.concat(_number(F.col("value")), "unit")
+    none = F.concat(F.lit("no rows of "), "mart", F.lit(" match the filters: "), "filters")
+    listed = F.array_join(F.transform("all_values", lambda v: F.concat(v.carrier, F.lit("="), _number(v.value))), ";")
+    return answers.withColumns({
+        "answer": F.when(F.col("kind") == "superlative", F.concat("entity", F.lit(": "), text))
+                   .when(F.col("kind") == "value", text),
+        "refusal": F.when(F.col("kind") == "refusal", F.coalesce(
+            none, F.lit("only governed metrics are answered: " + ", ".join(config.METRICS)))),
+        "all_values": F.when(F.col("kind") == "superlative", listed)})
+
+
+def answer_questions(questions: DataFrame, marts: dict[str, DataFrame], mode: str = "substring",
+                     cite: bool = False) -> DataFrame:
     """``question_id, metric, carrier_filter, port_filter, kind, entity, value,
-    rows_used``; kind is superlative | value | refusal."""
+    rows_used``; kind is superlative | value | refusal.  ``cite`` adds what an
+    answer rests on: ``answer, refusal, all_values, mart, column_name,
+    aggregation, unit, definition, filters``."""
     r = resolve_questions(questions, mode)
     keys = ["metric", "carrier_filter", "port_filter"]
     rows = _with_filters(metric_rows(marts))   # built once, read by both aggregates
@@ -229,7 +285,7 @@ def answer_questions(questions: DataFrame, marts: dict[str, DataFrame], mode: st
     cond_v = [r[k].eqNullSafe(vals[k]) for k in keys]
     j = r.join(vals, cond_v, "left").select(r["*"], vals["value"], vals["rows_used"])
     cond_s = [j[k].eqNullSafe(sups[k]) for k in keys]
-    j = j.join(sups, cond_s, "left").select(j["*"], "best_entity", "best_value", "worst_entity", "worst_value")
+    j = j.join(sups, cond_s, "left").select(j["*"], "best_entity", "best_value", "worst_entity", "worst_value", "all_values")
     sup_entity = F.when(F.col("superlative") == "best", F.col("best_entity")) \
         .when(F.col("superlative") == "worst", F.col("worst_entity"))
     sup_value = F.when(F.col("superlative") == "best", F.col("best_value")) \
@@ -237,13 +293,14 @@ def answer_questions(questions: DataFrame, marts: dict[str, DataFrame], mode: st
     is_sup = F.col("metric").isNotNull() & sup_entity.isNotNull()
     is_val = F.col("metric").isNotNull() & ~is_sup & F.col("value").isNotNull()
     kind = F.when(is_sup, "superlative").when(is_val, "value").otherwise("refusal")
-    return j.select(
+    out = j.select(
         "question_id", "metric", "carrier_filter", "port_filter", kind.alias("kind"),
         F.when(is_sup, sup_entity).alias("entity"),
         F.when(is_sup, sup_value).when(is_val, F.col("value")).alias("value"),
         F.when(is_sup | is_val, F.col("rows_used")).when(F.col("metric").isNotNull(), F.lit(0))
-        .cast("bigint").alias("rows_used"),
+        .cast("bigint").alias("rows_used"), "all_values",
     )
+    return _cited(out) if cite else out.drop("all_values")
 
 
 def run_trend(run_rows: DataFrame, every: str = "1 hour") -> DataFrame:

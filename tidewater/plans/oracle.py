@@ -807,6 +807,39 @@ ORACLE["question_table"] = _q(
     "WHEN metric IS NOT NULL THEN 0 END AS rows_used FROM ans",
     ALL + (_MROWS, _MCOMBO, _GOV, _SUP, _QUESTIONS))
 
+_CITED_V = ", ".join(f"('{n}', '{m[0]}', '{m[1]}', '{m[2]}', '{m[4]}', '{config.METRIC_DEFINITIONS[n]}')"
+                     for n, m in config.METRICS.items())
+
+
+def _num(v: str) -> str:
+    return f"regexp_replace(printf('%.2f', {v}), '0$', '')"
+
+
+ORACLE["question_answers"] = _q(f"""
+  SELECT a.question_id, a.metric, a.carrier_filter, a.port_filter, a.kind,
+    CASE WHEN a.kind = 'superlative' THEN a.sup_c END AS entity,
+    CASE a.kind WHEN 'superlative' THEN a.sup_v WHEN 'value' THEN a.value END AS value,
+    CASE WHEN a.kind <> 'refusal' THEN a.rows_used WHEN a.metric IS NOT NULL THEN 0 END AS rows_used,
+    CASE WHEN a.kind = 'superlative' THEN lst.all_values END AS all_values,
+    c.mart, c.column_name, c.aggregation, c.unit, c.definition,
+    CASE WHEN a.metric IS NOT NULL THEN
+      concat_ws(', ', 'carrier=' || a.carrier_filter, 'port=' || a.port_filter) END AS filters,
+    CASE a.kind WHEN 'superlative' THEN a.sup_c || ': ' || {_num('a.sup_v')} || c.unit
+                WHEN 'value' THEN {_num('a.value')} || c.unit END AS answer,
+    CASE WHEN a.kind = 'refusal' THEN CASE WHEN a.metric IS NULL
+        THEN 'only governed metrics are answered: {", ".join(config.METRICS)}'
+        ELSE 'no rows of ' || c.mart || ' match the filters: '
+             || concat_ws(', ', 'carrier=' || a.carrier_filter, 'port=' || a.port_filter) END END AS refusal
+  FROM (SELECT *, CASE WHEN metric IS NOT NULL AND sup_c IS NOT NULL THEN 'superlative'
+                       WHEN metric IS NOT NULL AND value IS NOT NULL THEN 'value' ELSE 'refusal' END AS kind FROM ans) a
+  LEFT JOIN (VALUES {_CITED_V}) c(metric, mart, column_name, aggregation, unit, definition) ON c.metric = a.metric
+  LEFT JOIN (SELECT metric, carrier_filter, port_filter,
+               string_agg(carrier || '=' || {_num('value')}, ';' ORDER BY carrier) AS all_values
+             FROM per_carrier GROUP BY 1, 2, 3) lst
+    ON lst.metric = a.metric AND lst.carrier_filter IS NOT DISTINCT FROM a.carrier_filter
+   AND lst.port_filter IS NOT DISTINCT FROM a.port_filter""",
+    ALL + (_MROWS, _MCOMBO, _GOV, _SUP, _QUESTIONS))
+
 
 # ---- keyed upsert and snapshots --------------------------------------------------
 

@@ -302,13 +302,22 @@ def governed_metric(spark, sf_dir):
     return metrics.governed_values(_marts(Lake.of(spark, sf_dir)))
 
 
+def _questions(lk: Lake) -> DataFrame:
+    return lk.table("conversations").where(F.col("role") == "user").select(
+        F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("question_id"),
+        F.col("text").alias("question"))
+
+
 @query
 def question_table(spark, sf_dir):
     lk = Lake.of(spark, sf_dir)
-    conv = lk.table("conversations").where(F.col("role") == "user").select(
-        F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("question_id"),
-        F.col("text").alias("question"))
-    return metrics.answer_questions(conv, _marts(lk))
+    return metrics.answer_questions(_questions(lk), _marts(lk))
+
+
+@query
+def question_answers(spark, sf_dir):
+    lk = Lake.of(spark, sf_dir)
+    return metrics.answer_questions(_questions(lk), _marts(lk), cite=True)
 
 
 # ---- keyed upsert and snapshots ---------------------------------------------

@@ -8,7 +8,10 @@ re-runs the current stage) and nothing is recomputed across stages.
     rules   = exceptions(silver, ais)   -> shipment_state, shipment_legs, exception_queue (+ snapshot)
     gold    = marts(silver, queue)      -> fct_shipment_events, carrier_scorecard, eta_baseline,
                                            exception_mart, shipment_eta
-    alerts  = decide(queue, state)      -> alert_decisions, next alert state version
+    export  = csv(gold)                 -> export/carrier_scorecard, export/eta_baseline
+    alerts  = decide(queue, state)      -> alert_decisions, alert_failures, next alert state version
+
+normalize and ais also log their runs (run_log), which run metrics and freshness read.
 
 All writes are whole-table or whole-partition overwrites (or new versions), so
 re-running a stage after a failure gives the same tables.
@@ -16,6 +19,7 @@ re-running a stage after a failure gives the same tables.
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,12 +41,27 @@ class Tables:
         return f"{self.root}/{name}"
 
 
+#: Tables of other jobs that the rules read; one that is not there yet is empty.
+DWELL = "mmsi string, date date, box string, anchor_hours bigint"
+CONGESTION = "port string, date date, vessels_at_anchor bigint, avg_dwell_h double"
+CONDITIONS = ("port string, date date, weather_alerts bigint, weather_code string, wind_max_kmh double, "
+              "precip_mm double, disruption_news bigint")
+
+
+def _log_run(spark: SparkSession, t: Tables, job: str, asof: str, began: float, rows: int) -> None:
+    """One row for each job and instant; a repeated run replaces its own."""
+    spark.range(1).select(F.lit(job).alias("job"), F.lit(asof).alias("run"), F.current_timestamp().alias("finished_at"),
+                          F.lit(time.monotonic() - began).alias("seconds"), F.lit(rows).cast("bigint").alias("rows")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job", "run").parquet(t.run_log)
+
+
 def normalize_stage(spark: SparkSession, raw: DataFrame, t: Tables, asof: str | datetime) -> dict:
     """One pass over the raw feed: classified rows are written once (split by
     validity), quarantine and counters read that table, de-duplication reads
     its valid half once, and silver / last-mile are projections of the
     de-duplicated table."""
     ensure_conf(spark)
+    began = time.monotonic()
     cls = normalize.classify(raw).withColumn("valid", F.col("reason").isNull())
     cls.write.mode("overwrite").partitionBy("valid").parquet(t.classified)
     staged = spark.read.parquet(t.classified).withColumn("valid", F.col("valid").cast("boolean"))
@@ -61,22 +80,28 @@ def normalize_stage(spark: SparkSession, raw: DataFrame, t: Tables, asof: str |
     # one row for each instant: a repeated run replaces its own
     counters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("asof").parquet(t.run_summary)
-    return spark.read.parquet(t.run_summary).orderBy(F.desc("run_ts")).first().asDict()  # one row
+    summary = spark.read.parquet(t.run_summary).orderBy(F.desc("run_ts")).first().asDict()  # one row
+    _log_run(spark, t, "normalize", to_datetime(asof).isoformat(), began, summary["events_read"])
+    return summary
 
 
 def ais_stage(spark: SparkSession, positions: DataFrame, statics: DataFrame, t: Tables) -> None:
     ensure_conf(spark)
-    dwell = ais.vessel_dwell(positions)
-    tables.overwrite_partitions(dwell, t.vessel_dwell, "date")
+    began = time.monotonic()
+    # dates without an anchored vessel in this run lose the rows that an earlier run gave them
+    dates = positions.select(F.to_date("received_at").alias("date")).where("date IS NOT NULL")
+    tables.overwrite_partitions(ais.vessel_dwell(positions), t.vessel_dwell, "date", scope=dates)
     # congestion only for the dates this run wrote (partition pruning on the dwell table)
-    lo, hi = positions.agg(F.min(F.to_date("received_at")), F.max(F.to_date("received_at"))).first()
+    lo, hi, reports = positions.agg(F.min(F.to_date("received_at")), F.max(F.to_date("received_at")),
+                                    F.count(F.lit(1))).first()
     if lo is not None:
-        written = spark.read.parquet(t.vessel_dwell).where(F.col("date").between(F.lit(lo), F.lit(hi)))
-        tables.overwrite_partitions(ais.port_congestion(written), t.port_congestion, "date")
+        written = tables.read_or_empty(spark, t.vessel_dwell, DWELL).where(F.col("date").between(F.lit(lo), F.lit(hi)))
+        tables.overwrite_partitions(ais.port_congestion(written), t.port_congestion, "date", scope=dates)
     current = tables.read_current(spark, t.dim_vessel)
     new = ais.vessel_static(statics)
     merged = new if current is None else tables.upsert_by_key(current, new, ["mmsi"])
     tables.write_version(merged, t.dim_vessel)
+    _log_run(spark, t, "ais", str(hi), began, reports)
 
 
 def conditions_stage(spark: SparkSession, observations: DataFrame, t: Tables) -> None:
@@ -92,9 +117,9 @@ def rules_stage(spark: SparkSession, t: Tables, asof: str | datetime) -> None:
     state.shipment_state(normalize.silver_with_last_mile(dd)).write.mode("overwrite").parquet(t.shipment_state)
     st = spark.read.parquet(t.shipment_state)
     tables.write_sorted(state.shipment_legs(st), t.shipment_legs, ["shipment_id"])
-    dwell = spark.read.parquet(t.vessel_dwell)
-    cond = spark.read.parquet(t.port_conditions)
-    cong = spark.read.parquet(t.port_congestion)
+    dwell = tables.read_or_empty(spark, t.vessel_dwell, DWELL)
+    cond = tables.read_or_empty(spark, t.port_conditions, CONDITIONS)
+    cong = tables.read_or_empty(spark, t.port_congestion, CONGESTION)
     causes = rules.port_causes(ais.latest_by(cond, "port"), ais.latest_by(cong, "port"), spark)
     q = rules.detect_exceptions(st, asof, ais.dwell_totals(dwell), None, causes)
     tables.write_sorted(q, t.exception_queue, ["exception_id"])
@@ -108,8 +133,8 @@ def gold_stage(spark: SparkSession, t: Tables) -> None:
     fct = gold.fct_shipment_events(silver)
     fct.write.mode("overwrite").parquet(t.fct_shipment_events)
     fct = spark.read.parquet(t.fct_shipment_events)
-    gold.carrier_scorecard(fct, queue).write.mode("overwrite").parquet(t.carrier_scorecard)
-    gold.eta_baseline(fct).write.mode("overwrite").parquet(t.eta_baseline)
+    tables.write_sorted(gold.carrier_scorecard(fct, queue), t.carrier_scorecard, ["carrier", "lane"])
+    tables.write_sorted(gold.eta_baseline(fct), t.eta_baseline, ["carrier", "lane", "event_type"])
     gold.exception_mart(queue).write.mode("overwrite").parquet(t.exception_mart)
     offsets = spark.read.parquet(t.eta_baseline).where("event_type = 'delivered'") \
         .select("carrier", "lane", "median_offset_h")
@@ -117,9 +142,17 @@ def gold_stage(spark: SparkSession, t: Tables) -> None:
         .write.mode("overwrite").parquet(t.shipment_eta)
 
 
-def alert_stage(spark: SparkSession, t: Tables, now: str | datetime) -> DataFrame:
+def export_stage(spark: SparkSession, t: Tables) -> None:
+    """Gold marts as sorted CSV with a header."""
+    for name, keys in (("carrier_scorecard", ["carrier", "lane"]), ("eta_baseline", ["carrier", "lane", "event_type"])):
+        tables.write_sorted(spark.read.parquet(f"{t.root}/{name}"), f"{t.export}/{name}", keys, fmt="csv")
+
+
+def alert_stage(spark: SparkSession, t: Tables, now: str | datetime, delivered: DataFrame | None = None) -> DataFrame:
     """Alert decisions of one instant and the next state; a repeated run of the instant starts from the state before
-    it and replaces its decisions.  The quarantine spike is decided and remembered in the same state."""
+    it and replaces its decisions.  The quarantine spike is decided and remembered in the same state.
+    ``delivered`` (``exception_id, ok``) are the results of sending: a failed alert goes to the failure ledger with
+    its exception, stays out of the state and so is decided again by the next run."""
     ensure_conf(spark)
     queue = spark.read.parquet(t.exception_queue)
     run = to_datetime(now).isoformat()
@@ -134,7 +167,9 @@ def alert_stage(spark: SparkSession, t: Tables, now: str | datetime) -> DataFram
     counters = spark.read.parquet(t.run_summary).where(F.col("asof") == at)
     ops = alerts.quarantine_spike(counters, st, now)
     write(ops, t.ops_alerts)
-    tables.write_version(alerts.next_state(st, written, now, ops=ops), t.alert_state, run)
+    if delivered is not None:
+        write(alerts.failures(written, delivered, now, queue), t.alert_failures)
+    tables.write_version(alerts.next_state(st, written, now, delivered, ops), t.alert_state, run)
     return written
 
 
@@ -148,6 +183,7 @@ def run_all(spark: SparkSession, raw: DataFrame, positions: DataFrame, statics:
     conditions_stage(spark, observations, t)
     rules_stage(spark, t, asof)
     gold_stage(spark, t)
+    export_stage(spark, t)
     alert_stage(spark, t, asof)
     return summary
 

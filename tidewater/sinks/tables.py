@@ -53,6 +53,14 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "date",
         clear_partitions(df.sparkSession, path, partition_col, [r.d for r in gone.collect()])
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``; one that no job has written yet is empty."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def clear_partitions(spark: SparkSession, path: str, partition_col: str, values: list[str]) -> None:
     """Remove the given partition directories through the Hadoop file system."""
     jvm = spark.sparkContext._jvm
