@@ -148,14 +148,21 @@ def append_snapshot(df: DataFrame, root: str, snapshot_ts: str | datetime) -> No
         .partitionBy("snapshot_ts").parquet(root)
 
 
-def snapshot_as_of(snapshots: DataFrame, t: str | datetime) -> DataFrame:
+def snapshot_as_of(snapshots: DataFrame, t: str | datetime, computed: bool = False) -> DataFrame:
     """Rows of the newest snapshot taken at or before ``t``.
 
     The newest qualifying instant is a one-row aggregate joined back on the
     snapshot column (a broadcast of one row; with a partitioned table the
-    filter prunes to that partition)."""
+    filter prunes to that partition).
+
+    ``computed``: the snapshots are results of the same plan, not a table.  The
+    aggregate then takes whole rows, as the join does: with the same columns on
+    both sides Spark reuses their exchanges and computes no snapshot twice."""
     eligible = snapshots.where(F.col("snapshot_ts") <= asof_literal(t))
     newest = eligible.agg(F.max("snapshot_ts").alias("snapshot_ts"))
+    if computed:
+        whole = F.struct("snapshot_ts", *[c for c in snapshots.columns if c != "snapshot_ts"])
+        newest = eligible.agg(F.max_by(whole, "snapshot_ts").alias("r")).select("r.snapshot_ts")
     return eligible.join(F.broadcast(newest), "snapshot_ts")
 
 
