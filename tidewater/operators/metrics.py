@@ -33,13 +33,14 @@ def run_metrics(counters: DataFrame, queue: DataFrame) -> DataFrame:
                       F.col(f"quarantined_{r}").cast("bigint").alias("value"))
              for r in config.QUARANTINE_REASONS]
     base = c.select(F.inline(F.array(*rows)))
-    by_type = queue.groupBy("exception_type").agg(F.count(F.lit(1)).alias("value"))
-    typed = by_type.select(F.lit("exceptions_by_type").alias("metric"),
-                           F.concat(F.lit('type="'), F.col("exception_type"), F.lit('"')).alias("label"),
-                           F.col("value").cast("bigint").alias("value"))
-    total = queue.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(
-        F.lit("exceptions").alias("metric"), F.lit("").alias("label"), "value")
-    return base.unionByName(typed).unionByName(total)
+    # the queue is counted once; the total is the sum over its types (a row a type)
+    by_type = queue.groupBy("exception_type").agg(F.count(F.lit(1)).cast("bigint").alias("value"))
+    one = lambda metric, label, value: F.struct(F.lit(metric).alias("metric"), label.alias("label"), value.alias("value"))
+    label = F.concat(F.lit('type="'), F.col("exception_type"), F.lit('"'))
+    of_queue = by_type.agg(F.collect_list(one("exceptions_by_type", label, F.col("value"))).alias("typed"),
+                           F.coalesce(F.sum("value"), F.lit(0)).cast("bigint").alias("total"))
+    total = F.array(one("exceptions", F.lit(""), F.col("total")))
+    return base.unionByName(of_queue.select(F.inline(F.concat("typed", total))))
 
 
 def exposition(metric_rows: DataFrame, prefix: str = "tidewater_") -> DataFrame:
