@@ -242,6 +242,36 @@ def test_near_pairs_inside_a_template_group(spark, make_docs):
     assert {r.doc_id: r.class_id for r in neardup.near_classes(docs).collect()} == want
 
 
+def test_rounds_end_once_they_find_hardly_a_link(spark, make_docs, monkeypatch):
+    form, texts = words_of(344, 22), []  # one large group of 0.74 pairwise, few near pairs inside
+    for p in range(120):
+        tail = words_of(60, 20000 + p)
+        texts.append(form + tail)
+        if p % 4 == 0:
+            texts.append(form + tail[:18] + words_of(42, 30000 + p))
+    rounds, compared = [], neardup._with_leader
+    monkeypatch.setattr(neardup, "_with_leader", lambda *a: rounds.append(1) or compared(*a))
+    monkeypatch.setattr(neardup, "_YIELD", 1.1, raising=False)  # none is worth another one
+    docs = make_docs([(i, " ".join(w), "s") for i, w in enumerate(texts)])
+    assert {r.doc_id: r.class_id for r in neardup.near_classes(docs).collect()} == brute_classes(texts)
+    assert len(rounds) == 1
+
+
+def test_exact_join_deals_out_only_what_can_be_a_first_common_shingle(spark, make_docs, monkeypatch):
+    texts = []  # pairs of many parts that share 12 % of their shingles, and cut copies at 0.8 to 0.97
+    for p in range(60):
+        own = words_of(196, 40000 + p)
+        texts += [own + words_of(24, 7), own[:160 + p % 37] + words_of(24, 7)]
+    kept, write = {}, neardup.stored
+    monkeypatch.setattr(neardup, "stored", lambda df, name, **o: kept.setdefault(name, write(df, name, **o))
+                        if name == "rare-open" else write(df, name, **o))
+    docs = make_docs([(i, " ".join(w), "s") for i, w in enumerate(texts)])
+    assert {r.doc_id: r.class_id for r in neardup.near_classes(docs).collect()} == brute_classes(texts)
+    assert {"tail", "after"} <= set(kept["rare-open"].columns)
+    for r in kept["rare-open"].collect():
+        assert 1 <= r.after <= r.n and 0.8 * r.n - 1 <= r.tail <= r.n
+
+
 def test_near_pairs_of_short_texts(spark, make_docs):
     texts = []
     for p in range(300):

@@ -23,6 +23,7 @@ _SLOTS = 1 << 22  # counters of the shingle order
 _CHUNK = 1 << 14  # counters that are summed together
 _FEW = 1_000_000  # texts, named by 8 bytes each, that may be broadcast
 _FILTER_BYTES = 32 << 20  # what the filter of shared shingles may take
+_YIELD = 0.01  # links that a round must find among its pairs for another one to follow
 _SLACK = 1e-6  # bounds on counts of shingles give way by this much, so rounding loses no pair
 
 
@@ -208,18 +209,26 @@ def _rarest_of(k: int, counts: np.ndarray, least: float):
 
 
 def _shared_only(filters):
-    """The rare shingles that the filter of shared ones holds, with their texts."""
+    """The rare shingles that the filter of shared ones holds, with their texts.
+
+    ``tail`` counts the shingles of the text from this one on in the order all
+    texts share, ``after`` those of its prefix that the filter holds.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = filters.value
         for batch in batches:
             lists = batch.column("rare")
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
             row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-            there = held.holds(0, flat)
-            at = pa.array(row[there])
+            there = np.flatnonzero(held.holds(0, flat))
+            at, n = row[there], batch.column("n").to_numpy()
+            place = there - np.r_[0, ends][at]
+            upto = np.searchsorted(there, ends)  # shingles held of the texts up to each
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c).take(at) for c in ("node", "n", "last", "part")], pa.array(flat[there].view(np.int64))],
-                names=["node", "n", "last", "part", "bucket"])
+                [*[batch.column(c).take(pa.array(at)) for c in ("node", "n", "last", "part")],
+                 pa.array(flat[there].view(np.int64)), pa.array(n[at] - place), pa.array(upto[at] - np.arange(len(there)))],
+                names=["node", "n", "last", "part", "bucket", "tail", "after"])
 
     return run
 
@@ -229,11 +238,15 @@ def _unmet(texts: DataFrame, marked: DataFrame, named: DataFrame, k: int, least:
 
     Texts of s <= g shingles at similarity ``least`` have ``least / (1 + least) *
     (s + g)`` in common at least, which is no less than ``least * g``.  So at
-    least one of the common ones is among the ``reach`` rarest of both.  Of two
-    prefixes let one end first in the order all texts share: a common shingle
-    that is not in both prefixes comes after that end, so the common ones are at
-    most those of the prefixes and the rest of that text.  Pairs that cannot
-    reach the number go before any text is read.  The order decides only how
+    least one of the common ones is among the ``reach`` rarest of both.  Behind
+    the first of them in the order all texts share come all others, so neither
+    text may have fewer shingles from there on than must be common: a pair
+    meets only by shingles near the front of both, and only shingles that can be
+    the first ones of some smaller text are dealt out.  Of two
+    prefixes let one end first: a common shingle that is not in both prefixes
+    comes after that end, so the common ones are at most the shared ones of
+    either prefix from the first on, and the rest of that text.  Pairs that
+    cannot reach the number are not made at all.  The order decides only how
     few texts share a rare shingle.
 
     Shingles whose texts are one part already drop out by an aggregate; a
@@ -245,26 +258,31 @@ def _unmet(texts: DataFrame, marked: DataFrame, named: DataFrame, k: int, least:
                                    "node binary, n bigint, last struct<seen:bigint,key:bigint>, rare array<bigint>")
                   .where("n > 0"), "rare")
     parted = (rare.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
-              .select("node", "n", "last", "rare", F.coalesce("component", "node").alias("part")))
-    label = parted.select(F.explode("rare").alias("bucket"), F.xxhash64("part").alias("label"))
+              .select("node", "n", "last", "rare", F.xxhash64(F.coalesce("component", "node")).alias("part")))
+    label = parted.select(F.explode("rare").alias("bucket"), F.col("part").alias("label"))
     open_ = stored(label.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                    .where("low <> high").select("bucket"), "open")
     filters = spark.sparkContext.broadcast(build_filters(open_.select(F.lit(0).alias("length"), F.col("bucket").alias("hash")),
                                                          _FILTER_BYTES))
     likely = parted.mapInArrow(_shared_only(filters), "node binary, n bigint, last struct<seen:bigint,key:bigint>, "
-                               "part binary, bucket bigint")
-    live = stored(likely.join(open_, "bucket", "left_semi").distinct(), "rare-open")
-    other = live.select("bucket", *[F.col(c).alias(f"{c}_g") for c in ("node", "n", "last", "part")])
+                               "part bigint, bucket bigint, tail bigint, after bigint")
+    share = F.lit(least / (1 + least))
+    # where the smaller text of a pair can have the first common shingle: after p others, over least * p of its prefix follow
+    first = ((F.col("tail") >= share * 2 * F.col("n") - F.lit(_SLACK))
+             & (F.col("after") > F.lit(least) * (F.col("n") - F.col("tail")) - F.lit(4 * _SLACK)))
+    begun = stored(likely.where(first).select("bucket").distinct().join(open_, "bucket", "left_semi"), "begun")
+    live = stored(likely.join(begun, "bucket", "left_semi").distinct(), "rare-open")
+    other = live.select("bucket", *[F.col(c).alias(f"{c}_g") for c in ("node", "n", "last", "part", "tail", "after")])
+    smaller = live.where(first)
     ordered = (F.col("n") < F.col("n_g")) | ((F.col("n") == F.col("n_g")) & (F.col("node") < F.col("node_g")))
-    met = live.join(other, "bucket").where(ordered & (F.col("part") != F.col("part_g")) & _alike("n", "n_g", least))
+    needed = share * (F.col("n") + F.col("n_g")) - F.lit(_SLACK)
     # what both texts have behind their prefixes; a prefix is as long as its text's size says
     rest = [F.ceil(F.col(n) * F.lit(least) - F.lit(_SLACK)) - 1 for n in ("n", "n_g")]
     rest = F.when(F.col("last") <= F.col("last_g"), rest[0]).otherwise(rest[1])
-    pairs = met.groupBy("node", F.col("node_g").alias("g")).agg(
-        F.count(F.lit(1)).alias("common"), F.first(rest).alias("rest"),
-        F.first(F.lit(least / (1 + least)) * (F.col("n") + F.col("n_g"))).alias("needed"))
-    pairs = pairs.where(F.col("common") + F.col("rest") >= F.col("needed") - F.lit(_SLACK))
-    return pairs.select(F.least("node", "g").alias("a"), F.greatest("node", "g").alias("b"))
+    met = smaller.join(other, "bucket").where(
+        ordered & (F.col("part") != F.col("part_g")) & _alike("n", "n_g", least)
+        & (F.least("tail", "tail_g") >= needed) & (F.least("after", "after_g") + rest >= needed))
+    return met.select(F.least("node", "node_g").alias("a"), F.greatest("node", "node_g").alias("b")).distinct()
 
 
 def _alike(a: str, b: str, least: float):
@@ -295,15 +313,16 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     of up to ``all_pairs_to`` compares all its pairs.  The texts of larger ones
     are compared with the leader of their largest bucket, the member that shares
     most buckets; while the members of a bucket are not yet one part, they meet
-    three leaders of other parts, drawn anew each round, until a round finds no
-    link.  A round is linear in a bucket's size, and a pair's two texts are all
-    a task holds.
+    three leaders of other parts, drawn anew each round, until a round's pairs
+    hold hardly a link (texts around a common passage never become one part);
+    ``_unmet`` comes to the others.  A round is linear in a bucket's size, and a
+    pair's two texts are all a task holds.
     """
     key = F.unhex(F.md5(F.encode(text_of(), "UTF-8")))
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), text_of().alias("text"))
     made = stored(base.mapInArrow(_sketcher(k, count, length), _MARKED), "sketches")
     marked = made.where("chunk is null").select("doc_id", "key", "n", "marks")
-    nodes = marked.groupBy("key").agg(F.first("n").alias("n"), F.first("marks").alias("marks"))
+    nodes = stored(marked.groupBy("key").agg(F.first("n").alias("n"), F.first("marks").alias("marks")), "nodes")
     spread = nodes.select(F.col("key").alias("node"), "n", F.posexplode("marks").alias("j", "mark"))
     spread = spread.select("node", "n", F.xxhash64("j", "mark").alias("bucket"))
     sizes = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -343,14 +362,18 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
                   .where("low <> high").select("bucket", F.explode("leads").alias("lead")))
         others = stored(others, "leaders")
         pairs = _with_leader(part, others, least, F.col("part") != F.col("lead.part"))
-        new = stored(_verify(_three(pairs.distinct(), nodes), inside, k, least), "links")
-        if not new.limit(1).count():
+        tried = _three(pairs.distinct(), nodes)
+        new = stored(_verify(tried, inside, k, least), "links")
+        found = new.count()
+        if not found:
             break
         links = links.unionByName(new)
         merged = components(_between_parts(new, part.select("node", "part").distinct()))
         open_ = part.join(others.select("bucket").distinct(), "bucket", "left_semi")
         part = stored(_renamed(open_, merged, "part"), "parts")
         named = _relabelled(named, merged)
+        if found < _YIELD * tried.count():
+            break
         turn += 1
     forget(inside)
     new = stored(_verify(stored(_unmet(texts, made, named, k, least), "candidates"), texts, k, least), "links")
