@@ -250,11 +250,12 @@ def test_rounds_end_once_they_find_hardly_a_link(spark, make_docs, monkeypatch):
         if p % 4 == 0:
             texts.append(form + tail[:18] + words_of(42, 30000 + p))
     rounds, compared = [], neardup._with_leader
-    monkeypatch.setattr(neardup, "_with_leader", lambda *a: rounds.append(1) or compared(*a))
+    monkeypatch.setattr(neardup, "_with_leader", lambda *a: rounds.append(a[1]) or compared(*a))
     monkeypatch.setattr(neardup, "_YIELD", 1.1, raising=False)  # none is worth another one
     docs = make_docs([(i, " ".join(w), "s") for i, w in enumerate(texts)])
     assert {r.doc_id: r.class_id for r in neardup.near_classes(docs).collect()} == brute_classes(texts)
     assert len(rounds) == 1
+    assert rounds[0].count() == rounds[0].select("bucket").distinct().count() > 0  # one leader a bucket
 
 
 def test_exact_join_deals_out_only_what_can_be_a_first_common_shingle(spark, make_docs, monkeypatch):

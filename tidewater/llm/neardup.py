@@ -313,7 +313,7 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     of up to ``all_pairs_to`` compares all its pairs.  The texts of larger ones
     are compared with the leader of their largest bucket, the member that shares
     most buckets; while the members of a bucket are not yet one part, they meet
-    three leaders of other parts, drawn anew each round, until a round's pairs
+    a leader of another part, drawn anew each round, until a round's pairs
     hold hardly a link (texts around a common passage never become one part);
     ``_unmet`` comes to the others.  A round is linear in a bucket's size, and a
     pair's two texts are all a task holds.
@@ -354,12 +354,10 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, count: int = 2
     inside = stored(_texts_of(texts, part.select(F.col("node").alias("key"))), "large-texts")
     turn = 0
     while True:
-        # buckets whose members are not one part yet draw three leaders, others each round
-        drawn = [F.max(F.struct(F.xxhash64(F.lit(3 * turn + h), "bucket", "node").alias("draw"), "node", "n", "part"))
-                 for h in range(3)]
-        others = (part.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("leads"),
-                                             F.min("part").alias("low"), F.max("part").alias("high"))
-                  .where("low <> high").select("bucket", F.explode("leads").alias("lead")))
+        # buckets whose members are not one part yet draw a leader, another one each round
+        drawn = F.max(F.struct(F.xxhash64(F.lit(turn), "bucket", "node").alias("draw"), "node", "n", "part"))
+        others = (part.groupBy("bucket").agg(drawn.alias("lead"), F.min("part").alias("low"), F.max("part").alias("high"))
+                  .where("low <> high").select("bucket", "lead"))
         others = stored(others, "leaders")
         pairs = _with_leader(part, others, least, F.col("part") != F.col("lead.part"))
         tried = _three(pairs.distinct(), nodes)
