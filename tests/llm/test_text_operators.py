@@ -3,14 +3,16 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.llm import automaton, decontam, linededup, lmscore, neardup
-from tidewater.llm.common import components, table
+from tidewater.llm.common import components, stored, table
 
 SF001 = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -273,6 +275,35 @@ def test_exact_join_deals_out_only_what_can_be_a_first_common_shingle(spark, mak
         assert 1 <= r.after <= r.n and 0.8 * r.n - 1 <= r.tail <= r.n
 
 
+def test_exact_join_gives_the_lists_their_labels_once(spark, make_docs, monkeypatch):
+    texts, plans, write = [], {}, neardup.stored
+    for p in range(60):
+        long = words_of(40, 50000 + p)
+        texts += [long, long[:-1]]
+
+    def noted(df, name, **o):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name, **o)
+    monkeypatch.setattr(neardup, "stored", noted)
+    docs = make_docs([(i, " ".join(w), "s") for i, w in enumerate(texts)])
+    assert {r.doc_id: r.class_id for r in neardup.near_classes(docs).collect()} == brute_classes(texts)
+    # the shared shingles come from the labelled lists as written, not from another join of lists and labels
+    assert "Join" in plans["rare"] and "Join" not in plans["open"]
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {n for n in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n}
+    before = files()
+    out = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "few")
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before and out.count() == 7
+
+
 def test_near_pairs_of_short_texts(spark, make_docs):
     texts = []
     for p in range(300):

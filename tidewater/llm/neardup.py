@@ -254,11 +254,11 @@ def _unmet(texts: DataFrame, marked: DataFrame, named: DataFrame, k: int, least:
     out again.
     """
     spark = texts.sparkSession
-    rare = stored(texts.mapInArrow(_rarest_of(k, _counts(marked), least),
-                                   "node binary, n bigint, last struct<seen:bigint,key:bigint>, rare array<bigint>")
-                  .where("n > 0"), "rare")
-    parted = (rare.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
-              .select("node", "n", "last", "rare", F.xxhash64(F.coalesce("component", "node")).alias("part")))
+    rare = texts.mapInArrow(_rarest_of(k, _counts(marked), least),
+                            "node binary, n bigint, last struct<seen:bigint,key:bigint>, rare array<bigint>").where("n > 0")
+    # the lists, a fifth of all shingles, meet their labels once; what follows reads them where they were written
+    parted = stored(rare.join(named.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
+                    .select("node", "n", "last", "rare", F.xxhash64(F.coalesce("component", "node")).alias("part")), "rare")
     label = parted.select(F.explode("rare").alias("bucket"), F.col("part").alias("label"))
     open_ = stored(label.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                    .where("low <> high").select("bucket"), "open")
@@ -272,6 +272,7 @@ def _unmet(texts: DataFrame, marked: DataFrame, named: DataFrame, k: int, least:
              & (F.col("after") > F.lit(least) * (F.col("n") - F.col("tail")) - F.lit(4 * _SLACK)))
     begun = stored(likely.where(first).select("bucket").distinct().join(open_, "bucket", "left_semi"), "begun")
     live = stored(likely.join(begun, "bucket", "left_semi").distinct(), "rare-open")
+    forget(parted, open_, begun)
     other = live.select("bucket", *[F.col(c).alias(f"{c}_g") for c in ("node", "n", "last", "part", "tail", "after")])
     smaller = live.where(first)
     ordered = (F.col("n") < F.col("n_g")) | ((F.col("n") == F.col("n_g")) & (F.col("node") < F.col("node_g")))
