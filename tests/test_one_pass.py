@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from tidewater.operators import metrics, normalize, quality
+from tidewater.operators import metrics, normalize, quality, state
 from tidewater.plans import queries as Q
 from tidewater.plans.lake import Lake
 from tidewater.sinks import tables as sinks
@@ -68,3 +68,43 @@ def test_snapshots_are_computed_once(spark):
     assert [(r.k, r.v) for r in df.collect()] == [(3, sum(range(3, 100, 7)))]
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
     assert sinks.snapshot_as_of(snaps, "1969-01-01T00:00:00Z", computed=True).count() == 0
+
+
+def _silver(spark, rows):
+    cols = ("event_id string, shipment_id string, carrier string, event_type string, ms_idx int, at long, vessel_mmsi string, "
+            "dest string, delivery_address string, eway_bill_no string, _ingest int")
+    return spark.createDataFrame(rows, cols).select(
+        "*", F.timestamp_seconds("at").alias("actual_ts"), F.timestamp_seconds(F.col("at") * 10).alias("planned_ts"),
+        F.timestamp_seconds("_ingest").alias("eway_ts"), F.lit("O").alias("origin")).drop("at")
+
+
+def test_state_keeps_each_pick_once(spark):
+    silver = _silver(spark, [
+        ("e1", "S", "C", "vessel_departed", 4, 50, "7", "D1", None, None, 1),
+        ("e2", "S", "C", "vessel_departed", 4, 50, "8", "D2", "", "no address", 9),  # a tie in time: the larger id is later
+        ("e0", "S", "C", "gate_in", 2, 90, None, "D3", "road", "bill", 3),
+        ("e4", "S", "C", "gate_in", 2, None, "9", None, "road", "unplaced", None),   # no time is before any
+        ("e5", None, "C", None, None, 5, None, None, None, None, 5)])
+    st = state.shipment_state(silver)
+    rows = {r.shipment_id: r for r in st.collect()}
+    s, none = rows["S"], rows[None]
+    assert len(rows) == 2 and s.n_events == 4 and none.n_events == 1
+    secs = lambda t: t and int(t.timestamp())
+    assert (s["last"].event_type, s["last"].dest, secs(s["last"].planned_ts)) == ("vessel_departed", "D2", 500)
+    assert s.first_planned_ts is None and s.latest_dest == "D3" and s.first_vessel.vessel_mmsi == "9"
+    assert secs(s.first_departed_planned_ts) == 500 and s.vessel_departed.vessel_mmsi == "8"
+    assert s.vessel_arrived is None and s.delivered is None and s.last_mile.eway_bill_no == "bill"
+    assert none["last"].event_type is None and none.first_vessel is None and none.last_mile is None
+    assert st.schema["last"].dataType.names == ["event_type", "ms_idx", "carrier", "planned_ts", "actual_ts", "origin", "dest"]
+    # one value a pick, not the ordering fields beside it, and no sort by references that begin alike
+    plan = _plan(st)
+    assert "max_by" not in plan and "min_by" not in plan and "xxhash64(shipment_id" in plan
+
+
+def test_dedupe_keeps_the_order_once(spark):
+    assert "min_by" not in _plan(Lake(spark, SF001).deduped)
+    kept = [c for c in normalize.KEPT_COLUMNS if c != "ref"]
+    rows = spark.createDataFrame([("a", "unplaced", None), ("a", "first", 2), ("a", "later", 3), ("b", "unplaced", None)],
+                                 "event_id string, ref string, _ingest int") \
+        .select("*", *[F.lit(None).cast("string").alias(c) for c in kept])
+    assert [(r.event_id, r.ref, r._ingest) for r in normalize.dedupe(rows).collect()] == [("a", "first", 2)]
