@@ -255,6 +255,80 @@ def test_top_k_with_repeated_ids(spark, most_masks):
         assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in want.items()}
 
 
+@pytest.mark.parametrize("parts", [0, 3, 4, 7])
+def test_shard_search_is_exact(monkeypatch, parts):
+    monkeypatch.setattr(hamming, "_BLOCK", 1 << 7)
+    monkeypatch.setattr(hamming, "_GATHERED", 1 << 9)
+    rng = np.random.default_rng(parts)
+    codes = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    codes[200:260] = codes[0] ^ np.uint64(1) << rng.integers(0, 64, 60, dtype=np.uint64)  # many ties
+    codes[300:310] = codes[1]
+    codes[400:600] &= np.uint64(2**40 - 1)  # one value of the high segments
+    asked = np.concatenate([codes[::9], rng.integers(0, 2**63, 30, dtype=np.uint64)])
+    own = tuple(np.where(np.arange(len(asked)) < 100, 9 * np.arange(len(asked)) + i, 0) for i in (0, 2))
+    bounds = rng.integers(0, 4 * parts or 65, len(asked))
+    got = hamming._search(codes, asked, own, bounds, 6, hamming._least_radius, parts)
+    want = []
+    for i, q in enumerate(asked):
+        far = np.bitwise_count(codes ^ q)
+        near = sorted((int(far[at]), at) for at in range(len(codes))
+                      if far[at] <= bounds[i] and not own[0][i] <= at < own[1][i])[:6]
+        want += [i << 39 | d << 32 | at for d, at in near]
+    assert got.tolist() == want
+
+
+def test_shard_search_parts():
+    """Wide radii and few codes compare all; codes that crowd in some values count with what they meet."""
+    rng = np.random.default_rng(1)
+    codes, near = rng.integers(0, 2**63, 100_000, dtype=np.uint64), np.full(20_000, 9)
+    parts = lambda c, n, bounds: hamming._best_parts(
+        c, c[:n], bounds, hamming._least_radius, hamming.MOST_MASKS)
+    assert parts(codes, 20_000, near) >= 3
+    assert parts(codes, 20_000, near + 50) == parts(codes, 20, near[:20]) == 0
+    assert parts(codes & np.uint64(2**20 - 1), 20_000, near) == 0
+
+
+def test_top_k_makes_no_rows_of_pairs(spark, monkeypatch):
+    """Queries and codes both grow with the input; a join of them made a row of each pair that a probe met."""
+    plans, sizes = [], {}
+    store = hamming.stored
+
+    def spy(df, name, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        out = store(df, name, **options)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(hamming, "stored", spy)
+    monkeypatch.setattr(hamming, "MOST_CODES", 700)
+    monkeypatch.setattr(hamming, "LEAST_CODES", 500)
+    rng = np.random.default_rng(3)
+    rows = [(i, int(c)) for i, c in enumerate(rng.integers(-2**63, 2**63 - 1, 4000))]
+    df = spark.createDataFrame(rows, "id bigint, code bigint")
+    got = {}
+    for r in hamming.top_k(df, df.where("id % 40 = 0"), k=3).collect():
+        got.setdefault((r.query_id, rows[r.query_id][1]), []).append(r.distance * 10**6 + r.neighbor_id)
+    assert {q: sorted(v) for q, v in got.items()} == brute_top_k(rows, rows[::40], 3)
+    assert not [p for p in plans if "Join" in p]
+    assert sizes["members"] == 4000 and sizes["queries"] == sizes["bounds"] == 100
+    assert 300 <= sizes["nearest"] <= 8 * 300
+
+
+def test_top_k_of_text_ids(spark):
+    """Ids of any type that has an order, repeated ones among them."""
+    rng = random.Random(4)
+    rows = [(f"{'ab'[i % 2]}{i % 70}", rng.getrandbits(64) - 2**63) for i in range(150)]
+    df = spark.createDataFrame(rows, "id string, code bigint")
+    got = {}
+    for r in hamming.top_k(df, df, k=4).collect():
+        got.setdefault(r.query_id, []).append((r.distance, r.neighbor_id))
+    want = {}
+    for q, c in rows:
+        want.setdefault(q, []).extend(
+            sorted((((c ^ d) & (2**64 - 1)).bit_count(), i) for i, d in rows if i != q)[:4])
+    assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in want.items()}
+
+
 def test_sign_code(spark):
     df = spark.createDataFrame([([1.0, -1.0, 2.0],), (None,), ([],), ([0.0] * 63 + [1.0],)], "v array<float>")
     assert [r[0] for r in df.select(hamming.sign_code(F.col("v"))).collect()] == [5, None, 0, -2**63]
