@@ -92,7 +92,7 @@ def _best_parts(codes: np.ndarray, asked: np.ndarray, bounds: np.ndarray, radius
     """
     best, least = 0, len(codes) * len(asked) * _PAIR
     values, times = np.unique(bounds, return_counts=True)
-    for parts in range(3, 11):
+    for parts in range(4, 11):  # tables of wider segments would be large
         cost = 0.0
         for j, (first, width) in enumerate(_cuts(parts)):
             radii = radius(values, parts, j)
